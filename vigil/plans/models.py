@@ -1 +1,136 @@
-"""Model queries (filled in below)."""
+"""Featurize, text vectors, training with early stopping, model selection, batch and
+stream scoring (OP-12, OP-47, OP-65, OP-70..74, OP-76).
+
+Documents are the items; ``labels.toxic`` is the class (0 normal, 1 offensive). The
+fused input is: word-length series (40), text vector (the given embedding of the same
+id, zeros when missing), hashed TF-IDF of the whole text.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from vigil.config import TrainConfig
+from vigil.functions import arrays as ar
+from vigil.operators import training as tr
+from vigil.operators.featurize import featurize as run_extractors, line_frames, word_series
+from vigil.operators.split import hash_split
+from vigil.plans.catalog import query, t
+from vigil.plans.features import SERIES, VEC_DIM, _SQL_FRAMES, series_features
+from vigil.session import materialize, scratch_path
+from vigil.sinks.store import read_store
+from vigil.streaming import jobs
+from vigil.streaming.replay import write_pieces
+
+# --- fixed values --------------------------------------------------------------------
+DOC_CLASSES = ["normal", "offensive"]  # index = labels.toxic
+# --------------------------------------------------------------------------------------
+TEXT_HASH = 1 << 10
+TRAIN = TrainConfig(max_rounds=6, iters_per_round=5, patience=4, hidden=(256, 256))
+PRESETS = {"fusion": (256, 256), "tiny": (128,)}
+
+
+@query("featurize", "OP-70 OP-46 OP-53 OP-37", f"""
+WITH fr AS ({_SQL_FRAMES})  -- features are stored as float32
+SELECT d.doc_id, 'ok' AS status, round(CAST(CAST(fr.frame_mean AS FLOAT) AS DOUBLE), 6) AS frame_mean,
+       CAST(list_sum(list_resize(list_transform(string_split(d.text, ' '), lambda w: length(w)), {SERIES}, 0))
+            AS BIGINT) AS series_sum
+FROM documents d JOIN fr ON d.doc_id = fr.doc_id
+""")
+def featurize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = t(spark, sf_dir, "documents").select("doc_id", "text")
+    feats = run_extractors(docs, "doc_id", "text", [line_frames(30), word_series(SERIES)])
+    return feats.select("doc_id", "status", F.round(F.get("frames", 0).cast("double"), 6).alias("frame_mean"),
+                        F.aggregate("series", F.lit(0).cast("long"), lambda a, x: a + x.cast("long")).alias("series_sum"))
+
+
+@query("text_features", "OP-47")
+def text_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = t(spark, sf_dir, "documents").select("doc_id", "text")
+    vec, _ = tr.text_vectors(docs, num_features=TEXT_HASH)
+    arr = vector_to_array("tfidf")
+    return vec.select("doc_id", F.size(F.filter(arr, lambda x: x != 0)).cast("long").alias("n_terms"),
+                      F.round(F.aggregate(arr, F.lit(0.0), lambda a, x: a + x), 6).alias("weight_sum"))
+
+
+def model_inputs(spark: SparkSession, sf_dir: str, labelled: bool = True) -> DataFrame:
+    """``doc_id, split, label, series, text_vec, tfidf`` (checkpointed: several fits read it)."""
+    docs = t(spark, sf_dir, "documents").select("doc_id", "text")
+    emb = t(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
+    base = docs
+    if labelled:
+        lab = t(spark, sf_dir, "labels").select("doc_id", F.col("toxic").cast("double").alias("label"))
+        base = docs.join(lab, "doc_id", "inner")
+    base = hash_split(base, "doc_id")
+    vec, _ = tr.text_vectors(base, num_features=TEXT_HASH)
+    rows = (vec.join(series_features(docs), "doc_id").join(emb, "doc_id", "left")
+            .withColumn("text_vec", ar.default_vector("embedding", VEC_DIM)).drop("embedding", "text"))
+    return materialize(rows)
+
+
+def fit_features(rows: DataFrame):
+    pipe = tr.feature_pipeline(["series", "text_vec"], ["tfidf"])
+    prepared = tr.to_vectors(rows, ["series", "text_vec"])
+    model = pipe.fit(prepared.where(F.col("split") == "train"))
+    return model, model.transform(prepared)
+
+
+def _train(spark: SparkSession, sf_dir: str, hidden=TRAIN.hidden):
+    rows = model_inputs(spark, sf_dir)
+    feat_model, feats = fit_features(rows)
+    feats = materialize(feats.select("doc_id", "split", "label", "features"))
+    train, val = feats.where(F.col("split") == "train"), feats.where(F.col("split") == "val")
+    return feat_model, feats, train, val, tr.train_early_stop(train, val, len(DOC_CLASSES), TRAIN, hidden)
+
+
+@query("train_early_stop", "OP-72 OP-74 OP-12 OP-71")
+def train_early_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, _, _, _, res = _train(spark, sf_dir)
+    tr.save_model(res.model, scratch_path(spark, "model"))
+    return spark.createDataFrame(res.history, "round int, val_log_loss double, val_accuracy double, improved boolean")
+
+
+@query("model_selection", "OP-73 OP-72")
+def model_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, feats, train, val, fusion = _train(spark, sf_dir)
+    results = [("fusion", fusion.best_loss, tr.evaluate(fusion.model, val)[1])]
+    tiny = tr.train_early_stop(train, val, len(DOC_CLASSES), TRAIN, PRESETS["tiny"])
+    results.append(("tiny", tiny.best_loss, tr.evaluate(tiny.model, val)[1]))
+    lin = tr.fit_linear(train)
+    results.append(("linear", *tr.evaluate(lin, val)))
+    best = min(results, key=lambda r: r[1])[0]
+    rows = [(n, float(loss), float(acc), n == best) for n, loss, acc in results]
+    return spark.createDataFrame(rows, "model string, val_log_loss double, val_accuracy double, selected boolean")
+
+
+@query("batch_score", "OP-76 OP-35 OP-36 OP-32 OP-33")
+def batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score every document (labelled or not) with the early-stopped model."""
+    feat_model, _, _, _, res = _train(spark, sf_dir)
+    everything = tr.to_vectors(model_inputs(spark, sf_dir, labelled=False), ["series", "text_vec"])
+    return tr.score(res.model, feat_model.transform(everything), DOC_CLASSES, ["doc_id"])
+
+
+@query("stream_score", "OP-65 OP-76 OP-05 OP-24")
+def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed feature rows arrive as files; each new micro-batch is scored and appended
+    (the stream checkpoint is the log of batches already seen)."""
+    feat_model, _, _, _, res = _train(spark, sf_dir)
+    everything = tr.to_vectors(model_inputs(spark, sf_dir, labelled=False), ["series", "text_vec"])
+    landed = feat_model.transform(everything).select(
+        "doc_id", vector_to_array("features").alias("features_arr"),
+        (F.col("doc_id") % 8).cast("int").alias("piece"))
+    src, preds, ckpt = (scratch_path(spark, n) for n in ("landed", "predictions", "ckpt"))
+    write_pieces(landed, src, "piece")
+    stream = (spark.readStream.schema("doc_id long, features_arr array<double>, piece int")
+              .option("maxFilesPerTrigger", 1).parquet(src))
+
+    def score(batch: DataFrame) -> DataFrame:
+        with_vec = batch.withColumn("features", array_to_vector("features_arr"))
+        return tr.score(res.model, with_vec, DOC_CLASSES, ["doc_id"])
+
+    jobs.score_landed(stream, preds, ckpt, score)
+    return read_store(spark, preds).select("doc_id", "batch_id", "prediction", "predicted_label", "sensitive",
+                                           "confidence")
