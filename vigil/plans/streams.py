@@ -46,15 +46,25 @@ def _doc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = hash_split(t(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id")
     items = (docs.withColumn("url", F.concat(F.lit("doc://"), F.col("doc_id").cast("string")))
              .withColumnRenamed("lang", "label").withColumnRenamed("doc_id", "id"))
-    return encode(items, "training").withColumn("piece", (F.col("key").cast("string").cast("long") % PIECES).cast("int"))
+    items = _ordered_pieces(items, "id")
+    return encode(items, "training", carry=("piece",))
 
 
 def doc_features(spark: SparkSession, sf_dir: str) -> callable:
     """Path strategy: features are looked up by the item id in the media table."""
-    docs = t(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), "text")
+    docs_raw = t(spark, sf_dir, "documents").select("doc_id", "text")
 
     def featurize(good: DataFrame) -> DataFrame:
-        joined = good.select("id", "label", "split").join(docs, "id", "inner")
+        # Look up only the batch's key range: the bounds reach the Parquet scan as pushed
+        # filters, so row groups outside the range are skipped (no full media-table scan
+        # per micro-batch).
+        lo, hi = good.select(F.col("id").cast("long").alias("k")).agg(F.min("k"), F.max("k")).first()
+        if lo is None:
+            return good.select("id", "label", "split").limit(0).withColumn("n_words", F.lit(0).cast("long")) \
+                .withColumn("n_lines", F.lit(0).cast("long"))
+        media = docs_raw.where(F.col("doc_id").between(lo, hi)).select(
+            F.col("doc_id").cast("string").alias("id"), "text")
+        joined = good.select("id", "label", "split").join(media, "id", "inner")
         return joined.select("id", "label", "split",
                              F.size(F.split("text", " ")).cast("long").alias("n_words"),
                              F.size(F.split("text", "\n")).cast("long").alias("n_lines"))

@@ -14,9 +14,10 @@ from vigil.config import StreamConfig
 from vigil.schemas import envelope_schema
 
 
-def encode(df: DataFrame, mode: str = "training", key_col: str = "id") -> DataFrame:
+def encode(df: DataFrame, mode: str = "training", key_col: str = "id", carry: tuple[str, ...] = ()) -> DataFrame:
     """``key, value`` binary columns; the envelope fields come from same-named columns
-    (``idx`` from ``key_col``); absent optional fields are written as null."""
+    (``idx`` from ``key_col``); absent optional fields are written as null. ``carry``
+    passes extra columns through (e.g. a file-piece number)."""
     schema = envelope_schema(mode)
     parts = []
     for f in schema.fields:
@@ -27,7 +28,7 @@ def encode(df: DataFrame, mode: str = "training", key_col: str = "id") -> DataFr
         else:
             parts.append(F.lit(None).cast(f.dataType).alias(f.name))
     return df.select(F.col(key_col).cast("string").cast("binary").alias("key"),
-                     F.to_json(F.struct(*parts)).cast("binary").alias("value"))
+                     F.to_json(F.struct(*parts)).cast("binary").alias("value"), *carry)
 
 
 def publish(records: DataFrame, cfg: StreamConfig, path: str | None = None) -> None:
