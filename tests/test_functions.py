@@ -158,3 +158,12 @@ def test_path_algebra(spark):
                   tx.file_ext(tx.url_path("u")).alias("e"), tx.manifest_key(F.lit("horrible"), "u").alias("k")).collect()
     assert (r[0].h, r[0].l, r[0].s, r[0].e) == ("m.x.example.net", "es", "8924", ".mp4")
     assert (r[1].h, r[1].l, r[1].s, r[1].e, r[1].k) == ("", "data", "0003", ".mp4", "horrible_0003")
+
+
+def test_uniform_sampling_array_form(spark):
+    rows = [(i, list(range(n))) for i, (n, *_rest) in enumerate(SAMPLING)]
+    df = spark.createDataFrame(rows, "i int, seq array<int>")
+    for i, (n, k, bad, kept, pad) in enumerate(SAMPLING):
+        ok = (lambda item, pos: F.lit(True)) if bad is None else (lambda item, pos, b=bad: pos != b)
+        got = df.where(F.col("i") == i).select(ar.uniform_sample_array("seq", k, ok).alias("s")).first().s
+        assert got == kept and k - len(got) == pad

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from vigil.operators import report
 from vigil.operators.split import hash_split
-from vigil.operators.upsert import current_view, dedupe_in_batch
+from vigil.operators.upsert import current_view
 from vigil.plans.catalog import query, sql_hash_split, t
 from vigil.session import scratch_path
 from vigil.sinks.store import read_current, read_store, upsert_batch, write_batch
@@ -33,9 +33,10 @@ FROM events GROUP BY user_id
 """)
 def keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = event_batches(spark, sf_dir).withColumn("run_id", F.lit(0).cast("long"))
-    # resolve duplicates of a key inside each batch, then last (run, batch) wins
-    per_batch = dedupe_in_batch(ev, "user_id", "event_id", batch_cols=("run_id", "batch_id"))
-    view = current_view(per_batch, "user_id")
+    # last (run, batch) wins, in-batch duplicates resolved by event order: one
+    # aggregation over the lexicographic version (run_id, batch_id, event_id), i.e. one
+    # shuffle with partial aggregation (a hot key costs one row per task)
+    view = current_view(ev, "user_id", version_cols=("run_id", "batch_id", "event_id"))
     return view.select("user_id", "event_id", "event_type", "value", "batch_id")
 
 

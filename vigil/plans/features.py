@@ -134,13 +134,12 @@ def mean_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- modality features on documents ---------------------------------------------------
 
-def frame_features(docs: DataFrame, k: int = FRAMES) -> DataFrame:
-    """Lines are frames: sample k lines uniformly, feature = line length, mean over the
-    k slots (zero-padded slots count, as with padded frames)."""
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    sampled = uniform_sample(lines, "doc_id", "line_no", k)
-    return sampled.groupBy("doc_id").agg(
-        (F.sum(F.coalesce(F.length("line"), F.lit(0))) / F.lit(float(k))).alias("frame_mean"))
+def frame_mean(text: str = "text", k: int = FRAMES) -> F.Column:
+    """Lines are frames: k lines sampled uniformly, feature = line length, mean over the
+    k slots (zero-padded slots count, as padded frames do). One in-row expression."""
+    lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
+    lengths = F.transform(ar.uniform_sample_array(lines, k), lambda s: F.length(s).cast("long"))
+    return F.aggregate(lengths, F.lit(0).cast("long"), lambda a, x: a + x) / F.lit(float(k))
 
 
 def series_features(docs: DataFrame) -> DataFrame:
@@ -175,14 +174,17 @@ SELECT l.doc_id, round(fr.frame_mean, 6) AS frame_mean,
 FROM labels l JOIN fr ON l.doc_id = fr.doc_id JOIN se ON l.doc_id = se.doc_id JOIN tw ON l.doc_id = tw.doc_id
 """)
 def modality_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All three modality blocks come from one scan of the media table (row-wise
+    expressions), then one join with the labels on the item key."""
     docs = t(spark, sf_dir, "documents").select("doc_id", "text")
     lab = t(spark, sf_dir, "labels").select("doc_id", F.col("toxic").cast("int").alias("label_idx"))
-    fr = frame_features(docs)
-    se = series_features(docs).select("doc_id", F.aggregate("series", F.lit(0).cast("long"),
-                                                            lambda a, x: a + x).alias("series_sum"))
-    tw = window_features(docs).select("doc_id", "n_tokens")
-    fused = lab.join(fr, "doc_id").join(se, "doc_id").join(tw, "doc_id")
-    return fused.select("doc_id", F.round("frame_mean", 6).alias("frame_mean"), "series_sum", "n_tokens", "label_idx")
+    series = ar.pad_truncate(tx.word_lengths("text"), SERIES, "int")
+    feats = docs.select(
+        "doc_id",
+        F.round(frame_mean("text"), 6).alias("frame_mean"),
+        F.aggregate(series, F.lit(0).cast("long"), lambda a, x: a + x).alias("series_sum"),
+        F.size(tx.tokens("text")).cast("long").alias("n_tokens"))
+    return lab.join(feats, "doc_id").select("doc_id", "frame_mean", "series_sum", "n_tokens", "label_idx")
 
 
 @query("token_window", "OP-47", f"""

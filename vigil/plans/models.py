@@ -27,7 +27,7 @@ from vigil.streaming.replay import write_pieces
 # --- fixed values --------------------------------------------------------------------
 DOC_CLASSES = ["normal", "offensive"]  # index = labels.toxic
 # --------------------------------------------------------------------------------------
-TEXT_HASH = 1 << 10
+TEXT_HASH = 1 << 8
 TRAIN = TrainConfig(max_rounds=6, iters_per_round=5, patience=4, hidden=(256, 256))
 PRESETS = {"fusion": (256, 256), "tiny": (128,)}
 
@@ -67,7 +67,7 @@ def model_inputs(spark: SparkSession, sf_dir: str, labelled: bool = True) -> Dat
     vec, _ = tr.text_vectors(base, num_features=TEXT_HASH)
     rows = (vec.join(series_features(docs), "doc_id").join(emb, "doc_id", "left")
             .withColumn("text_vec", ar.default_vector("embedding", VEC_DIM)).drop("embedding", "text"))
-    return materialize(rows)
+    return materialize(rows, "model_inputs")
 
 
 def fit_features(rows: DataFrame):
@@ -88,8 +88,10 @@ def _train(spark: SparkSession, sf_dir: str, hidden=TRAIN.hidden):
         return _REGISTRY[key]
     rows = model_inputs(spark, sf_dir)
     feat_model, feats = fit_features(rows)
-    feats = materialize(feats.select("doc_id", "split", "label", "features"))
-    train, val = feats.where(F.col("split") == "train"), feats.where(F.col("split") == "val")
+    feats = materialize(feats.select("doc_id", "split", "label", "features"), "model_features")
+    parallelism = spark.sparkContext.defaultParallelism
+    train = feats.where(F.col("split") == "train").repartition(parallelism)
+    val = feats.where(F.col("split") == "val")
     res = tr.train_early_stop(train, val, len(DOC_CLASSES), TRAIN, hidden)
     tr.save_model(res.model, scratch_path(spark, "model"))
     out = (feat_model, feats, train, val, res)

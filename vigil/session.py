@@ -59,11 +59,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/vigil/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared folder.
+def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
+    """Cut lineage by writing a table in the shared checkpoint folder and reading it back.
 
-    Used where two passes must see identical partitioning (range-partitioned
-    numbering) and where a recomputation after executor loss must not re-sample.
+    Used where two passes must see identical data (range-partitioned numbering: the
+    partition id and position are stored as columns) and where a recomputation after
+    executor loss must not re-sample. Unlike an unpersisted ``checkpoint()``, the plan
+    is computed once; the files live on shared storage, so losing an executor loses
+    nothing.
     """
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
