@@ -13,11 +13,11 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import HashingTF, IDF, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark import StorageLevel
 
 from vigil.config import TrainConfig
 from vigil.functions.labels import decode_label, sensitive_flag
@@ -25,11 +25,13 @@ from vigil.functions.text import tokens
 
 
 def text_vectors(docs: DataFrame, text: str = "text", num_features: int = 1 << 12,
-                 out: str = "tfidf") -> tuple[DataFrame, PipelineModel]:
-    """Hashed TF-IDF over the whole text (OP-47 re-aim); IDF fit is one distributed pass."""
+                 out: str = "tfidf", model: PipelineModel | None = None) -> tuple[DataFrame, PipelineModel]:
+    """Hashed TF-IDF over the whole text (OP-47 re-aim). The IDF fit is one distributed
+    pass; pass the fitted ``model`` to vectorise new rows with the training statistics."""
     with_tokens = docs.withColumn("__tokens", tokens(text))
-    model = Pipeline(stages=[HashingTF(inputCol="__tokens", outputCol="__tf", numFeatures=num_features),
-                             IDF(inputCol="__tf", outputCol=out)]).fit(with_tokens)
+    if model is None:
+        model = Pipeline(stages=[HashingTF(inputCol="__tokens", outputCol="__tf", numFeatures=num_features),
+                                 IDF(inputCol="__tf", outputCol=out)]).fit(with_tokens)
     return model.transform(with_tokens).drop("__tokens", "__tf"), model
 
 
@@ -56,13 +58,13 @@ class TrainResult:
     best_loss: float
 
 
-def _log_loss(pred: DataFrame) -> float:
-    ev = MulticlassClassificationEvaluator(metricName="logLoss", labelCol="label", probabilityCol="probability")
-    return float(ev.evaluate(pred))
-
-
-def _accuracy(pred: DataFrame) -> float:
-    return float(MulticlassClassificationEvaluator(metricName="accuracy", labelCol="label").evaluate(pred))
+def _loss_and_accuracy(pred: DataFrame) -> tuple[float, float]:
+    """Mean log loss (probabilities clipped at 1e-15, as MLlib's evaluator does) and
+    accuracy, in one aggregate over the scored rows."""
+    p = F.get(vector_to_array("probability"), F.col("label").cast("int"))
+    row = pred.agg(F.avg(-F.log(F.greatest(p, F.lit(1e-15)))).alias("loss"),
+                   F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("acc")).first()
+    return float(row.loss), float(row.acc)
 
 
 def train_early_stop(train: DataFrame, val: DataFrame, n_classes: int, cfg: TrainConfig = TrainConfig(),
@@ -70,17 +72,28 @@ def train_early_stop(train: DataFrame, val: DataFrame, n_classes: int, cfg: Trai
     """``train``/``val`` carry ``features`` (vector) and ``label`` (double)."""
     n_in = len(train.select("features").first()[0])
     layers = [n_in, *(cfg.hidden if hidden is None else hidden), n_classes]
+    history: list[tuple] = []
+    # every round re-reads both splits: keep them cached (spilling to disk if large)
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    val = val.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _rounds(train, val, layers, cfg, history)
+    finally:
+        train.unpersist()
+        val.unpersist()
+
+
+def _rounds(train: DataFrame, val: DataFrame, layers: list[int], cfg: TrainConfig, history: list) -> TrainResult:
     best, best_loss, best_round, weights, waited = None, float("inf"), -1, None, 0
-    history = []
     for r in range(cfg.max_rounds):
         mlp = MultilayerPerceptronClassifier(layers=layers, maxIter=cfg.iters_per_round, seed=cfg.seed,
-                                             blockSize=128, solver="l-bfgs")
+                                             blockSize=1024, solver="l-bfgs")
         if weights is not None:
             mlp = mlp.setInitialWeights(weights)
         model = mlp.fit(train)
         weights = model.weights
         pred = model.transform(val)
-        loss, acc = _log_loss(pred), _accuracy(pred)
+        loss, acc = _loss_and_accuracy(pred)
         improved = loss < best_loss
         history.append((r, float(loss), float(acc), improved))
         if improved:
@@ -98,7 +111,7 @@ def fit_linear(train: DataFrame, seed: int = 42, max_iter: int = 50):
 
 def evaluate(model, df: DataFrame) -> tuple[float, float]:
     pred = model.transform(df)
-    return _log_loss(pred), _accuracy(pred)
+    return _loss_and_accuracy(pred)
 
 
 def save_model(model, path: str) -> None:

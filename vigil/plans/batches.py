@@ -13,6 +13,7 @@ from vigil.operators import report
 from vigil.operators.split import hash_split
 from vigil.operators.upsert import current_view
 from vigil.plans.catalog import query, sql_hash_split, t
+from vigil.sources.tables import heavy_table
 from vigil.session import scratch_path
 from vigil.sinks.store import read_current, read_store, upsert_batch, write_batch
 
@@ -113,7 +114,7 @@ WHERE split = 'val'
 def feature_store_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write features in four micro-batches (the last replays the first), then scan the
     current view of the val split."""
-    docs = hash_split(t(spark, sf_dir, "documents").select("doc_id", "lang", "text"), "doc_id")
+    docs = hash_split(heavy_table(spark, sf_dir, "documents", "doc_id", "lang", "text"), "doc_id")
     feats = docs.select("doc_id", "lang", "split", F.size(F.split("text", " ")).cast("long").alias("n_words"))
     path = scratch_path(spark, "store")
     part = F.col("doc_id") % 3

@@ -13,12 +13,14 @@ from vigil.operators.split import hash_split
 from vigil.plans.catalog import SQL_CLASS_LIST, SQL_URL_LABEL, SQL_URL_PATH, SQL_URL_SEGS, query, sql_hash_split, t
 from vigil.sinks.envelope import encode
 from vigil.sources.envelope import decode
+from vigil.sources.tables import heavy_table
 from vigil.sources.manifest import explode_documents, manifest_documents
 
 
 def page_items(spark: SparkSession, sf_dir: str, cols: tuple[str, ...] = ()) -> DataFrame:
     """Pages as moderation items: id, url, label (language path segment), split."""
-    pages = t(spark, sf_dir, "pages").select("page_id", "url", *cols)
+    pages = (heavy_table(spark, sf_dir, "pages", "page_id", "url", *cols) if cols
+             else t(spark, sf_dir, "pages").select("page_id", "url"))
     path = tx.url_path("url")
     items = pages.withColumn("label", tx.path_segment(path, 1))
     return hash_split(items, "page_id")
@@ -148,7 +150,7 @@ SELECT page_id, CASE WHEN strlen(html) = 0 THEN 'empty' ELSE 'ok' END AS payload
 FROM pages
 """)
 def payload_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = t(spark, sf_dir, "pages").select("page_id", "html")
+    pages = heavy_table(spark, sf_dir, "pages", "page_id", "html")
     b64 = tx.b64encode(F.encode("html", "UTF-8"))
     return pages.select("page_id",
                         F.when(F.length("html") == 0, "empty").otherwise("ok").alias("payload_status"),
@@ -158,7 +160,7 @@ def payload_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 def damaged_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base64 payloads of pages, with deterministic damage injected for the guard
     checks (every 11th empty, the next one prefixed with an invalid character)."""
-    pages = t(spark, sf_dir, "pages").select("page_id", "html")
+    pages = heavy_table(spark, sf_dir, "pages", "page_id", "html")
     b64 = tx.b64encode(F.encode("html", "UTF-8"))
     r = F.col("page_id") % 11
     payload = F.when(r == 0, F.lit("")).when(r == 1, F.concat(F.lit("!"), b64)).otherwise(b64)

@@ -19,6 +19,7 @@ from vigil.operators.pooling import mean_pool_long
 from vigil.operators.sampling import uniform_sample
 from vigil.operators.split import hash_split
 from vigil.plans.catalog import query, sql_hash_split, t
+from vigil.sources.tables import heavy_table
 
 K_TURNS = 4  # sampled turns per conversation in the sampling check
 FRAMES = DEFAULT.features.num_frames
@@ -56,7 +57,7 @@ SELECT doc_id, CAST(unnest(range({SERIES})) AS INTEGER) AS pos,
 FROM documents
 """)
 def pad_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = t(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = heavy_table(spark, sf_dir, "documents", "doc_id", "text")
     series = ar.pad_truncate(tx.word_lengths("text"), SERIES, "int")
     return docs.select("doc_id", F.posexplode(series).alias("pos", "value")) \
         .withColumn("value", F.col("value").cast("long"))
@@ -176,7 +177,7 @@ FROM labels l JOIN fr ON l.doc_id = fr.doc_id JOIN se ON l.doc_id = se.doc_id JO
 def modality_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All three modality blocks come from one scan of the media table (row-wise
     expressions), then one join with the labels on the item key."""
-    docs = t(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = heavy_table(spark, sf_dir, "documents", "doc_id", "text")
     lab = t(spark, sf_dir, "labels").select("doc_id", F.col("toxic").cast("int").alias("label_idx"))
     series = ar.pad_truncate(tx.word_lengths("text"), SERIES, "int")
     feats = docs.select(
@@ -195,13 +196,13 @@ SELECT doc_id, CAST(len(string_split(lower(text), ' ')) AS BIGINT) AS n_tokens,
 FROM documents
 """)
 def token_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return window_features(t(spark, sf_dir, "documents").select("doc_id", "text"))
+    return window_features(heavy_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with labels, split, series features and a text vector (the given
     embedding of the same id, zeros when missing or too short)."""
-    docs = t(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = heavy_table(spark, sf_dir, "documents", "doc_id", "text")
     lab = t(spark, sf_dir, "labels").select("doc_id", F.col("toxic").cast("int").alias("label_idx"))
     emb = t(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
     rows = hash_split(lab, "doc_id").join(series_features(docs), "doc_id").join(emb, "doc_id", "left")

@@ -18,7 +18,9 @@ from vigil.operators import training as tr
 from vigil.operators.featurize import featurize as run_extractors, line_frames, word_series
 from vigil.operators.split import hash_split
 from vigil.plans.catalog import query, t
-from vigil.plans.features import SERIES, VEC_DIM, _SQL_FRAMES, series_features
+from vigil.sources.tables import heavy_table
+from vigil.functions.text import word_lengths
+from vigil.plans.features import SERIES, VEC_DIM, _SQL_FRAMES
 from vigil.session import materialize, scratch_path
 from vigil.sinks.store import read_store
 from vigil.streaming import jobs
@@ -40,7 +42,7 @@ SELECT d.doc_id, 'ok' AS status, round(CAST(CAST(fr.frame_mean AS FLOAT) AS DOUB
 FROM documents d JOIN fr ON d.doc_id = fr.doc_id
 """)
 def featurize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = t(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = heavy_table(spark, sf_dir, "documents", "doc_id", "text")
     feats = run_extractors(docs, "doc_id", "text", [line_frames(30), word_series(SERIES)])
     return feats.select("doc_id", "status", F.round(F.get("frames", 0).cast("double"), 6).alias("frame_mean"),
                         F.aggregate("series", F.lit(0).cast("long"), lambda a, x: a + x.cast("long")).alias("series_sum"))
@@ -48,26 +50,29 @@ def featurize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("text_features", "OP-47")
 def text_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = t(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = heavy_table(spark, sf_dir, "documents", "doc_id", "text")
     vec, _ = tr.text_vectors(docs, num_features=TEXT_HASH)
     arr = vector_to_array("tfidf")
     return vec.select("doc_id", F.size(F.filter(arr, lambda x: x != 0)).cast("long").alias("n_terms"),
                       F.round(F.aggregate(arr, F.lit(0.0), lambda a, x: a + x), 6).alias("weight_sum"))
 
 
-def model_inputs(spark: SparkSession, sf_dir: str, labelled: bool = True) -> DataFrame:
-    """``doc_id, split, label, series, text_vec, tfidf`` (checkpointed: several fits read it)."""
-    docs = t(spark, sf_dir, "documents").select("doc_id", "text")
+def model_inputs(spark: SparkSession, sf_dir: str, labelled: bool = True, text_model=None):
+    """``doc_id, split, label, series, text_vec, tfidf`` from one scan of the documents
+    (written to the shared folder: several fits read it). Returns (rows, text model);
+    pass the training ``text_model`` when vectorising rows to score."""
+    docs = heavy_table(spark, sf_dir, "documents", "doc_id", "text")
     emb = t(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
     base = docs
     if labelled:
         lab = t(spark, sf_dir, "labels").select("doc_id", F.col("toxic").cast("double").alias("label"))
         base = docs.join(lab, "doc_id", "inner")
-    base = hash_split(base, "doc_id")
-    vec, _ = tr.text_vectors(base, num_features=TEXT_HASH)
-    rows = (vec.join(series_features(docs), "doc_id").join(emb, "doc_id", "left")
+    base = hash_split(base, "doc_id").withColumn(
+        "series", ar.pad_truncate(word_lengths("text"), SERIES, "int"))
+    vec, text_model = tr.text_vectors(base, num_features=TEXT_HASH, model=text_model)
+    rows = (vec.join(emb, "doc_id", "left")
             .withColumn("text_vec", ar.default_vector("embedding", VEC_DIM)).drop("embedding", "text"))
-    return materialize(rows, "model_inputs")
+    return materialize(rows, "model_inputs"), text_model
 
 
 def fit_features(rows: DataFrame):
@@ -86,7 +91,7 @@ def _train(spark: SparkSession, sf_dir: str, hidden=TRAIN.hidden):
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if hidden == TRAIN.hidden and key in _REGISTRY:
         return _REGISTRY[key]
-    rows = model_inputs(spark, sf_dir)
+    rows, text_model = model_inputs(spark, sf_dir)
     feat_model, feats = fit_features(rows)
     feats = materialize(feats.select("doc_id", "split", "label", "features"), "model_features")
     parallelism = spark.sparkContext.defaultParallelism
@@ -94,21 +99,27 @@ def _train(spark: SparkSession, sf_dir: str, hidden=TRAIN.hidden):
     val = feats.where(F.col("split") == "val")
     res = tr.train_early_stop(train, val, len(DOC_CLASSES), TRAIN, hidden)
     tr.save_model(res.model, scratch_path(spark, "model"))
-    out = (feat_model, feats, train, val, res)
+    out = (text_model, feat_model, feats, train, val, res)
     if hidden == TRAIN.hidden:
         _REGISTRY[key] = out
     return out
 
 
+def scoring_features(spark: SparkSession, sf_dir: str, text_model, feat_model) -> DataFrame:
+    """Every document vectorised with the statistics fitted on the training split."""
+    rows, _ = model_inputs(spark, sf_dir, labelled=False, text_model=text_model)
+    return feat_model.transform(tr.to_vectors(rows, ["series", "text_vec"]))
+
+
 @query("train_early_stop", "OP-72 OP-74 OP-12 OP-71")
 def train_early_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, _, _, _, res = _train(spark, sf_dir)
+    *_, res = _train(spark, sf_dir)
     return spark.createDataFrame(res.history, "round int, val_log_loss double, val_accuracy double, improved boolean")
 
 
 @query("model_selection", "OP-73 OP-72")
 def model_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, feats, train, val, fusion = _train(spark, sf_dir)
+    _, _, feats, train, val, fusion = _train(spark, sf_dir)
     results = [("fusion", fusion.best_loss, tr.evaluate(fusion.model, val)[1])]
     tiny = tr.train_early_stop(train, val, len(DOC_CLASSES), TRAIN, PRESETS["tiny"])
     results.append(("tiny", tiny.best_loss, tr.evaluate(tiny.model, val)[1]))
@@ -122,18 +133,16 @@ def model_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("batch_score", "OP-76 OP-35 OP-36 OP-32 OP-33")
 def batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score every document (labelled or not) with the early-stopped model."""
-    feat_model, _, _, _, res = _train(spark, sf_dir)
-    everything = tr.to_vectors(model_inputs(spark, sf_dir, labelled=False), ["series", "text_vec"])
-    return tr.score(res.model, feat_model.transform(everything), DOC_CLASSES, ["doc_id"])
+    text_model, feat_model, *_, res = _train(spark, sf_dir)
+    return tr.score(res.model, scoring_features(spark, sf_dir, text_model, feat_model), DOC_CLASSES, ["doc_id"])
 
 
 @query("stream_score", "OP-65 OP-76 OP-05 OP-24")
 def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed feature rows arrive as files; each new micro-batch is scored and appended
     (the stream checkpoint is the log of batches already seen)."""
-    feat_model, _, _, _, res = _train(spark, sf_dir)
-    everything = tr.to_vectors(model_inputs(spark, sf_dir, labelled=False), ["series", "text_vec"])
-    landed = feat_model.transform(everything).select(
+    text_model, feat_model, *_, res = _train(spark, sf_dir)
+    landed = scoring_features(spark, sf_dir, text_model, feat_model).select(
         "doc_id", vector_to_array("features").alias("features_arr"),
         (F.col("doc_id") % 8).cast("int").alias("piece"))
     src, preds, ckpt = (scratch_path(spark, n) for n in ("landed", "predictions", "ckpt"))

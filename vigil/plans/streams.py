@@ -19,6 +19,7 @@ from vigil.sinks.envelope import encode
 from vigil.sinks.store import read_current, read_store
 from vigil.sources.envelope import decode
 from vigil.sources.stream import RECORD_SCHEMA, read_stream
+from vigil.sources.tables import heavy_table
 from vigil.streaming import jobs
 from vigil.streaming.replay import write_ordered, write_pieces
 
@@ -108,7 +109,7 @@ FROM pages
 """)
 def stream_land(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic, landing, ckpt = (scratch_path(spark, n) for n in ("topic", "landing", "ckpt"))
-    pages = t(spark, sf_dir, "pages").select("page_id", "url", "html")
+    pages = heavy_table(spark, sf_dir, "pages", "page_id", "url", "html")
     items = pages.withColumn("video_encoded", tx.b64encode(F.encode("html", "UTF-8"))).withColumnRenamed("page_id", "id")
     records = encode(items, "inference").withColumn("piece", (F.col("key").cast("string").cast("long") % PIECES).cast("int"))
     _publish_records(records, topic)

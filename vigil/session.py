@@ -27,6 +27,9 @@ def build_session(app: str = "vigil", master: str | None = None, shuffle_partiti
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # streaming state (dedupe keys) can grow large: keep it in RocksDB, off-heap
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }
     if master and master.startswith("local"):
         conf["spark.driver.bindAddress"] = "127.0.0.1"

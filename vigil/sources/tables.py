@@ -16,3 +16,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give CPU-heavy row-wise stages (tokenising whole texts, payload codecs, Python
+    extractors) at least one partition per core.
+
+    A large input already has one partition per file split, so this is a no-op there
+    (no shuffle is added at scale). A small input stored in few row groups would run on
+    a single task; it is spread round-robin instead. Column pruning and filters still
+    reach the scan (Catalyst pushes them below the repartition).
+    """
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
+def heavy_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
+    """Pruned scan of ``cols``, spread for CPU-heavy row-wise work."""
+    return spread(table(spark, sf_dir, name).select(*cols))
