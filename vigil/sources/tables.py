@@ -18,6 +18,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+SPREAD_MIN_BYTES = 2 << 20  # below this estimated size one task is fast enough
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Give CPU-heavy row-wise stages (tokenising whole texts, payload codecs, Python
     extractors) at least one partition per core.
@@ -29,7 +32,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))  # metadata only
+    if size < SPREAD_MIN_BYTES or df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target)
 
