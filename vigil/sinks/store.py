@@ -29,7 +29,13 @@ def upsert_batch(df: DataFrame, path: str, key: str, order: str, run_id: int, ba
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """Scan of a (run_id, batch_id)-partitioned table; partition discovery infers small
+    ints, so the version columns are cast back to bigint."""
+    df = spark.read.parquet(path)
+    for c in ("run_id", "batch_id"):
+        if c in df.columns:
+            df = df.withColumn(c, F.col(c).cast("long"))
+    return df
 
 
 def read_current(spark: SparkSession, path: str, key: str) -> DataFrame:
