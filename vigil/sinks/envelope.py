@@ -34,6 +34,9 @@ def encode(df: DataFrame, mode: str = "training", key_col: str = "id", carry: tu
 def publish(records: DataFrame, cfg: StreamConfig, path: str | None = None) -> None:
     """Write ``key, value`` records to the topic (or to ``path`` for file streams)."""
     if cfg.format == "kafka":
+        from vigil.sources.stream import require_kafka
+
+        require_kafka(records.sparkSession)
         (records.write.format("kafka")
          .option("kafka.bootstrap.servers", cfg.bootstrap_servers)
          .option("topic", cfg.topic)

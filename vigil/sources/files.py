@@ -34,8 +34,10 @@ def load_payloads(spark: SparkSession, wanted: DataFrame, url_col: str = "url",
                   root: str | None = None) -> DataFrame:
     """Attach ``payload`` (base64 text) and ``payload_status`` to each wanted row.
 
-    A left join keeps rows whose file is missing (status ``missing``); empty files get
-    ``empty``. Only files named in ``wanted`` are decoded into the result.
+    A left join keeps rows whose file is missing (status ``missing``). Spark's file
+    sources skip zero-length files, so an empty file is reported as ``missing`` too
+    (both give a null payload, as in the original). Only files named in ``wanted``
+    end up in the result.
     """
     src = root or wanted
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(src)

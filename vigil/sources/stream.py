@@ -18,9 +18,27 @@ RECORD_SCHEMA = T.StructType([
 ])
 
 
+KAFKA_PROVIDER = "org.apache.spark.sql.kafka010.KafkaSourceProvider"
+
+
+def kafka_available(spark: SparkSession) -> bool:
+    try:
+        spark.sparkContext._jvm.java.lang.Class.forName(KAFKA_PROVIDER)
+        return True
+    except Exception:
+        return False
+
+
+def require_kafka(spark: SparkSession) -> None:
+    if not kafka_available(spark):
+        raise RuntimeError("the Kafka source/sink needs the spark-sql-kafka connector on the classpath "
+                           "(spark.jars.packages); use a file stream (StreamConfig(format='parquet')) otherwise")
+
+
 def read_stream(spark: SparkSession, cfg: StreamConfig, path: str | None = None,
                 schema: T.StructType = RECORD_SCHEMA) -> DataFrame:
     if cfg.format == "kafka":
+        require_kafka(spark)
         return (spark.readStream.format("kafka")
                 .option("kafka.bootstrap.servers", cfg.bootstrap_servers)
                 .option("subscribe", cfg.topic)
