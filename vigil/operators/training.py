@@ -105,8 +105,22 @@ def _rounds(train: DataFrame, val: DataFrame, layers: list[int], cfg: TrainConfi
     return TrainResult(None, best, history, best_round, best_loss)
 
 
-def fit_linear(train: DataFrame, seed: int = 42, max_iter: int = 50):
-    return LogisticRegression(maxIter=max_iter, regParam=1e-3, family="multinomial").fit(train)
+def balanced_weights(train: DataFrame, label: str = "label", out: str = "weight") -> DataFrame:
+    """Per-row weight n / (k * n_class): rare classes count as much as common ones.
+    The class histogram is one small aggregate (one row per class)."""
+    counts = {r[0]: r[1] for r in train.groupBy(label).count().collect()}
+    n, k = sum(counts.values()), len(counts)
+    expr = F.lit(1.0)
+    for cls, c in counts.items():
+        expr = F.when(F.col(label) == F.lit(cls), F.lit(n / (k * c))).otherwise(expr)
+    return train.withColumn(out, expr)
+
+
+def fit_linear(train: DataFrame, seed: int = 42, max_iter: int = 50, balanced: bool = True):
+    lr = LogisticRegression(maxIter=max_iter, regParam=1e-3, family="multinomial")
+    if balanced:
+        return lr.setWeightCol("weight").fit(balanced_weights(train))
+    return lr.fit(train)
 
 
 def evaluate(model, df: DataFrame) -> tuple[float, float]:
@@ -114,6 +128,16 @@ def evaluate(model, df: DataFrame) -> tuple[float, float]:
     return _loss_and_accuracy(pred)
 
 
+def macro_f1(model, df: DataFrame) -> float:
+    """Mean per-class F1 on ``df`` (a class never predicted counts as F1 = 0)."""
+    from vigil.operators.evaluate import confusion, per_class
+
+    pred = model.transform(df).withColumn("label", F.col("label").cast("int")) \
+        .withColumn("prediction", F.col("prediction").cast("int"))
+    row = per_class(confusion(pred)).agg(F.avg(F.coalesce("f1", F.lit(0.0)))).first()
+    return float(row[0])
+
+
 def save_model(model, path: str) -> None:
     """Persist the best model (OP-12) to shared storage."""
     model.write().overwrite().save(path)

@@ -43,3 +43,28 @@ FROM {_SQL_Z} GROUP BY 1, 2
 """)
 def confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.confusion(scored(spark, sf_dir))
+
+
+@query("eval_per_class", "OP-45 OP-77", f"""
+WITH c AS (SELECT label, list_position(z, m) - 1 AS prediction FROM {_SQL_Z}),
+cls AS (SELECT label AS cls FROM c UNION SELECT prediction FROM c),
+k AS (SELECT cls.cls,
+             CAST(count(*) FILTER (WHERE c.label = cls.cls AND c.prediction = cls.cls) AS BIGINT) AS tp,
+             CAST(count(*) FILTER (WHERE c.label = cls.cls) AS BIGINT) AS n_actual,
+             CAST(count(*) FILTER (WHERE c.prediction = cls.cls) AS BIGINT) AS n_pred
+      FROM cls, c GROUP BY cls.cls)
+SELECT CAST(cls AS INTEGER) AS cls, tp, n_actual, n_pred,
+       round(CASE WHEN n_pred > 0 THEN tp / CAST(n_pred AS DOUBLE) END, 6) AS precision,
+       round(CASE WHEN n_actual > 0 THEN tp / CAST(n_actual AS DOUBLE) END, 6) AS recall,
+       round(CASE WHEN tp > 0 THEN 2.0 * tp / CAST(n_pred + n_actual AS DOUBLE) END, 6) AS f1
+FROM k
+""")
+def eval_per_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Precision, recall and F1 per class from the confusion counts (one aggregate over
+    the scored rows, then arithmetic on at most classes^2 rows)."""
+    counts = ev.confusion(scored(spark, sf_dir))
+    out = ev.per_class(counts)
+    return out.select(F.col("cls").cast("int").alias("cls"), F.col("tp").cast("long").alias("tp"),
+                      F.col("n_actual").cast("long").alias("n_actual"), F.col("n_pred").cast("long").alias("n_pred"),
+                      F.round("precision", 6).alias("precision"), F.round("recall", 6).alias("recall"),
+                      F.round("f1", 6).alias("f1"))

@@ -120,14 +120,16 @@ def train_early_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("model_selection", "OP-73 OP-72")
 def model_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, _, feats, train, val, fusion = _train(spark, sf_dir)
-    results = [("fusion", fusion.best_loss, tr.evaluate(fusion.model, val)[1])]
     tiny = tr.train_early_stop(train, val, len(DOC_CLASSES), TRAIN, PRESETS["tiny"])
-    results.append(("tiny", tiny.best_loss, tr.evaluate(tiny.model, val)[1]))
-    lin = tr.fit_linear(train)
-    results.append(("linear", *tr.evaluate(lin, val)))
+    candidates = {"fusion": fusion.model, "tiny": tiny.model, "linear": tr.fit_linear(train)}
+    results = []
+    for name, model in candidates.items():
+        loss, acc = tr.evaluate(model, val)
+        results.append((name, loss, acc, tr.macro_f1(model, val)))
     best = min(results, key=lambda r: r[1])[0]
-    rows = [(n, float(loss), float(acc), n == best) for n, loss, acc in results]
-    return spark.createDataFrame(rows, "model string, val_log_loss double, val_accuracy double, selected boolean")
+    rows = [(n, float(loss), float(acc), float(f1), n == best) for n, loss, acc, f1 in results]
+    return spark.createDataFrame(
+        rows, "model string, val_log_loss double, val_accuracy double, val_macro_f1 double, selected boolean")
 
 
 @query("batch_score", "OP-76 OP-35 OP-36 OP-32 OP-33")

@@ -54,3 +54,25 @@ def flagged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     flagged = predictions(spark, sf_dir).where(F.col("toxic") == 1)
     return docs.join(flagged, "doc_id", "inner").select(
         "doc_id", "lang", "source", "n_chars", "quality", "predicted_label")
+
+
+LANDING_BATCH = 1000  # documents land in micro-batches of this many ids
+
+
+@query("batch_report", "OP-75 OP-40 OP-33", f"""
+SELECT CAST(d.doc_id // {LANDING_BATCH} AS BIGINT) AS batch_id,
+       CASE WHEN l.toxic = 1 THEN 'offensive' ELSE 'normal' END AS predicted_label,
+       CAST(count(*) AS BIGINT) AS n_items,
+       CAST(sum(CASE WHEN l.toxic = 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_sensitive,
+       round(sum(CASE WHEN l.toxic = 1 THEN 1 ELSE 0 END) / CAST(count(*) AS DOUBLE), 6) AS sensitive_share
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+GROUP BY 1, 2
+""")
+def batch_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per landed batch and predicted class: items, sensitive items and their share."""
+    from vigil.operators.report import sensitive_report
+
+    docs = t(spark, sf_dir, "documents").select(
+        "doc_id", F.floor(F.col("doc_id") / LANDING_BATCH).cast("long").alias("batch_id"))
+    pred = docs.join(predictions(spark, sf_dir), "doc_id", "inner")
+    return sensitive_report(pred, ["batch_id", "predicted_label"])

@@ -27,6 +27,8 @@ def build_session(app: str = "vigil", master: str | None = None, shuffle_partiti
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # whole texts / media payloads per row: keep Arrow batches to Python small
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "1024",
         # streaming state (dedupe keys) can grow large: keep it in RocksDB, off-heap
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
