@@ -30,8 +30,7 @@ def class_index(files: DataFrame, path_col: str = "path", max_classes: int = 100
     return labelled.join(index, "label", "left")
 
 
-def load_payloads(spark: SparkSession, wanted: DataFrame, url_col: str = "url",
-                  root: str | None = None) -> DataFrame:
+def load_payloads(spark: SparkSession, wanted: DataFrame, root: str, url_col: str = "url") -> DataFrame:
     """Attach ``payload`` (base64 text) and ``payload_status`` to each wanted row.
 
     A left join keeps rows whose file is missing (status ``missing``). Spark's file
@@ -39,12 +38,8 @@ def load_payloads(spark: SparkSession, wanted: DataFrame, url_col: str = "url",
     (both give a null payload, as in the original). Only files named in ``wanted``
     end up in the result.
     """
-    src = root or wanted
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(src)
-             if isinstance(src, str) else None)
-    if files is None:
-        raise ValueError("load_payloads needs a root directory")
-    files = files.select(F.col("path").alias("__pl_path"), "content", "length")
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+             .select(F.col("path").alias("__pl_path"), "content", "length"))
     norm = F.regexp_replace(F.col(url_col), "^file:", "")
     joined = wanted.join(files, norm == F.regexp_replace("__pl_path", "^file:", ""), "left")
     status = (F.when(F.col("__pl_path").isNull(), "missing")

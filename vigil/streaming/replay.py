@@ -11,9 +11,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_pieces(df: DataFrame, path: str, bucket: str, fmt: str = "parquet") -> None:
-    """One file per bucket value under ``path/<bucket>=<v>/`` in a single job."""
-    (df.repartition(bucket).write.mode("append").format(fmt).partitionBy(bucket).save(path))
+def write_pieces(df: DataFrame, path: str, bucket: str, fmt: str = "parquet", files_per_piece: int = 1,
+                 salt_cols: list[str] | None = None) -> None:
+    """Write each bucket value under ``path/<bucket>=<v>/`` in a single job.
+
+    With ``files_per_piece = 1`` a piece is one file (one trigger with
+    ``maxFilesPerTrigger=1``) and is written by one task. A piece that may hold a large
+    share of the data is split into ``files_per_piece`` files by a deterministic hash
+    salt over ``salt_cols`` (stable under task retry, unlike a random salt).
+    """
+    if files_per_piece > 1:
+        cols = salt_cols or [c for c in df.columns if c != bucket]
+        salt = F.pmod(F.xxhash64(*cols), F.lit(files_per_piece))
+        df = df.repartition(bucket, salt)
+    else:
+        df = df.repartition(bucket)
+    df.write.mode("append").format(fmt).partitionBy(bucket).save(path)
 
 
 def write_ordered(df: DataFrame, path: str, bucket: str, values: list[int], fmt: str = "parquet",
