@@ -48,12 +48,3 @@ def compact(spark: SparkSession, path: str, key: str, dst: str, buckets: int) ->
     and co-partitioned joins); old batches can then be dropped."""
     (read_current(spark, path, key).repartition(buckets, key).sortWithinPartitions(key)
      .write.mode("overwrite").parquet(dst))
-
-
-def next_run_id(spark: SparkSession, path: str) -> int:
-    """One more than the largest run id present (0 for a new table)."""
-    try:
-        row = spark.read.parquet(path).agg(F.max("run_id")).first()
-    except Exception:  # no table yet
-        return 0
-    return 0 if row[0] is None else int(row[0]) + 1

@@ -89,8 +89,13 @@ class StreamResult:
     run_id: int
 
 
-def _run(writer, trigger_once: bool):
-    writer = writer.trigger(availableNow=True) if trigger_once else writer
+def _run(writer, trigger_once: bool, processing_time: str | None = None):
+    """``availableNow`` (process what is there, then stop) or a continuous query with an
+    optional processing-time trigger (e.g. "5 seconds", the original's polling pace)."""
+    if trigger_once:
+        writer = writer.trigger(availableNow=True)
+    elif processing_time:
+        writer = writer.trigger(processingTime=processing_time)
     q = writer.start()
     if trigger_once:
         q.awaitTermination()
@@ -178,7 +183,8 @@ def batch_stats(records: DataFrame, table: str, checkpoint: str, group: str,
 
 
 def score_landed(landed: DataFrame, predictions: str, checkpoint: str,
-                 score: Callable[[DataFrame], DataFrame], available_now: bool = True) -> StreamResult:
+                 score: Callable[[DataFrame], DataFrame], available_now: bool = True,
+                 processing_time: str | None = None) -> StreamResult:
     """Incremental scoring of newly landed rows (OP-65): the file source's checkpoint
     is the 'seen batches' log; results are appended per micro-batch."""
     spark = landed.sparkSession
@@ -197,5 +203,5 @@ def score_landed(landed: DataFrame, predictions: str, checkpoint: str,
             batch.unpersist()
 
     q = _run(landed.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint),
-             available_now)
+             available_now, processing_time)
     return StreamResult(q.id, seen["batches"], run_id)
