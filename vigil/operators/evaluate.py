@@ -42,3 +42,26 @@ def per_class(confusion_counts: DataFrame, label: str = "label", prediction: str
     return (out.withColumn("precision", precision).withColumn("recall", recall)
             .withColumn("f1", F.when((F.col("precision") + F.col("recall")) > 0,
                                      2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall")))))
+
+
+def per_class_counts(scored: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """``cls, tp, n_actual, n_pred`` from the scored rows in one aggregate: every row
+    contributes to its true class and to its predicted class (partial aggregation,
+    one shuffle of at most classes rows per task)."""
+    hit = (F.col(label) == F.col(prediction)).cast("long")
+    parts = F.array(
+        F.struct(F.col(label).alias("cls"), hit.alias("tp"), F.lit(1).cast("long").alias("a"),
+                 F.lit(0).cast("long").alias("p")),
+        F.struct(F.col(prediction).alias("cls"), F.lit(0).cast("long").alias("tp"), F.lit(0).cast("long").alias("a"),
+                 F.lit(1).cast("long").alias("p")))
+    rows = scored.select(F.explode(parts).alias("x")).select("x.*")
+    return rows.groupBy("cls").agg(F.sum("tp").alias("tp"), F.sum("a").alias("n_actual"), F.sum("p").alias("n_pred"))
+
+
+def class_metrics(counts: DataFrame) -> DataFrame:
+    """Precision, recall, F1 from ``per_class_counts``."""
+    precision = F.when(F.col("n_pred") > 0, F.col("tp") / F.col("n_pred"))
+    recall = F.when(F.col("n_actual") > 0, F.col("tp") / F.col("n_actual"))
+    f1 = F.when(F.col("tp") > 0, 2.0 * F.col("tp") / (F.col("n_pred") + F.col("n_actual")))
+    return counts.select("cls", "tp", "n_actual", "n_pred", precision.alias("precision"), recall.alias("recall"),
+                         f1.alias("f1"))

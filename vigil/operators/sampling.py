@@ -23,7 +23,8 @@ def uniform_sample(items: DataFrame, key: str, pos: str, k: int, readable: str |
     """Return ``key, slot (0..k-1), <item columns or null for padding>, is_pad``.
 
     ``pos`` must be the 0-based position of the item in its sequence. ``keys`` lists
-    sequences that must appear even when they have no items (all padding).
+    sequences that must appear even when they have no items at all (all padding);
+    by default every sequence with at least one item appears.
     """
     lengths = items.groupBy(key).agg(F.count(F.lit(1)).alias("__us_n"))
     interval = F.greatest(F.floor(F.col("__us_n") / F.lit(k)), F.lit(1)).cast("long")
@@ -39,10 +40,11 @@ def uniform_sample(items: DataFrame, key: str, pos: str, k: int, readable: str |
             .withColumn("is_pad", F.lit(False)))
 
     counts = kept.groupBy(key).agg(F.count(F.lit(1)).alias("__us_kept"))
-    if keys is not None:
-        counts = (keys.select(key).distinct()
-                  .join(counts, key, "left")
-                  .withColumn("__us_kept", F.coalesce("__us_kept", F.lit(0))))
+    # every sequence seen (from the length aggregate, or the given key list) gets padded,
+    # including one whose candidates were all unreadable
+    known = lengths.select(key) if keys is None else keys.select(key).distinct()
+    counts = (known.join(counts, key, "left")
+              .withColumn("__us_kept", F.coalesce("__us_kept", F.lit(0))))
     pads = (counts.where(F.col("__us_kept") < k)
             .select(key, F.explode(F.sequence(F.col("__us_kept").cast("int"), F.lit(k - 1))).alias(slot))
             .withColumn("is_pad", F.lit(True)))

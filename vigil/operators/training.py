@@ -130,11 +130,11 @@ def evaluate(model, df: DataFrame) -> tuple[float, float]:
 
 def macro_f1(model, df: DataFrame) -> float:
     """Mean per-class F1 on ``df`` (a class never predicted counts as F1 = 0)."""
-    from vigil.operators.evaluate import confusion, per_class
+    from vigil.operators.evaluate import class_metrics, per_class_counts
 
     pred = model.transform(df).withColumn("label", F.col("label").cast("int")) \
         .withColumn("prediction", F.col("prediction").cast("int"))
-    row = per_class(confusion(pred)).agg(F.avg(F.coalesce("f1", F.lit(0.0)))).first()
+    row = class_metrics(per_class_counts(pred)).agg(F.avg(F.coalesce("f1", F.lit(0.0)))).first()
     return float(row[0])
 
 

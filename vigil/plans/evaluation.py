@@ -60,10 +60,8 @@ SELECT CAST(cls AS INTEGER) AS cls, tp, n_actual, n_pred,
 FROM k
 """)
 def eval_per_class(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Precision, recall and F1 per class from the confusion counts (one aggregate over
-    the scored rows, then arithmetic on at most classes^2 rows)."""
-    counts = ev.confusion(scored(spark, sf_dir))
-    out = ev.per_class(counts)
+    """Precision, recall and F1 per class: one scan, one aggregate over the scored rows."""
+    out = ev.class_metrics(ev.per_class_counts(scored(spark, sf_dir)))
     return out.select(F.col("cls").cast("int").alias("cls"), F.col("tp").cast("long").alias("tp"),
                       F.col("n_actual").cast("long").alias("n_actual"), F.col("n_pred").cast("long").alias("n_pred"),
                       F.round("precision", 6).alias("precision"), F.round("recall", 6).alias("recall"),

@@ -45,8 +45,7 @@ def uniform_sample_pad(spark: SparkSession, sf_dir: str) -> DataFrame:
     conv = t(spark, sf_dir, "conversations").select("conv_id", "turn")
     # Every fifth turn (turn % 5 = 4) stands for an unreadable frame.
     items = conv.withColumn("readable", (F.col("turn") % 5) != 4)
-    sampled = uniform_sample(items, "conv_id", "turn", K_TURNS, readable="readable",
-                             keys=conv.select("conv_id"))
+    sampled = uniform_sample(items, "conv_id", "turn", K_TURNS, readable="readable")
     return sampled.select("conv_id", "slot", "turn", "is_pad")
 
 
