@@ -167,3 +167,21 @@ def test_uniform_sampling_array_form(spark):
         ok = (lambda item, pos: F.lit(True)) if bad is None else (lambda item, pos, b=bad: pos != b)
         got = df.where(F.col("i") == i).select(ar.uniform_sample_array("seq", k, ok).alias("s")).first().s
         assert got == kept and k - len(got) == pad
+
+
+def test_external_model_scoring_matches_mllib(spark):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.functions import array_to_vector
+
+    from vigil.operators.training import external_scores, linear_predict_fn
+
+    rows = [(i, [float(i % 7), float(i % 3) - 1.0, float((i * 5) % 11) / 10.0], float(i % 3)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, x array<double>, label double").withColumn(
+        "features", array_to_vector("x"))
+    model = LogisticRegression(maxIter=30, family="multinomial").fit(df)
+    mllib = {r.id: int(r.prediction) for r in model.transform(df).select("id", "prediction").collect()}
+    ext = external_scores(df, "x", linear_predict_fn(model), 3, batch_size=64,
+                          class_names=["horrible", "normal", "offensive"], keep=["id"]).collect()
+    assert {r.id: r.prediction for r in ext} == mllib
+    assert all(abs(sum(r.probability) - 1.0) < 1e-6 for r in ext)
+    assert all(r.sensitive == (r.predicted_label != "normal") for r in ext)

@@ -9,7 +9,7 @@ from oracle_compare import compare, duck
 
 QUERIES = se.queries()
 ORACLES = se.oracle_sql()
-ML = {"train_early_stop", "model_selection", "batch_score", "stream_score"}
+ML = {"train_early_stop", "model_selection", "batch_score", "stream_score", "external_score"}
 
 
 @pytest.fixture(scope="module")
@@ -50,6 +50,9 @@ def test_training_and_scoring(spark):
     assert sum(r.selected for r in sel) == 1 and {r.model for r in sel} == {"fusion", "tiny", "linear"}
     streamed = QUERIES["stream_score"](spark, SF0001).collect()
     assert sorted(r.doc_id for r in streamed) == sorted(r.doc_id for r in rows)
+    external = QUERIES["external_score"](spark, SF0001).collect()
+    assert sorted(r.doc_id for r in external) == sorted(r.doc_id for r in rows)
+    assert all(r.predicted_label in ("normal", "offensive") for r in external)
 
 
 def test_entry(spark):

@@ -26,6 +26,7 @@ def uniform_sample(items: DataFrame, key: str, pos: str, k: int, readable: str |
     sequences that must appear even when they have no items at all (all padding);
     by default every sequence with at least one item appears.
     """
+    items = items.where(F.col(key).isNotNull())  # identical subplans -> the length exchange is reused
     lengths = items.groupBy(key).agg(F.count(F.lit(1)).alias("__us_n"))
     interval = F.greatest(F.floor(F.col("__us_n") / F.lit(k)), F.lit(1)).cast("long")
     cand = (items.join(lengths, key, "inner")

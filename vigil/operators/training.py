@@ -150,3 +150,40 @@ def score(model, df: DataFrame, class_names: list[str], keep: list[str]) -> Data
                        decode_label(F.col("prediction").cast("int"), class_names).alias("predicted_label"),
                        sensitive_flag(decode_label(F.col("prediction").cast("int"), class_names)).alias("sensitive"),
                        F.array_max(vector_to_array("probability")).alias("confidence"))
+
+
+def external_scores(df: DataFrame, features: str, make_predict_fn, input_dim: int, batch_size: int = 1024,
+                    class_names: list[str] | None = None, keep: list[str] | None = None) -> DataFrame:
+    """Score with an external model (e.g. an exported network run by onnxruntime or
+    numpy): ``make_predict_fn()`` is called once per Python worker and returns a
+    function ``ndarray[batch, input_dim] -> ndarray[batch, n_classes]`` of logits. Batches are
+    Arrow-transferred by ``predict_batch_udf``; softmax, argmax, label name and
+    sensitive flag are then built-in expressions."""
+    from pyspark.ml.functions import predict_batch_udf
+    from pyspark.sql.types import ArrayType, FloatType
+
+    from vigil.functions.scoring import argmax, softmax
+
+    udf = predict_batch_udf(make_predict_fn, return_type=ArrayType(FloatType()), batch_size=batch_size,
+                            input_tensor_shapes=[[input_dim]])
+    keep = keep or []
+    logits = df.select(*keep, udf(F.col(features).cast("array<float>")).alias("logits"))
+    out = logits.select(*keep, "logits", softmax("logits").alias("probability"), argmax("logits").alias("prediction"))
+    if class_names:
+        name = decode_label("prediction", class_names)
+        out = out.withColumn("predicted_label", name).withColumn("sensitive", sensitive_flag(name))
+    return out
+
+
+def linear_predict_fn(model):
+    """Export a fitted multinomial ``LogisticRegressionModel`` as a numpy logits function."""
+    import numpy as np
+
+    w = model.coefficientMatrix.toArray().astype(np.float64)
+    b = model.interceptVector.toArray().astype(np.float64)
+
+    def make():
+        def predict(x):
+            return (np.asarray(x, dtype=np.float64) @ w.T + b).astype(np.float32)
+        return predict
+    return make

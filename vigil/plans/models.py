@@ -159,3 +159,18 @@ def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs.score_landed(stream, preds, ckpt, score)
     return read_store(spark, preds).select("doc_id", "batch_id", "prediction", "predicted_label", "sensitive",
                                            "confidence")
+
+
+@query("external_score", "OP-76 OP-35 OP-36 OP-32 OP-33")
+def external_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score every document with a model run outside MLlib: the class-balanced linear
+    baseline is exported to numpy and applied in Arrow batches by ``predict_batch_udf``
+    (the path for exported networks, e.g. run by onnxruntime)."""
+    text_model, feat_model, _, train, _, _ = _train(spark, sf_dir)
+    linear = tr.fit_linear(train)
+    feats = scoring_features(spark, sf_dir, text_model, feat_model).select(
+        "doc_id", vector_to_array("features").alias("x"))
+    n_in = len(train.select("features").first()[0])
+    return tr.external_scores(feats, "x", tr.linear_predict_fn(linear), n_in, class_names=DOC_CLASSES,
+                              keep=["doc_id"]).select("doc_id", "prediction", "predicted_label", "sensitive",
+                                                      F.array_max("probability").alias("confidence"))
