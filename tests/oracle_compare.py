@@ -66,9 +66,16 @@ def main() -> None:
     import __spark_entry__ as se
     from vigil.session import build_session
 
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:] or sorted(se.queries())
-    spark = build_session(master="local[8]")
+    args = [a for a in sys.argv[1:] if a != "--plain"]
+    sf_dir = args[0] if args else "/root/testdata/sf0.01"
+    names = args[1:] or sorted(se.queries())
+    if "--plain" in sys.argv:  # a bare session, as an outside driver would create it
+        from pyspark.sql import SparkSession
+
+        spark = (SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
+                 .config("spark.ui.enabled", "false").getOrCreate())
+    else:
+        spark = build_session(master="local[8]")
     con = duck(sf_dir)
     qs, orc = se.queries(), se.oracle_sql()
     bad = 0
