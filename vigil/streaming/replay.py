@@ -30,13 +30,16 @@ def write_pieces(df: DataFrame, path: str, bucket: str, fmt: str = "parquet", fi
 
 
 def write_ordered(df: DataFrame, path: str, bucket: str, values: list[int], fmt: str = "parquet",
-                  replay_previous: bool = False) -> None:
-    """Write bucket files in order (file modification time = replay order). With
-    ``replay_previous`` every file also re-sends the previous bucket (duplicates)."""
+                  replay_previous: bool = False, files_per_piece: int = 1) -> None:
+    """Write bucket files in order (file modification time = replay order), one job per
+    bucket. With ``replay_previous`` every piece also re-sends the previous bucket
+    (duplicates). A large piece is written by ``files_per_piece`` tasks (round-robin,
+    deterministic under retry); raise ``maxFilesPerTrigger`` to match."""
     prev = None
     for v in values:
         part = df.where(F.col(bucket) == v)
         if replay_previous and prev is not None:
             part = part.unionByName(df.where(F.col(bucket) == prev))
-        part.coalesce(1).write.mode("append").format(fmt).save(f"{path}/piece={v:06d}")
+        part = part.coalesce(1) if files_per_piece == 1 else part.repartition(files_per_piece)
+        part.write.mode("append").format(fmt).save(f"{path}/piece={v:06d}")
         prev = v
