@@ -29,6 +29,8 @@ class StreamConfig:
             raise ValueError(f"mode must be training|inference, got {self.mode!r}")
         if self.max_offsets_per_trigger <= 0 or self.max_files_per_trigger <= 0:
             raise ValueError("per-trigger limits must be positive")
+        if self.starting_offsets not in ("earliest", "latest") and not self.starting_offsets.startswith("{"):
+            raise ValueError("starting_offsets must be earliest, latest or a JSON offset map")
 
 
 @dataclass(frozen=True)

@@ -152,7 +152,7 @@ def replay_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per_batch.groupBy("piece").agg(F.sum("n_rows").cast("long").alias("n_rows"))
 
 
-@query("stream_ingest", "OP-01 OP-13 OP-55", f"""
+@query("stream_ingest", "OP-01 OP-13 OP-55 OP-63", f"""
 SELECT CAST(page_id AS VARCHAR) AS id, url, {sql_hash_split('page_id')} AS split, 'good' AS status FROM pages
 """)
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -48,6 +48,9 @@ def read_stream(spark: SparkSession, cfg: StreamConfig, path: str | None = None,
                 .load())
     if not path:
         raise ValueError("a file stream needs a path")
+    # start position for file streams: "earliest" replays the oldest files first,
+    # "latest" processes the newest first (the file source's latestFirst)
     return (spark.readStream.format(cfg.format).schema(schema)
             .option("maxFilesPerTrigger", str(cfg.max_files_per_trigger))
+            .option("latestFirst", str(cfg.starting_offsets == "latest").lower())
             .load(path))
