@@ -40,9 +40,8 @@ class FeatureConfig:
     num_frames: int = 30  # sampled items per sequence
     series_length: int = 40  # pad/truncate length of the per-item series
     token_window: int = 128  # model input window in tokens
-    text_dim: int = 768  # width of the text vector (zero default, OP-19)
-    frame_dim: int = 64  # width of one hashed frame vector
-    hash_features: int = 1 << 12  # hashing space of the text vector
+    text_dim: int = 64  # width of the text vector (the given embeddings; zero default, OP-19)
+    hash_features: int = 1 << 8  # hashing space of the TF-IDF text block
 
     def __post_init__(self) -> None:
         for f in dataclasses.fields(self):
@@ -65,9 +64,10 @@ class SplitConfig:
 
 @dataclass(frozen=True)
 class TrainConfig:
-    """Early-stopping loop (OP-74); values of the reference call as defaults."""
+    """Early-stopping loop (OP-74): rounds of a few L-BFGS iterations, warm-started;
+    patience as in the original call."""
 
-    max_rounds: int = 8
+    max_rounds: int = 6
     iters_per_round: int = 5
     patience: int = 4
     hidden: tuple[int, ...] = (256, 256)

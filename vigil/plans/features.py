@@ -25,7 +25,7 @@ K_TURNS = 4  # sampled turns per conversation in the sampling check
 FRAMES = DEFAULT.features.num_frames
 SERIES = DEFAULT.features.series_length
 WINDOW = DEFAULT.features.token_window
-VEC_DIM = 64  # width of the given embedding vectors
+VEC_DIM = DEFAULT.features.text_dim  # width of the given embedding vectors
 
 
 @query("uniform_sample_pad", "OP-53", f"""

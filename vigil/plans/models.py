@@ -12,7 +12,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.config import TrainConfig
+from vigil.config import DEFAULT
 from vigil.functions import arrays as ar
 from vigil.operators import training as tr
 from vigil.operators.featurize import featurize as run_extractors, line_frames, word_series
@@ -29,8 +29,8 @@ from vigil.streaming.replay import write_pieces
 # --- fixed values --------------------------------------------------------------------
 DOC_CLASSES = ["normal", "offensive"]  # index = labels.toxic
 # --------------------------------------------------------------------------------------
-TEXT_HASH = 1 << 8
-TRAIN = TrainConfig(max_rounds=6, iters_per_round=5, patience=4, hidden=(256, 256))
+TEXT_HASH = DEFAULT.features.hash_features
+TRAIN = DEFAULT.train
 PRESETS = {"fusion": (256, 256), "tiny": (128,)}
 
 
