@@ -44,12 +44,6 @@ def with_fallback(col: Column | str, dim: int) -> Column:
     return F.coalesce(_c(col), zeros(dim))
 
 
-def fallback_status(col: Column | str, upstream_status: Column | None = None) -> Column:
-    """``ok`` when the feature exists, else the upstream reason or ``fallback``."""
-    reason = upstream_status if upstream_status is not None else F.lit("fallback")
-    return F.when(_c(col).isNotNull(), F.lit("ok")).otherwise(reason)
-
-
 def array_sum(col: Column | str) -> Column:
     return F.aggregate(_c(col), F.lit(0.0).cast("double"), lambda acc, x: acc + x.cast("double"))
 

@@ -45,12 +45,5 @@ def encode_with_dimension(df: DataFrame, label_col: str, dim: DataFrame, out: st
             .drop("__dim_label", "__dim_idx"))
 
 
-def route_unknown(df: DataFrame, idx_col: str = "label_idx") -> tuple[DataFrame, DataFrame]:
-    """Split rows into (known, quarantine): unknown classes never reach the loss."""
-    known = df.where(F.col(idx_col) >= 0)
-    quarantine = df.where(F.col(idx_col) < 0)
-    return known, quarantine
-
-
 def quarantine_status(idx_col: str = "label_idx") -> Column:
     return F.when(F.col(idx_col) >= 0, F.lit("train")).otherwise(F.lit("quarantine"))

@@ -31,19 +31,6 @@ def confusion(scored: DataFrame, label: str = "label", prediction: str = "predic
     return scored.groupBy(label, prediction).agg(F.count(F.lit(1)).alias("n"))
 
 
-def per_class(confusion_counts: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """Precision, recall, F1 per class from the (small) confusion counts."""
-    tp = confusion_counts.where(F.col(label) == F.col(prediction)).select(F.col(label).alias("cls"), F.col("n").alias("tp"))
-    actual = confusion_counts.groupBy(F.col(label).alias("cls")).agg(F.sum("n").alias("n_actual"))
-    predicted = confusion_counts.groupBy(F.col(prediction).alias("cls")).agg(F.sum("n").alias("n_pred"))
-    out = actual.join(predicted, "cls", "full").join(tp, "cls", "left").fillna(0, ["tp", "n_actual", "n_pred"])
-    precision = F.when(F.col("n_pred") > 0, F.col("tp") / F.col("n_pred"))
-    recall = F.when(F.col("n_actual") > 0, F.col("tp") / F.col("n_actual"))
-    return (out.withColumn("precision", precision).withColumn("recall", recall)
-            .withColumn("f1", F.when((F.col("precision") + F.col("recall")) > 0,
-                                     2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall")))))
-
-
 def per_class_counts(scored: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """``cls, tp, n_actual, n_pred`` from the scored rows in one aggregate: every row
     contributes to its true class and to its predicted class (partial aggregation,

@@ -1,8 +1,8 @@
-"""Join helpers: broadcast only behind a size check, null-safe multi-key conditions."""
+"""Join helper: broadcast only behind a size check."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -15,11 +15,3 @@ def bounded_broadcast(small: DataFrame, max_rows: int) -> DataFrame:
     """
     n = small.limit(max_rows + 1).count()
     return F.broadcast(small) if n <= max_rows else small
-
-
-def null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
-    cond = None
-    for c in cols:
-        e = left[c].eqNullSafe(right[c])
-        cond = e if cond is None else cond & e
-    return cond
