@@ -26,6 +26,9 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+STRICT = False  # --strict: compare floats exactly (no re-rounding)
+
+
 def _norm(v):
     if v is None or v is pd.NA or v is pd.NaT:
         return None
@@ -34,7 +37,7 @@ def _norm(v):
             return None
         if v.is_integer():
             return int(v)
-        return round(v, 6)
+        return v if STRICT else round(v, 6)
     if hasattr(v, "item"):
         return _norm(v.item())
     if isinstance(v, (list, tuple)):
@@ -66,7 +69,9 @@ def main() -> None:
     import __spark_entry__ as se
     from vigil.session import build_session
 
-    args = [a for a in sys.argv[1:] if a != "--plain"]
+    global STRICT
+    STRICT = "--strict" in sys.argv
+    args = [a for a in sys.argv[1:] if a not in ("--plain", "--strict")]
     sf_dir = args[0] if args else "/root/testdata/sf0.01"
     names = args[1:] or sorted(se.queries())
     if "--plain" in sys.argv:  # a bare session, as an outside driver would create it
