@@ -107,3 +107,30 @@ def test_write_pieces_salted_split(spark, scratch):
     assert len(glob.glob(f"{local}/piece=1/*.parquet")) >= 3
     back = spark.read.parquet(path)
     assert back.count() == 3000 and back.select("id").distinct().count() == 3000
+
+
+def test_publish_manifest_end_to_end(spark, scratch):
+    import os
+
+    from vigil.sources.envelope import decode
+    from vigil.streaming.producer import publish_manifest
+
+    media = scratch("media").replace("file:", "")
+    os.makedirs(f"{media}/val/horrible")
+    with open(f"{media}/val/horrible/0003.mp4", "wb") as fh:
+        fh.write(b"abc")
+    manifest = spark.createDataFrame(
+        [(f"{media}/val/horrible/0003.mp4", "horrible", [0.5, 0.25, 1.0], "val"),
+         (f"{media}/val/horrible/0009.mp4", "horrible", None, "val")],
+        "url string, label string, text_embedding array<float>, flag string")
+    topic = scratch("topic")
+    cfg = StreamConfig(format="parquet", mode="inference")
+    publish_manifest(spark, manifest, cfg, topic, media_root=media)
+    stream = read_stream(spark, cfg, topic, RECORD_SCHEMA)
+    q = stream.writeStream.format("memory").queryName("manifest_topic").trigger(availableNow=True).start()
+    q.awaitTermination()
+    rows = {r.url.rsplit("/", 1)[1]: r for r in decode(spark.table("manifest_topic"), "inference").collect()}
+    ok, missing = rows["0003.mp4"], rows["0009.mp4"]
+    assert ok.status == "good" and ok.video_encoded == "YWJj" and ok.text_embedding == [0.5, 0.25, 1.0]
+    assert ok.id == __import__("hashlib").sha256(f"val:{media}/val/horrible/0003.mp4".encode()).hexdigest()
+    assert missing.status == "good" and missing.video_encoded is None and missing.split == "val"

@@ -204,3 +204,17 @@ def feature_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     vec = with_fallback(feat, 3)
     return p.select("page_id", status.alias("status"), F.get(vec, 0).alias("n_bytes"),
                     F.get(vec, 1).alias("n_lines"), F.get(vec, 2).alias("n_tags"))
+
+
+@query("manifest_records", "OP-02 OP-31 OP-08 OP-13", f"""
+SELECT sha256({sql_hash_split('page_id')} || ':' || url) AS id, url, {SQL_URL_LABEL} AS label,
+       {sql_hash_split('page_id')} AS split, 'good' AS status
+FROM pages
+""")
+def manifest_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Producer path: manifest rows -> stable-id envelope records -> decoded again."""
+    from vigil.streaming.producer import manifest_to_records
+
+    manifest = page_items(spark, sf_dir).select("url", "label", F.col("split").alias("flag"))
+    records = manifest_to_records(spark, manifest, "training")
+    return decode(records, "training").select("id", "url", "label", "split", "status")
