@@ -59,3 +59,16 @@ def test_entry(spark):
     df = se.entry(spark)
     assert df.count() > 0 and set(df.columns) == {"lang", "n_items", "n_sensitive", "n_low_quality",
                                                   "sensitive_share"}
+
+
+@pytest.mark.parametrize("name", ["rename_plan", "split_exact", "batch_order", "class_index_sorted"])
+def test_two_pass_numbering_matches_oracle(spark, monkeypatch, name):
+    """The scale path of the numbering (range partitions + offsets), forced on real data."""
+    from oracle_compare import duck as duck_at
+    from vigil.operators import ranking
+
+    monkeypatch.setattr(ranking, "SINGLE_TASK_ROWS", 0)
+    sf = "/root/testdata/sf0.01"
+    got = QUERIES[name](spark, sf).toPandas()
+    want = duck_at(sf).execute(ORACLES[name]).df()
+    assert compare(got, want) == "OK"

@@ -25,11 +25,14 @@ from vigil.session import materialize
 
 _PID, _POS, _MIN, _OFF, _N = "__rk_pid", "__rk_pos", "__rk_min", "__rk_off", "__rk_n"
 
+# Inputs with at most this many rows (a bounded count) use the plain window.
+SINGLE_TASK_ROWS = 200_000
+
 
 def grouped_row_number(df: DataFrame, group_cols: list[str], order_cols: list[str],
                        out: str = "rn", num_partitions: int | None = None,
                        max_broadcast_rows: int = 2_000_000,
-                       single_task_rows: int = 200_000) -> DataFrame:
+                       single_task_rows: int | None = None) -> DataFrame:
     """``row_number() over (partition by group_cols order by order_cols)`` (1-based).
 
     ``order_cols`` must make the order total within a group (include a unique key).
@@ -37,6 +40,8 @@ def grouped_row_number(df: DataFrame, group_cols: list[str], order_cols: list[st
     plain window: no group can then exceed what one task handles comfortably.
     """
     spark = df.sparkSession
+    if single_task_rows is None:
+        single_task_rows = SINGLE_TASK_ROWS
     if single_task_rows and df.limit(single_task_rows + 1).count() <= single_task_rows:
         w = Window.orderBy(*order_cols) if not group_cols else \
             Window.partitionBy(*group_cols).orderBy(*order_cols)
