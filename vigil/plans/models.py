@@ -57,28 +57,34 @@ def text_features(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.round(F.aggregate(arr, F.lit(0.0), lambda a, x: a + x), 6).alias("weight_sum"))
 
 
-def model_inputs(spark: SparkSession, sf_dir: str, labelled: bool = True, text_model=None):
-    """``doc_id, split, label, series, text_vec, tfidf`` from one scan of the documents
-    (written to the shared folder: several fits read it). Returns (rows, text model);
-    pass the training ``text_model`` when vectorising rows to score."""
+def model_inputs(spark: SparkSession, sf_dir: str):
+    """Every document once: ``doc_id, split, label`` (null when unlabelled), ``series``,
+    ``text_vec``, ``tfidf``. The IDF is fitted on the labelled training rows only (no
+    statistics leak from validation, test or unlabelled rows). Two passes over the
+    texts: the IDF fit and the vectorisation, written to the shared folder. Returns
+    (rows, text model)."""
     docs = heavy_table(spark, sf_dir, "documents", "doc_id", "text")
+    lab = t(spark, sf_dir, "labels").select("doc_id", F.col("toxic").cast("double").alias("label"))
     emb = t(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
-    base = docs
-    if labelled:
-        lab = t(spark, sf_dir, "labels").select("doc_id", F.col("toxic").cast("double").alias("label"))
-        base = docs.join(lab, "doc_id", "inner")
-    base = hash_split(base, "doc_id").withColumn(
+    base = hash_split(docs.join(lab, "doc_id", "left"), "doc_id").withColumn(
         "series", ar.pad_truncate(word_lengths("text"), SERIES, "int"))
-    vec, text_model = tr.text_vectors(base, num_features=TEXT_HASH, model=text_model)
+    _, text_model = tr.text_vectors(_training_rows(base), num_features=TEXT_HASH)
+    vec, _ = tr.text_vectors(base, model=text_model)
     rows = (vec.join(emb, "doc_id", "left")
             .withColumn("text_vec", ar.default_vector("embedding", VEC_DIM)).drop("embedding", "text"))
+    # written once: the scaler fit and the final transform read this, not the texts
     return materialize(rows, "model_inputs"), text_model
 
 
+def _training_rows(df: DataFrame) -> DataFrame:
+    return df.where(F.col("label").isNotNull() & (F.col("split") == "train"))
+
+
 def fit_features(rows: DataFrame):
+    """Assembler + scaler fitted on the labelled training rows, applied to every row."""
     pipe = tr.feature_pipeline(["series", "text_vec"], ["tfidf"])
     prepared = tr.to_vectors(rows, ["series", "text_vec"])
-    model = pipe.fit(prepared.where(F.col("split") == "train"))
+    model = pipe.fit(_training_rows(prepared))
     return model, model.transform(prepared)
 
 
@@ -88,15 +94,18 @@ _REGISTRY: dict[tuple[str, str], tuple] = {}
 
 
 def _train(spark: SparkSession, sf_dir: str, hidden=TRAIN.hidden):
+    """(text model, feature model, all-document features, train, val, result)."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if hidden == TRAIN.hidden and key in _REGISTRY:
         return _REGISTRY[key]
     rows, text_model = model_inputs(spark, sf_dir)
     feat_model, feats = fit_features(rows)
+    # one table of vectorised documents in the shared folder: every fit and every
+    # scoring query reads it instead of re-tokenising the texts
     feats = materialize(feats.select("doc_id", "split", "label", "features"), "model_features")
     parallelism = spark.sparkContext.defaultParallelism
-    train = feats.where(F.col("split") == "train").repartition(parallelism)
-    val = feats.where(F.col("split") == "val")
+    train = _training_rows(feats).repartition(parallelism)
+    val = feats.where(F.col("label").isNotNull() & (F.col("split") == "val"))
     res = tr.train_early_stop(train, val, len(DOC_CLASSES), TRAIN, hidden)
     tr.save_model(res.model, scratch_path(spark, "model"))
     out = (text_model, feat_model, feats, train, val, res)
@@ -105,12 +114,6 @@ def _train(spark: SparkSession, sf_dir: str, hidden=TRAIN.hidden):
     return out
 
 
-def scoring_features(spark: SparkSession, sf_dir: str, text_model, feat_model) -> DataFrame:
-    """Every document vectorised with the statistics fitted on the training split."""
-    rows, _ = model_inputs(spark, sf_dir, labelled=False, text_model=text_model)
-    return feat_model.transform(tr.to_vectors(rows, ["series", "text_vec"]))
-
-
 @query("train_early_stop", "OP-72 OP-74 OP-12 OP-71")
 def train_early_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
     *_, res = _train(spark, sf_dir)
@@ -135,16 +138,16 @@ def model_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("batch_score", "OP-76 OP-35 OP-36 OP-32 OP-33")
 def batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score every document (labelled or not) with the early-stopped model."""
-    text_model, feat_model, *_, res = _train(spark, sf_dir)
-    return tr.score(res.model, scoring_features(spark, sf_dir, text_model, feat_model), DOC_CLASSES, ["doc_id"])
+    _, _, feats, _, _, res = _train(spark, sf_dir)
+    return tr.score(res.model, feats.select("doc_id", "features"), DOC_CLASSES, ["doc_id"])
 
 
 @query("stream_score", "OP-65 OP-76 OP-05 OP-24")
 def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed feature rows arrive as files; each new micro-batch is scored and appended
     (the stream checkpoint is the log of batches already seen)."""
-    text_model, feat_model, *_, res = _train(spark, sf_dir)
-    landed = scoring_features(spark, sf_dir, text_model, feat_model).select(
+    _, _, feats, _, _, res = _train(spark, sf_dir)
+    landed = feats.select(
         "doc_id", vector_to_array("features").alias("features_arr"),
         (F.col("doc_id") % 8).cast("int").alias("piece"))
     src, preds, ckpt = (scratch_path(spark, n) for n in ("landed", "predictions", "ckpt"))
@@ -166,10 +169,9 @@ def external_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score every document with a model run outside MLlib: the class-balanced linear
     baseline is exported to numpy and applied in Arrow batches by ``predict_batch_udf``
     (the path for exported networks, e.g. run by onnxruntime)."""
-    text_model, feat_model, _, train, _, _ = _train(spark, sf_dir)
+    _, _, all_feats, train, _, _ = _train(spark, sf_dir)
     linear = tr.fit_linear(train)
-    feats = scoring_features(spark, sf_dir, text_model, feat_model).select(
-        "doc_id", vector_to_array("features").alias("x"))
+    feats = all_feats.select("doc_id", vector_to_array("features").alias("x"))
     n_in = len(train.select("features").first()[0])
     return tr.external_scores(feats, "x", tr.linear_predict_fn(linear), n_in, class_names=DOC_CLASSES,
                               keep=["doc_id"]).select("doc_id", "prediction", "predicted_label", "sensitive",
