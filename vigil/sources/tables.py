@@ -30,10 +30,13 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     a single task; it is spread round-robin instead. Column pruning and filters still
     reach the scan (Catalyst pushes them below the repartition).
     """
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))  # metadata only
-    if size < SPREAD_MIN_BYTES or df.rdd.getNumPartitions() >= target:
+    try:  # classic sessions only; a Spark Connect client cannot see plan statistics
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))  # metadata only
+        parts = df.rdd.getNumPartitions()
+    except Exception:
+        return df
+    if size < SPREAD_MIN_BYTES or parts >= target:
         return df
     return df.repartition(target)
 

@@ -113,17 +113,19 @@ def ingest_to_store(records: DataFrame, store: str, checkpoint: str, featurize:
     seen = {"batches": 0}
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        # decode once and keep the decoded batch: the emptiness check, the quarantine,
+        # the featurizer's lookups and the write all reuse it
+        decoded = decode(batch, mode).persist()
         try:
-            if batch.isEmpty():  # e.g. a trailing empty trigger
+            if decoded.isEmpty():  # e.g. a trailing empty trigger
                 return
-            good, bad = split_quarantine(decode(batch, mode))
+            good, bad = split_quarantine(decoded)
             if quarantine:
                 write_batch(bad, quarantine, run_id, batch_id)
             upsert_batch(featurize(good), store, key, order, run_id, batch_id)
             seen["batches"] += 1
         finally:
-            batch.unpersist()
+            decoded.unpersist()
 
     q = _run(records.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint),
              available_now)
