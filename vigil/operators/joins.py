@@ -6,12 +6,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def bounded_broadcast(small: DataFrame, max_rows: int) -> DataFrame:
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate of ``df`` (metadata only, no job); None if unknown."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:
+        return None
+
+
+def provably_at_most(df: DataFrame, max_rows: int, max_bytes: int | None = 1 << 30) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows. An input whose estimated size
+    is over ``max_bytes`` is treated as large without running anything; otherwise a
+    bounded count decides (it stops after ``max_rows + 1`` rows). Pass
+    ``max_bytes=None`` for aggregates that are small by construction: without
+    column statistics their estimate is their input's size."""
+    size = estimated_bytes(df) if max_bytes is not None else None
+    if size is not None and size > max_bytes:
+        return False
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def bounded_broadcast(small: DataFrame, max_rows: int, use_estimate: bool = True) -> DataFrame:
     """Broadcast hint only if ``small`` provably has at most ``max_rows`` rows.
 
-    The check is a bounded count (``limit(max_rows + 1)``), so it never scans more than
-    needed. Beyond the bound the frame is returned unhinted and the planner (with AQE)
-    picks a shuffle join.
+    The check first consults the size estimate (a large input is never counted), then
+    a bounded count (``limit(max_rows + 1)``). Beyond the bound the frame is returned
+    unhinted and the planner (with AQE) picks a shuffle join.
     """
-    n = small.limit(max_rows + 1).count()
-    return F.broadcast(small) if n <= max_rows else small
+    ok = provably_at_most(small, max_rows, max_bytes=(1 << 30) if use_estimate else None)
+    return F.broadcast(small) if ok else small

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigil.operators.joins import bounded_broadcast
+from vigil.operators.joins import bounded_broadcast, provably_at_most
 from vigil.session import materialize
 
 _PID, _POS, _MIN, _OFF, _N = "__rk_pid", "__rk_pos", "__rk_min", "__rk_off", "__rk_n"
@@ -42,7 +42,7 @@ def grouped_row_number(df: DataFrame, group_cols: list[str], order_cols: list[st
     spark = df.sparkSession
     if single_task_rows is None:
         single_task_rows = SINGLE_TASK_ROWS
-    if single_task_rows and df.limit(single_task_rows + 1).count() <= single_task_rows:
+    if single_task_rows and provably_at_most(df, single_task_rows):
         w = Window.orderBy(*order_cols) if not group_cols else \
             Window.partitionBy(*group_cols).orderBy(*order_cols)
         return df.withColumn(out, F.row_number().over(w).cast("long"))
@@ -57,7 +57,8 @@ def grouped_row_number(df: DataFrame, group_cols: list[str], order_cols: list[st
     stats = ranged.groupBy(*group_cols, _PID).agg(F.min(_POS).alias(_MIN), F.count(F.lit(1)).alias(_N))
     before = Window.partitionBy(*group_cols).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = stats.withColumn(_OFF, F.coalesce(F.sum(_N).over(before), F.lit(0))).drop(_N)
-    offsets = bounded_broadcast(offsets, max_broadcast_rows)
+    # one row per (group, partition): small by construction, so the count decides
+    offsets = bounded_broadcast(offsets, max_broadcast_rows, use_estimate=False)
 
     # offsets derive from `ranged`; alias both sides so the self-join resolves
     r, o = ranged.alias("__rk_r"), offsets.alias("__rk_o")
