@@ -25,6 +25,7 @@ from vigil.session import materialize, scratch_path
 from vigil.sinks.store import read_store
 from vigil.streaming import jobs
 from vigil.streaming.replay import write_pieces
+from vigil.plans.streams import PIECES
 
 # --- fixed values --------------------------------------------------------------------
 DOC_CLASSES = ["normal", "offensive"]  # index = labels.toxic
@@ -149,7 +150,7 @@ def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, _, feats, _, _, res = _train(spark, sf_dir)
     landed = feats.select(
         "doc_id", vector_to_array("features").alias("features_arr"),
-        (F.col("doc_id") % 8).cast("int").alias("piece"))
+        (F.col("doc_id") % PIECES).cast("int").alias("piece"))
     src, preds, ckpt = (scratch_path(spark, n) for n in ("landed", "predictions", "ckpt"))
     write_pieces(landed, src, "piece")
     stream = (spark.readStream.schema("doc_id long, features_arr array<double>, piece int")
