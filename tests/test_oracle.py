@@ -55,6 +55,17 @@ def test_training_and_scoring(spark):
     assert all(r.predicted_label in ("normal", "offensive") for r in external)
 
 
+def test_saved_model_restores(spark):
+    from vigil.operators import training as tr
+    from vigil.plans import models
+
+    *_, feats, _, _, res = models._train(spark, SF0001)
+    restored = tr.load_model(res.path)
+    a = {r.doc_id: r.prediction for r in res.model.transform(feats).select("doc_id", "prediction").collect()}
+    b = {r.doc_id: r.prediction for r in restored.transform(feats).select("doc_id", "prediction").collect()}
+    assert a == b and len(a) > 0
+
+
 def test_entry(spark):
     df = se.entry(spark)
     assert df.count() > 0 and set(df.columns) == {"lang", "n_items", "n_sensitive", "n_low_quality",

@@ -51,11 +51,12 @@ def to_vectors(df: DataFrame, array_cols: list[str]) -> DataFrame:
 
 @dataclass
 class TrainResult:
-    features: PipelineModel
+    features: PipelineModel | None
     model: object
     history: list[tuple]
     best_round: int
     best_loss: float
+    path: str | None = None  # where the best model was saved (OP-12)
 
 
 def _loss_and_accuracy(pred: DataFrame) -> tuple[float, float]:
@@ -138,9 +139,24 @@ def macro_f1(model, df: DataFrame) -> float:
     return float(row[0])
 
 
-def save_model(model, path: str) -> None:
-    """Persist the best model (OP-12) to shared storage."""
+def save_model(model, path: str) -> str:
+    """Persist the best model (OP-12) to shared storage; returns the path."""
     model.write().overwrite().save(path)
+    return path
+
+
+def load_model(path: str):
+    """Restore a saved model (OP-12): the class is read from the saved metadata."""
+    from pyspark.ml.util import DefaultParamsReader
+
+    cls = DefaultParamsReader.loadMetadata(path, None)["class"]
+    if cls.endswith("MultilayerPerceptronClassificationModel"):
+        from pyspark.ml.classification import MultilayerPerceptronClassificationModel as M
+    elif cls.endswith("LogisticRegressionModel"):
+        from pyspark.ml.classification import LogisticRegressionModel as M
+    else:
+        from pyspark.ml import PipelineModel as M
+    return M.load(path)
 
 
 def score(model, df: DataFrame, class_names: list[str], keep: list[str]) -> DataFrame:

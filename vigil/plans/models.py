@@ -108,7 +108,7 @@ def _train(spark: SparkSession, sf_dir: str, hidden=TRAIN.hidden):
     train = _training_rows(feats).repartition(parallelism)
     val = feats.where(F.col("label").isNotNull() & (F.col("split") == "val"))
     res = tr.train_early_stop(train, val, len(DOC_CLASSES), TRAIN, hidden)
-    tr.save_model(res.model, scratch_path(spark, "model"))
+    res.path = tr.save_model(res.model, scratch_path(spark, "model"))
     out = (text_model, feat_model, feats, train, val, res)
     if hidden == TRAIN.hidden:
         _REGISTRY[key] = out
