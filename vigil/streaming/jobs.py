@@ -140,15 +140,15 @@ def land(records: DataFrame, landing: str, checkpoint: str, featurize: Featurize
     seen = {"batches": 0}
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        decoded = decode(batch, mode).persist()  # parsed once per micro-batch
         try:
-            if batch.isEmpty():
+            if decoded.isEmpty():
                 return
-            good, _ = split_quarantine(decode(batch, mode))
+            good, _ = split_quarantine(decoded)
             write_batch(featurize(good), landing, run_id, batch_id)
             seen["batches"] += 1
         finally:
-            batch.unpersist()
+            decoded.unpersist()
 
     q = _run(records.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint),
              available_now)
