@@ -20,7 +20,7 @@ from vigil.operators.split import hash_split
 from vigil.plans.catalog import query, t
 from vigil.sources.tables import heavy_table
 from vigil.functions.text import word_lengths
-from vigil.plans.features import SERIES, VEC_DIM, _SQL_FRAMES
+from vigil.plans.features import FRAMES, SERIES, VEC_DIM, _SQL_FRAMES
 from vigil.session import materialize, scratch_path
 from vigil.sinks.store import read_store
 from vigil.streaming import jobs
@@ -44,7 +44,7 @@ FROM documents d JOIN fr ON d.doc_id = fr.doc_id
 """)
 def featurize(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = heavy_table(spark, sf_dir, "documents", "doc_id", "text")
-    feats = run_extractors(docs, "doc_id", "text", [line_frames(30), word_series(SERIES)])
+    feats = run_extractors(docs, "doc_id", "text", [line_frames(FRAMES), word_series(SERIES)])
     return feats.select("doc_id", "status", F.round(F.get("frames", 0).cast("double"), 6).alias("frame_mean"),
                         F.aggregate("series", F.lit(0).cast("long"), lambda a, x: a + x.cast("long")).alias("series_sum"))
 
