@@ -209,3 +209,16 @@ def test_encode_with_dimension_and_compaction(spark, scratch):
     assert pooled == {0: [2.0, 3.0], 1: [5.0, 6.0]}
     padded = {r.k: r.mean_vec for r in mean_pool(vecs, ["k"], "v", divisor=4).collect()}
     assert padded[0] == [1.0, 1.5]  # two real frames and two zero pads
+
+
+def test_mean_pool_forms_agree(spark):
+    from vigil.operators.pooling import mean_pool, mean_pool_long, mean_pool_vector
+
+    emb = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").select("label", "embedding")
+    a = {r.label: r.mean_vec for r in mean_pool_vector(emb, ["label"], "embedding").collect()}
+    b = {r.label: r.mean_vec for r in mean_pool(emb, ["label"], "embedding").collect()}
+    c = {(r.label, r.pos): r.mean for r in mean_pool_long(emb, ["label"], "embedding").collect()}
+    assert set(a) == set(b)
+    for k in a:
+        assert a[k] == pytest.approx(b[k], abs=1e-6)
+        assert a[k] == pytest.approx([c[(k, i)] for i in range(len(a[k]))], abs=1e-9)

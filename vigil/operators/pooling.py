@@ -33,3 +33,15 @@ def mean_pool(df: DataFrame, keys: list[str], vec: str, out: str = "mean_vec",
     return (per_pos.groupBy(*keys)
             .agg(F.sort_array(F.collect_list(F.struct("__mp_pos", "__mp_v"))).alias("__mp_s"))
             .select(*keys, F.transform("__mp_s", lambda s: s["__mp_v"].cast("float")).alias(out)))
+
+
+def mean_pool_vector(df: DataFrame, keys: list[str], vec: str, out: str = "mean_vec") -> DataFrame:
+    """Element-wise mean of wide vectors with MLlib's ``Summarizer``: one imperative
+    aggregate per key with partial aggregation, and no explode (the row count never
+    grows by the vector width before the shuffle). Returns ``keys, out`` as array<double>."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    vectors = df.select(*keys, array_to_vector(F.col(vec).cast("array<double>")).alias("__mp_v"))
+    pooled = vectors.groupBy(*keys).agg(Summarizer.mean(F.col("__mp_v")).alias("__mp_m"))
+    return pooled.select(*keys, vector_to_array("__mp_m").alias(out))

@@ -15,7 +15,7 @@ from vigil.config import DEFAULT
 from vigil.functions import arrays as ar
 from vigil.functions import scoring as sc
 from vigil.functions import text as tx
-from vigil.operators.pooling import mean_pool_long
+from vigil.operators.pooling import mean_pool_vector
 from vigil.operators.sampling import uniform_sample
 from vigil.operators.split import hash_split
 from vigil.plans.catalog import query, sql_hash_split, t
@@ -129,7 +129,11 @@ GROUP BY label, pos
 """)
 def mean_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
     emb = t(spark, sf_dir, "embeddings").select("label", "embedding")
-    return mean_pool_long(emb, ["label"], "embedding").withColumn("mean", F.round("mean", 6))
+    # pool whole vectors (one aggregate per key, no per-element rows before the
+    # shuffle), then spread only the pooled result to (pos, mean) rows
+    pooled = mean_pool_vector(emb, ["label"], "embedding")
+    return pooled.select("label", F.posexplode("mean_vec").alias("pos", "mean")).withColumn(
+        "mean", F.round("mean", 6))
 
 
 # --- modality features on documents ---------------------------------------------------
