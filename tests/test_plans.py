@@ -52,3 +52,23 @@ def test_two_pass_numbering_at_scale_has_no_unpartitioned_window(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "source", "lang")
     plan = _plan(grouped_row_number(docs, ["source", "lang"], ["doc_id"], single_task_rows=0))
     assert not [w for w in _unpartitioned_windows(plan) if "__rk_" not in w]
+
+
+def test_spread_only_for_large_few_split_inputs(spark):
+    from vigil.sources.tables import heavy_table
+
+    small = heavy_table(spark, "/root/testdata/sf0.001", "documents", "doc_id", "text")
+    assert small.rdd.getNumPartitions() == 1  # 0.3 MB: left alone
+    large = heavy_table(spark, "/root/testdata/sf0.1", "documents", "doc_id", "text")
+    assert large.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert large.columns == ["doc_id", "text"]  # pruned before the repartition
+
+
+def test_size_checks(spark):
+    from vigil.operators.joins import provably_at_most
+
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    assert provably_at_most(docs.select("lang").distinct(), 10)
+    assert not provably_at_most(docs, 10)
+    # an estimate over the byte bound decides without running a job
+    assert not provably_at_most(docs.select("text"), 10**9, max_bytes=1)
