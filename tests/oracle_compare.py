@@ -89,22 +89,22 @@ def main() -> None:
         try:
             sdf = qs[name](spark, sf_dir).toPandas()
         except Exception as e:  # report and continue
-            print(f"{name:28s} SPARK-ERROR {type(e).__name__}: {str(e)[:300]}", flush=True)
+            print(f"\n{name:28s} SPARK-ERROR {type(e).__name__}: {str(e)[:300]}", flush=True)
             bad += 1
             continue
         dt = time.time() - t0
         if name not in orc:
-            print(f"{name:28s} ROWS-ONLY rows={len(sdf)} {dt:.1f}s", flush=True)
+            print(f"\n{name:28s} ROWS-ONLY rows={len(sdf)} {dt:.1f}s", flush=True)
             continue
         try:
             odf = con.execute(orc[name]).df()
         except Exception as e:
-            print(f"{name:28s} ORACLE-ERROR {type(e).__name__}: {str(e)[:300]}", flush=True)
+            print(f"\n{name:28s} ORACLE-ERROR {type(e).__name__}: {str(e)[:300]}", flush=True)
             bad += 1
             continue
         res = compare(sdf, odf)
         bad += res != "OK"
-        print(f"{name:28s} {res} rows={len(sdf)} {dt:.1f}s", flush=True)
+        print(f"\n{name:28s} {res} rows={len(sdf)} {dt:.1f}s", flush=True)
     print(f"mismatches: {bad}")
 
 
