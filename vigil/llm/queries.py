@@ -45,3 +45,11 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(comp.c, d.doc_id) AS c
        d.doc_id = coalesce(comp.c, d.doc_id) AS kept
 FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN n USING (doc_id) LEFT JOIN comp USING (doc_id)
 """
+
+
+@_query
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vigil.llm.license_scan import scan
+
+    found = scan(table(spark, sf_dir, "documents"))
+    return found.drop("detections").withColumnRenamed("id", "doc_id")
