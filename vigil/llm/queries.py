@@ -53,3 +53,13 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = scan(table(spark, sf_dir, "documents"))
     return found.drop("detections").withColumnRenamed("id", "doc_id")
+
+
+@_query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vigil.llm.toxicity import may_learn, score, train_on
+
+    docs = table(spark, sf_dir, "documents")
+    scored = score(docs, train_on(docs, table(spark, sf_dir, "labels")))
+    return scored.select(F.col("id").alias("doc_id"), (~may_learn("id")).alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
