@@ -14,10 +14,19 @@ from vigil.session import materialize
 BATCH_BYTES = 4 << 20  # texts are worked on in groups of about this size
 
 
+def small_batches(df: DataFrame, rows: int = 1000, size: str = "8m") -> DataFrame:
+    """Bounds the batches that the session hands to Python tasks: whole texts are long."""
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+    return df
+
+
 def text_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``id long, text binary`` (UTF-8; a null text is empty); extra columns are not read."""
-    return df.select(F.col(id_col).cast("long").alias("id"),
-                     F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
+    return small_batches(df).select(
+        F.col(id_col).cast("long").alias("id"),
+        F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
 
 
 def groups_by_bytes(ids: list, texts: list[bytes], limit: int = BATCH_BYTES) -> Iterator[tuple[list, list[bytes]]]:
@@ -85,4 +94,4 @@ def sorted_map(df: DataFrame, key: str, fn: Callable, schema: str) -> DataFrame:
 
 
 __all__ = ["fixed_bytes", "groups_by_bytes", "materialize", "partitions_for", "rows_of", "runs",
-           "sorted_map", "text_rows"]
+           "small_batches", "sorted_map", "text_rows"]
