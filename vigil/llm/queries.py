@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.sources.tables import table
@@ -63,3 +63,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score(docs, train_on(docs, table(spark, sf_dir, "labels")))
     return scored.select(F.col("id").alias("doc_id"), (~may_learn("id")).alias("held_out"), "score",
                          (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@_query
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vigil.llm import pii
+
+    docs = table(spark, sf_dir, "documents")
+    found = pii.scan(docs, pii.train(docs))
+    base = F.filter("found", lambda s: s["base"])
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [count(k).alias(f"n_{name}") for k, name in enumerate(pii.KINDS[:4])]
+    return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(pii.written(base).cast("binary"), 256).alias("base_sha256"),
+                        pii.written(F.col("found")).alias("spans"))
