@@ -79,3 +79,10 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [count(k).alias(f"n_{name}") for k, name in enumerate(pii.KINDS[:4])]
     return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(pii.written(base).cast("binary"), 256).alias("base_sha256"),
                         pii.written(F.col("found")).alias("spans"))
+
+
+@_query
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vigil.llm.decontaminate import find
+
+    return find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
