@@ -82,16 +82,10 @@ def fixed_bytes(column: pa.Array | pa.ChunkedArray, dtype, width: int) -> np.nda
     return data.view(dtype).reshape(-1, width)
 
 
-def rows_of(matrix: np.ndarray) -> list[bytes]:
-    """Each row of a matrix as bytes."""
-    data, step = matrix.tobytes(), matrix.shape[1] * matrix.itemsize
-    return [data[i:i + step] for i in range(0, len(data), step)]
-
-
 def sorted_map(df: DataFrame, key: str, fn: Callable, schema: str) -> DataFrame:
     """``fn`` over each partition's batches, dealt and sorted by ``key``."""
     return df.repartition(partitions_for(df), key).sortWithinPartitions(key).mapInArrow(fn, schema)
 
 
-__all__ = ["fixed_bytes", "groups_by_bytes", "materialize", "partitions_for", "rows_of", "runs",
+__all__ = ["fixed_bytes", "groups_by_bytes", "materialize", "partitions_for", "runs",
            "small_batches", "sorted_map", "text_rows"]

@@ -86,3 +86,13 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vigil.llm.decontaminate import find
 
     return find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_query
+def op3_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from vigil.llm import wavelet
+
+    shards = wavelet.write(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return wavelet.read(shards).withColumnRenamed("id", "doc_id")
