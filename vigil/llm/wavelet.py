@@ -19,7 +19,9 @@ result. Only the id and text columns are read.
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -32,7 +34,7 @@ from vigil.llm import files
 from vigil.llm.common import materialize, partitions_for, text_rows
 from vigil.session import scratch_path
 
-MAGIC, SHARD_TOKENS, CACHE_WORDS, BLOCK = b"WVMTRX01", 4 << 20, 200_000, 512
+MAGIC, SHARD_TOKENS, CACHE_WORDS, BLOCK = b"WVMTRX01", 4 << 20, 500_000, 512
 
 
 class WaveletMatrix:
@@ -138,30 +140,71 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+_PLAIN = re.compile(rb"[a-z]+")
+#: kinds of bytes: 0 white space, 1 ASCII letters and digits, 2 other ASCII, 3 the apostrophe, 4 beyond ASCII
+_KIND = np.full(256, 2, np.uint8)
+_KIND[[*b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"]] = 1
+_KIND[[0x20, *range(0x09, 0x0E)]] = 0
+_KIND[0x27] = 3
+_KIND[128:] = 4
+#: of two neighbouring kinds, those between which a piece surely ends
+_CUTS = np.zeros(25, bool)
+_CUTS[[1 * 5 + 2, 1 * 5 + 3, 2 * 5 + 1]] = True
+
+
 class Encoder:
-    """Whole texts to ids (little-endian uint32) by a tokenizer that splits at white space.
+    """Whole texts to ids (little-endian uint32) by a tokenizer of lower-cased words.
 
-    Each distinct run between ASCII white space is encoded once; up to ``CACHE_WORDS`` runs are
-    remembered, which bounds memory and changes no result.
+    The tokenizer splits at white space and between letters or digits and punctuation, so each
+    distinct piece is encoded once; up to ``CACHE_WORDS`` pieces are remembered, which bounds
+    memory and changes no result. Pieces of plain letters need no normalising and go to its
+    model directly. Texts that might hold a special token are split at white space only.
     """
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
+        self.model = self.tokenizer.model
         self.seen: dict[bytes, bytes] = {}
 
+    def _pieces(self, texts: list[bytes]) -> list[list[bytes]]:
+        """The pieces of each text."""
+        buf = np.frombuffer(b"\n".join(texts), np.uint8)
+        kind = _KIND[buf]
+        cut = np.flatnonzero(_CUTS[kind[:-1] * 5 + kind[1:]]) + 1
+        old = np.ones(len(buf) + len(cut), bool)
+        old[cut + np.arange(len(cut))] = False
+        spaced = np.full(len(old), 0x20, np.uint8)
+        spaced[old] = buf
+        return [t.split() for t in spaced.tobytes().lower().split(b"\n")]
+
+    def _encoded(self, piece: bytes) -> bytes:
+        return array("I", [t.id for t in self.model.tokenize(piece.decode())]).tobytes()
+
     def __call__(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
-        new = list(set().union(*split).difference(self.seen))
+        plain = [b"<|" not in t for t in texts]
+        # lines keep the texts apart, so a text's own line breaks become blanks
+        pieces = iter(self._pieces([t.translate(_ONE_LINE) for t, p in zip(texts, plain) if p]) if any(plain) else [])
+        split = [next(pieces) if p else t.split() for t, p in zip(texts, plain)]
+        new = set().union(*split).difference(self.seen)
         if len(self.seen) + len(new) > CACHE_WORDS:
             self.seen = {}
-            new = list(set().union(*split))
-        for i in range(0, len(new), 20_000):
-            part = new[i:i + 20_000]
-            for word, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
-                self.seen[word] = np.array(e.ids, "<u4").tobytes()
+            new = set().union(*split)
+        rest = []
+        for piece in new:
+            if _PLAIN.fullmatch(piece):
+                self.seen[piece] = self._encoded(piece)
+            else:
+                rest.append(piece)
+        for i in range(0, len(rest), 20_000):
+            part = rest[i:i + 20_000]
+            for piece, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
+                self.seen[piece] = array("I", e.ids).tobytes()
         return [b"".join(map(self.seen.__getitem__, words)) for words in split]
 
 
+_ONE_LINE = bytes(0x20 if i in (0x20, *range(0x09, 0x0E)) else i for i in range(256))
+
+
 def _write(folder: str, path: str, end_id: int, shard_tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = Encoder(path), np.array([end_id], "<u4").tobytes()
