@@ -96,3 +96,24 @@ def op3_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     shards = wavelet.write(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     return wavelet.read(shards).withColumnRenamed("id", "doc_id")
+
+
+@_query
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vigil.llm import warc
+    from vigil.session import materialize
+
+    archives = warc.write(table(spark, sf_dir, "pages"))
+    read = materialize(warc.read(archives).drop("payload", "url"), "records")
+    return warc.with_referred(read).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op2_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, strlen(h) AS payload_bytes, sha1(h) AS payload_digest FROM p),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS top FROM d)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN top END AS refers_to
+FROM m
+"""
