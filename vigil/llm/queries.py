@@ -147,3 +147,12 @@ SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
                 + length(replace(replace(text, '\', '\\'), '<|', '<\|'))) AS BIGINT) AS formatted_chars
 FROM c GROUP BY conv_id
 """
+
+
+@_query
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from vigil.llm.sentence_pieces import encode
+
+    return encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")).withColumnRenamed("id", "doc_id")
