@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import fixed_bytes, materialize, runs, sorted_map, text_rows
+from vigil.llm.common import fixed_bytes, materialize, runs, sorted_map, text_rows, with_ids
 from vigil.llm.components import components
 from vigil.llm.shingles import mix, shingle_sets
 
@@ -190,7 +190,7 @@ def _exact(percent: int):
 
 def shingled(ids: DataFrame, docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
     """``id, set`` of the given ids."""
-    texts = text_rows(docs, id_col, text_col).join(ids, "id", "left_semi").dropDuplicates(["id"])
+    texts = with_ids(text_rows(docs, id_col, text_col), ids).dropDuplicates(["id"])
     return materialize(texts.mapInArrow(_sets(k), "id long, set binary"), "sets")
 
 
