@@ -156,3 +156,26 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vigil.llm.sentence_pieces import encode
 
     return encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")).withColumnRenamed("id", "doc_id")
+
+
+@_query
+def op1_hnsw_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vigil.llm.hnsw import near_duplicates
+
+    found = near_duplicates(table(spark, sf_dir, "embeddings"))
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", "kept")
+
+
+ORACLES["op1_hnsw_near_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+          AND list_dot_product(a.e, b.e) / sqrt(list_dot_product(a.e, a.e)) / sqrt(list_dot_product(b.e, b.e)) >= 0.9),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+comp AS (SELECT a AS vec_id, least(a, min(b)) AS c FROM reach GROUP BY a),
+n AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT t.vec_id, coalesce(n.n, 0) AS n_links, coalesce(comp.c, t.vec_id) AS component_id, t.vec_id = coalesce(comp.c, t.vec_id) AS kept
+FROM embeddings t LEFT JOIN comp USING (vec_id) LEFT JOIN n USING (vec_id)
+"""
