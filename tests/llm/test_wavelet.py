@@ -11,7 +11,7 @@ from vigil.sources.tables import table
 SF0001 = "/root/testdata/sf0.001"
 PATH = public_tokenizers.path("word_bpe_49k.json")
 TRICKY = ["", " ", "Don't STOP, we've it's 'tis y'all'd x's'", "a<|endoftext|>b <|ENDOFTEXT|> <|startoftext|>x", "Ünïcode é Éx, Å. ≠ ,́",
-          " nbsp em\u0085nel\x1cfs", "don''t ''s 12345 3.14,15 x9y a1's", "...!!!word***,and\nlines\r\n\ttabs\x0b\x0c", "Σίσυφος ΣΑΣ İstanbul ẞ ﬁ", "日本語テキスト 한국어 العربية",
+          " nbsp em\u0085nel\x1cfs", "don''t ''s 12345 3.14,15 x9y a1's", "...!!!word***,and\nlines\r\n\ttabs\x0b\x0c", "ÀÉÎÕÜÞ àéîõüþÿ Ÿ × ÷ ßß ẞ µ ª º Àe\u0301 é́ ÈOU",  "Σίσυφος ΣΑΣ İstanbul ẞ ﬁ", "日本語テキスト 한국어 العربية",
           "x" * 5000, "a,b" * 1000, "<|", "|>", "a'", "'", "'S 'T 'Ll", "힣ᆨ 하"]
 
 
@@ -22,15 +22,16 @@ def whole(texts):
 
 def test_encoder_equals_the_library_on_whole_texts(spark):
     texts = TRICKY + [r.text for r in table(spark, SF0001, "documents").collect()]
-    got = wavelet.Encoder(PATH)([t.encode() for t in texts])
+    encoder = wavelet.Encoder(PATH)
+    got = encoder([t.encode() for t in texts])
     for t, g, w in zip(texts, got, whole(texts)):
-        assert np.frombuffer(g, "<u4").tolist() == w, t[:80]
+        assert np.frombuffer(g, encoder.kind).tolist() == w, t[:80]
 
 
 def test_small_cache_changes_nothing(monkeypatch):
     monkeypatch.setattr(wavelet, "CACHE_WORDS", 3)
     e, texts = wavelet.Encoder(PATH), ["one two three four", "five one six", "two seven"]
-    assert [np.frombuffer(x, "<u4").tolist() for t in texts for x in e([t.encode()])] == whole(texts)
+    assert [np.frombuffer(x, e.kind).tolist() for t in texts for x in e([t.encode()])] == whole(texts)
 
 
 @pytest.mark.parametrize("n,top", [(0, 1), (1, 1), (1, 40000), (511, 3), (512, 9), (513, 49408), (5000, 300), (1000, 70000)])

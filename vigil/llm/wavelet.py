@@ -34,7 +34,7 @@ from vigil.llm import files
 from vigil.llm.common import materialize, partitions_for, text_rows
 from vigil.session import scratch_path
 
-MAGIC, SHARD_TOKENS, CACHE_WORDS, BLOCK = b"WVMTRX01", 4 << 20, 500_000, 512
+MAGIC, SHARD_TOKENS, CACHE_WORDS, BLOCK = b"WVMTRX01", 4 << 20, 1_000_000, 512
 
 
 class WaveletMatrix:
@@ -140,7 +140,11 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-_PLAIN = re.compile(rb"[a-z]+")
+#: letters whose lower case is known and that need no other normalising
+_PLAIN = re.compile("[a-zÀ-ÖØ-öø-ÿ]+")
+#: a byte-level vocabulary's sign of each byte: itself if printable, else the next free one
+_FREE = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+_SIGNS = {b: 256 + i for i, b in enumerate(_FREE)}
 #: kinds of bytes: 0 white space, 1 ASCII letters and digits, 2 other ASCII, 3 the apostrophe, 4 beyond ASCII
 _KIND = np.full(256, 2, np.uint8)
 _KIND[[*b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"]] = 1
@@ -153,17 +157,19 @@ _CUTS[[1 * 5 + 2, 1 * 5 + 3, 2 * 5 + 1]] = True
 
 
 class Encoder:
-    """Whole texts to ids (little-endian uint32) by a tokenizer of lower-cased words.
+    """Whole texts to ids (little-endian, of type ``kind``) by a tokenizer of lower-cased words.
 
     The tokenizer splits at white space and between letters or digits and punctuation, so each
     distinct piece is encoded once; up to ``CACHE_WORDS`` pieces are remembered, which bounds
-    memory and changes no result. Pieces of plain letters need no normalising and go to its
-    model directly. Texts that might hold a special token are split at white space only.
+    memory and changes no result. Pieces of plain letters need no normalising but lower case
+    and go to its model directly. Texts that might hold a special token are split at white space only.
     """
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
         self.model = self.tokenizer.model
+        self.wide = self.tokenizer.get_vocab_size() > 1 << 16
+        self.kind = "<u4" if self.wide else "<u2"
         self.seen: dict[bytes, bytes] = {}
 
     def _pieces(self, texts: list[bytes]) -> list[list[bytes]]:
@@ -177,8 +183,8 @@ class Encoder:
         spaced[old] = buf
         return [t.split() for t in spaced.tobytes().lower().split(b"\n")]
 
-    def _encoded(self, piece: bytes) -> bytes:
-        return array("I", [t.id for t in self.model.tokenize(piece.decode())]).tobytes()
+    def _kept(self, ids: list[int]) -> bytes:
+        return array("I" if self.wide else "H", ids).tobytes()
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         plain = [b"<|" not in t for t in texts]
@@ -191,42 +197,52 @@ class Encoder:
             new = set().union(*split)
         rest = []
         for piece in new:
-            if _PLAIN.fullmatch(piece):
-                self.seen[piece] = self._encoded(piece)
+            word = piece.decode()
+            if _PLAIN.fullmatch(word):
+                if not piece.isascii():
+                    word = word.lower().encode().decode("latin-1").translate(_SIGNS)
+                self.seen[piece] = self._kept([t.id for t in self.model.tokenize(word)])
             else:
                 rest.append(piece)
         for i in range(0, len(rest), 20_000):
             part = rest[i:i + 20_000]
             for piece, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
-                self.seen[piece] = array("I", e.ids).tobytes()
+                self.seen[piece] = self._kept(e.ids)
         return [b"".join(map(self.seen.__getitem__, words)) for words in split]
 
 
+@lru_cache(1)
+def _encoder(path: str) -> Encoder:
+    """One for all tasks of a worker process."""
+    return Encoder(path)
+
+
 _ONE_LINE = bytes(0x20 if i in (0x20, *range(0x09, 0x0E)) else i for i in range(256))
 
 
 def _write(folder: str, path: str, end_id: int, shard_tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = Encoder(path), np.array([end_id], "<u4").tobytes()
+        encode = _encoder(path)
+        width, end = np.dtype(encode.kind).itemsize, np.array([end_id], encode.kind).tobytes()
         ids, parts, size = [], [], 0
 
         def close() -> pa.RecordBatch:
             uri = files.fresh(folder, "shard", ".wvm")
-            tokens = np.frombuffer(b"".join(parts), "<u4")
+            tokens = np.frombuffer(b"".join(parts), encode.kind)
             # a null id comes first and is kept as the smallest number
-            files.write(uri, build(tokens, [_NULL if i is None else i for i in ids], [len(p) // 4 for p in parts]))
+            files.write(uri, build(tokens, [_NULL if i is None else i for i in ids], [len(p) // width for p in parts]))
             return pa.RecordBatch.from_arrays([pa.array([uri]), pa.array([_NULL if ids[0] is None else ids[0]], pa.int64()), pa.array([len(tokens)], pa.int64())], ["uri", "first_id", "n_tokens"])
 
         for b in batches:
             texts = b.column("text").to_pylist()
             for lo, hi in _slices([len(t) for t in texts]):
                 for i, tokens in zip(b.column("id")[lo:hi].to_pylist(), encode(texts[lo:hi])):
-                    if size and size + len(tokens) // 4 + 1 > shard_tokens:
+                    if size and size + len(tokens) // width + 1 > shard_tokens:
                         yield close()
                         ids, parts, size = [], [], 0
                     ids.append(i)
                     parts.append(tokens + end)
-                    size += len(tokens) // 4 + 1
+                    size += len(tokens) // width + 1
         if ids:
             yield close()
     return run
