@@ -99,7 +99,7 @@ def with_ids(rows: DataFrame, ids: DataFrame) -> DataFrame:
     byte = F.conv(F.hex(F.substring("bits", (F.col("place") / 8).cast("int") + 1, 1)), 16, 10).cast("int")
     is_set = F.expr("shiftright(b, cast(place % 8 as int)) % 2 = 1")
     near = place(rows).join(F.broadcast(bitmaps), "bucket").withColumn("b", byte).where(is_set).select(*rows.columns)
-    return near.join(ids, "id", "left_semi")
+    return near.join(ids.distinct(), "id").select(*rows.columns)  # a semi-join would be moved before the filter
 
 
 def sorted_map(df: DataFrame, key: str, fn: Callable, schema: str) -> DataFrame:

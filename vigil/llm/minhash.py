@@ -143,8 +143,9 @@ def _spanning(fewest: tuple[int, ...], percent: int | None):
             for lo, hi in zip(edges[:-1], edges[1:]):
                 if (comp[lo:hi] == comp[lo]).all():
                     continue
-                first = {}  # the place that stands for a component
-                parent = [first.setdefault(c, p) for p, c in enumerate(comp[lo:hi].tolist())]
+                # verified links join whole components; likely pairs only what they show
+                first: dict[int, int] = {}
+                parent = [first.setdefault(c, p) if percent else p for p, c in enumerate(comp[lo:hi].tolist())]
                 for p in range(lo, hi):
                     other = np.arange(p + 1, hi)
                     other = other[(comp[other] != comp[p]) & ((side[other] != side[p]) | (side[p] == 2))]
