@@ -28,7 +28,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import materialize, text_rows
+from vigil.llm.common import materialize, small_batches, text_rows
 
 SIZES, BITS, FEATURES, TRAIN_ROWS, SMOOTH, REG = (4, 5), 20, 4096, 12_000, 1.0, 0.002
 GROUP_CHARS = 1 << 20
@@ -138,25 +138,36 @@ def train(labelled: DataFrame, text_col: str, label: Column, id_col: str = "doc_
     return Model(weights, fit.intercept)
 
 
+class _Scorer:
+    """Scores of UTF-8 texts; built once a task."""
+
+    def __init__(self, at: np.ndarray, values: np.ndarray, intercept: float):
+        self.weights, self.intercept = np.zeros(1 << BITS), intercept
+        self.weights[at] = values
+        self.useful = self.weights != 0
+
+    def __call__(self, raw: list[bytes]) -> np.ndarray:
+        out = np.empty(len(raw))
+        for first, texts in _some(raw):
+            keys = [np.empty(0, np.int64)]
+            for of, h in _grams(texts):
+                hit = self.useful[h]
+                keys.append(of[hit].astype(np.int64) << BITS | h[hit])
+            key = np.unique(np.concatenate(keys))
+            total = np.bincount(key >> BITS, self.weights[key & ((1 << BITS) - 1)], minlength=len(texts)) + self.intercept
+            with np.errstate(over="ignore"):
+                out[first:first + len(texts)] = 1 / (1 + np.exp(-total))
+        return out
+
+
 def _score(model: Model):
     at = np.flatnonzero(model.weights)
-    values = model.weights[at]
+    values, intercept = model.weights[at], model.intercept
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = np.zeros(1 << BITS)
-        weights[at] = values
-        useful = weights != 0
+        score = _Scorer(at, values, intercept)
         for b in batches:
-            score = np.empty(b.num_rows)
-            for first, texts in _some(b.column("text").to_pylist()):
-                keys = [np.empty(0, np.int64)]
-                for of, h in _grams(texts):
-                    hit = useful[h]
-                    keys.append(of[hit].astype(np.int64) << BITS | h[hit])
-                key = np.unique(np.concatenate(keys))
-                total = np.bincount(key >> BITS, weights[key & ((1 << BITS) - 1)], minlength=len(texts)) + model.intercept
-                score[first:first + len(texts)] = 1 / (1 + np.exp(-np.clip(total, -700, 700)))
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(score)], ["id", "score"])
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(score(b.column("text").to_pylist()))], ["id", "score"])
     return run
 
 
@@ -165,6 +176,19 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     return text_rows(docs, id_col, text_col).mapInArrow(_score(model), "id long, score double")
 
 
+def keep_below(docs: DataFrame, model: Model, limit: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score below ``limit``; all columns stay."""
+    at = np.flatnonzero(model.weights)
+    values, intercept, column = model.weights[at], model.intercept, docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = _Scorer(at, values, intercept)
+        for b in batches:
+            yield b.filter(pa.array(score([(t or "").encode() for t in b.column(column).to_pylist()]) < limit))
+
+    return small_batches(docs).mapInArrow(run, docs.schema)
+
+
 def may_learn(id_col: str = "doc_id") -> Column:
     """Whether a row's label may be learnt from: crc32 of its id as text, mod 4, is not 2."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 != 2
