@@ -9,7 +9,6 @@ from vigil.functions import arrays as ar
 from vigil.functions import scoring as sc
 from vigil.functions import text as tx
 from vigil.functions.labels import decode_label, encode_label, encode_with_dimension, sensitive_flag
-from vigil.operators.featurize import sampled_positions
 from vigil.operators.sampling import uniform_sample
 from vigil.operators.split import exact_split, split_sizes
 from vigil.operators.upsert import current_view, dedupe_in_batch
@@ -43,8 +42,10 @@ SAMPLING = [  # n, k, unreadable, kept positions, padding
 
 
 @pytest.mark.parametrize("n,k,bad,kept,pad", SAMPLING)
-def test_uniform_sampling_python_rule(n, k, bad, kept, pad):
-    got = sampled_positions(n, k, None if bad is None else (lambda p: p != bad))
+def test_uniform_sampling_of_arrays(spark, n, k, bad, kept, pad):
+    items = spark.range(1).select(F.array(*[F.lit(i) for i in range(n)]).cast("array<int>").alias("a"))
+    readable = None if bad is None else (lambda item, pos: pos != bad)
+    got = items.select(ar.uniform_sample_array("a", k, readable).alias("s")).first().s
     assert got == kept and k - len(got) == pad
 
 

@@ -18,7 +18,7 @@ def _skewed(spark, n=6000):
 
 def test_grouped_two_pass_equals_window(spark):
     df = _skewed(spark)
-    mine = grouped_row_number(df, ["grp"], ["score", "key"], out="rn", num_partitions=12, single_task_rows=0)
+    mine = grouped_row_number(df, ["grp"], ["score", "key"], out="rn", num_partitions=12)
     ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("grp").orderBy("score", "key")))
     a = {(r.key, r.rn) for r in mine.collect()}
     b = {(r.key, r.rn) for r in ref.collect()}
@@ -28,15 +28,14 @@ def test_grouped_two_pass_equals_window(spark):
 def test_global_two_pass_equals_window(spark):
     df = _skewed(spark, 3000)
     mine = {(r.key, r.rn) for r in global_row_number(df, ["score", "key"], num_partitions=7).collect()}
-    forced = {(r.key, r.rn) for r in grouped_row_number(df, [], ["score", "key"], num_partitions=7,
-                                                          single_task_rows=0).collect()}
+    forced = {(r.key, r.rn) for r in grouped_row_number(df, [], ["score", "key"], num_partitions=7).collect()}
     ref = {(r.key, r.rn) for r in df.withColumn("rn", F.row_number().over(Window.orderBy("score", "key"))).collect()}
     assert mine == ref == forced
 
 
 def test_two_pass_plan_has_no_single_partition_window(spark):
     df = _skewed(spark)
-    plan = grouped_row_number(df, ["grp"], ["key"], single_task_rows=0)._jdf.queryExecution().executedPlan().toString()
+    plan = grouped_row_number(df, ["grp"], ["key"])._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
 
 

@@ -134,3 +134,38 @@ def test_publish_manifest_end_to_end(spark, scratch):
     assert ok.status == "good" and ok.video_encoded == "YWJj" and ok.text_embedding == [0.5, 0.25, 1.0]
     assert ok.id == __import__("hashlib").sha256(f"val:{media}/val/horrible/0003.mp4".encode()).hexdigest()
     assert missing.status == "good" and missing.video_encoded is None and missing.split == "val"
+
+
+def test_junk_and_last_write_within_a_batch(spark, scratch):
+    """Nothing is lost: good + quarantined = sent, raw bytes kept; the later record wins."""
+    topic, store, landing = scratch("topic"), scratch("store"), scratch("landing")
+    old = encode(spark.createDataFrame([("a", "old"), ("b", "only")], "id string, label string"), "training")
+    new = encode(spark.createDataFrame([("a", "new")], "id string, label string"), "training")
+    junk = spark.createDataFrame([(b"k", b"junk"), (b"x", b'{"x":1}')], "key binary, value binary")
+    sent = old.unionByName(junk).unionByName(new).coalesce(1)
+    sent.write.parquet(topic)
+    keep = lambda good: good.select("id", "label")
+    jobs.ingest_to_store(_all(spark, topic), store, scratch("ck"), keep)
+    assert sorted(tuple(r) for r in read_current(spark, store, "id").select("id", "label").collect()) == [("a", "new"), ("b", "only")]
+    jobs.land(_all(spark, topic), landing, scratch("ck"), keep, mode="training")
+    assert read_store(spark, landing).count() == 3
+    for table in (store, landing):
+        bad = read_store(spark, jobs.quarantine_of(table)).select("key", "value", "reason").collect()
+        assert sorted((bytes(r.key), bytes(r.value), r.reason) for r in bad) == [(b"k", b"junk", "malformed"), (b"x", b'{"x":1}', "missing_id")]
+
+
+def _all(spark, topic):
+    return read_stream(spark, StreamConfig(format="parquet"), topic, RECORD_SCHEMA)
+
+
+def test_two_checkpoints_never_share_a_run_id(spark, scratch):
+    table, a, b = scratch("store"), scratch("ck"), scratch("ck")
+    first, second = jobs.run_id_for(spark, a, table), jobs.run_id_for(spark, b, table)  # neither has written yet
+    assert first != second and jobs.run_id_for(spark, a, table) == first
+
+
+def test_order_may_not_be_the_key(spark, scratch):
+    from vigil.sinks.store import upsert_batch
+
+    with pytest.raises(ValueError):
+        upsert_batch(spark.range(3), scratch("s"), "id", "id", 0, 0)

@@ -19,15 +19,17 @@ class StreamConfig:
     bootstrap_servers: str = "localhost:9092"
     topic: str = "moderation-items"
     starting_offsets: str = "earliest"
-    max_offsets_per_trigger: int = 3
-    max_files_per_trigger: int = 1
+    max_offsets_per_trigger: int | None = None  # None: no limit; a job sets its own back-pressure
+    max_files_per_trigger: int | None = None
     fail_on_data_loss: bool = True  # default to fail; opting in to skip is explicit
     mode: str = "training"  # "training" (no payload) or "inference" (with payload)
+    # passed on as they are, e.g. {"kafka.max.request.size": "15728640", "kafka.acks": "all"}
+    options: Mapping[str, str] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         if self.mode not in ("training", "inference"):
             raise ValueError(f"mode must be training|inference, got {self.mode!r}")
-        if self.max_offsets_per_trigger <= 0 or self.max_files_per_trigger <= 0:
+        if any(n is not None and n <= 0 for n in (self.max_offsets_per_trigger, self.max_files_per_trigger)):
             raise ValueError("per-trigger limits must be positive")
         if self.starting_offsets not in ("earliest", "latest") and not self.starting_offsets.startswith("{"):
             raise ValueError("starting_offsets must be earliest, latest or a JSON offset map")
@@ -41,7 +43,7 @@ class FeatureConfig:
     series_length: int = 40  # pad/truncate length of the per-item series
     token_window: int = 128  # model input window in tokens
     text_dim: int = 64  # width of the text vector (the given embeddings; zero default, OP-19)
-    hash_features: int = 1 << 8  # hashing space of the TF-IDF text block
+    hash_features: int = 1 << 12  # hashing space of the TF-IDF text block
 
     def __post_init__(self) -> None:
         for f in dataclasses.fields(self):
@@ -67,7 +69,7 @@ class TrainConfig:
     """Early-stopping loop (OP-74): rounds of a few L-BFGS iterations, warm-started;
     patience as in the original call."""
 
-    max_rounds: int = 6
+    max_rounds: int = 40  # far beyond what patience lets pass
     iters_per_round: int = 5
     patience: int = 4
     hidden: tuple[int, ...] = (256, 256)
@@ -76,7 +78,7 @@ class TrainConfig:
 
 @dataclass(frozen=True)
 class EngineConfig:
-    shuffle_partitions: int = 8
+    shuffle_partitions: int = 200
     stream: StreamConfig = field(default_factory=StreamConfig)
     features: FeatureConfig = field(default_factory=FeatureConfig)
     split: SplitConfig = field(default_factory=SplitConfig)

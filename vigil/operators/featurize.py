@@ -1,11 +1,11 @@
 """One-pass featurization with user-supplied extractors (OP-70).
 
-All extractors run in a single ``mapInPandas`` pass over Arrow batches (the input is
-read once, every extractor initialised once per task), returning one fixed-length
-float array per modality plus ``status``/``error``. A row whose extraction fails gets
-the zero vector of that modality (OP-46) and a recorded reason, so fallbacks can be
-counted. Use this only for per-row work Spark cannot express (codecs, external
-models); everything expressible is done with built-in expressions elsewhere.
+All extractors run in a single ``mapInPandas`` pass over Arrow batches: the input is read
+once and each extractor's ``init`` (load a codec, open a model) is called once per task.
+The result has one fixed-length float array per modality plus ``status``/``error``. A row
+whose extraction fails gets the zero vector of that modality (OP-46) and the whole reason,
+so fallbacks can be counted. Use this only for per-row work Spark cannot express (codecs,
+external models); everything expressible is done with built-in expressions.
 """
 
 from __future__ import annotations
@@ -22,77 +22,47 @@ from pyspark.sql import DataFrame
 class Extractor:
     name: str
     dim: int
-    fn: Callable[[object], np.ndarray]  # one input value -> vector of length `dim`
+    init: Callable[[], Callable[[object], object]]  # once per task; gives: one input value -> vector of length `dim`
 
 
-def featurize(df: DataFrame, key: str, source: str, extractors: list[Extractor]) -> DataFrame:
+def featurize(df: DataFrame, key: str, source: str, extractors: list[Extractor], carry: list[str] | None = None) -> DataFrame:
+    """``key``, the ``carry`` columns, an array per extractor, ``status`` and ``error``."""
     names = [e.name for e in extractors]
     if len(set(names)) != len(names):
         raise ValueError("extractor names must be unique")
-    key_type = df.schema[key].dataType.simpleString()
-    schema = ", ".join([f"{key} {key_type}", *[f"{e.name} array<float>" for e in extractors],
-                        "status string", "error string"])
+    kept = [key, *(carry or [])]
+    schema = ", ".join([*[f"{c} {df.schema[c].dataType.simpleString()}" for c in kept],
+                        *[f"{n} array<float>" for n in names], "status string", "error string"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ready = [(e, e.init()) for e in extractors]
         for pdf in batches:
-            out = {key: pdf[key].to_numpy()}
-            status = np.full(len(pdf), "ok", dtype=object)
-            errors = np.full(len(pdf), None, dtype=object)
-            for e in extractors:
-                col = []
-                for i, value in enumerate(pdf[source].to_numpy()):
-                    try:
-                        v = np.asarray(e.fn(value), dtype=np.float32)
-                        if v.shape != (e.dim,):
-                            raise ValueError(f"{e.name}: shape {v.shape} != ({e.dim},)")
-                    except Exception as exc:  # per-row failure -> zero vector, reason kept
-                        v = np.zeros(e.dim, dtype=np.float32)
-                        status[i] = "fallback"
-                        errors[i] = f"{e.name}: {exc}"[:200]
-                    col.append(v)
-                out[e.name] = col
-            out["status"] = status
-            out["error"] = errors
+            out = {c: pdf[c] for c in kept}
+            errors: list[list[str]] = [[] for _ in range(len(pdf))]
+            for e, extract in ready:
+                out[e.name] = [_vector(e, extract, v, errors[i]) for i, v in enumerate(pdf[source])]
+            out["status"] = ["fallback" if e else "ok" for e in errors]
+            out["error"] = ["; ".join(e) or None for e in errors]
             yield pd.DataFrame(out)
 
-    return df.select(key, source).mapInPandas(run, schema)
+    return df.select(*dict.fromkeys([*kept, source])).mapInPandas(run, schema)
 
 
-# --- shipped text extractors (small numpy helpers) ---------------------------------
+def _vector(e: Extractor, extract: Callable[[object], object], value: object, errors: list[str]) -> np.ndarray:
+    try:
+        v = np.asarray(extract(value), dtype=np.float32)
+        if v.shape == (e.dim,):
+            return v
+        errors.append(f"{e.name}: shape {v.shape} != ({e.dim},)")
+    except Exception as exc:  # a row's failure is that row's status
+        errors.append(f"{e.name}: {exc}")
+    return np.zeros(e.dim, dtype=np.float32)
 
-def sampled_positions(n: int, k: int, readable: Callable[[int], bool] | None = None) -> list[int]:
-    """Uniform sampling positions (same rule as operators.sampling.uniform_sample)."""
-    interval = max(n // k, 1)
-    kept: list[int] = []
-    for p in range(0, n, interval):
-        if readable is None or readable(p):
-            kept.append(p)
-        if len(kept) == k:
-            break
-    return kept
 
+def composed_text() -> Extractor:
+    """Characters of the text in Unicode composed form, which Spark has no function for."""
+    def init() -> Callable[[object], object]:
+        from unicodedata import normalize
 
-def line_frames(k: int = 30) -> Extractor:
-    """Lines as frames: k uniformly sampled lines, each described by
-    (characters, words, upper-case share, digit share), mean-pooled over k slots."""
-    def fn(text: object) -> np.ndarray:
-        if not isinstance(text, str):
-            raise ValueError("no text")
-        lines = text.split("\n")
-        acc = np.zeros(4, dtype=np.float64)
-        for p in sampled_positions(len(lines), k):
-            s = lines[p]
-            n = max(len(s), 1)
-            acc += (len(s), len(s.split(" ")), sum(map(str.isupper, s)) / n, sum(map(str.isdigit, s)) / n)
-        return acc / k
-    return Extractor("frames", 4, fn)
-
-
-def word_series(length: int = 40) -> Extractor:
-    """Per-word character counts, padded with zeros / truncated to ``length``."""
-    def fn(text: object) -> np.ndarray:
-        if not isinstance(text, str):
-            raise ValueError("no text")
-        lens = [len(w) for w in text.split(" ")][:length]
-        return np.pad(np.asarray(lens, dtype=np.float32), (0, length - len(lens)))
-    return Extractor("series", length, fn)
+        return lambda text: [len(normalize("NFC", text))]
+    return Extractor("composed", 1, init)

@@ -11,6 +11,8 @@ Keys must be unique.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,16 +29,19 @@ def shuffle_hash(key: Column | str, seed: int) -> Column:
 
 def hash_percentile(key: Column | str, seed: int) -> Column:
     """Stable bucket 0..99 from the first 8 hex digits of the shuffle hash."""
-    h8 = F.substring(shuffle_hash(key, seed), 1, 8)
-    return (F.conv(h8, 16, 10).cast("long") % 100).cast("long")
+    return (hash_position(key, seed) % 100).cast("long")
+
+
+def hash_position(key: Column | str, seed: int) -> Column:
+    """Stable position 0..2**32-1 from the first 8 hex digits of the shuffle hash."""
+    return F.conv(F.substring(shuffle_hash(key, seed), 1, 8), 16, 10).cast("long")
 
 
 def hash_split(df: DataFrame, key: str, cfg: SplitConfig = SplitConfig(), out: str = "split") -> DataFrame:
     """Streaming-safe split: each row decides alone (no global count needed)."""
-    t1 = int(round(cfg.train * 100))
-    t2 = int(round((cfg.train + cfg.val) * 100))
-    p = hash_percentile(key, cfg.seed)
-    return df.withColumn(out, F.when(p < t1, "train").when(p < t2, "val").otherwise("test"))
+    p = hash_position(key, cfg.seed)
+    train, val = (math.ceil(x * 2**32) for x in (cfg.train, cfg.train + cfg.val))
+    return df.withColumn(out, F.when(p < train, "train").when(p < val, "val").otherwise("test"))
 
 
 def split_sizes(n: int, cfg: SplitConfig = SplitConfig()) -> tuple[int, int, int]:

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 def dedupe_in_batch(df: DataFrame, key: str, order: str, batch_cols: tuple[str, ...] = ()) -> DataFrame:
     """Keep the row with the largest ``order`` per key (and batch), via partially
     aggregated ``max_by`` (no window, no whole group in one task)."""
+    if order == key:
+        raise ValueError("the order must tell rows of one key apart; it can't be the key")
     group = [key, *batch_cols]
     others = [c for c in df.columns if c not in group]
     packed = F.max_by(F.struct(*others), F.col(order)).alias("__up_row")

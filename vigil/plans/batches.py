@@ -112,14 +112,16 @@ FROM (SELECT doc_id, lang, text, {sql_hash_split('doc_id')} AS split FROM docume
 WHERE split = 'val'
 """)
 def feature_store_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write features in four micro-batches (the last replays the first), then scan the
+    """Write features in four micro-batches (the last replays the first; each holds older
+    versions of its rows, too, of which the last written one must win), then scan the
     current view of the val split."""
     docs = hash_split(heavy_table(spark, sf_dir, "documents", "doc_id", "lang", "text"), "doc_id")
     feats = docs.select("doc_id", "lang", "split", F.size(F.split("text", " ")).cast("long").alias("n_words"))
     path = scratch_path(spark, "store")
     part = F.col("doc_id") % 3
-    for b in range(3):
-        upsert_batch(feats.where(part == b), path, "doc_id", "doc_id", run_id=0, batch_id=b)
-    upsert_batch(feats.where(part == 0), path, "doc_id", "doc_id", run_id=0, batch_id=3)
+    versions = feats.withColumn("version", F.lit(1)).unionByName(feats.select(
+        "doc_id", "lang", "split", F.lit(-1).cast("long").alias("n_words"), F.lit(0).alias("version")))
+    for b, p in enumerate((0, 1, 2, 0)):
+        upsert_batch(versions.where(part == p), path, "doc_id", "version", run_id=0, batch_id=b)
     view = read_current(spark, path, "doc_id")
     return view.where(F.col("split") == "val").select("doc_id", "lang", "split", "n_words")

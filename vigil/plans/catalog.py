@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from vigil.schemas import CLASS_NAMES, SENSITIVE_CLASSES
 from vigil.sources.tables import table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -43,16 +44,21 @@ def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def sql_pct(expr: str, seed: int = 42) -> str:
     """Stable bucket 0..99, the DuckDB form of ``operators.split.hash_percentile``."""
-    return f"(CAST(('0x' || substr(md5('{seed}:' || CAST({expr} AS VARCHAR)), 1, 8)) AS UBIGINT) % 100)"
+    return f"({sql_position(expr, seed)} % 100)"
+
+
+def sql_position(expr: str, seed: int = 42) -> str:
+    """The DuckDB form of ``operators.split.hash_position``."""
+    return f"CAST(('0x' || substr(md5('{seed}:' || CAST({expr} AS VARCHAR)), 1, 8)) AS UBIGINT)"
 
 
 def sql_hash_split(expr: str) -> str:
-    p = sql_pct(expr)
-    return f"(CASE WHEN {p} < 70 THEN 'train' WHEN {p} < 85 THEN 'val' ELSE 'test' END)"
+    p = sql_position(expr)
+    return f"(CASE WHEN {p} < 0.7 * 4294967296 THEN 'train' WHEN {p} < 0.85 * 4294967296 THEN 'val' ELSE 'test' END)"
 
 
-SQL_CLASS_LIST = "['horrible', 'normal', 'offensive', 'pornographic', 'superstitious', 'violent']"
-SQL_SENSITIVE_LIST = "['horrible', 'offensive', 'pornographic', 'superstitious', 'violent']"
+SQL_CLASS_LIST = str(CLASS_NAMES)
+SQL_SENSITIVE_LIST = str(SENSITIVE_CLASSES)
 SQL_URL_PATH = r"regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1)"
 SQL_URL_SEGS = f"list_filter(string_split({SQL_URL_PATH}, '/'), lambda s: s <> '')"
 SQL_URL_LABEL = f"coalesce({SQL_URL_SEGS}[1], '')"

@@ -172,10 +172,10 @@ WITH fr AS ({_SQL_FRAMES}),
 se AS (SELECT doc_id, list_resize(list_transform(string_split(text, ' '), lambda w: length(w)), {SERIES}, 0) AS s
        FROM documents),
 tw AS (SELECT doc_id, len(string_split(lower(text), ' ')) AS n_tokens FROM documents)
-SELECT l.doc_id, round(fr.frame_mean, 6) AS frame_mean,
+SELECT fr.doc_id, round(fr.frame_mean, 6) AS frame_mean,
        CAST(list_sum(se.s) AS BIGINT) AS series_sum, CAST(tw.n_tokens AS BIGINT) AS n_tokens,
        CAST(l.toxic AS INTEGER) AS label_idx
-FROM labels l JOIN fr ON l.doc_id = fr.doc_id JOIN se ON l.doc_id = se.doc_id JOIN tw ON l.doc_id = tw.doc_id
+FROM fr JOIN se ON fr.doc_id = se.doc_id JOIN tw ON fr.doc_id = tw.doc_id LEFT JOIN labels l ON l.doc_id = fr.doc_id
 """)
 def modality_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All three modality blocks come from one scan of the media table (row-wise
@@ -188,7 +188,7 @@ def modality_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(frame_mean("text"), 6).alias("frame_mean"),
         F.aggregate(series, F.lit(0).cast("long"), lambda a, x: a + x).alias("series_sum"),
         F.size(tx.tokens("text")).cast("long").alias("n_tokens"))
-    return lab.join(feats, "doc_id").select("doc_id", "frame_mean", "series_sum", "n_tokens", "label_idx")
+    return feats.join(lab, "doc_id", "left").select("doc_id", "frame_mean", "series_sum", "n_tokens", "label_idx")
 
 
 @query("token_window", "OP-47", f"""

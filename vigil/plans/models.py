@@ -15,12 +15,12 @@ from pyspark.sql import functions as F
 from vigil.config import DEFAULT
 from vigil.functions import arrays as ar
 from vigil.operators import training as tr
-from vigil.operators.featurize import featurize as run_extractors, line_frames, word_series
+from vigil.operators.featurize import composed_text, featurize as run_extractors
 from vigil.operators.split import hash_split
 from vigil.plans.catalog import query, t
 from vigil.sources.tables import heavy_table
 from vigil.functions.text import word_lengths
-from vigil.plans.features import FRAMES, SERIES, VEC_DIM, _SQL_FRAMES
+from vigil.plans.features import SERIES, VEC_DIM, _SQL_FRAMES, frame_mean
 from vigil.session import materialize, scratch_path
 from vigil.sinks.store import read_store
 from vigil.streaming import jobs
@@ -36,17 +36,20 @@ PRESETS = {"fusion": (256, 256), "tiny": (128,)}
 
 
 @query("featurize", "OP-70 OP-46 OP-53 OP-37", f"""
-WITH fr AS ({_SQL_FRAMES})  -- features are stored as float32
-SELECT d.doc_id, 'ok' AS status, round(CAST(CAST(fr.frame_mean AS FLOAT) AS DOUBLE), 6) AS frame_mean,
+WITH fr AS ({_SQL_FRAMES})
+SELECT d.doc_id, 'ok' AS status, round(fr.frame_mean, 6) AS frame_mean,
+       CAST(CAST(length(nfc_normalize(d.text)) AS FLOAT) AS BIGINT) AS n_composed,  -- features are stored as float32
        CAST(list_sum(list_resize(list_transform(string_split(d.text, ' '), lambda w: length(w)), {SERIES}, 0))
             AS BIGINT) AS series_sum
 FROM documents d JOIN fr ON d.doc_id = fr.doc_id
 """)
 def featurize(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = heavy_table(spark, sf_dir, "documents", "doc_id", "text")
-    feats = run_extractors(docs, "doc_id", "text", [line_frames(FRAMES), word_series(SERIES)])
-    return feats.select("doc_id", "status", F.round(F.get("frames", 0).cast("double"), 6).alias("frame_mean"),
-                        F.aggregate("series", F.lit(0).cast("long"), lambda a, x: a + x.cast("long")).alias("series_sum"))
+    series = ar.pad_truncate(word_lengths("text"), SERIES, "int")
+    docs = docs.select("doc_id", "text", F.round(frame_mean("text"), 6).alias("frame_mean"),
+                       F.aggregate(series, F.lit(0).cast("long"), lambda a, x: a + x).alias("series_sum"))
+    feats = run_extractors(docs, "doc_id", "text", [composed_text()], carry=["frame_mean", "series_sum"])
+    return feats.select("doc_id", "status", "frame_mean", F.get("composed", 0).cast("long").alias("n_composed"), "series_sum")
 
 
 @query("text_features", "OP-47")
@@ -104,8 +107,7 @@ def _train(spark: SparkSession, sf_dir: str, hidden=TRAIN.hidden):
     # one table of vectorised documents in the shared folder: every fit and every
     # scoring query reads it instead of re-tokenising the texts
     feats = materialize(feats.select("doc_id", "split", "label", "features"), "model_features")
-    parallelism = spark.sparkContext.defaultParallelism
-    train = _training_rows(feats).repartition(parallelism)
+    train = _training_rows(feats)
     val = feats.where(F.col("label").isNotNull() & (F.col("split") == "val"))
     res = tr.train_early_stop(train, val, len(DOC_CLASSES), TRAIN, hidden)
     res.path = tr.save_model(res.model, scratch_path(spark, "model"))

@@ -1,7 +1,7 @@
 """Moderation report and flagged rows (OP-75, OP-33) over documents and their labels.
 
 Predictions for documents come from ``labels``: toxic -> class ``offensive``
-(sensitive), otherwise ``normal``. Only ``doc_id`` and the grouping/display columns
+(sensitive), otherwise ``normal``, unlabelled documents included. Only ``doc_id`` and the grouping/display columns
 of ``documents`` are read (the text column is pruned at the scan).
 """
 
@@ -22,13 +22,20 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("sensitive", sensitive_flag("predicted_label")))
 
 
+def with_predictions(docs: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its prediction; one without a label counts as ``normal``."""
+    joined = docs.join(predictions(spark, sf_dir), "doc_id", "left")
+    label = F.coalesce("predicted_label", F.lit("normal"))
+    return joined.withColumn("predicted_label", label).withColumn("sensitive", sensitive_flag("predicted_label"))
+
+
 def moderation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = t(spark, sf_dir, "documents").select("doc_id", "lang")
-    joined = docs.join(predictions(spark, sf_dir), "doc_id", "inner")
+    joined = with_predictions(docs, spark, sf_dir)
     agg = joined.groupBy("lang").agg(
         F.count(F.lit(1)).alias("n_items"),
         F.sum(F.col("sensitive").cast("long")).alias("n_sensitive"),
-        F.sum((F.col("quality") == 0).cast("long")).alias("n_low_quality"))
+        F.sum(F.coalesce(F.col("quality") == 0, F.lit(False)).cast("long")).alias("n_low_quality"))
     return agg.withColumn("sensitive_share", F.round(F.col("n_sensitive") / F.col("n_items"), 6))
 
 
@@ -38,7 +45,7 @@ SELECT d.lang,
        CAST(sum(CASE WHEN l.toxic = 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_sensitive,
        CAST(sum(CASE WHEN l.quality = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_low_quality,
        round(sum(CASE WHEN l.toxic = 1 THEN 1 ELSE 0 END) / CAST(count(*) AS DOUBLE), 6) AS sensitive_share
-FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 GROUP BY d.lang
 """)(moderation_report)
 
@@ -65,7 +72,7 @@ SELECT CAST(d.doc_id // {LANDING_BATCH} AS BIGINT) AS batch_id,
        CAST(count(*) AS BIGINT) AS n_items,
        CAST(sum(CASE WHEN l.toxic = 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_sensitive,
        round(sum(CASE WHEN l.toxic = 1 THEN 1 ELSE 0 END) / CAST(count(*) AS DOUBLE), 6) AS sensitive_share
-FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 GROUP BY 1, 2
 """)
 def batch_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,5 +81,5 @@ def batch_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = t(spark, sf_dir, "documents").select(
         "doc_id", F.floor(F.col("doc_id") / LANDING_BATCH).cast("long").alias("batch_id"))
-    pred = docs.join(predictions(spark, sf_dir), "doc_id", "inner")
+    pred = with_predictions(docs, spark, sf_dir)
     return sensitive_report(pred, ["batch_id", "predicted_label"])

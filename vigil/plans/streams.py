@@ -23,7 +23,7 @@ from vigil.sources.tables import heavy_table
 from vigil.streaming import jobs
 from vigil.streaming.replay import write_ordered, write_pieces
 
-PIECES = 4  # the table is replayed in this many ordered files, one per trigger
+PIECES = 8  # the table is replayed in this many ordered pieces, one file per trigger
 FILE_STREAM = StreamConfig(format="parquet", max_files_per_trigger=1)
 
 
@@ -40,7 +40,7 @@ def _record_schema() -> T.StructType:
 
 def _publish_records(records: DataFrame, path: str) -> None:
     """Write ``key, value`` records as ordered files (the topic stand-in)."""
-    write_pieces(records, path, "piece")
+    write_pieces(records, path, "piece", pieces=PIECES)
 
 
 def _doc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,35 +48,36 @@ def _doc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = (docs.withColumn("url", F.concat(F.lit("doc://"), F.col("doc_id").cast("string")))
              .withColumnRenamed("lang", "label").withColumnRenamed("doc_id", "id"))
     items = _ordered_pieces(items, "id")
-    return encode(items, "training", carry=("piece",))
+    # every tenth item is announced a second time under an id that has no media
+    lost = items.where(F.col("id") % 10 == 3).withColumn("id", F.concat(F.lit("lost-"), F.col("id").cast("string")))
+    junk = items.where(F.col("id") % 10 == 4).select(
+        F.concat(F.lit("junk-"), F.col("id").cast("string")).cast("binary").alias("key"),
+        F.concat(F.lit("{broken "), F.col("id").cast("string")).cast("binary").alias("value"), "piece")
+    items = items.withColumn("id", F.col("id").cast("string")).unionByName(lost)
+    return encode(items, "training", carry=("piece",)).unionByName(junk)
 
 
 def doc_features(spark: SparkSession, sf_dir: str) -> callable:
-    """Path strategy: features are looked up by the item id in the media table."""
-    docs_raw = t(spark, sf_dir, "documents").select("doc_id", "text")
+    """Path strategy: features are looked up by the item id in the media table. An item whose
+    media is missing keeps its row with zero features and a status. The join is by key of
+    any kind; a media table bucketed by key spares its shuffle."""
+    docs_raw = t(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), "text")
 
     def featurize(good: DataFrame) -> DataFrame:
-        # Look up only the batch's key range: the bounds reach the Parquet scan as pushed
-        # filters, so row groups outside the range are skipped (no full media-table scan
-        # per micro-batch).
-        lo, hi = good.select(F.col("id").cast("long").alias("k")).agg(F.min("k"), F.max("k")).first()
-        if lo is None:
-            return good.select("id", "label", "split").limit(0).withColumn("n_words", F.lit(0).cast("long")) \
-                .withColumn("n_lines", F.lit(0).cast("long"))
-        media = docs_raw.where(F.col("doc_id").between(lo, hi)).select(
-            F.col("doc_id").cast("string").alias("id"), "text")
-        joined = good.select("id", "label", "split").join(media, "id", "inner")
-        return joined.select("id", "label", "split",
-                             F.size(F.split("text", " ")).cast("long").alias("n_words"),
-                             F.size(F.split("text", "\n")).cast("long").alias("n_lines"))
+        joined = good.select("id", "label", "split").join(docs_raw, "id", "left")
+        size = lambda sep: F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", sep))).cast("long")
+        return joined.select("id", "label", "split", size(" ").alias("n_words"), size("\n").alias("n_lines"),
+                             F.when(F.col("text").isNull(), "missing").otherwise("ok").alias("status"))
     return featurize
 
 
 @query("stream_feature_store", "OP-60 OP-01 OP-55 OP-18 OP-62", f"""
 SELECT CAST(doc_id AS VARCHAR) AS id, lang AS label, {sql_hash_split('doc_id')} AS split,
        CAST(len(string_split(text, ' ')) AS BIGINT) AS n_words,
-       CAST(len(string_split(text, chr(10))) AS BIGINT) AS n_lines
+       CAST(len(string_split(text, chr(10))) AS BIGINT) AS n_lines, 'ok' AS status
 FROM documents
+UNION ALL SELECT 'lost-' || CAST(doc_id AS VARCHAR), lang, {sql_hash_split('doc_id')}, 0, 0, 'missing' FROM documents WHERE doc_id % 10 = 3
+UNION ALL SELECT 'junk-' || CAST(doc_id AS VARCHAR), NULL, NULL, NULL, NULL, 'malformed' FROM documents WHERE doc_id % 10 = 4
 """)
 def stream_feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic, store, ckpt = (scratch_path(spark, n) for n in ("topic", "store", "ckpt"))
@@ -89,7 +90,13 @@ def stream_feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     replay = read_stream(spark, FILE_STREAM, topic + "_replay",
                          _record_schema()).drop("piece")
     jobs.ingest_to_store(replay, store, scratch_path(spark, "ckpt"), doc_features(spark, sf_dir))
-    return read_current(spark, store, "id").select("id", "label", "split", "n_words", "n_lines")
+    current = read_current(spark, store, "id").select("id", "label", "split", "n_words", "n_lines", "status")
+    # what was announced = stored + quarantined; a replayed record is quarantined again
+    bad = read_current(spark, jobs.quarantine_of(store), "key")
+    none = F.lit(None)
+    return current.unionByName(bad.select(
+        F.col("key").cast("string").alias("id"), none.cast("string").alias("label"), none.cast("string").alias("split"),
+        none.cast("long").alias("n_words"), none.cast("long").alias("n_lines"), F.col("reason").alias("status")))
 
 
 def page_payload_features(good: DataFrame) -> DataFrame:
@@ -106,16 +113,25 @@ def page_payload_features(good: DataFrame) -> DataFrame:
 SELECT CAST(page_id AS VARCHAR) AS id, url, 'ok' AS payload_status, CAST(strlen(html) AS BIGINT) AS n_bytes,
        CAST(length(html) - length(replace(html, '<', '')) AS BIGINT) AS n_tags
 FROM pages
-""")
+UNION ALL SELECT 'junk-' || CAST(page_id AS VARCHAR), NULL, 'malformed', strlen('{{broken ' || CAST(page_id AS VARCHAR)), NULL
+FROM pages WHERE page_id % 10 = 4
+""".replace("{{", "{"))
 def stream_land(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic, landing, ckpt = (scratch_path(spark, n) for n in ("topic", "landing", "ckpt"))
     pages = heavy_table(spark, sf_dir, "pages", "page_id", "url", "html")
     items = pages.withColumn("video_encoded", tx.b64encode(F.encode("html", "UTF-8"))).withColumnRenamed("page_id", "id")
-    records = encode(items, "inference").withColumn("piece", (F.col("key").cast("string").cast("long") % PIECES).cast("int"))
-    _publish_records(records, topic)
+    records = encode(items.withColumn("piece", (F.col("id") % PIECES).cast("int")), "inference", carry=("piece",))
+    junk = pages.where(F.col("page_id") % 10 == 4).select(
+        F.concat(F.lit("junk-"), F.col("page_id").cast("string")).cast("binary").alias("key"),
+        F.concat(F.lit("{broken "), F.col("page_id").cast("string")).cast("binary").alias("value"),
+        (F.col("page_id") % PIECES).cast("int").alias("piece"))
+    _publish_records(records.unionByName(junk), topic)
     stream = read_stream(spark, FILE_STREAM, topic, _record_schema()).drop("piece")
     jobs.land(stream, landing, ckpt, page_payload_features, mode="inference")
-    return read_store(spark, landing).select("id", "url", "payload_status", "n_bytes", "n_tags")
+    bad = read_store(spark, jobs.quarantine_of(landing))
+    return read_store(spark, landing).select("id", "url", "payload_status", "n_bytes", "n_tags").unionByName(bad.select(
+        F.col("key").cast("string").alias("id"), F.lit(None).cast("string").alias("url"), F.col("reason").alias("payload_status"),
+        F.octet_length("value").cast("long").alias("n_bytes"), F.lit(None).cast("long").alias("n_tags")))
 
 
 @query("stream_dedupe", "OP-66 OP-64", """

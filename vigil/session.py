@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def build_session(app: str = "vigil", master: str | None = None, shuffle_partitions: int = 8,
+def build_session(app: str = "vigil", master: str | None = None, shuffle_partitions: int = 200,
                   extra: dict[str, str] | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
@@ -45,7 +45,8 @@ def build_session(app: str = "vigil", master: str | None = None, shuffle_partiti
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the cluster; set a local one only if unset."""
+    """The shared checkpoint folder of the cluster. Where it is unset, a local one is made on a
+    local master; elsewhere that is an error, since executors don't share local folders."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         if not spark.sparkContext.getCheckpointDir():
@@ -54,7 +55,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    root = tempfile.mkdtemp(prefix="vigil-ckpt-")  # unit tests only: nothing configured
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    root = tempfile.mkdtemp(prefix="vigil-ckpt-")  # one machine only: nothing configured
     spark.sparkContext.setCheckpointDir(root)
     return root
 

@@ -37,10 +37,9 @@ def publish(records: DataFrame, cfg: StreamConfig, path: str | None = None) -> N
         from vigil.sources.stream import require_kafka
 
         require_kafka(records.sparkSession)
-        (records.write.format("kafka")
+        (records.write.format("kafka").options(**{"kafka.acks": "all", **cfg.options})
          .option("kafka.bootstrap.servers", cfg.bootstrap_servers)
          .option("topic", cfg.topic)
-         .option("kafka.acks", "all")
          .save())
     else:
         if not path:

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vigil.schemas import MANIFEST, MANIFEST_ENTRY
 
@@ -41,7 +42,8 @@ def read_manifest_files(spark: SparkSession, path: str) -> DataFrame:
 def write_manifest(df: DataFrame, dst: str, split: str = "split") -> DataFrame:
     """JSON-lines manifest partitioned by split; returns per-split counts."""
     df.write.mode("overwrite").partitionBy(split).json(dst)
-    return df.sparkSession.read.json(dst).groupBy(split).agg(F.count(F.lit(1)).alias("n_items"))
+    written = T.StructType([f for f in df.schema.fields if f.name != split])  # given, not inferred by a pass over the output
+    return df.sparkSession.read.schema(written).json(dst).groupBy(split).agg(F.count(F.lit(1)).alias("n_items"))
 
 
 def read_manifest_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -18,29 +18,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-SPREAD_MIN_BYTES = 2 << 20  # below this estimated size one task is fast enough
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give CPU-heavy row-wise stages (tokenising whole texts, payload codecs, Python
-    extractors) at least one partition per core.
-
-    A large input already has one partition per file split, so this is a no-op there
-    (no shuffle is added at scale). A small input stored in few row groups would run on
-    a single task; it is spread round-robin instead. Column pruning and filters still
-    reach the scan (Catalyst pushes them below the repartition).
-    """
-    try:  # classic sessions only; a Spark Connect client cannot see plan statistics
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))  # metadata only
-        parts = df.rdd.getNumPartitions()
-    except Exception:
-        return df
-    if size < SPREAD_MIN_BYTES or parts >= target:
-        return df
-    return df.repartition(target)
-
-
 def heavy_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    """Pruned scan of ``cols``, spread for CPU-heavy row-wise work."""
-    return spread(table(spark, sf_dir, name).select(*cols))
+    """Pruned scan of ``cols`` for CPU-heavy row-wise work. Tasks follow the file splits
+    (``spark.sql.files.maxPartitionBytes``, ``minPartitionNum``); texts are never shuffled
+    to make more of them."""
+    return table(spark, sf_dir, name).select(*cols)

@@ -21,7 +21,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.sinks.store import upsert_batch, write_batch
+from vigil.operators.upsert import dedupe_in_batch
+from vigil.sinks.store import write_batch
 from vigil.sources.envelope import decode, split_quarantine
 
 Featurizer = Callable[[DataFrame], DataFrame]
@@ -70,16 +71,55 @@ def list_run_ids(spark: SparkSession, table: str) -> list[int]:
 
 
 def run_id_for(spark: SparkSession, checkpoint: str, table: str) -> int:
-    """Stable per checkpoint: reuse the stored id on restart, else take a fresh one."""
+    """Stable per checkpoint: reuse the stored id on restart, else reserve a fresh one.
+
+    The reservation is a file that only one caller can create, so two checkpoints that
+    start together never share an id."""
     marker = checkpoint.rstrip("/") + ".run_id"
     stored = read_text(spark, marker)
     if stored is not None:
         return int(stored)
     rid = max(list_run_ids(spark, table), default=-1) + 1
+    while not _reserve(spark, f"{table.rstrip('/')}.run_ids/{rid}"):
+        rid += 1
     write_text(spark, marker, str(rid))
     return rid
 
 
+def _reserve(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; False if it is there already."""
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p.getParent())
+    try:
+        return bool(fs.createNewFile(p))
+    except Exception as e:  # some file systems raise instead of returning false
+        if fs.exists(p):
+            return False
+        raise e
+
+
+# --- records of a micro-batch ----------------------------------------------------------
+
+POSITION = ("timestamp", "source_file", "topic", "partition", "offset")  # those that the source has
+
+
+def decoded_batch(batch: DataFrame, mode: str) -> DataFrame:
+    """Decoded envelopes with the raw record and its place in the stream (``position``)."""
+    place = [F.col(c) for c in POSITION if c in batch.columns]
+    tagged = batch.withColumn("position", F.struct(*place, F.monotonically_increasing_id().alias("row")))
+    raw = [c for c in ("key", "value") if c in batch.columns]
+    return decode(tagged, mode, keep=[*raw, "position"])
+
+
+def last_of_each(good: DataFrame, key: str) -> DataFrame:
+    """Of several records of a key in one micro-batch the last one by position."""
+    return dedupe_in_batch(good, key, "position").drop("position", *[c for c in ("value",) if c != key])
+
+
+def quarantine_of(table: str) -> str:
+    return table.rstrip("/") + "_quarantine"
+
+
 # --- jobs ---------------------------------------------------------------------------
 
 @dataclass
@@ -105,24 +145,27 @@ def _run(writer, trigger_once: bool, processing_time: str | None = None):
 
 
 def ingest_to_store(records: DataFrame, store: str, checkpoint: str, featurize: Featurizer,
-                    mode: str = "training", key: str = "id", order: str = "id",
+                    mode: str = "training", key: str = "id",
                     quarantine: str | None = None, available_now: bool = True) -> StreamResult:
-    """Stream -> decode -> featurize -> keyed upsert store (OP-60)."""
+    """Stream -> decode -> featurize -> keyed upsert store (OP-60).
+
+    Records without a key go, with their raw bytes and position, to ``quarantine``
+    (default: next to the store)."""
     spark = records.sparkSession
+    quarantine = quarantine or quarantine_of(store)
     run_id = run_id_for(spark, checkpoint, store)
     seen = {"batches": 0}
 
     def process(batch: DataFrame, batch_id: int) -> None:
         # decode once and keep the decoded batch: the emptiness check, the quarantine,
         # the featurizer's lookups and the write all reuse it
-        decoded = decode(batch, mode).persist()
+        decoded = decoded_batch(batch, mode).persist()
         try:
             if decoded.isEmpty():  # e.g. a trailing empty trigger
                 return
             good, bad = split_quarantine(decoded)
-            if quarantine:
-                write_batch(bad, quarantine, run_id, batch_id)
-            upsert_batch(featurize(good), store, key, order, run_id, batch_id)
+            write_batch(bad, quarantine, run_id, batch_id)
+            write_batch(featurize(last_of_each(good, key)), store, run_id, batch_id)
             seen["batches"] += 1
         finally:
             decoded.unpersist()
@@ -133,19 +176,22 @@ def ingest_to_store(records: DataFrame, store: str, checkpoint: str, featurize:
 
 
 def land(records: DataFrame, landing: str, checkpoint: str, featurize: Featurizer,
-         mode: str = "inference", available_now: bool = True) -> StreamResult:
-    """Stream -> decode -> featurize (payload or path strategy) -> per-batch overwrite (OP-61)."""
+         mode: str = "inference", quarantine: str | None = None, available_now: bool = True) -> StreamResult:
+    """Stream -> decode -> featurize (payload or path strategy) -> per-batch overwrite (OP-61);
+    records without a key go to ``quarantine`` (default: next to the landing table)."""
     spark = records.sparkSession
+    quarantine = quarantine or quarantine_of(landing)
     run_id = run_id_for(spark, checkpoint, landing)
     seen = {"batches": 0}
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        decoded = decode(batch, mode).persist()  # parsed once per micro-batch
+        decoded = decoded_batch(batch, mode).persist()  # parsed once per micro-batch
         try:
             if decoded.isEmpty():
                 return
-            good, _ = split_quarantine(decoded)
-            write_batch(featurize(good), landing, run_id, batch_id)
+            good, bad = split_quarantine(decoded)
+            write_batch(bad, quarantine, run_id, batch_id)
+            write_batch(featurize(good.drop("value", "position")), landing, run_id, batch_id)
             seen["batches"] += 1
         finally:
             decoded.unpersist()

@@ -10,16 +10,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vigil.operators.joins import estimated_bytes
 
-def write_pieces(df: DataFrame, path: str, bucket: str, fmt: str = "parquet", files_per_piece: int = 1,
-                 salt_cols: list[str] | None = None) -> None:
+
+FILE_BYTES = 64 << 20
+
+
+def files_for(df: DataFrame, pieces: int = 1) -> int:
+    """Files per piece so that each holds about ``FILE_BYTES`` of the optimizer's estimate."""
+    size = estimated_bytes(df)
+    return max(1, -(-(size or 0) // (pieces * FILE_BYTES)))
+
+
+def write_pieces(df: DataFrame, path: str, bucket: str, fmt: str = "parquet", files_per_piece: int | None = None,
+                 salt_cols: list[str] | None = None, pieces: int = 1) -> None:
     """Write each bucket value under ``path/<bucket>=<v>/`` in a single job.
 
-    With ``files_per_piece = 1`` a piece is one file (one trigger with
-    ``maxFilesPerTrigger=1``) and is written by one task. A piece that may hold a large
-    share of the data is split into ``files_per_piece`` files by a deterministic hash
-    salt over ``salt_cols`` (stable under task retry, unlike a random salt).
+    A piece is split into ``files_per_piece`` files (by default as many as the input's size
+    asks for, spread over ``pieces`` pieces), each written by a task of its own, by a
+    deterministic hash salt over ``salt_cols`` (stable under task retry, unlike a random salt).
     """
+    if files_per_piece is None:
+        files_per_piece = files_for(df, pieces)
     if files_per_piece > 1:
         cols = salt_cols or [c for c in df.columns if c != bucket]
         salt = F.pmod(F.xxhash64(*cols), F.lit(files_per_piece))
@@ -30,16 +42,18 @@ def write_pieces(df: DataFrame, path: str, bucket: str, fmt: str = "parquet", fi
 
 
 def write_ordered(df: DataFrame, path: str, bucket: str, values: list[int], fmt: str = "parquet",
-                  replay_previous: bool = False, files_per_piece: int = 1) -> None:
+                  replay_previous: bool = False, files_per_piece: int | None = None) -> None:
     """Write bucket files in order (file modification time = replay order), one job per
     bucket. With ``replay_previous`` every piece also re-sends the previous bucket
     (duplicates). A large piece is written by ``files_per_piece`` tasks (round-robin,
     deterministic under retry); raise ``maxFilesPerTrigger`` to match."""
+    if files_per_piece is None:
+        files_per_piece = files_for(df, len(values))
     prev = None
     for v in values:
         part = df.where(F.col(bucket) == v)
         if replay_previous and prev is not None:
             part = part.unionByName(df.where(F.col(bucket) == prev))
-        part = part.coalesce(1) if files_per_piece == 1 else part.repartition(files_per_piece)
+        part = part.repartition(files_per_piece)
         part.write.mode("append").format(fmt).save(f"{path}/piece={v:06d}")
         prev = v
