@@ -35,6 +35,32 @@ def text_vectors(docs: DataFrame, text: str = "text", num_features: int = 1 << 1
     return model.transform(with_tokens).drop("__tokens", "__tf"), model
 
 
+def hashed_tfidf(docs: DataFrame, key: str, text: str = "text", num_features: int = 1 << 12) -> DataFrame:
+    """Sparse hashed TF-IDF rows ``key, bucket, weight`` (OP-47) in DataFrame operations.
+
+    A token's bucket is its md5 (first 8 hex digits) modulo ``num_features``; weight is tf times
+    ln((n + 1) / (df + 1)). Counts are partial before each shuffle; document frequencies
+    are one row per bucket, so that side is broadcast (bounded by ``num_features``)."""
+    bucket = F.conv(F.substring(F.md5("token"), 1, 8), 16, 10).cast("long") % num_features
+    tf = (docs.select(key, F.explode(tokens(text)).alias("token")).groupBy(key, "token").agg(F.count(F.lit(1)).alias("n"))
+          .groupBy(key, bucket.alias("bucket")).agg(F.sum("n").alias("tf")))
+    df = tf.groupBy("bucket").agg(F.count(F.lit(1)).alias("df"))
+    total = docs.agg(F.count(F.lit(1)).alias("total"))
+    idf = df.join(F.broadcast(total)).select("bucket", F.log((F.col("total") + 1) / (F.col("df") + 1)).alias("idf"))
+    return tf.join(F.broadcast(idf), "bucket").select(key, "bucket", (F.col("tf") * F.col("idf")).alias("weight"))
+
+
+def balanced_copies(train: DataFrame, label: str = "label") -> DataFrame:
+    """Rows of rare classes repeated so that each class has about the rows of the largest (for
+    learners without row weights). The class histogram is one small aggregate."""
+    counts = {r[0]: r[1] for r in train.groupBy(label).count().collect()}
+    most = max(counts.values(), default=1)
+    times = F.lit(1)
+    for cls, n in counts.items():
+        times = F.when(F.col(label) == F.lit(cls), F.lit(max(1, round(most / n)))).otherwise(times)
+    return train.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), times))).drop("__copy")
+
+
 def feature_pipeline(array_cols: list[str], vector_cols: list[str]) -> Pipeline:
     """Assemble the modality blocks (late fusion input) and scale them."""
     return Pipeline(stages=[
@@ -70,10 +96,11 @@ def _loss_and_accuracy(pred: DataFrame) -> tuple[float, float]:
 
 def train_early_stop(train: DataFrame, val: DataFrame, n_classes: int, cfg: TrainConfig = TrainConfig(),
                      hidden: tuple[int, ...] | None = None) -> TrainResult:
-    """``train``/``val`` carry ``features`` (vector) and ``label`` (double)."""
+    """``train``/``val`` carry ``features`` (vector) and ``label`` (double). The best round is that
+    of the highest macro-F1 on ``val``; classes are balanced for the fit."""
     history: list[tuple] = []
     # every round re-reads both splits: keep them cached (spilling to disk if large)
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    train = balanced_copies(train).persist(StorageLevel.MEMORY_AND_DISK)
     val = val.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n_in = len(train.select("features").first()[0])
@@ -85,7 +112,7 @@ def train_early_stop(train: DataFrame, val: DataFrame, n_classes: int, cfg: Trai
 
 
 def _rounds(train: DataFrame, val: DataFrame, layers: list[int], cfg: TrainConfig, history: list) -> TrainResult:
-    best, best_loss, best_round, weights, waited = None, float("inf"), -1, None, 0
+    best, best_f1, best_loss, best_round, weights, waited = None, -1.0, float("inf"), -1, None, 0
     for r in range(cfg.max_rounds):
         mlp = MultilayerPerceptronClassifier(layers=layers, maxIter=cfg.iters_per_round, seed=cfg.seed,
                                              blockSize=1024, solver="l-bfgs")
@@ -95,10 +122,11 @@ def _rounds(train: DataFrame, val: DataFrame, layers: list[int], cfg: TrainConfi
         weights = model.weights
         pred = model.transform(val)
         loss, acc = _loss_and_accuracy(pred)
-        improved = loss < best_loss
-        history.append((r, float(loss), float(acc), improved))
+        f1 = macro_f1(model, val)
+        improved = f1 > best_f1
+        history.append((r, float(loss), float(acc), f1, improved))
         if improved:
-            best, best_loss, best_round, waited = model, loss, r, 0
+            best, best_f1, best_loss, best_round, waited = model, f1, loss, r, 0
         else:
             waited += 1
             if waited >= cfg.patience:

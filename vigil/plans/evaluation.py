@@ -1,5 +1,5 @@
-"""Evaluation queries on embeddings (first ten dimensions as logits, ``label`` as the
-true class): accuracy, cross-entropy, confusion counts (OP-43, OP-44, OP-45, OP-77)."""
+"""Evaluation queries on embeddings (logits of a fixed linear model over whole vectors,
+``label`` as the true class): accuracy, cross-entropy, confusion counts (OP-43, OP-44, OP-45, OP-77)."""
 
 from __future__ import annotations
 
@@ -8,21 +8,17 @@ from pyspark.sql import functions as F
 
 from vigil.operators import evaluate as ev
 from vigil.plans.catalog import query, t
-
-_SQL_Z = """(SELECT vec_id, label, z, list_max(z) AS m FROM
-  (SELECT vec_id, label, list_transform(list_slice(embedding, 1, 10), lambda x: CAST(x AS DOUBLE)) AS z
-   FROM embeddings))"""
-
+from vigil.plans.features import SQL_LOGITS, fixed_logits
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    emb = t(spark, sf_dir, "embeddings").select("vec_id", "label", F.slice("embedding", 1, 10).alias("logits"))
+    emb = t(spark, sf_dir, "embeddings").select("vec_id", "label", fixed_logits("embedding").alias("logits"))
     return ev.score_logits(emb, "logits", "label")
 
 
 @query("eval_accuracy", "OP-43 OP-77", f"""
 SELECT CAST(count(*) AS BIGINT) AS n_rows,
        round(avg(CASE WHEN list_position(z, m) - 1 = label THEN 1.0 ELSE 0.0 END) * 100.0, 6) AS accuracy
-FROM {_SQL_Z}
+FROM {SQL_LOGITS}
 """)
 def eval_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.accuracy(scored(spark, sf_dir))
@@ -31,7 +27,7 @@ def eval_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("eval_cross_entropy", "OP-44 OP-77", f"""
 SELECT CAST(count(*) AS BIGINT) AS n_rows,
        round(avg(m + ln(list_sum(list_transform(z, lambda x: exp(x - m)))) - z[label + 1]), 6) AS cross_entropy
-FROM {_SQL_Z}
+FROM {SQL_LOGITS}
 """)
 def eval_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.mean_cross_entropy(scored(spark, sf_dir))
@@ -39,14 +35,14 @@ def eval_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("confusion_matrix", "OP-45", f"""
 SELECT label, CAST(list_position(z, m) - 1 AS INTEGER) AS prediction, CAST(count(*) AS BIGINT) AS n
-FROM {_SQL_Z} GROUP BY 1, 2
+FROM {SQL_LOGITS} GROUP BY 1, 2
 """)
 def confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.confusion(scored(spark, sf_dir))
 
 
 @query("eval_per_class", "OP-45 OP-77", f"""
-WITH c AS (SELECT label, list_position(z, m) - 1 AS prediction FROM {_SQL_Z}),
+WITH c AS (SELECT label, list_position(z, m) - 1 AS prediction FROM {SQL_LOGITS}),
 cls AS (SELECT label AS cls FROM c UNION SELECT prediction FROM c),
 k AS (SELECT cls.cls,
              CAST(count(*) FILTER (WHERE c.label = cls.cls AND c.prediction = cls.cls) AS BIGINT) AS tp,

@@ -19,7 +19,7 @@ from vigil.operators.featurize import composed_text, featurize as run_extractors
 from vigil.operators.split import hash_split
 from vigil.plans.catalog import query, t
 from vigil.sources.tables import heavy_table
-from vigil.functions.text import word_lengths
+from vigil.functions.text import tokens, word_lengths
 from vigil.plans.features import SERIES, VEC_DIM, _SQL_FRAMES, frame_mean
 from vigil.session import materialize, scratch_path
 from vigil.sinks.store import read_store
@@ -52,13 +52,19 @@ def featurize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feats.select("doc_id", "status", "frame_mean", F.get("composed", 0).cast("long").alias("n_composed"), "series_sum")
 
 
-@query("text_features", "OP-47")
+@query("text_features", "OP-47", f"""
+WITH k AS (SELECT doc_id, unnest(string_split(lower(text), ' ')) AS token FROM documents),
+tf AS (SELECT doc_id, CAST(('0x' || substr(md5(token), 1, 8)) AS UBIGINT) % {TEXT_HASH} AS bucket, count(*) AS tf FROM k GROUP BY 1, 2),
+df AS (SELECT bucket, ln(((SELECT count(*) FROM documents) + 1) / CAST(count(*) + 1 AS DOUBLE)) AS idf FROM tf GROUP BY 1)
+SELECT doc_id, CAST(count(*) AS BIGINT) AS n_buckets, CAST(sum(tf) AS BIGINT) AS n_tokens, round(sum(tf * idf), 4) AS weight_sum
+FROM tf JOIN df USING (bucket) GROUP BY doc_id
+""")
 def text_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = heavy_table(spark, sf_dir, "documents", "doc_id", "text")
-    vec, _ = tr.text_vectors(docs, num_features=TEXT_HASH)
-    arr = vector_to_array("tfidf")
-    return vec.select("doc_id", F.size(F.filter(arr, lambda x: x != 0)).cast("long").alias("n_terms"),
-                      F.round(F.aggregate(arr, F.lit(0.0), lambda a, x: a + x), 6).alias("weight_sum"))
+    rows = tr.hashed_tfidf(docs, "doc_id", num_features=TEXT_HASH)
+    n_tokens = docs.select("doc_id", F.size(tokens("text")).cast("long").alias("n_tokens"))
+    sums = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_buckets"), F.round(F.sum("weight"), 4).alias("weight_sum"))
+    return sums.join(n_tokens, "doc_id")
 
 
 def model_inputs(spark: SparkSession, sf_dir: str):
@@ -120,7 +126,7 @@ def _train(spark: SparkSession, sf_dir: str, hidden=TRAIN.hidden):
 @query("train_early_stop", "OP-72 OP-74 OP-12 OP-71")
 def train_early_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
     *_, res = _train(spark, sf_dir)
-    return spark.createDataFrame(res.history, "round int, val_log_loss double, val_accuracy double, improved boolean")
+    return spark.createDataFrame(res.history, "round int, val_log_loss double, val_accuracy double, val_macro_f1 double, improved boolean")
 
 
 @query("model_selection", "OP-73 OP-72")
@@ -132,7 +138,7 @@ def model_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, model in candidates.items():
         loss, acc = tr.evaluate(model, val)
         results.append((name, loss, acc, tr.macro_f1(model, val)))
-    best = min(results, key=lambda r: r[1])[0]
+    best = max(results, key=lambda r: r[3])[0]
     rows = [(n, float(loss), float(acc), float(f1), n == best) for n, loss, acc, f1 in results]
     return spark.createDataFrame(
         rows, "model string, val_log_loss double, val_accuracy double, val_macro_f1 double, selected boolean")
