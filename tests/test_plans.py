@@ -70,3 +70,10 @@ def test_size_checks(spark):
     assert not provably_at_most(docs, 10)
     # an estimate over the byte bound decides without running a job
     assert not provably_at_most(docs.select("text"), 10**9, max_bytes=1)
+
+
+def test_feature_store_scan_prunes_by_split(spark):
+    from vigil.plans import QUERIES
+
+    plan = _plan(QUERIES["feature_store_scan"](spark, "/root/testdata/sf0.001"))
+    assert "PartitionFilters: [isnotnull(split" in plan

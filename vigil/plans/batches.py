@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.operators import report
+from vigil.operators.joins import bounded_broadcast
 from vigil.operators.split import hash_split
 from vigil.operators.upsert import current_view
 from vigil.plans.catalog import query, sql_hash_split, t
 from vigil.sources.tables import heavy_table
-from vigil.session import scratch_path
+from vigil.session import materialize, scratch_path
 from vigil.sinks.store import read_current, read_store, upsert_batch, write_batch
 
 BATCH_ROWS = 1000
@@ -102,8 +103,9 @@ WHERE event_id // {BATCH_ROWS} > {SEEN_UPTO}
 """)
 def incremental_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = event_batches(spark, sf_dir, ("event_id",))
-    seen = ev.select("batch_id").where(F.col("batch_id") <= SEEN_UPTO).distinct()
-    return report.unseen(ev, seen)
+    # the log of batches seen is a stored table, as a job keeps it; one row a batch
+    seen = materialize(ev.select("batch_id").where(F.col("batch_id") <= SEEN_UPTO).distinct(), "seen_batches")
+    return report.unseen(ev, bounded_broadcast(seen, 1_000_000))
 
 
 @query("feature_store_scan", "OP-04 OP-09", f"""
@@ -122,6 +124,6 @@ def feature_store_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     versions = feats.withColumn("version", F.lit(1)).unionByName(feats.select(
         "doc_id", "lang", "split", F.lit(-1).cast("long").alias("n_words"), F.lit(0).alias("version")))
     for b, p in enumerate((0, 1, 2, 0)):
-        upsert_batch(versions.where(part == p), path, "doc_id", "version", run_id=0, batch_id=b)
-    view = read_current(spark, path, "doc_id")
-    return view.where(F.col("split") == "val").select("doc_id", "lang", "split", "n_words")
+        upsert_batch(versions.where(part == p), path, "doc_id", "version", run_id=0, batch_id=b, by=("split",))
+    # a document's split never changes, so the filter prunes partitions below the view
+    return read_current(spark, path, "doc_id", F.col("split") == "val").select("doc_id", "lang", "split", "n_words")

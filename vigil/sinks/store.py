@@ -8,7 +8,7 @@ older run's batch 0.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.operators.upsert import current_view, dedupe_in_batch
@@ -23,9 +23,10 @@ def write_batch(df: DataFrame, path: str, run_id: int, batch_id: int,
      .partitionBy(*partition_by).parquet(path))
 
 
-def upsert_batch(df: DataFrame, path: str, key: str, order: str, run_id: int, batch_id: int) -> None:
-    """Append one micro-batch to the keyed table (in-batch duplicates resolved first)."""
-    write_batch(dedupe_in_batch(df, key, order), path, run_id, batch_id)
+def upsert_batch(df: DataFrame, path: str, key: str, order: str, run_id: int, batch_id: int, by: tuple[str, ...] = ()) -> None:
+    """Append one micro-batch to the keyed table (in-batch duplicates resolved first), also
+    partitioned by the columns ``by``, whose values a key never changes (e.g. its split)."""
+    write_batch(dedupe_in_batch(df, key, order), path, run_id, batch_id, ("run_id", "batch_id", *by))
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
@@ -38,9 +39,11 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
     return df
 
 
-def read_current(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """Current view: per key the row of the latest (run_id, batch_id)."""
-    return current_view(read_store(spark, path), key)
+def read_current(spark: SparkSession, path: str, key: str, only: Column | None = None) -> DataFrame:
+    """Current view: per key the row of the latest (run_id, batch_id). ``only`` is a condition on
+    columns whose values a key never changes; it reaches the scan and prunes partitions."""
+    rows = read_store(spark, path)
+    return current_view(rows if only is None else rows.where(only), key)
 
 
 def compact(spark: SparkSession, path: str, key: str, dst: str, buckets: int) -> None:
