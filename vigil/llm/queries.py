@@ -88,6 +88,29 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+# every window that holds a shingle of an item, compared exactly
+ORACLES["op9_decontamination"] = r"""
+WITH dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x20\x09-\x0D]+') AS w FROM documents),
+iw AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[^\x20\x09-\x0D]+') AS w FROM benchmark),
+it AS (SELECT item_id, w, least(5, len(w)) AS k, len(w) - least(5, len(w)) + 1 AS m FROM iw WHERE len(w) > 0),
+ish AS (SELECT item_id, k, m, array_to_string(w[i:i + k - 1], ' ') AS g FROM (SELECT *, unnest(range(1, m + 1)) AS i FROM it)),
+ic AS (SELECT item_id, k, m, g, count(*) AS c FROM ish GROUP BY ALL),
+dsh AS (SELECT doc_id, k, n, i - 1 AS p, array_to_string(w[i:i + k - 1], ' ') AS g
+        FROM (SELECT doc_id, w, k, len(w) - k + 1 AS n, unnest(range(1, len(w) - k + 2)) AS i
+              FROM dw, (SELECT DISTINCT k FROM it) WHERE len(w) >= k)),
+starts AS (SELECT DISTINCT doc_id, item_id, k, m, least(m, n) AS size,
+                  unnest(range(greatest(p - least(m, n) + 1, 0), least(p, n - least(m, n)) + 1)) AS s
+           FROM dsh JOIN ic USING (k, g)),
+wc AS (SELECT doc_id, item_id, k, m, size, s, g, count(*) AS c FROM starts JOIN dsh USING (doc_id, k) WHERE p >= s AND p < s + size GROUP BY ALL),
+sim AS (SELECT doc_id, item_id, k, wc.m, size, s, sum(least(wc.c, ic.c)) AS shared FROM wc JOIN ic USING (item_id, k, g) GROUP BY ALL),
+ok AS (SELECT doc_id, item_id, CAST(shared AS DOUBLE) / CAST(size + m - shared AS DOUBLE) AS similarity, s, size + k - 1 AS n_words FROM sim)
+SELECT doc_id, item_id, similarity, CAST(s AS BIGINT) AS first_word, CAST(n_words AS BIGINT) AS n_words FROM ok WHERE similarity >= 0.8
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, s) = 1
+"""
+
+
 @_query
 def op3_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
