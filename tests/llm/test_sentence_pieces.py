@@ -75,7 +75,7 @@ def test_table_and_edge_rows(spark):
     docs += [(10_000 + i, t) for i, t in enumerate(TEXTS)] + [(1, None), (1, None), (None, ""), (None, "b " * 500), (3, "giant twice " * 60), (3, "giant twice " * 60)]
     df = spark.createDataFrame([(i, t, "x", 1) for i, t in docs], "doc_id long, text string, key string, chunk int")
     want = sorted(((i, *expected(t)) for i, t in docs), key=str)
-    got = sp.encode(df, PATH, whole=True, chunk=250, group=3).collect()
+    got = sp.encode(df, PATH, more=("ids", "decoded"), chunk=250, group=3).collect()
     assert sorted((tuple(r) for r in got), key=str) == want
     thin = sp.encode(df, PATH, chunk=100, group=2).collect()
     assert sorted((tuple(r) for r in thin), key=str) == sorted((w[:5] for w in want), key=str)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from vigil.session import materialize
 
-BATCH_BYTES = 4 << 20  # texts are worked on in groups of about this size
+BATCH_BYTES = 1 << 20  # texts are worked on in groups of about this size; temporaries take about 40 times that
 
 
 def small_batches(df: DataFrame, rows: int = 1000, size: str = "8m") -> DataFrame:

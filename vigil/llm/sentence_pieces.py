@@ -351,14 +351,18 @@ class _Digest:
 
 
 _DIGEST = (("n_tokens", pa.int64()), ("ids_crc32", pa.int64()), ("decoded_sha256", pa.string()), ("decoded_bytes", pa.int64()))
-_ROW = (*_DIGEST, ("ids", pa.list_(pa.int32())), ("decoded", pa.string()))
+_MORE = {"ids": pa.list_(pa.int32()), "decoded": pa.string()}
 
 
 def _batch(first: pa.Array, name: str, rows: list[tuple], columns: tuple) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([first, *(pa.array([r[i] for r in rows], k) for i, (_, k) in enumerate(columns))], [name, *(n for n, _ in columns)])
 
 
-def _small(path: str, whole: bool):
+def _columns(more: tuple[str, ...]) -> tuple:
+    return (*_DIGEST, *((n, _MORE[n]) for n in more))
+
+
+def _small(path: str, more: tuple[str, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = Encoder(path)
         for b in batches:
@@ -369,19 +373,19 @@ def _small(path: str, whole: bool):
                     d, ids = _Digest(), np.frombuffer(ids, encode.kind)
                     text = encode.pieces.decode(ids.tolist())[1:]  # without the blank put first
                     d.take(ids, text)
-                    rows.append((*d.row(), ids, text.decode()) if whole else d.row())
-            yield _batch(b.column("id"), "id", rows, _ROW if whole else _DIGEST)
+                    rows.append((*d.row(), *(ids if n == "ids" else text.decode() for n in more)))
+            yield _batch(b.column("id"), "id", rows, _columns(more))
     return run
 
 
-def _joined(path: str, whole: bool):
-    """Documents of their chunks, which come in order; without ``whole`` nothing is held."""
+def _joined(path: str, more: tuple[str, ...]):
+    """Documents of their chunks, which come in order; without ``more`` nothing is held."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p, key, now, held, texts = pieces(path), None, None, [], []
 
         def close() -> pa.RecordBatch:
-            row = (*now.row(), np.concatenate(held).astype(np.int32), b"".join(texts).decode()) if whole else now.row()
-            return _batch(pa.array([key]), "key", [row], _ROW if whole else _DIGEST)
+            row = (*now.row(), *(np.concatenate(held).astype(np.int32) if n == "ids" else b"".join(texts).decode() for n in more))
+            return _batch(pa.array([key]), "key", [row], _columns(more))
 
         for b in batches:
             for k, ids in zip(b.column("key").to_pylist(), b.column("ids").to_pylist()):
@@ -393,28 +397,29 @@ def _joined(path: str, whole: bool):
                 text = p.decode(ids.tolist())
                 text = text if now.n else text[1:]
                 now.take(ids, text)
-                if whole:
+                if "ids" in more:
                     held.append(ids)
+                if "decoded" in more:
                     texts.append(text)
         if now is not None:
             yield close()
     return run
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", whole: bool = False, chunk: int = CHUNK, group: int = GROUP) -> DataFrame:
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", more: tuple[str, ...] = (), chunk: int = CHUNK, group: int = GROUP) -> DataFrame:
     """``id, n_tokens, ids_crc32, decoded_sha256, decoded_bytes`` of each row: its ids and what they
-    decode to; with ``whole`` also ``ids`` and ``decoded`` themselves."""
-    columns = _ROW if whole else _DIGEST
+    decode to; of ``more`` also ``ids`` (an array) and ``decoded`` (the text) themselves."""
+    columns = _columns(more)
     kinds = {pa.int64(): "long", pa.string(): "string", pa.list_(pa.int32()): "array<int>"}
     schema = ", ".join(f"{n} {kinds[k]}" for n, k in columns)
     rows = small_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    small = rows.where(F.length("text") <= chunk).select("id", F.col("text").cast("binary").alias("text")).mapInArrow(_small(path, whole), f"id long, {schema}")
+    small = rows.where(F.length("text") <= chunk).select("id", F.col("text").cast("binary").alias("text")).mapInArrow(_small(path, more), f"id long, {schema}")
     # equal giant rows are worked on once
     giant = rows.where(F.length("text") > chunk).groupBy("id", "text").agg(F.count("*").alias("copies"))
     giant = materialize(giant.withColumn("key", F.sha1(F.concat_ws(":", "id", "text").cast("binary"))), "giants")
     chunks = encode_giants(giant.select("key", "text").dropDuplicates(["key"]), path, chunk, group)
     ordered = chunks.repartition(partitions_for(docs), "key").sortWithinPartitions("key", "chunk")
-    joined = ordered.mapInArrow(_joined(path, whole), f"key string, {schema}")
+    joined = ordered.mapInArrow(_joined(path, more), f"key string, {schema}")
     names = [n for n, _ in columns]
     whole_rows = giant.select("id", "key", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")).join(joined, "key")
     return small.select("id", *names).unionAll(whole_rows.select("id", *names))

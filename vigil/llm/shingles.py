@@ -36,8 +36,10 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     starts = np.flatnonzero(~gap & np.concatenate(([True], gap[:-1])))
     if not len(starts):
         return np.empty(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
-    place = np.arange(len(buf)) - np.repeat(np.concatenate(([0], starts)), np.diff(np.concatenate(([0], starts, [len(buf)]))))
-    value = _BYTE[buf] * _POWERS[place & 4095]
+    place = np.arange(len(buf), dtype=np.int32)
+    place -= np.repeat(np.concatenate(([0], starts)).astype(np.int32), np.diff(np.concatenate(([0], starts, [len(buf)]))))
+    value = _BYTE[buf]
+    value *= _POWERS[place & 4095]
     far = np.flatnonzero(place >= 4096)
     if len(far):
         value[far] *= _FAR[(place[far] >> 12) % len(_FAR)]

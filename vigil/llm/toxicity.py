@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from vigil.llm.common import materialize, small_batches, text_rows
 
 SIZES, BITS, FEATURES, TRAIN_ROWS, SMOOTH, REG = (4, 5), 20, 4096, 12_000, 1.0, 0.002
-GROUP_CHARS = 1 << 20
+GROUP_CHARS = 1 << 18  # texts are worked on in groups of about this size; temporaries take about 80 bytes a character
 
 
 @dataclass(frozen=True)
@@ -44,7 +44,7 @@ def _grams(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Text number and hashed place of each n-gram within a text, sizes in turn."""
     chars = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
     ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
-    of = np.repeat(np.arange(len(texts)), np.diff(ends, prepend=0))
+    of = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(ends, prepend=0))
     for n in SIZES:
         m = len(chars) - n + 1
         if m <= 0:
