@@ -50,8 +50,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, n_tokens, ids, ids_crc32, decoded_sha256, decoded_bytes`` of each document."""
-    out = sentence_pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"), whole=True)
-    return out.drop("decoded").withColumnRenamed("id", "doc_id")
+    out = sentence_pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"), more=("ids",))
+    return out.withColumnRenamed("id", "doc_id")
 
 
 STAGES = [("toxicity", toxicity), ("near_duplicates", near_duplicates), ("decontamination", decontamination),
