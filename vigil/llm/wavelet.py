@@ -109,8 +109,8 @@ class WaveletMatrix:
             bits = np.unpackbits(self.planes[level], count=self.n).view(bool)
             above = np.empty_like(values)
             z = self.zeros[level]
-            above[~bits] = values[:z]
-            above[bits] = values[z:] | values.dtype.type(1 << (self.levels - 1 - level))
+            above[np.flatnonzero(~bits)] = values[:z]
+            above[np.flatnonzero(bits)] = values[z:] | values.dtype.type(1 << (self.levels - 1 - level))
             values = above
         return values
 
@@ -121,13 +121,13 @@ def build(ids: np.ndarray, doc_ids: list, lengths: list[int]) -> list[bytes]:
     now = ids.astype(np.uint16 if levels <= 16 else np.uint32)
     body = []
     for level in range(levels):
-        bits = (now >> now.dtype.type(levels - 1 - level) & now.dtype.type(1)).astype(bool)
+        bits = (now & now.dtype.type(1 << (levels - 1 - level))) != 0
         packed = np.packbits(bits)
         padded = np.zeros(-(-len(packed) // 64) * 64, np.uint8)
         padded[:len(packed)] = packed
         ones = np.bitwise_count(padded.view(np.uint64)).reshape(-1, BLOCK // 64).sum(axis=1, dtype=np.uint32)
         body += [packed.tobytes(), np.concatenate((np.zeros(1, "<u4"), np.cumsum(ones, dtype="<u4"))).tobytes()]
-        now = np.concatenate((now[~bits], now[bits]))
+        now = np.concatenate((np.compress(~bits, now), np.compress(bits, now)))
     parts = [np.array(doc_ids, "<i8").tobytes(), np.array(lengths, "<i8").tobytes(), b"".join(body)]
     return [MAGIC, np.array([len(ids), levels, len(doc_ids), *map(len, parts)], "<u8").tobytes(), *parts]
 
