@@ -13,8 +13,8 @@ At a similarity of 0.8 a pair of fingerprints differs in 9.7 bits on average wit
 of 2.9, so one window in 3,000 at the very threshold lies beyond the radius; higher
 similarities lie far within it.
 
-The benchmark is worked through in blocks of at most ``BLOCK_ITEMS`` items, one pass over the
-texts each, so what goes out with the tasks is bounded at any size.
+The benchmark is worked through in blocks of about ``BLOCK_ITEMS`` items or ``BLOCK_BYTES`` bytes, one
+pass over the texts each, so what goes out with the tasks is bounded at any size.
 
 A null text or item is empty; empty ones match nothing. Rows with a null id are searched like
 others. Repeated rows give repeated results. Empty tables give empty results. Only the named
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from vigil.llm.common import groups_by_bytes, small_batches, text_rows
 from vigil.llm.shingles import sequence_hashes, word_hashes
 
-SHINGLE, RADIUS, THRESHOLD, BLOCK_ITEMS = 5, 20, 0.8, 20_000
+SHINGLE, RADIUS, THRESHOLD, BLOCK_ITEMS, BLOCK_BYTES = 5, 20, 0.8, 20_000, 16 << 20
 _NEAR = RADIUS // 8
 _ONES = np.array([bin(v).count("1") for v in range(256)], np.uint8)
 
@@ -136,7 +136,8 @@ def _search(index: Index, ids: list, texts: list[bytes], threshold: float):
 def _blocks(items: DataFrame, id_col: str, text_col: str, shingle: int, block_items: int):
     """Broadcast indexes of all items, at most about ``block_items`` each."""
     rows = text_rows(items, id_col, text_col)
-    n = max(1, -(-rows.count() // block_items))
+    size = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    n = max(1, -(-size.n // block_items), -(-size.bytes // BLOCK_BYTES))
     for i in range(n):
         block = rows if n == 1 else rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == i)
         index = Index([(r.id, bytes(r.text)) for r in block.orderBy("id", "text").collect()], shingle)
