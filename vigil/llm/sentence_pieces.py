@@ -251,16 +251,17 @@ def _split(path: str, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reach = pieces(path).longest
         for b in batches:
-            for key, text in zip(b.column("key").to_pylist(), b.column("text").to_pylist()):
+            for id_, key, text in zip(*(b.column(c).to_pylist() for c in ("id", "key", "text"))):
                 text = MARK + text.replace(" ", MARK)
                 n = -(-len(text) // size)
                 for i in range(0, n, 64):
                     places = range(i * size, min(n, i + 64) * size, size)
                     yield pa.RecordBatch.from_arrays([
-                        pa.array([key] * len(places)), pa.array([p // size for p in places], pa.int64()),
+                        pa.array([id_] * len(places), pa.int64()), pa.array([key] * len(places), pa.int64()),
+                        pa.array([p // size for p in places], pa.int64()),
                         pa.array([min(p, reach) for p in places], pa.int32()), pa.array([min(size, len(text) - p) for p in places], pa.int32()),
                         pa.array([p + size >= len(text) for p in places]), pa.array([text[max(0, p - reach):p + size + reach] for p in places])],
-                        ["key", "chunk", "lo", "n", "final", "text"])
+                        ["id", "key", "chunk", "lo", "n", "final", "text"])
     return run
 
 
@@ -312,25 +313,26 @@ def _traced(path: str):
             for lo, n, final, text, a, e in zip(*(b.column(c).to_pylist() for c in ("lo", "n", "final", "text", "start", "end"))):
                 states = p.states(text, lo, False)[a], p.states(text, lo + n, final)[e]
                 made.append(np.array(p.backtrace(text, lo, lo + n, *states), "<u4").tobytes())
-            yield pa.RecordBatch.from_arrays([b.column("key"), b.column("chunk"), pa.array(made, pa.binary())], ["key", "chunk", "ids"])
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("key"), b.column("chunk"), pa.array(made, pa.binary())], ["id", "key", "chunk", "ids"])
     return run
 
 
 def encode_giants(texts: DataFrame, path: str, chunk: int = CHUNK, group: int = GROUP) -> DataFrame:
-    """``key, chunk, ids`` (little-endian uint32): the chunks of each of ``key string, text string``."""
+    """``id, key, chunk, ids`` (little-endian uint32): the chunks of each row ``id, key, text``; the
+    key (long) tells rows apart. The chunks are written once, so the key needn't be stable."""
     n = partitions_for(texts)
-    parts = materialize(texts.mapInArrow(_split(path, chunk), "key string, chunk long, lo int, n int, final boolean, text string"), "chunks")
-    matrices = parts.repartition(n, "key", "chunk").mapInArrow(_transfers(path), "key string, chunk long, matrix binary")
+    parts = materialize(texts.mapInArrow(_split(path, chunk), "id long, key long, chunk long, lo int, n int, final boolean, text string"), "chunks")
+    matrices = parts.mapInArrow(_transfers(path), "key long, chunk long, matrix binary")
     part = F.floor(F.col("chunk") / group).cast("long")
     matrices = materialize(matrices.withColumn("part", part).withColumn("unit", F.xxhash64("key", "part")), "matrices")
     dealt = matrices.repartition(n, "unit").sortWithinPartitions("unit", "chunk")
-    products = dealt.mapInArrow(_of_runs(_multiplied, ("key", "part", "matrix"), (pa.string(), pa.int64(), pa.binary())), "key string, part long, matrix binary")
+    products = dealt.mapInArrow(_of_runs(_multiplied, ("key", "part", "matrix"), (pa.int64(), pa.int64(), pa.binary())), "key long, part long, matrix binary")
     whole = products.withColumn("unit", F.xxhash64("key")).repartition(n, "unit").sortWithinPartitions("unit", "part")
-    ints = (pa.string(), pa.int64(), pa.int32(), pa.int32())
-    borders = whole.mapInArrow(_of_runs(_along, ("key", "part", "start", "end"), ints), "key string, part long, start int, end int")
+    ints = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+    borders = whole.mapInArrow(_of_runs(_along, ("key", "part", "start", "end"), ints), "key long, part long, start int, end int")
     inside = matrices.join(borders, ["key", "part"]).repartition(n, "unit").sortWithinPartitions("unit", "chunk")
-    states = inside.mapInArrow(_of_runs(_within, ("key", "chunk", "start", "end"), ints), "key string, chunk long, start int, end int")
-    return parts.join(states, ["key", "chunk"]).mapInArrow(_traced(path), "key string, chunk long, ids binary")
+    states = inside.mapInArrow(_of_runs(_within, ("key", "chunk", "start", "end"), ints), "key long, chunk long, start int, end int")
+    return parts.join(states, ["key", "chunk"]).mapInArrow(_traced(path), "id long, key long, chunk long, ids binary")
 
 
 class _Digest:
@@ -385,14 +387,14 @@ def _joined(path: str, more: tuple[str, ...]):
 
         def close() -> pa.RecordBatch:
             row = (*now.row(), *(np.concatenate(held).astype(np.int32) if n == "ids" else b"".join(texts).decode() for n in more))
-            return _batch(pa.array([key]), "key", [row], _columns(more))
+            return _batch(pa.array([key[0]], pa.int64()), "id", [row], _columns(more))
 
         for b in batches:
-            for k, ids in zip(b.column("key").to_pylist(), b.column("ids").to_pylist()):
-                if now is None or k != key:
+            for id_, k, ids in zip(*(b.column(c).to_pylist() for c in ("id", "key", "ids"))):
+                if now is None or k != key[1]:
                     if now is not None:
                         yield close()
-                    key, now, held, texts = k, _Digest(), [], []
+                    key, now, held, texts = (id_, k), _Digest(), [], []
                 ids = np.frombuffer(ids, "<u4")
                 text = p.decode(ids.tolist())
                 text = text if now.n else text[1:]
@@ -414,12 +416,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     schema = ", ".join(f"{n} {kinds[k]}" for n, k in columns)
     rows = small_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     small = rows.where(F.length("text") <= chunk).select("id", F.col("text").cast("binary").alias("text")).mapInArrow(_small(path, more), f"id long, {schema}")
-    # equal giant rows are worked on once
-    giant = rows.where(F.length("text") > chunk).groupBy("id", "text").agg(F.count("*").alias("copies"))
-    giant = materialize(giant.withColumn("key", F.sha1(F.concat_ws(":", "id", "text").cast("binary"))), "giants")
-    chunks = encode_giants(giant.select("key", "text").dropDuplicates(["key"]), path, chunk, group)
+    giant = rows.where(F.length("text") > chunk).withColumn("key", F.monotonically_increasing_id())
+    chunks = encode_giants(giant.select("id", "key", "text"), path, chunk, group)
     ordered = chunks.repartition(partitions_for(docs), "key").sortWithinPartitions("key", "chunk")
-    joined = ordered.mapInArrow(_joined(path, more), f"key string, {schema}")
-    names = [n for n, _ in columns]
-    whole_rows = giant.select("id", "key", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")).join(joined, "key")
-    return small.select("id", *names).unionAll(whole_rows.select("id", *names))
+    return small.unionAll(ordered.mapInArrow(_joined(path, more), f"id long, {schema}"))
