@@ -11,7 +11,7 @@ from vigil.sinks.store import read_current, read_store
 
 
 def test_all_jobs_end_to_end(spark, scratch):
-    place = {n: scratch(n).replace("file:", "") for n in ("manifest", "media", "topic", "store", "ck1", "landing", "ck2", "model", "pred", "ck3", "table")}
+    place = {n: scratch(n).replace("file:", "") for n in ("manifest", "media", "topic", "store", "ck1", "landing", "ck2", "model", "pred", "ck3", "table", "compact")}
     os.makedirs(place["manifest"])
     manifest = {}
     for i in range(60):
@@ -35,6 +35,9 @@ def test_all_jobs_end_to_end(spark, scratch):
     assert store.where("status <> 'ok'").select(F.array_max("series")).first()[0] == 0
     assert read_store(spark, place["store"] + "_quarantine").count() == 1
 
+    jobs.run("compact", base | {"shuffle_partitions": 4, "job": {"source": place["store"], "target": place["compact"]}}, spark)
+    assert sorted(r.id for r in spark.read.parquet(place["compact"]).select("id").collect()) == sorted(r.id for r in store.select("id").collect())
+
     jobs.run("train", base | {"job": {"source": place["store"], "target": place["model"]}}, spark)
     text = F.when(F.col("label") == "violent", F.repeat(F.lit("punch "), 5)).otherwise(F.repeat(F.lit("a bb ccc "), 5))
     store.where("url not like '%0001%'").select("id", text.alias("text")).write.parquet(place["table"])

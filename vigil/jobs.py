@@ -1,4 +1,4 @@
-"""The programs: ``python -m vigil.jobs {publish,ingest,land,train,score} --config job.yaml``.
+"""The programs: ``python -m vigil.jobs {publish,ingest,compact,land,train,score} --config job.yaml``.
 
 Each wires config -> session -> source -> job. A config holds the sections of
 ``EngineConfig`` and a section ``job`` (``JobConfig``); unknown keys are rejected. Stream
@@ -24,6 +24,7 @@ from vigil.functions.labels import encode_label
 from vigil.operators import training as tr
 from vigil.schemas import CLASS_NAMES
 from vigil.session import build_session
+from vigil.sinks import store
 from vigil.sources.manifest import read_manifest_files
 from vigil.sources.stream import RECORD_SCHEMA, read_stream
 from vigil.streaming import jobs
@@ -92,6 +93,12 @@ def ingest(spark: SparkSession, cfg: EngineConfig, job: JobConfig) -> jobs.Strea
                                 cfg.stream.mode, quarantine=job.quarantine, available_now=job.available_now)
 
 
+def compact(spark: SparkSession, cfg: EngineConfig, job: JobConfig) -> None:
+    """Rewrite the store's current view, bucketed and sorted by key, to another folder; readers
+    move there and the history behind it can be dropped."""
+    store.compact(spark, _given(job.source, "source"), "id", _given(job.target, "target"), cfg.shuffle_partitions)
+
+
 def land(spark: SparkSession, cfg: EngineConfig, job: JobConfig) -> jobs.StreamResult:
     records = read_stream(spark, cfg.stream, job.source, RECORD_SCHEMA)
     return jobs.land(records, _given(job.target, "target"), _given(job.checkpoint, "checkpoint"), STRATEGIES[job.strategy](spark, cfg, job),
@@ -105,9 +112,7 @@ def _vectors(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
 
 def train(spark: SparkSession, cfg: EngineConfig, job: JobConfig) -> str:
     """Fit on the rows of the feature store whose label is known; the best round is saved."""
-    from vigil.sinks.store import read_current
-
-    rows = read_current(spark, _given(job.source, "source"), "id").withColumn("label", encode_label(F.col("label")).cast("double")).where("label >= 0")
+    rows = store.read_current(spark, _given(job.source, "source"), "id").withColumn("label", encode_label(F.col("label")).cast("double")).where("label >= 0")
     rows = _vectors(rows, cfg).select("features", "label", "split")
     result = tr.train_early_stop(rows.where("split = 'train'"), rows.where("split = 'val'"), len(CLASS_NAMES), cfg.train)
     return tr.save_model(result.model, _given(job.target, "target"))
@@ -121,7 +126,7 @@ def score(spark: SparkSession, cfg: EngineConfig, job: JobConfig) -> jobs.Stream
                              lambda batch: tr.score(model, _vectors(batch, cfg), CLASS_NAMES, ["id", "url"]), job.available_now, job.processing_time)
 
 
-JOBS = {"publish": publish, "ingest": ingest, "land": land, "train": train, "score": score}
+JOBS = {"publish": publish, "ingest": ingest, "compact": compact, "land": land, "train": train, "score": score}
 
 
 def run(name: str, raw: Mapping[str, Any], spark: SparkSession | None = None):
