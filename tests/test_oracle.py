@@ -59,13 +59,13 @@ def test_training_and_scoring(spark):
 
 
 def test_saved_model_restores(spark):
-    from vigil.operators import training as tr
     from vigil.plans import models
 
-    *_, feats, _, _, res = models._train(spark, SF0001)
-    restored = tr.load_model(res.path)
-    a = {r.doc_id: r.prediction for r in res.model.transform(feats).select("doc_id", "prediction").collect()}
-    b = {r.doc_id: r.prediction for r in restored.transform(feats).select("doc_id", "prediction").collect()}
+    found, res = models.train_models(spark, SF0001)
+    again = models.trained(spark, SF0001)
+    assert again.path == found.path
+    a = {r.doc_id: r.prediction for r in res.model.transform(found.features).select("doc_id", "prediction").collect()}
+    b = {r.doc_id: r.prediction for r in again.model.transform(again.features).select("doc_id", "prediction").collect()}
     assert a == b and len(a) > 0
 
 

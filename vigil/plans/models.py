@@ -8,6 +8,9 @@ id, zeros when missing), hashed TF-IDF of the whole text.
 
 from __future__ import annotations
 
+import hashlib
+from dataclasses import dataclass
+
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +24,7 @@ from vigil.plans.catalog import query, t
 from vigil.sources.tables import heavy_table
 from vigil.functions.text import tokens, word_lengths
 from vigil.plans.features import SERIES, VEC_DIM, _SQL_FRAMES, frame_mean
-from vigil.session import materialize, scratch_path
+from vigil.session import checkpoint_root, materialize, scratch_path
 from vigil.sinks.store import read_store
 from vigil.streaming import jobs
 from vigil.streaming.replay import write_pieces
@@ -98,40 +101,65 @@ def fit_features(rows: DataFrame):
     return model, model.transform(prepared)
 
 
-# Trained models of this application, by input folder: scoring and selection reuse the
-# saved early-stopped model instead of retraining (training is its own query).
-_REGISTRY: dict[tuple[str, str], tuple] = {}
+@dataclass(frozen=True)
+class Trained:
+    """What a training left in the shared folder."""
+    features: DataFrame  # every document: ``doc_id, split, label, features``
+    model: object
+    path: str  # of the model
+
+    @property
+    def train(self) -> DataFrame:
+        return _training_rows(self.features)
+
+    @property
+    def val(self) -> DataFrame:
+        return self.features.where(F.col("label").isNotNull() & (F.col("split") == "val"))
+
 
+def _place(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of the models learnt from exactly these input files in this application."""
+    files = sorted(f for name in ("documents", "labels", "embeddings") for f in t(spark, sf_dir, name).inputFiles())
+    seen = "|".join(f"{f}:{jobs.file_state(spark, f)}" for f in files)
+    print_ = hashlib.sha256(f"{spark.sparkContext.applicationId}|{TRAIN}|{TEXT_HASH}|{seen}".encode()).hexdigest()[:16]
+    return f"{checkpoint_root(spark)}/vigil/models-{print_}"
 
-def _train(spark: SparkSession, sf_dir: str, hidden=TRAIN.hidden):
-    """(text model, feature model, all-document features, train, val, result)."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if hidden == TRAIN.hidden and key in _REGISTRY:
-        return _REGISTRY[key]
-    rows, text_model = model_inputs(spark, sf_dir)
-    feat_model, feats = fit_features(rows)
+
+def train_models(spark: SparkSession, sf_dir: str) -> tuple[Trained, tr.TrainResult]:
+    """Train from scratch; features and the best model are saved, and their paths noted where
+    ``trained`` finds them."""
+    rows, _ = model_inputs(spark, sf_dir)
+    _, feats = fit_features(rows)
     # one table of vectorised documents in the shared folder: every fit and every
     # scoring query reads it instead of re-tokenising the texts
-    feats = materialize(feats.select("doc_id", "split", "label", "features"), "model_features")
-    train = _training_rows(feats)
-    val = feats.where(F.col("label").isNotNull() & (F.col("split") == "val"))
-    res = tr.train_early_stop(train, val, len(DOC_CLASSES), TRAIN, hidden)
-    res.path = tr.save_model(res.model, scratch_path(spark, "model"))
-    out = (text_model, feat_model, feats, train, val, res)
-    if hidden == TRAIN.hidden:
-        _REGISTRY[key] = out
-    return out
+    path = scratch_path(spark, "model_features")
+    feats.select("doc_id", "split", "label", "features").write.parquet(path)
+    out = Trained(spark.read.parquet(path), None, scratch_path(spark, "model"))
+    res = tr.train_early_stop(out.train, out.val, len(DOC_CLASSES), TRAIN)
+    tr.save_model(res.model, out.path)
+    jobs.write_text(spark, _place(spark, sf_dir), f"{path}|{out.path}")
+    return Trained(out.features, res.model, out.path), res
+
+
+def trained(spark: SparkSession, sf_dir: str) -> Trained:
+    """The model saved for these very input files; trained first if there is none."""
+    noted = jobs.read_text(spark, _place(spark, sf_dir))
+    if noted is None:
+        return train_models(spark, sf_dir)[0]
+    features, model = noted.split("|")
+    return Trained(spark.read.parquet(features), tr.load_model(model), model)
 
 
 @query("train_early_stop", "OP-72 OP-74 OP-12 OP-71")
 def train_early_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    *_, res = _train(spark, sf_dir)
+    _, res = train_models(spark, sf_dir)
     return spark.createDataFrame(res.history, "round int, val_log_loss double, val_accuracy double, val_macro_f1 double, improved boolean")
 
 
 @query("model_selection", "OP-73 OP-72")
 def model_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, _, feats, train, val, fusion = _train(spark, sf_dir)
+    fusion = trained(spark, sf_dir)
+    train, val = fusion.train, fusion.val
     tiny = tr.train_early_stop(train, val, len(DOC_CLASSES), TRAIN, PRESETS["tiny"])
     candidates = {"fusion": fusion.model, "tiny": tiny.model, "linear": tr.fit_linear(train)}
     results = []
@@ -147,16 +175,16 @@ def model_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("batch_score", "OP-76 OP-35 OP-36 OP-32 OP-33")
 def batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score every document (labelled or not) with the early-stopped model."""
-    _, _, feats, _, _, res = _train(spark, sf_dir)
-    return tr.score(res.model, feats.select("doc_id", "features"), DOC_CLASSES, ["doc_id"])
+    found = trained(spark, sf_dir)
+    return tr.score(found.model, found.features.select("doc_id", "features"), DOC_CLASSES, ["doc_id"])
 
 
 @query("stream_score", "OP-65 OP-76 OP-05 OP-24")
 def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed feature rows arrive as files; each new micro-batch is scored and appended
     (the stream checkpoint is the log of batches already seen)."""
-    _, _, feats, _, _, res = _train(spark, sf_dir)
-    landed = feats.select(
+    found = trained(spark, sf_dir)
+    landed = found.features.select(
         "doc_id", vector_to_array("features").alias("features_arr"),
         (F.col("doc_id") % PIECES).cast("int").alias("piece"))
     src, preds, ckpt = (scratch_path(spark, n) for n in ("landed", "predictions", "ckpt"))
@@ -166,7 +194,7 @@ def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def score(batch: DataFrame) -> DataFrame:
         with_vec = batch.withColumn("features", array_to_vector("features_arr"))
-        return tr.score(res.model, with_vec, DOC_CLASSES, ["doc_id"])
+        return tr.score(found.model, with_vec, DOC_CLASSES, ["doc_id"])
 
     jobs.score_landed(stream, preds, ckpt, score)
     return read_store(spark, preds).select("doc_id", "batch_id", "prediction", "predicted_label", "sensitive",
@@ -178,7 +206,8 @@ def external_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score every document with a model run outside MLlib: the class-balanced linear
     baseline is exported to numpy and applied in Arrow batches by ``predict_batch_udf``
     (the path for exported networks, e.g. run by onnxruntime)."""
-    _, _, all_feats, train, _, _ = _train(spark, sf_dir)
+    found = trained(spark, sf_dir)
+    all_feats, train = found.features, found.train
     linear = tr.fit_linear(train)
     feats = all_feats.select("doc_id", vector_to_array("features").alias("x"))
     n_in = len(train.select("features").first()[0])

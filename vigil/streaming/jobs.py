@@ -58,6 +58,13 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
+def file_state(spark: SparkSession, path: str) -> str:
+    """Length and modification time of a file."""
+    fs, p = _fs(spark, path)
+    state = fs.getFileStatus(p)
+    return f"{state.getLen()}:{state.getModificationTime()}"
+
+
 def list_run_ids(spark: SparkSession, table: str) -> list[int]:
     fs, p = _fs(spark, table)
     if not fs.exists(p):
