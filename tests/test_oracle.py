@@ -6,12 +6,13 @@ import pytest
 import __spark_entry__ as se
 from vigil import plans
 from vigil.config import TrainConfig
+from vigil.operators.split import hash_split
 from conftest import SF0001
 from oracle_compare import compare, duck
 
 QUERIES = dict(plans.QUERIES)  # those of vigil.llm have tests of their own
 ORACLES = dict(plans.ORACLES)
-ML = {"train_early_stop", "model_selection", "batch_score", "stream_score", "external_score"}
+ML = {"train_early_stop", "model_selection", "batch_score", "stream_score", "external_score", "model_evaluation"}
 
 
 @pytest.fixture(scope="module")
@@ -49,6 +50,9 @@ def test_training_and_scoring(spark):
     assert len(rows) == n_docs
     assert all(r.predicted_label in ("normal", "offensive") for r in rows)
     assert all(r.sensitive == (r.predicted_label == "offensive") for r in rows)
+    labels = spark.read.parquet(f"{SF0001}/labels.parquet").select("doc_id").distinct()
+    n_test = hash_split(labels, "doc_id").where("split = 'test'").count()
+    assert sum(r.n_actual for r in QUERIES["model_evaluation"](spark, SF0001).collect()) == n_test > 0
     sel = QUERIES["model_selection"](spark, SF0001).collect()
     assert sum(r.selected for r in sel) == 1 and {r.model for r in sel} == {"fusion", "tiny", "linear"}
     streamed = QUERIES["stream_score"](spark, SF0001).collect()

@@ -150,6 +150,12 @@ def mean_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- modality features on documents ---------------------------------------------------
 
+def frame_lengths(text: str = "text", k: int = FRAMES) -> F.Column:
+    """The lengths of k uniformly sampled lines, padded with zeros."""
+    lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
+    return ar.pad_truncate(F.transform(ar.uniform_sample_array(lines, k), lambda s: F.length(s)), k, "int")
+
+
 def frame_mean(text: str = "text", k: int = FRAMES) -> F.Column:
     """Lines are frames: k lines sampled uniformly, feature = line length, mean over the
     k slots (zero-padded slots count, as padded frames do). One in-row expression."""

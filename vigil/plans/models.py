@@ -2,7 +2,7 @@
 stream scoring (OP-12, OP-47, OP-65, OP-70..74, OP-76).
 
 Documents are the items; ``labels.toxic`` is the class (0 normal, 1 offensive). The
-fused input is: word-length series (40), text vector (the given embedding of the same
+fused input is: sampled line lengths (30), word-length series (40), text vector (the given embedding of the same
 id, zeros when missing), hashed TF-IDF of the whole text.
 """
 
@@ -23,7 +23,7 @@ from vigil.operators.split import hash_split
 from vigil.plans.catalog import query, t
 from vigil.sources.tables import heavy_table
 from vigil.functions.text import tokens, word_lengths
-from vigil.plans.features import SERIES, VEC_DIM, _SQL_FRAMES, frame_mean
+from vigil.plans.features import SERIES, VEC_DIM, _SQL_FRAMES, frame_lengths, frame_mean
 from vigil.session import checkpoint_root, materialize, scratch_path
 from vigil.sinks.store import read_store
 from vigil.streaming import jobs
@@ -71,7 +71,7 @@ def text_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_inputs(spark: SparkSession, sf_dir: str):
-    """Every document once: ``doc_id, split, label`` (null when unlabelled), ``series``,
+    """Every document once: ``doc_id, split, label`` (null when unlabelled), ``frames``, ``series``,
     ``text_vec``, ``tfidf``. The IDF is fitted on the labelled training rows only (no
     statistics leak from validation, test or unlabelled rows). Two passes over the
     texts: the IDF fit and the vectorisation, written to the shared folder. Returns
@@ -80,7 +80,7 @@ def model_inputs(spark: SparkSession, sf_dir: str):
     lab = t(spark, sf_dir, "labels").select("doc_id", F.col("toxic").cast("double").alias("label"))
     emb = t(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
     base = hash_split(docs.join(lab, "doc_id", "left"), "doc_id").withColumn(
-        "series", ar.pad_truncate(word_lengths("text"), SERIES, "int"))
+        "series", ar.pad_truncate(word_lengths("text"), SERIES, "int")).withColumn("frames", frame_lengths("text"))
     _, text_model = tr.text_vectors(_training_rows(base), num_features=TEXT_HASH)
     vec, _ = tr.text_vectors(base, model=text_model)
     rows = (vec.join(emb, "doc_id", "left")
@@ -95,8 +95,9 @@ def _training_rows(df: DataFrame) -> DataFrame:
 
 def fit_features(rows: DataFrame):
     """Assembler + scaler fitted on the labelled training rows, applied to every row."""
-    pipe = tr.feature_pipeline(["series", "text_vec"], ["tfidf"])
-    prepared = tr.to_vectors(rows, ["series", "text_vec"])
+    blocks = ["frames", "series", "text_vec"]
+    pipe = tr.feature_pipeline(blocks, ["tfidf"])
+    prepared = tr.to_vectors(rows, blocks)
     model = pipe.fit(_training_rows(prepared))
     return model, model.transform(prepared)
 
@@ -172,6 +173,17 @@ def model_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows, "model string, val_log_loss double, val_accuracy double, val_macro_f1 double, selected boolean")
 
 
+@query("model_evaluation", "OP-77 OP-43 OP-45")
+def model_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trained model on the labelled test split: counts, precision, recall and F1 per class."""
+    from vigil.operators.evaluate import class_metrics, per_class_counts
+
+    found = trained(spark, sf_dir)
+    test = found.features.where(F.col("label").isNotNull() & (F.col("split") == "test"))
+    pred = found.model.transform(test).select(F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"))
+    return class_metrics(per_class_counts(pred))
+
+
 @query("batch_score", "OP-76 OP-35 OP-36 OP-32 OP-33")
 def batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score every document (labelled or not) with the early-stopped model."""
