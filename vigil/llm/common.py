@@ -14,7 +14,7 @@ from vigil.session import materialize
 BATCH_BYTES = 1 << 20  # texts are worked on in groups of about this size; temporaries take about 40 times that
 
 
-def small_batches(df: DataFrame, rows: int = 1000, size: str = "8m") -> DataFrame:
+def small_batches(df: DataFrame, rows: int = 500, size: str = "2m") -> DataFrame:
     """Bounds the batches that the session hands to Python tasks: whole texts are long."""
     conf = df.sparkSession.conf
     conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

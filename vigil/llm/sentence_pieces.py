@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from vigil.llm.common import materialize, partitions_for, runs, small_batches
 
-CHUNK, GROUP, CACHE_WORDS = 16_384, 64, 300_000
+CHUNK, GROUP, CACHE_WORDS, REMEMBERED = 16_384, 64, 150_000, 1 << 14
 MARK = "▁"
 NEVER = -np.inf
 State = tuple[int, int]  # where a piece begins and ends, from the border on
@@ -62,8 +62,8 @@ class Pieces:
             self.bytes_of[i] = p.replace(MARK, " ").encode()
         for b, i in self.byte.items():
             self.bytes_of[i] = bytes([b])
-        self.merged = lru_cache(1 << 18)(self._merged)
-        self.agree = lru_cache(1 << 18)(self._agree)
+        self.merged = lru_cache(REMEMBERED)(self._merged)
+        self.agree = lru_cache(REMEMBERED)(self._agree)
 
     def _merged(self, text: str) -> tuple[str, ...]:
         """Byte-pair merging of a short text: the best-scored pair first, the leftmost of equals."""

@@ -22,9 +22,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct
-from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -111,6 +108,11 @@ def _kept(chosen: np.ndarray):
 
 def train(labelled: DataFrame, text_col: str, label: Column, id_col: str = "doc_id", rows: int = TRAIN_ROWS) -> Model:
     """Fit on at most ``rows`` rows of ``labelled`` whose label is 0 or 1."""
+    # here and not above: tasks that only score needn't load them
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct
+    from pyspark.ml.linalg import Vectors
+
     sample = (labelled.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"),
                               label.cast("int").alias("label")).where("id is not null and label in (0, 1)"))
     ids = sample.select("id").orderBy(F.xxhash64("id"), "id").limit(rows).distinct()
