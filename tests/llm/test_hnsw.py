@@ -82,3 +82,21 @@ def test_beams_widen_until_the_audit_passes():
     # the audit itself: links cut away make the beam grow
     poor = hnsw.Graph(graph.ids, graph.many, graph.exact, graph.x, [(m, np.where(rnd.random(g.shape) < 0.85, -1, g)) for m, g in graph.layers])
     assert hnsw.audited_beam(poor, q, 0.9)[0] > beam
+
+
+def test_a_large_group_hides_no_missed_pairs():
+    rnd = np.random.default_rng(2)
+    x = rnd.standard_normal((3000, 48))
+    x[:1000] = x[0] + 0.03 * rnd.standard_normal((1000, 48))  # a third near copies
+    x[2000:] = x[1000:2000] + 0.1 * rnd.standard_normal((1000, 48))  # scattered pairs
+    graph = hnsw.Graph.build(np.arange(3000), np.ones(3000, int), x)
+    q = graph.x.copy()
+    (lowest, links), levels = graph.layers[-1], graph.layers[:-1]
+    levels = [*levels, (lowest, np.where((links >= 1000) | (lowest[:, None] >= 1000), -1, links))]
+    poor = hnsw.Graph(graph.ids, graph.many, graph.exact, graph.x, levels)  # only the group is linked
+    for more in ({}, {"ids": graph.ids}):
+        beam, recall = hnsw.audited_beam(poor, q, 0.9, **more)
+        a, p = hnsw._hits(poor, q, 0.9, beam)
+        pairs = {(i, j) for i, j in zip(a.tolist(), p.tolist()) if i >= 1000 and i != j}
+        want = {(i, j) for i, j in zip(*(t.tolist() for t in np.nonzero(q @ q.T >= 0.9))) if i >= 1000 and i != j}
+        assert beam > hnsw.BEAM and recall >= hnsw.RECALL and len(want) > 1900 and len(pairs & want) >= 0.99 * len(want)
