@@ -68,6 +68,38 @@ def test_edited_passages_match_brute_force(spark):
     assert found(spark, docs, items) == want and len(want) >= 40
 
 
+def test_repeated_shingles_match_brute_force(spark):
+    rnd = np.random.default_rng(6)
+    items, docs = [], []
+    for i, size in enumerate((54, 94, 204, 304, 60, 120)):
+        w = [f"v{i}x{j}" for j in range(size)]
+        if i > 3:  # an item with repeated lines
+            w = w[:size // 2] + w[:4] * 8 + w[size // 2:]
+        items.append((i, " ".join(w)))
+        for n, (part, run) in enumerate(((0.93, "-"), (0.92, "x"), (0.91, "-"), (0.92, "- x"), (0.7, "-"))):  # cut short, then a run
+            cut = w[:int(part * len(w))]
+            tail = (run.split() * len(w))[:len(w)]
+            around = [f"u{x}" for x in rnd.integers(0, 10**6, 30)]
+            docs += [(100 * i + n, " ".join(cut + tail)), (100 * i + 10 + n, " ".join((tail + cut)[-len(w):])), (100 * i + 20 + n, " ".join(around + cut + tail + around))]
+    docs.append((1000, "- " * 3000 + items[1][1] + " -" * 3000))
+    want = brute(docs, items)
+    assert found(spark, docs, items) == want and len(want) > 40
+
+
+def test_best_window_matches_counting():
+    rnd = np.random.default_rng(7)
+    for _ in range(300):
+        text = rnd.integers(0, 6, rnd.integers(1, 40))
+        item = rnd.integers(0, 6, rnd.integers(1, 15))
+        index = dc.Index([(0, " ".join(f"w{x}" for x in item).encode())], 1)
+        runs = dc.Index([(0, " ".join(f"w{x}" for x in text).encode())], 1).runs[0]
+        places = np.flatnonzero(np.isin(text, item))
+        size, have = min(len(item), len(text)), Counter(item.tolist())
+        if len(places):
+            sums = [sum((Counter(text[s:s + size].tolist()) & have).values()) for s in range(len(text) - size + 1)]
+            assert index.best_window(runs, places, 0) == (max(sums) / (size + len(item) - max(sums)), sums.index(max(sums)))
+
+
 def test_block_tables_miss_none_within_the_radius():
     rnd = np.random.default_rng(4)
     index = dc.Index([(i, " ".join(f"a{x}" for x in rnd.integers(0, 10**6, 30)).encode()) for i in range(200)], 5)

@@ -9,9 +9,12 @@ at most ``RADIUS // 8`` bits of some block, and each block's table lists the ite
 many bits of every value, so none within the radius is missed. Survivors are verified by
 the exact weighted similarity, sum of the smaller counts over sum of the larger ones.
 
-At a similarity of 0.8 a pair of fingerprints differs in 9.7 bits on average with a deviation
-of 2.9, so one window in 3,000 at the very threshold lies beyond the radius; higher
-similarities lie far within it.
+Where all shingles differ, at a similarity of 0.8 a pair of fingerprints differs in 9.7 bits on
+average with a deviation of 2.9, so one window in 3,000 at the very threshold lies beyond the
+radius; higher similarities lie far within it. A shingle that is repeated weighs more in the
+fingerprint, which then says little of the similarity. So an item that repeats a shingle, and
+a text that repeats one near the places it shares with an item, take no fingerprints: all
+windows are compared exactly, by sums over the shared places.
 
 The benchmark is worked through in blocks of about ``BLOCK_ITEMS`` items or ``BLOCK_BYTES`` bytes, one
 pass over the texts each, so what goes out with the tasks is bounded at any size.
@@ -46,6 +49,15 @@ def fingerprints(runs: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
     return np.packbits(total[starts + size] - total[starts] > 0, axis=1)
 
 
+def _again(runs: np.ndarray) -> np.ndarray:
+    """For each place, the first place that repeats a shingle of this place or a later one (the length: none)."""
+    order = np.argsort(runs, kind="stable")
+    after = np.full(len(runs), len(runs))
+    same = runs[order[1:]] == runs[order[:-1]]
+    after[order[:-1][same]] = order[1:][same]
+    return np.minimum.accumulate(after[::-1])[::-1]
+
+
 class Index:
     """The items of one block: their shingles, sizes and block tables."""
 
@@ -59,6 +71,7 @@ class Index:
                 self.runs.append(sequence_hashes(words[a:b], self.k[-1]))
         self.size = np.array([len(r) for r in self.runs], np.int64)
         self.counts = [Counter(r.tolist()) for r in self.runs]
+        self.repeats = [len(c) < len(r) for c, r in zip(self.counts, self.runs)]
         self.prints = np.concatenate([fingerprints(r, np.array([0]), len(r)) for r in self.runs] or [np.empty((0, 8), np.uint8)])
         self.holders: dict[int, dict[int, list[int]]] = {}  # shingle size -> shingle -> items
         for n, (k, c) in enumerate(zip(self.k, self.counts)):
@@ -84,6 +97,24 @@ class Index:
             out.append(near[_ONES[self.prints[near] ^ p].sum(axis=1) <= RADIUS])
         return out
 
+    def best_window(self, runs: np.ndarray, places: np.ndarray, of: int) -> tuple[float, int]:
+        """The best similarity of item ``of`` with any window, and its first window, given the places of its shingles in a text."""
+        size = min(int(self.size[of]), len(runs))
+        order = np.argsort(runs[places], kind="stable")
+        p, h = places[order], runs[places][order]
+        new = np.concatenate(([True], h[1:] != h[:-1]))
+        first = np.flatnonzero(new)[np.cumsum(new) - 1]
+        many = np.array([self.counts[of][x] for x in h[new].tolist()])[np.cumsum(new) - 1]
+        # a place adds to the windows that hold it and fewer than ``many`` places of its shingle before it
+        back = np.arange(len(p)) - many
+        begin = np.maximum(np.maximum(p - size + 1, 0), np.where(back >= first, p[np.maximum(back, 0)] + 1, 0))
+        end = np.minimum(p, len(runs) - size) + 1
+        some = begin < end
+        at, which = np.unique(np.concatenate((begin[some], end[some])), return_inverse=True)
+        both = np.cumsum(np.bincount(which, np.repeat((1, -1), some.sum()), minlength=len(at)).astype(np.int64))
+        s = int(np.argmax(both))
+        return int(both[s]) / (size + int(self.size[of]) - int(both[s])), int(at[s])
+
     def matches(self, runs: np.ndarray, k: int, threshold: float) -> dict[int, tuple[float, int]]:
         """Items found in a text, given its shingles of ``k`` words: best similarity and its first window."""
         hit = np.flatnonzero(self.sieve[k][(runs >> np.uint64(42)).astype(np.int64)])
@@ -96,8 +127,15 @@ class Index:
                 places.setdefault(n, []).append(p)
         best: dict[int, tuple[float, int]] = {}
         done: dict[int, set[int]] = {}
+        again = _again(runs) if places else None
         for n, ps in places.items():
             size = min(int(self.size[n]), len(runs))
+            p = np.array(ps)
+            if self.repeats[n] or (again[np.maximum(p - size + 1, 0)] < p + size).any():
+                similarity, s = self.best_window(runs, p, n)
+                if similarity >= threshold and (n not in best or (-similarity, s) < (-best[n][0], best[n][1])):
+                    best[n] = (similarity, s)
+                continue
             starts = np.unique(np.clip(np.concatenate([np.arange(p - size + 1, p + 1) for p in ps]), 0, len(runs) - size))
             for part in np.split(starts, np.flatnonzero(np.diff(starts) > size) + 1):  # close windows share their sums
                 lo = int(part[0])
