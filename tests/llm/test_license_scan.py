@@ -51,6 +51,55 @@ def test_rules_label_and_suppress(spark):
         assert all(a["end"] <= b["start"] for a, b in zip(r.detections, r.detections[1:]))
 
 
+def samples(regex):
+    """Texts that ``regex`` matches: each choice once, with none and one of what is optional."""
+    def one(op, arg):
+        name = str(op)
+        if name == "LITERAL":
+            return [chr(arg)]
+        if name == "IN":
+            kinds = [(str(o), a) for o, a in arg]
+            if ("CATEGORY", "CATEGORY_SPACE") in [(o, str(a)) for o, a in kinds]:
+                return [" ", "\n", "\t"]
+            return [chr(a if o == "LITERAL" else a[0]) for o, a in kinds]
+        if name == "BRANCH":
+            return [t for some in arg[1] for t in every(some)]
+        if name == "SUBPATTERN":
+            return every(arg[3])
+        if name == "MAX_REPEAT":
+            low, high, some = arg
+            texts = every(some)
+            return ([""] if low == 0 else []) + [t * max(low, 1) for t in texts] + ([t * 2 for t in texts] if high > 2 else [])
+        assert name == "AT", name
+        return [""]
+
+    def every(parsed):
+        out = [""]
+        for op, arg in parsed:
+            more = one(op, arg)
+            # all choices where these are few, else each choice beside the first of the others
+            out = [a + b for a in out for b in more] if len(out) * len(more) <= 400 else [a + more[0] for a in out] + [out[0] + b for b in more[1:]]
+        return out
+
+    return every(re._parser.parse(regex))
+
+
+def test_gates_let_through_what_the_rules_match():
+    gates = {order: gate for gate, some in license_scan._prefilter() for order, *_ in some}
+    for order, (label, _, _, regex) in enumerate(license_scan.rules()):
+        texts = [t for t in samples(regex) if re.search(regex, t)]
+        assert texts, regex
+        for t in texts:
+            assert re.search(gates[order], t) and re.search(license_scan.ANCHOR, t), (label, t)
+
+
+def test_other_spellings_are_found(spark):
+    got = scanned(spark, ["Licensed under the Expat License.", "SPDX-License-Identifier: Expat", "dedicated to the public\ndomain", "placed into the public \t domain",
+                          "License: public  domain", "a public\ndomain of many"])
+    assert [got[i].labels for i in range(6)] == ["mit", "mit", "public-domain", "public-domain", "public-domain", ""]
+    assert got[0].score == 0.95 and got[2].score == 0.6
+
+
 def test_empty_table(spark):
     assert scanned(spark, []) == {}
 

@@ -121,7 +121,7 @@ def _prefilter() -> list[tuple[str, list[tuple[int, str, float, str]]]]:
 
 
 #: families whose name has two spellings are gated by a regex of both
-KEYWORDS = {"g": r"gnu|gpl|general\s+public|gfdl|free\s+documentation", "l": r"lgpl|lesser|library", "a": r"affero|agpl|afl|academic\s+free",
+KEYWORDS = {"mit": "mit|expat", "public domain": r"public\s+domain", "g": r"gnu|gpl|general\s+public|gfdl|free\s+documentation", "l": r"lgpl|lesser|library", "a": r"affero|agpl|afl|academic\s+free",
             "m": r"mozilla|mpl", "e": r"eclipse|epl|eupl|european", "c": r"creative|cc|cddl|common|cpl",
             "o": r"open|ofl|odbl|osl", "p": r"psf|python|pddl|dedication", "wtf": "wtf|fuck"}
 
