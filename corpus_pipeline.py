@@ -16,12 +16,12 @@ Empty tables pass through all stages; null texts count as empty and stay null.
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.llm import decontaminate, minhash, pii, sentence_pieces
 from vigil.llm import toxicity as toxic
+from vigil.llm.common import unused_name
 from vigil.session import materialize
 from vigil.sources.tables import table
 
@@ -36,8 +36,9 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     groups = minhash.near_duplicates(docs, shingle=5, percent=80)
-    copies = groups.where("not kept").select(F.col("id").alias("copy"))
-    return docs.join(copies, F.col("doc_id").cast("long") == F.col("copy"), "left_anti")
+    key = unused_name(docs, "copy")
+    copies = groups.where("not kept").select(F.col("id").alias(key))
+    return docs.join(copies, docs["doc_id"].cast("long") == copies[key], "left_anti")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,6 +51,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, n_tokens, ids, ids_crc32, decoded_sha256, decoded_bytes`` of each document."""
+    import public_tokenizers  # here and not above: the other stages don't need it
+
     out = sentence_pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"), more=("ids",))
     return out.withColumnRenamed("id", "doc_id")
 

@@ -89,3 +89,19 @@ def test_empty_and_null_documents(spark, tmp_path):
     for name, stage in cp.STAGES:
         docs = stage(spark, docs, str(tmp_path))
     assert docs.count() == 0
+
+
+def test_extra_columns_with_clashing_names(spark, tmp_path):
+    for t in ("labels", "benchmark"):
+        table(spark, SF0001, t).write.parquet(f"{tmp_path}/{t}.parquet")
+    names = ["id", "copy", "copy_", "kept", "component_id", "toxic", "score", "found", "word", "label", "n_tokens_given"]
+    docs = table(spark, SF0001, "documents").where("doc_id < 60")
+    plain = docs
+    wide = docs.select("*", *[F.lit(f"x{i}").alias(n) for i, n in enumerate(names)])
+    for name, stage in cp.STAGES:
+        wide, plain = stage(spark, wide, str(tmp_path)), stage(spark, plain, str(tmp_path))
+        if name != "sentencepiece":
+            assert wide.columns == COLUMNS + names
+            assert rows_of(wide.select(COLUMNS)) == rows_of(plain)
+            assert wide.where("copy is distinct from 'x1' or label is distinct from 'x9'").count() == 0
+    assert rows_of(wide.drop("ids")) == rows_of(plain.drop("ids"))

@@ -58,3 +58,11 @@ def test_written_and_read_back(spark):
         assert seen == sorted(want, key=str)
         assert payload[9].decode() == big and payload[3] == b"" and len(payload[8]) == 3_000_000
     assert warc.read(warc.write(df.limit(0))).count() == 0
+
+
+def test_headers_of_any_length(spark, scratch):
+    long = "http://e/" + "é" * 400_000  # over 2 MB once percent-encoded
+    pages = spark.createDataFrame([(1, "http://e/1", "a"), (2, long, "b" * 1500), (3, "http://e/3", "c")], "page_id long, url string, html string")
+    got = warc.read(warc.write(pages), range_bytes=1000).select("page_id", "payload_bytes", "url").collect()
+    assert sorted((r.page_id, r.payload_bytes) for r in got) == [(1, 1), (2, 1500), (3, 1)]
+    assert len(next(r.url for r in got if r.page_id == 2)) > 2_000_000

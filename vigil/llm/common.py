@@ -15,13 +15,25 @@ BATCH_BYTES = 1 << 20  # texts are worked on in groups of about this size; tempo
 
 
 def small_batches(df: DataFrame, rows: int = 500, size: str = "2m") -> DataFrame:
-    """Bounds the batches that the session hands to Python tasks: whole texts are long."""
+    """Bounds the batches that the session hands to Python tasks: whole texts are long.
+
+    The limits are the session's and stay set, since a plan takes those that hold when it runs,
+    which may be long after it was built (README, "Arrow batches").
+    """
     conf = df.sparkSession.conf
     conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
     return df
 
 
+def unused_name(df: DataFrame, stem: str) -> str:
+    """A column name that ``df`` doesn't have (names are compared without case)."""
+    taken, name = {c.lower() for c in df.columns}, stem
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``id long, text binary`` (UTF-8; a null text is empty); extra columns are not read."""
     return small_batches(df).select(
@@ -108,4 +120,4 @@ def sorted_map(df: DataFrame, key: str, fn: Callable, schema: str) -> DataFrame:
 
 
 __all__ = ["fixed_bytes", "groups_by_bytes", "materialize", "partitions_for", "runs",
-           "small_batches", "sorted_map", "text_rows", "with_ids"]
+           "small_batches", "sorted_map", "text_rows", "unused_name", "with_ids"]

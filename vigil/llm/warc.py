@@ -35,7 +35,7 @@ from vigil.llm.common import materialize, partitions_for, small_batches
 from vigil.session import scratch_path
 
 REVISIT_BYTES, FILE_BYTES, RANGE_BYTES, LEVEL = 1000, 128 << 20, 4 << 20, 3
-MAGIC, READ, STEP, HEADER_BYTES = b"\x1f\x8b\x08", 1 << 20, 1 << 16, 1 << 20
+MAGIC, READ, STEP = b"\x1f\x8b\x08", 1 << 20, 1 << 16
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the namespace of URLs
@@ -175,24 +175,27 @@ class _Parser:
     """Records out of a member's decoded bytes as they come."""
 
     def __init__(self, keep: bool):
-        self.keep, self.rows, self.begun, self.plain, self.current = keep, [], False, b"", None
+        self.keep, self.rows, self.begun, self.plain, self.current, self.seen = keep, [], False, bytearray(), None, 0
 
     def take(self, data: bytes) -> bool:
         """False if the bytes can't be records."""
         self.plain += data
         while self.plain:
             if self.current is None:
-                self.plain = self.plain.lstrip(b"\r\n")
-                cut = self.plain.find(b"\r\n\r\n")
-                if cut < 0:
-                    return self.plain[:5] == b"WARC/"[:len(self.plain)] and len(self.plain) <= HEADER_BYTES
-                fields = _parsed(self.plain[:cut])
+                if not self.seen:
+                    del self.plain[:len(self.plain) - len(self.plain.lstrip(b"\r\n"))]
+                cut = self.plain.find(b"\r\n\r\n", max(self.seen - 3, 0))
+                if cut < 0:  # a header is of any length; what is no header shows in its first line
+                    self.seen = len(self.plain)
+                    return bytes(self.plain[:7]) == b"WARC/1."[:len(self.plain)]
+                fields = _parsed(bytes(self.plain[:cut]))
                 if fields is None:
                     return False
-                self.begun, self.current, self.plain = True, _Record(fields, self.keep), self.plain[cut + 4:]
-            part = self.plain[:self.current.left]
+                self.begun, self.current, self.seen = True, _Record(fields, self.keep), 0
+                del self.plain[:cut + 4]
+            part = bytes(self.plain[:self.current.left])
             self.current.take(part)
-            self.plain = self.plain[len(part):]
+            del self.plain[:len(part)]
             if self.current.left:
                 return True
             self.rows.append(self.current.row())
