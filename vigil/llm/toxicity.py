@@ -8,6 +8,12 @@ ratios -> ``LogisticRegression``) over a bounded sample of the labelled rows: th
 weights reaches the driver and goes out with the tasks. Scoring is one pass over all texts
 without a shuffle.
 
+``FEATURES`` is a choice of features as part of the fit, like the sample: places met in one or two
+texts, and weak ones, have no weight. With every place seen in the sample (225,000 and 314,000 of
+them, same penalty) the classifier fits the sample's accidents: on held-out rows of sf0.1 and
+check_s the area under the curve fell from 0.987 and 1.000 to 0.627 and 0.865, the share of toxic
+rows caught from 0.88 and 0.99 to 0.24 and 0.22.
+
 Defined results: a null text is empty; an empty text scores by the intercept alone. Null
 labels and null ids aren't learnt from. With no labelled row, or rows of one class only, every
 score is that class's share (0 without rows). Repeated rows give repeated results (and
