@@ -114,10 +114,28 @@ def with_ids(rows: DataFrame, ids: DataFrame) -> DataFrame:
     return near.join(ids.distinct(), "id").select(*rows.columns)  # a semi-join would be moved before the filter
 
 
+HOT_GROUPS = 10_000
+
+
+def with_groups(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
+    """Each row with the columns of its group: ``groups`` (a written table) has one row per ``key`` and its ``size`` in rows.
+
+    Of groups above one in ``HOT_GROUPS`` of all rows there are fewer than ``HOT_GROUPS``: those are
+    broadcast and their rows stay where they are. The others' rows meet by a sort-merge join, none of
+    whose keys has more than that share.
+    """
+    total = groups.agg(F.sum(size)).first()[0] or 0
+    hot = F.col(size) * HOT_GROUPS > total
+    columns = [*rows.columns, *(c for c in groups.columns if c != key)]
+    tops = F.broadcast(groups.where(hot))
+    rest = rows.join(tops.select(key), key, "left_anti").join(groups.where(~hot).hint("merge"), key)
+    return rows.join(tops, key).select(columns).unionByName(rest.select(columns))
+
+
 def sorted_map(df: DataFrame, key: str, fn: Callable, schema: str) -> DataFrame:
     """``fn`` over each partition's batches, dealt and sorted by ``key``."""
     return df.repartition(partitions_for(df), key).sortWithinPartitions(key).mapInArrow(fn, schema)
 
 
 __all__ = ["fixed_bytes", "groups_by_bytes", "materialize", "partitions_for", "runs",
-           "small_batches", "sorted_map", "text_rows", "unused_name", "with_ids"]
+           "small_batches", "sorted_map", "text_rows", "unused_name", "with_groups", "with_ids"]

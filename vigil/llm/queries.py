@@ -202,3 +202,18 @@ n AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
 SELECT t.vec_id, coalesce(n.n, 0) AS n_links, coalesce(comp.c, t.vec_id) AS component_id, t.vec_id = coalesce(comp.c, t.vec_id) AS kept
 FROM embeddings t LEFT JOIN comp USING (vec_id) LEFT JOIN n USING (vec_id)
 """
+
+
+@_query
+def op13_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vigil.llm.digest_index import deduplicate
+
+    found = deduplicate(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+ORACLES["op13_digest_index"] = """
+WITH d AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents),
+g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY 1)
+SELECT doc_id, keep_id, group_size, coalesce(doc_id = keep_id, keep_id IS NULL) AS kept, text_sha256 FROM d JOIN g USING (text_sha256)
+"""
