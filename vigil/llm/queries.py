@@ -204,6 +204,42 @@ FROM embeddings t LEFT JOIN comp USING (vec_id) LEFT JOIN n USING (vec_id)
 """
 
 
+@_query
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vigil.llm.filter_audit import audit
+
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLES["op11_filter_audit"] = r"""
+WITH t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+                  min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first FROM documents),
+f AS (SELECT doc_id, part,
+             CASE WHEN len(w) < 100 THEN 1 ELSE 0 END + CASE WHEN 100 * list_unique(w) < 80 * len(w) THEN 2 ELSE 0 END
+             + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 4 ELSE 0 END
+             + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END + CASE WHEN first < doc_id THEN 16 ELSE 0 END AS fails FROM t),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY 1),
+m AS (SELECT part, fails, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic FROM f LEFT JOIN l USING (doc_id) GROUP BY 1, 2),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+o AS (SELECT a.c || b.c || c.c || d.c || e.c AS filter_order FROM x a, x b, x c, x d, x e
+      WHERE len(list_distinct([a.c, b.c, c.c, d.c, e.c])) = 5),
+st AS (SELECT filter_order, unnest(range(1, 6)) AS step FROM o),
+s AS (SELECT filter_order, CAST(step AS INTEGER) AS step, CAST(1 << (ascii(filter_order[step]) - 65) AS INTEGER) AS bit,
+             list_sum(list_transform(range(1, step), lambda i: 1 << (ascii(filter_order[i]) - 65))) AS before_sum FROM st),
+g AS (SELECT part, filter_order, step, bit,
+             sum(CASE WHEN fails & (bit | coalesce(before_sum, 0)::INTEGER) = 0 THEN n ELSE 0 END) AS kept,
+             sum(CASE WHEN fails & bit <> 0 AND fails & coalesce(before_sum, 0)::INTEGER = 0 THEN n ELSE 0 END) AS removed,
+             sum(CASE WHEN fails & bit <> 0 AND fails & coalesce(before_sum, 0)::INTEGER <> 0 THEN n ELSE 0 END) AS redundant,
+             sum(CASE WHEN fails = bit THEN n ELSE 0 END) AS unique_fails,
+             sum(CASE WHEN fails & bit <> 0 AND fails & coalesce(before_sum, 0)::INTEGER = 0 THEN good ELSE 0 END) AS good_lost,
+             sum(CASE WHEN fails & bit <> 0 AND fails & coalesce(before_sum, 0)::INTEGER = 0 THEN toxic ELSE 0 END) AS toxic_lost
+      FROM m, s GROUP BY 1, 2, 3, 4)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley FROM g
+"""
+
+
 @_query
 def op13_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vigil.llm.digest_index import deduplicate
