@@ -240,6 +240,34 @@ SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS B
 """
 
 
+@_query
+def op12_geometric_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vigil.llm.geometric_kmeans import cluster
+
+    return cluster(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+def _kmeans_sql(rounds: int, k: int) -> str:
+    """Every round as its own query: all distances, sums by component, floors."""
+    near = """a{r} AS MATERIALIZED (SELECT v.n, v.vec_id, v.e, c.c, c.e AS ce, list_sum(list_transform(list_zip(v.e, c.e), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d
+FROM v, c{r} c QUALIFY row_number() OVER (PARTITION BY v.n ORDER BY d, c.c) = 1)"""
+    move = """c{s} AS MATERIALIZED (SELECT c.c, coalesce(m.e, c.e) AS e FROM c{r} c LEFT JOIN (
+  SELECT c, list(f ORDER BY i) AS e FROM (SELECT c, i, CAST((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS f
+    FROM (SELECT c, unnest(e) AS x, unnest(range(len(e))) AS i FROM a{r}) GROUP BY c, i) GROUP BY c) m USING (c))"""
+    parts = [f"""v AS MATERIALIZED (SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id) NULLS LAST, e) - 1 AS c, e FROM v QUALIFY c < {k})"""]
+    for r in range(rounds):
+        parts += [near.format(r=r), move.format(r=r, s=r + 1)]
+    parts.append(near.format(r=rounds))
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(ce, ',')) AS centroid_sha256 FROM a{rounds}"""
+
+
+ORACLES["op12_geometric_kmeans"] = _kmeans_sql(10, 8)
+
+
 @_query
 def op13_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vigil.llm.digest_index import deduplicate
