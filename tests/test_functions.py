@@ -188,23 +188,14 @@ def test_external_model_scoring_matches_mllib(spark):
     assert all(r.sensitive == (r.predicted_label != "normal") for r in ext)
 
 
-def test_encode_with_dimension_and_compaction(spark, scratch):
+def test_encode_with_dimension_and_pooling(spark):
     from vigil.operators.pooling import mean_pool
     from vigil.schemas import label_dimension
-    from vigil.sinks.store import compact, read_current, upsert_batch
 
     df = spark.createDataFrame([("violent",), ("normal",), ("cat",), (None,)], "label string")
     got = [r.label_idx for r in encode_with_dimension(df, "label", label_dimension(spark)).orderBy("label_idx").collect()]
     assert sorted(got) == [-1, -1, 1, 5]
 
-    store, dst = scratch("store"), scratch("compacted")
-    rows = spark.createDataFrame([(1, "a", 0), (1, "b", 1), (2, "z", 0)], "id long, v string, o long")
-    upsert_batch(rows.where("o = 0"), store, "id", "o", run_id=0, batch_id=0)
-    upsert_batch(rows.where("o = 1"), store, "id", "o", run_id=0, batch_id=1)
-    compact(spark, store, "id", dst, buckets=4)
-    assert sorted((r.id, r.v) for r in spark.read.parquet(dst).collect()) == [(1, "b"), (2, "z")]
-    assert sorted((r.id, r.v) for r in read_current(spark, store, "id").collect()) == [(1, "b"), (2, "z")]
-
     vecs = spark.createDataFrame([(0, [1.0, 2.0]), (0, [3.0, 4.0]), (1, [5.0, 6.0])], "k int, v array<float>")
     pooled = {r.k: r.mean_vec for r in mean_pool(vecs, ["k"], "v").collect()}
     assert pooled == {0: [2.0, 3.0], 1: [5.0, 6.0]}

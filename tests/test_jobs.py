@@ -7,11 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from vigil import jobs
-from vigil.sinks.store import read_current, read_store
+from vigil.sinks.keyed_table import KeyedTable
+from vigil.sinks.store import read_store
 
 
 def test_all_jobs_end_to_end(spark, scratch):
-    place = {n: scratch(n).replace("file:", "") for n in ("manifest", "media", "topic", "store", "ck1", "landing", "ck2", "model", "pred", "ck3", "table", "compact")}
+    place = {n: scratch(n).replace("file:", "") for n in ("manifest", "media", "topic", "store", "ck1", "landing", "ck2", "model", "pred", "ck3", "table")}
     os.makedirs(place["manifest"])
     manifest = {}
     for i in range(60):
@@ -30,13 +31,13 @@ def test_all_jobs_end_to_end(spark, scratch):
     jobs.run("publish", base | {"job": {"source": place["manifest"], "target": place["topic"], "media": place["media"]}}, spark)
     spark.createDataFrame([(b"k", b"junk")], "key binary, value binary").write.mode("append").parquet(place["topic"])
     jobs.run("ingest", base | {"job": {"source": place["topic"], "target": place["store"], "checkpoint": place["ck1"], "strategy": "payload"}}, spark)
-    store = read_current(spark, place["store"], "id")
+    store = KeyedTable.open(spark, place["store"]).current()
     assert store.count() == 60 and store.where("status = 'ok'").count() == 59
     assert store.where("status <> 'ok'").select(F.array_max("series")).first()[0] == 0
     assert read_store(spark, place["store"] + "_quarantine").count() == 1
 
-    jobs.run("compact", base | {"shuffle_partitions": 4, "job": {"source": place["store"], "target": place["compact"]}}, spark)
-    assert sorted(r.id for r in spark.read.parquet(place["compact"]).select("id").collect()) == sorted(r.id for r in store.select("id").collect())
+    jobs.run("compact", base | {"job": {"source": place["store"]}}, spark)
+    assert sorted(r.id for r in KeyedTable.open(spark, place["store"]).current().collect()) == sorted(r.id for r in store.select("id").collect())
 
     jobs.run("train", base | {"job": {"source": place["store"], "target": place["model"]}}, spark)
     text = F.when(F.col("label") == "violent", F.repeat(F.lit("punch "), 5)).otherwise(F.repeat(F.lit("a bb ccc "), 5))

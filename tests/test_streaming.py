@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from conftest import SF0001
 from vigil.config import StreamConfig
 from vigil.sinks.envelope import encode
-from vigil.sinks.store import read_current, read_store
+from vigil.operators.upsert import dedupe_in_batch
+from vigil.sinks.keyed_table import KeyedTable
+from vigil.sinks.store import read_store, write_batch
 from vigil.sources.stream import RECORD_SCHEMA, read_stream
 from vigil.streaming import jobs
 from vigil.streaming.replay import write_pieces
@@ -32,7 +34,7 @@ def _stream(spark, topic, files_per_trigger):
 
 
 def _view(spark, store):
-    return sorted(tuple(r) for r in read_current(spark, store, "id").select("id", "label", "url", "url_len").collect())
+    return sorted(tuple(r) for r in KeyedTable.open(spark, store).current().select("id", "label", "url", "url_len").collect())
 
 
 def test_replay_rerun_fail_and_new_checkpoint(spark, scratch):
@@ -52,7 +54,7 @@ def test_replay_rerun_fail_and_new_checkpoint(spark, scratch):
     # new checkpoint, other batch boundaries: new run id, batch 0 of run 0 not overwritten
     r3 = jobs.ingest_to_store(_stream(spark, topic, 3), store, ck2, _featurize)
     assert r3.run_id == 1 and r3.batches == 2 and _view(spark, store) == first
-    runs = {(r.run_id, r.batch_id) for r in read_store(spark, store).select("run_id", "batch_id").distinct().collect()}
+    runs = {(c.run_id, c.batch_id) for c in KeyedTable.open(spark, store).snapshot()[1]}
     assert {(0, 0), (0, 1), (0, 2), (0, 3), (1, 0), (1, 1)} <= runs
 
 
@@ -69,7 +71,7 @@ def test_failed_batch_is_retried(spark, scratch):
 
     with pytest.raises(Exception):
         jobs.ingest_to_store(_stream(spark, topic, 1), store, ck, flaky)
-    partial = {r.batch_id for r in read_store(spark, store).select("batch_id").distinct().collect()}
+    partial = {c.batch_id for c in KeyedTable.open(spark, store).snapshot()[1]}
     assert partial == {0}
     jobs.ingest_to_store(_stream(spark, topic, 1), store, ck, flaky)  # restart from the checkpoint
     expected = sorted((str(r.doc_id), r.lang, f"doc://{r.doc_id}", len(f"doc://{r.doc_id}"))
@@ -146,7 +148,7 @@ def test_junk_and_last_write_within_a_batch(spark, scratch):
     sent.write.parquet(topic)
     keep = lambda good: good.select("id", "label")
     jobs.ingest_to_store(_all(spark, topic), store, scratch("ck"), keep)
-    assert sorted(tuple(r) for r in read_current(spark, store, "id").select("id", "label").collect()) == [("a", "new"), ("b", "only")]
+    assert sorted(tuple(r) for r in KeyedTable.open(spark, store).current().select("id", "label").collect()) == [("a", "new"), ("b", "only")]
     jobs.land(_all(spark, topic), landing, scratch("ck"), keep, mode="training")
     assert read_store(spark, landing).count() == 3
     for table in (store, landing):
@@ -164,8 +166,13 @@ def test_two_checkpoints_never_share_a_run_id(spark, scratch):
     assert first != second and jobs.run_id_for(spark, a, table) == first
 
 
-def test_order_may_not_be_the_key(spark, scratch):
-    from vigil.sinks.store import upsert_batch
-
+def test_order_may_not_be_the_key(spark):
     with pytest.raises(ValueError):
-        upsert_batch(spark.range(3), scratch("s"), "id", "id", 0, 0)
+        dedupe_in_batch(spark.range(3), "id", "id")
+
+
+def test_a_landed_batch_replaces_itself(spark, scratch):
+    path = scratch("landing")
+    for batch, n in ((0, 5), (1, 4), (1, 2), (0, 0)):  # sent again with fewer rows, and with none
+        write_batch(spark.range(n), path, 3, batch)
+    assert [tuple(r) for r in read_store(spark, path).groupBy("run_id", "batch_id").count().collect()] == [(3, 1, 2)]

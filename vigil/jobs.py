@@ -24,7 +24,7 @@ from vigil.functions.labels import encode_label
 from vigil.operators import training as tr
 from vigil.schemas import CLASS_NAMES
 from vigil.session import build_session
-from vigil.sinks import store
+from vigil.sinks.keyed_table import KeyedTable
 from vigil.sources.manifest import read_manifest_files
 from vigil.sources.stream import RECORD_SCHEMA, read_stream
 from vigil.streaming import jobs
@@ -90,13 +90,13 @@ def publish(spark: SparkSession, cfg: EngineConfig, job: JobConfig) -> None:
 def ingest(spark: SparkSession, cfg: EngineConfig, job: JobConfig) -> jobs.StreamResult:
     records = read_stream(spark, cfg.stream, job.source, RECORD_SCHEMA)
     return jobs.ingest_to_store(records, _given(job.target, "target"), _given(job.checkpoint, "checkpoint"), STRATEGIES[job.strategy](spark, cfg, job),
-                                cfg.stream.mode, quarantine=job.quarantine, available_now=job.available_now)
+                                cfg.stream.mode, quarantine=job.quarantine, available_now=job.available_now, by=("split",), buckets=cfg.shuffle_partitions)
 
 
 def compact(spark: SparkSession, cfg: EngineConfig, job: JobConfig) -> None:
-    """Rewrite the store's current view, bucketed and sorted by key, to another folder; readers
-    move there and the history behind it can be dropped."""
-    store.compact(spark, _given(job.source, "source"), "id", _given(job.target, "target"), cfg.shuffle_partitions)
+    """Fold the store's commits into one beside its readers (but for each run's newest batch). What older
+    snapshots name stays on disk until ``KeyedTable.vacuum``."""
+    KeyedTable.open(spark, _given(job.source, "source")).compact()
 
 
 def land(spark: SparkSession, cfg: EngineConfig, job: JobConfig) -> jobs.StreamResult:
@@ -112,7 +112,8 @@ def _vectors(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
 
 def train(spark: SparkSession, cfg: EngineConfig, job: JobConfig) -> str:
     """Fit on the rows of the feature store whose label is known; the best round is saved."""
-    rows = store.read_current(spark, _given(job.source, "source"), "id").withColumn("label", encode_label(F.col("label")).cast("double")).where("label >= 0")
+    known = KeyedTable.open(spark, _given(job.source, "source")).current(F.col("split").isin("train", "val"))  # prunes the other splits' files
+    rows = known.withColumn("label", encode_label(F.col("label")).cast("double")).where("label >= 0")
     rows = _vectors(rows, cfg).select("features", "label", "split")
     result = tr.train_early_stop(rows.where("split = 'train'"), rows.where("split = 'val'"), len(CLASS_NAMES), cfg.train)
     return tr.save_model(result.model, _given(job.target, "target"))

@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 from vigil.operators import report
 from vigil.operators.joins import bounded_broadcast
 from vigil.operators.split import hash_split
-from vigil.operators.upsert import current_view
+from vigil.operators.upsert import current_view, dedupe_in_batch
 from vigil.plans.catalog import query, sql_hash_split, t
 from vigil.sources.tables import heavy_table
 from vigil.session import materialize, scratch_path
-from vigil.sinks.store import read_current, read_store, upsert_batch, write_batch
+from vigil.sinks.keyed_table import KeyedTable
+from vigil.sinks.store import read_store, write_batch
 
 BATCH_ROWS = 1000
 SEEN_UPTO = 4  # batches 0..4 are already in the seen log
@@ -119,11 +120,52 @@ def feature_store_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     current view of the val split."""
     docs = hash_split(heavy_table(spark, sf_dir, "documents", "doc_id", "lang", "text"), "doc_id")
     feats = docs.select("doc_id", "lang", "split", F.size(F.split("text", " ")).cast("long").alias("n_words"))
-    path = scratch_path(spark, "store")
     part = F.col("doc_id") % 3
     versions = feats.withColumn("version", F.lit(1)).unionByName(feats.select(
         "doc_id", "lang", "split", F.lit(-1).cast("long").alias("n_words"), F.lit(0).alias("version")))
+    table = KeyedTable.create(spark, scratch_path(spark, "store"), "doc_id", versions.schema, by=("split",))
     for b, p in enumerate((0, 1, 2, 0)):
-        upsert_batch(versions.where(part == p), path, "doc_id", "version", run_id=0, batch_id=b, by=("split",))
+        table.upsert(dedupe_in_batch(versions.where(part == p), "doc_id", "version"), run_id=0, batch_id=b)
     # a document's split never changes, so the filter prunes partitions below the view
-    return read_current(spark, path, "doc_id", F.col("split") == "val").select("doc_id", "lang", "split", "n_words")
+    return table.current(F.col("split") == "val").select("doc_id", "lang", "split", "n_words")
+
+
+def _order_table(spark: SparkSession, sf_dir: str) -> KeyedTable:
+    """Orders by customer in three batches; the second is sent again with fewer rows, the third with none,
+    then the first two commits are folded and a fourth batch arrives."""
+    orders = t(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", F.col("o_totalprice").cast("double").alias("price"))
+    part = F.col("o_orderkey") % 4
+    table = KeyedTable.create(spark, scratch_path(spark, "orders"), "o_custkey", orders.schema)
+
+    def send(rows: DataFrame, batch: int) -> None:
+        table.upsert(dedupe_in_batch(rows, "o_custkey", "o_orderkey"), 0, batch)
+
+    for b in range(3):
+        send(orders.where(part == b), b)
+    send(orders.where((part == 1) & (F.col("o_orderkey") % 3 == 0)), 1)
+    send(orders.where("false"), 2)
+    table.compact()
+    send(orders.where(part == 3), 3)
+    return table
+
+
+_SQL_ORDERS = """
+WITH sent AS (
+  SELECT o_custkey, o_orderkey, CAST(o_totalprice AS DOUBLE) AS price, o_orderkey % 4 AS batch_id FROM orders
+  WHERE o_orderkey % 4 IN (0, 3) OR (o_orderkey % 4 = 1 AND o_orderkey % 3 = 0)),
+cur AS (SELECT * FROM sent QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY batch_id DESC, o_orderkey DESC) = 1)
+"""
+
+
+@query("store_replay", "OP-09 OP-10", _SQL_ORDERS + "SELECT o_custkey, o_orderkey, price, CAST(batch_id AS BIGINT) AS batch_id FROM cur")
+def store_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A replay with fewer rows, or none, leaves none of its earlier rows behind."""
+    return _order_table(spark, sf_dir).current().select("o_custkey", "o_orderkey", "price", "batch_id")
+
+
+@query("store_lookup", "OP-04 OP-09", _SQL_ORDERS + """SELECT o_custkey, o_orderkey, price FROM cur
+WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')""")
+def store_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The current rows of one segment's customers, from the files that may hold them."""
+    keys = t(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"))
+    return _order_table(spark, sf_dir).lookup(keys).select("o_custkey", "o_orderkey", "price")

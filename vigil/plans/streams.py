@@ -16,7 +16,8 @@ from vigil.operators.split import hash_split
 from vigil.plans.catalog import query, sql_hash_split, t
 from vigil.session import scratch_path
 from vigil.sinks.envelope import encode
-from vigil.sinks.store import read_current, read_store
+from vigil.sinks.keyed_table import KeyedTable
+from vigil.sinks.store import read_store
 from vigil.sources.envelope import decode
 from vigil.sources.stream import RECORD_SCHEMA, read_stream
 from vigil.sources.tables import heavy_table
@@ -85,14 +86,14 @@ def stream_feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     _publish_records(records, topic)
     _publish_records(records.where(F.col("piece") == 0), topic + "_replay")  # a replayed piece
     stream = read_stream(spark, FILE_STREAM, topic, _record_schema()).drop("piece")
-    jobs.ingest_to_store(stream, store, ckpt, doc_features(spark, sf_dir))
+    jobs.ingest_to_store(stream, store, ckpt, doc_features(spark, sf_dir), by=("split",))
     # the replay arrives later through a second query on the same store (new run id)
     replay = read_stream(spark, FILE_STREAM, topic + "_replay",
                          _record_schema()).drop("piece")
-    jobs.ingest_to_store(replay, store, scratch_path(spark, "ckpt"), doc_features(spark, sf_dir))
-    current = read_current(spark, store, "id").select("id", "label", "split", "n_words", "n_lines", "status")
-    # what was announced = stored + quarantined; a replayed record is quarantined again
-    bad = read_current(spark, jobs.quarantine_of(store), "key")
+    jobs.ingest_to_store(replay, store, scratch_path(spark, "ckpt"), doc_features(spark, sf_dir), by=("split",))
+    current = KeyedTable.open(spark, store).current().select("id", "label", "split", "n_words", "n_lines", "status")
+    # what was announced = stored + quarantined; a replayed record is quarantined again, in its own run
+    bad = read_store(spark, jobs.quarantine_of(store)).where("run_id = 0")
     none = F.lit(None)
     return current.unionByName(bad.select(
         F.col("key").cast("string").alias("id"), none.cast("string").alias("label"), none.cast("string").alias("split"),

@@ -1,32 +1,20 @@
-"""Keyed feature store and per-batch landing (OP-09, OP-10, OP-04, OP-05).
+"""Per-batch landing (OP-10, OP-05): Parquet under ``run_id=<r>/batch_id=<b>``.
 
-Both tables are Parquet partitioned by ``(run_id, batch_id)`` and written with dynamic
-partition overwrite, so replaying a batch id replaces exactly that batch (idempotent),
-and a new checkpoint (new ``run_id``, batch ids restarting at 0) never overwrites an
-older run's batch 0.
+A batch owns its folder: writing it replaces the folder's files as one job, so a replayed
+batch replaces itself, also where it has fewer rows or none, and a new checkpoint (new
+``run_id``, batch ids restarting at 0) never overwrites an older run's batch 0. Keyed
+tables with transactions are in ``keyed_table``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.operators.upsert import current_view, dedupe_in_batch
 
-
-def write_batch(df: DataFrame, path: str, run_id: int, batch_id: int,
-                partition_by: tuple[str, ...] = ("run_id", "batch_id")) -> None:
-    """Overwrite exactly the (run_id, batch_id) partition with ``df``."""
-    (df.withColumn("run_id", F.lit(int(run_id)).cast("long"))
-     .withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).parquet(path))
-
-
-def upsert_batch(df: DataFrame, path: str, key: str, order: str, run_id: int, batch_id: int, by: tuple[str, ...] = ()) -> None:
-    """Append one micro-batch to the keyed table (in-batch duplicates resolved first), also
-    partitioned by the columns ``by``, whose values a key never changes (e.g. its split)."""
-    write_batch(dedupe_in_batch(df, key, order), path, run_id, batch_id, ("run_id", "batch_id", *by))
+def write_batch(df: DataFrame, path: str, run_id: int, batch_id: int) -> None:
+    """Overwrite exactly the (run_id, batch_id) folder with ``df``."""
+    df.drop("run_id", "batch_id").write.mode("overwrite").parquet(f"{path.rstrip('/')}/run_id={int(run_id)}/batch_id={int(batch_id)}")
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
@@ -37,17 +25,3 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
         if c in df.columns:
             df = df.withColumn(c, F.col(c).cast("long"))
     return df
-
-
-def read_current(spark: SparkSession, path: str, key: str, only: Column | None = None) -> DataFrame:
-    """Current view: per key the row of the latest (run_id, batch_id). ``only`` is a condition on
-    columns whose values a key never changes; it reaches the scan and prunes partitions."""
-    rows = read_store(spark, path)
-    return current_view(rows if only is None else rows.where(only), key)
-
-
-def compact(spark: SparkSession, path: str, key: str, dst: str, buckets: int) -> None:
-    """Rewrite the current view hash-partitioned and sorted by key (fast point reads
-    and co-partitioned joins); old batches can then be dropped."""
-    (read_current(spark, path, key).repartition(buckets, key).sortWithinPartitions(key)
-     .write.mode("overwrite").parquet(dst))

@@ -4,8 +4,8 @@ Every job reuses the batch functions unchanged inside ``foreachBatch``:
 
 * the micro-batch is persisted once (counted once, checked for emptiness once) instead
   of being re-read for every action;
-* writes go to ``(run_id, batch_id)`` partitions with dynamic overwrite, so a batch
-  replayed after a failure replaces itself (exactly-once result), and a new checkpoint
+* a batch owns its commit in the keyed table, or its ``(run_id, batch_id)`` folder, so a batch
+  replayed after a failure replaces itself as a whole (exactly-once result), and a new checkpoint
   gets a new ``run_id`` (kept in a file next to the checkpoint) so restarted batch ids
   never overwrite earlier runs;
 * write errors fail the batch (the query stops and restarts from its checkpoint)
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.operators.upsert import dedupe_in_batch
+from vigil.sinks.keyed_table import KeyedTable
 from vigil.sinks.store import write_batch
 from vigil.sources.envelope import decode, split_quarantine
 
@@ -153,8 +154,10 @@ def _run(writer, trigger_once: bool, processing_time: str | None = None):
 
 def ingest_to_store(records: DataFrame, store: str, checkpoint: str, featurize: Featurizer,
                     mode: str = "training", key: str = "id",
-                    quarantine: str | None = None, available_now: bool = True) -> StreamResult:
-    """Stream -> decode -> featurize -> keyed upsert store (OP-60).
+                    quarantine: str | None = None, available_now: bool = True, by: tuple[str, ...] = (),
+                    buckets: int | None = None) -> StreamResult:
+    """Stream -> decode -> featurize -> keyed table (OP-60), one commit a batch, also partitioned by
+    the columns ``by``, whose values a key never changes (e.g. its split).
 
     Records without a key go, with their raw bytes and position, to ``quarantine``
     (default: next to the store)."""
@@ -172,7 +175,8 @@ def ingest_to_store(records: DataFrame, store: str, checkpoint: str, featurize:
                 return
             good, bad = split_quarantine(decoded)
             write_batch(bad, quarantine, run_id, batch_id)
-            write_batch(featurize(last_of_each(good, key)), store, run_id, batch_id)
+            rows = featurize(last_of_each(good, key))
+            KeyedTable.open_or_create(rows.sparkSession, store, key, rows.schema, by=by, buckets=buckets).upsert(rows, run_id, batch_id)
             seen["batches"] += 1
         finally:
             decoded.unpersist()
@@ -251,8 +255,7 @@ def score_landed(landed: DataFrame, predictions: str, checkpoint: str,
         try:
             if batch.isEmpty():
                 return
-            write_batch(score(batch), predictions, run_id, batch_id,
-                        partition_by=("run_id", "batch_id"))
+            write_batch(score(batch), predictions, run_id, batch_id)
             seen["batches"] += 1
         finally:
             batch.unpersist()
