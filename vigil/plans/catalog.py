@@ -16,7 +16,7 @@ ORACLES: dict[str, str] = {}
 OPS: dict[str, str] = {}
 
 _MODULES = ("moderation", "envelopes", "curation", "features", "batches", "evaluation",
-            "streams", "models")
+            "streams", "models", "scoring")
 
 
 def query(name: str, ops: str, oracle: str | None = None) -> Callable[[Builder], Builder]:

@@ -173,46 +173,6 @@ def model_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows, "model string, val_log_loss double, val_accuracy double, val_macro_f1 double, selected boolean")
 
 
-@query("model_evaluation", "OP-77 OP-43 OP-45")
-def model_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The trained model on the labelled test split: counts, precision, recall and F1 per class."""
-    from vigil.operators.evaluate import class_metrics, per_class_counts
-
-    found = trained(spark, sf_dir)
-    test = found.features.where(F.col("label").isNotNull() & (F.col("split") == "test"))
-    pred = found.model.transform(test).select(F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"))
-    return class_metrics(per_class_counts(pred))
-
-
-@query("batch_score", "OP-76 OP-35 OP-36 OP-32 OP-33")
-def batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Score every document (labelled or not) with the early-stopped model."""
-    found = trained(spark, sf_dir)
-    return tr.score(found.model, found.features.select("doc_id", "features"), DOC_CLASSES, ["doc_id"])
-
-
-@query("stream_score", "OP-65 OP-76 OP-05 OP-24")
-def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed feature rows arrive as files; each new micro-batch is scored and appended
-    (the stream checkpoint is the log of batches already seen)."""
-    found = trained(spark, sf_dir)
-    landed = found.features.select(
-        "doc_id", vector_to_array("features").alias("features_arr"),
-        (F.col("doc_id") % PIECES).cast("int").alias("piece"))
-    src, preds, ckpt = (scratch_path(spark, n) for n in ("landed", "predictions", "ckpt"))
-    write_pieces(landed, src, "piece")
-    stream = (spark.readStream.schema("doc_id long, features_arr array<double>, piece int")
-              .option("maxFilesPerTrigger", 1).parquet(src))
-
-    def score(batch: DataFrame) -> DataFrame:
-        with_vec = batch.withColumn("features", array_to_vector("features_arr"))
-        return tr.score(found.model, with_vec, DOC_CLASSES, ["doc_id"])
-
-    jobs.score_landed(stream, preds, ckpt, score)
-    return read_store(spark, preds).select("doc_id", "batch_id", "prediction", "predicted_label", "sensitive",
-                                           "confidence")
-
-
 @query("external_score", "OP-76 OP-35 OP-36 OP-32 OP-33")
 def external_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score every document with a model run outside MLlib: the class-balanced linear
