@@ -74,6 +74,10 @@ class TrainConfig:
     patience: int = 4
     hidden: tuple[int, ...] = (256, 256)
     seed: int = 42
+    workers: int = 4  # tasks of a barrier stage; as many free slots are needed at once
+    batch_rows: int = 32  # per worker and step
+    learning_rate: float = 1e-3
+    weight_decay: float = 0.01
 
 
 @dataclass(frozen=True)
