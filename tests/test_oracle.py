@@ -54,7 +54,7 @@ def test_training_and_scoring(spark):
     n_test = hash_split(labels, "doc_id").where("split = 'test'").count()
     assert sum(r.n_actual for r in QUERIES["model_evaluation"](spark, SF0001).collect()) == n_test > 0
     sel = QUERIES["model_selection"](spark, SF0001).collect()
-    assert sum(r.selected for r in sel) == 1 and {r.model for r in sel} == {"fusion", "tiny", "linear"}
+    assert sum(r.selected for r in sel) == 1 and {r.model for r in sel} == {"fusion", "tiny", "simple"}
     streamed = QUERIES["stream_score"](spark, SF0001).collect()
     assert sorted(r.doc_id for r in streamed) == sorted(r.doc_id for r in rows)
     external = QUERIES["external_score"](spark, SF0001).collect()
@@ -65,12 +65,9 @@ def test_training_and_scoring(spark):
 def test_saved_model_restores(spark):
     from vigil.plans import models
 
-    found, res = models.train_models(spark, SF0001)
+    found = models.train_models(spark, SF0001)
     again = models.trained(spark, SF0001)
-    assert again.path == found.path
-    a = {r.doc_id: r.prediction for r in res.model.transform(found.features).select("doc_id", "prediction").collect()}
-    b = {r.doc_id: r.prediction for r in again.model.transform(again.features).select("doc_id", "prediction").collect()}
-    assert a == b and len(a) > 0
+    assert again.path == found.path and again.model == found.model and len(found.model.history) > 4
 
 
 def test_entry(spark):

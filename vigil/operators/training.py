@@ -22,6 +22,7 @@ from pyspark import StorageLevel
 from vigil.config import TrainConfig
 from vigil.functions.labels import decode_label, sensitive_flag
 from vigil.functions.text import tokens
+from vigil.operators.relational import token_bucket
 
 
 def text_vectors(docs: DataFrame, text: str = "text", num_features: int = 1 << 12,
@@ -35,19 +36,21 @@ def text_vectors(docs: DataFrame, text: str = "text", num_features: int = 1 << 1
     return model.transform(with_tokens).drop("__tokens", "__tf"), model
 
 
-def hashed_tfidf(docs: DataFrame, key: str, text: str = "text", num_features: int = 1 << 12) -> DataFrame:
-    """Sparse hashed TF-IDF rows ``key, bucket, weight`` (OP-47) in DataFrame operations.
-
-    A token's bucket is its md5 (first 8 hex digits) modulo ``num_features``; weight is tf times
-    ln((n + 1) / (df + 1)). Counts are partial before each shuffle; document frequencies
-    are one row per bucket, so that side is broadcast (bounded by ``num_features``)."""
-    bucket = F.conv(F.substring(F.md5("token"), 1, 8), 16, 10).cast("long") % num_features
-    tf = (docs.select(key, F.explode(tokens(text)).alias("token")).groupBy(key, "token").agg(F.count(F.lit(1)).alias("n"))
-          .groupBy(key, bucket.alias("bucket")).agg(F.sum("n").alias("tf")))
-    df = tf.groupBy("bucket").agg(F.count(F.lit(1)).alias("df"))
-    total = docs.agg(F.count(F.lit(1)).alias("total"))
-    idf = df.join(F.broadcast(total)).select("bucket", F.log((F.col("total") + 1) / (F.col("df") + 1)).alias("idf"))
-    return tf.join(F.broadcast(idf), "bucket").select(key, "bucket", (F.col("tf") * F.col("idf")).alias("weight"))
+def token_weights(docs: DataFrame, key: str, text: str = "text", num_features: int = 1 << 12) -> DataFrame:
+    """``key, n_buckets, n_tokens, weight_sum`` of the hashed TF-IDF vector that the models use (OP-47).
+
+    A token's place is its md5 (first 8 hex digits) modulo ``num_features``; its weight is
+    ln((n + 1) / (df + 1)), and a vector's place holds the sum over its tokens. Tokens stay in their
+    rows: only each row's distinct places are counted for the document frequencies (partial counts of at most
+    ``num_features`` rows a task), which come back as one array (bounded by ``num_features``)."""
+    rows = docs.select(key, F.transform(tokens(text), lambda w: token_bucket(w, num_features)).alias("__at"))
+    df = rows.select(F.explode(F.array_distinct("__at")).alias("place")).groupBy("place").agg(F.count(F.lit(1)).alias("df"))
+    total = docs.count()
+    by_place = df.agg(F.map_from_entries(F.collect_list(F.struct("place", F.log((F.lit(total) + 1) / (F.col("df") + 1))))).alias("by")).first().by or {}
+    idf = F.array(*[F.lit(float(by_place.get(p, 0.0))) for p in range(num_features)])
+    weight = F.aggregate("__at", F.lit(0.0), lambda a, p: a + F.get(idf, p))
+    return rows.select(key, F.size(F.array_distinct("__at")).cast("long").alias("n_buckets"), F.size("__at").cast("long").alias("n_tokens"),
+                       F.round(weight, 4).alias("weight_sum"))
 
 
 def balanced_copies(train: DataFrame, label: str = "label") -> DataFrame:

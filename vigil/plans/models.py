@@ -1,9 +1,9 @@
-"""Featurize, text vectors, training with early stopping, model selection, batch and
-stream scoring (OP-12, OP-47, OP-65, OP-70..74, OP-76).
+"""Featurize, text vectors, training with early stopping, model selection and scoring by a
+network (OP-12, OP-47, OP-70..74, OP-76).
 
 Documents are the items; ``labels.toxic`` is the class (0 normal, 1 offensive). The
-fused input is: sampled line lengths (30), word-length series (40), text vector (the given embedding of the same
-id, zeros when missing), hashed TF-IDF of the whole text.
+modalities, a tower each: sampled line lengths (30), word-length series (40), text vector (the given
+embedding of the same id, zeros when missing), hashed TF-IDF of the whole text.
 """
 
 from __future__ import annotations
@@ -11,31 +11,29 @@ from __future__ import annotations
 import hashlib
 from dataclasses import dataclass
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.config import DEFAULT
 from vigil.functions import arrays as ar
+from vigil.operators import towers
 from vigil.operators import training as tr
 from vigil.operators.featurize import composed_text, featurize as run_extractors
+from vigil.operators.relational import token_bucket
 from vigil.operators.split import hash_split
 from vigil.plans.catalog import query, t
 from vigil.sources.tables import heavy_table
 from vigil.functions.text import tokens, word_lengths
-from vigil.plans.features import SERIES, VEC_DIM, _SQL_FRAMES, frame_lengths, frame_mean
+from vigil.plans.features import FRAMES, SERIES, VEC_DIM, _SQL_FRAMES, frame_lengths, frame_mean
 from vigil.session import checkpoint_root, materialize, scratch_path
-from vigil.sinks.store import read_store
 from vigil.streaming import jobs
-from vigil.streaming.replay import write_pieces
-from vigil.plans.streams import PIECES
 
 # --- fixed values --------------------------------------------------------------------
 DOC_CLASSES = ["normal", "offensive"]  # index = labels.toxic
 # --------------------------------------------------------------------------------------
 TEXT_HASH = DEFAULT.features.hash_features
 TRAIN = DEFAULT.train
-PRESETS = {"fusion": (256, 256), "tiny": (128,)}
+WIDTHS = {"frames": FRAMES, "series": SERIES, "text": VEC_DIM, "tokens": TEXT_HASH}
 
 
 @query("featurize", "OP-70 OP-46 OP-53 OP-37", f"""
@@ -63,59 +61,38 @@ SELECT doc_id, CAST(count(*) AS BIGINT) AS n_buckets, CAST(sum(tf) AS BIGINT) AS
 FROM tf JOIN df USING (bucket) GROUP BY doc_id
 """)
 def text_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = heavy_table(spark, sf_dir, "documents", "doc_id", "text")
-    rows = tr.hashed_tfidf(docs, "doc_id", num_features=TEXT_HASH)
-    n_tokens = docs.select("doc_id", F.size(tokens("text")).cast("long").alias("n_tokens"))
-    sums = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_buckets"), F.round(F.sum("weight"), 4).alias("weight_sum"))
-    return sums.join(n_tokens, "doc_id")
-
-
-def model_inputs(spark: SparkSession, sf_dir: str):
-    """Every document once: ``doc_id, split, label`` (null when unlabelled), ``frames``, ``series``,
-    ``text_vec``, ``tfidf``. The IDF is fitted on the labelled training rows only (no
-    statistics leak from validation, test or unlabelled rows). Two passes over the
-    texts: the IDF fit and the vectorisation, written to the shared folder. Returns
-    (rows, text model)."""
-    docs = heavy_table(spark, sf_dir, "documents", "doc_id", "text")
-    lab = t(spark, sf_dir, "labels").select("doc_id", F.col("toxic").cast("double").alias("label"))
-    emb = t(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
-    base = hash_split(docs.join(lab, "doc_id", "left"), "doc_id").withColumn(
-        "series", ar.pad_truncate(word_lengths("text"), SERIES, "int")).withColumn("frames", frame_lengths("text"))
-    _, text_model = tr.text_vectors(_training_rows(base), num_features=TEXT_HASH)
-    vec, _ = tr.text_vectors(base, model=text_model)
-    rows = (vec.join(emb, "doc_id", "left")
-            .withColumn("text_vec", ar.default_vector("embedding", VEC_DIM)).drop("embedding", "text"))
-    # written once: the scaler fit and the final transform read this, not the texts
-    return materialize(rows, "model_inputs"), text_model
+    return tr.token_weights(heavy_table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", num_features=TEXT_HASH)
 
 
-def _training_rows(df: DataFrame) -> DataFrame:
-    return df.where(F.col("label").isNotNull() & (F.col("split") == "train"))
-
-
-def fit_features(rows: DataFrame):
-    """Assembler + scaler fitted on the labelled training rows, applied to every row."""
-    blocks = ["frames", "series", "text_vec"]
-    pipe = tr.feature_pipeline(blocks, ["tfidf"])
-    prepared = tr.to_vectors(rows, blocks)
-    model = pipe.fit(_training_rows(prepared))
-    return model, model.transform(prepared)
+def model_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document once: ``doc_id, split, label`` (null when unlabelled) and the blocks ``frames``,
+    ``series``, ``text`` (the embedding of the same id, zeros when missing) and ``tokens`` (places of
+    the whole text's tokens). One pass over the texts, written to the shared folder."""
+    docs = heavy_table(spark, sf_dir, "documents", "doc_id", "text")
+    docs = hash_split(docs, "doc_id").select(
+        "doc_id", "split", F.transform(frame_lengths("text"), lambda x: x.cast("double")).alias("frames"),
+        F.transform(ar.pad_truncate(word_lengths("text"), SERIES, "int"), lambda x: x.cast("double")).alias("series"),
+        F.transform(tokens("text"), lambda w: token_bucket(w, TEXT_HASH)).alias("tokens"))
+    lab = t(spark, sf_dir, "labels").select("doc_id", F.col("toxic").cast("int").alias("label"))
+    emb = t(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
+    vector = ar.pad_truncate(ar.default_vector("embedding", VEC_DIM), VEC_DIM, "double")
+    return materialize(docs.join(lab, "doc_id", "left").join(emb, "doc_id", "left").withColumn("text", vector).drop("embedding"), "model_inputs")
 
 
 @dataclass(frozen=True)
 class Trained:
     """What a training left in the shared folder."""
-    features: DataFrame  # every document: ``doc_id, split, label, features``
-    model: object
-    path: str  # of the model
+    features: DataFrame  # every document: ``doc_id, split, label`` and the blocks
+    model: towers.Fitted
+    path: str  # of the training
 
     @property
     def train(self) -> DataFrame:
-        return _training_rows(self.features)
+        return towers.weighted(self.features.where("label is not null and split = 'train'"))
 
     @property
     def val(self) -> DataFrame:
-        return self.features.where(F.col("label").isNotNull() & (F.col("split") == "val"))
+        return self.features.where("label is not null and split = 'val'")
 
 
 def _place(spark: SparkSession, sf_dir: str) -> str:
@@ -126,63 +103,56 @@ def _place(spark: SparkSession, sf_dir: str) -> str:
     return f"{checkpoint_root(spark)}/vigil/models-{print_}"
 
 
-def train_models(spark: SparkSession, sf_dir: str) -> tuple[Trained, tr.TrainResult]:
-    """Train from scratch; features and the best model are saved, and their paths noted where
+def fit_preset(data: Trained, preset: str, path: str) -> towers.Fitted:
+    train = data.train
+    return towers.fit(train, data.val, "doc_id", towers.describe(train, preset, WIDTHS, len(DOC_CLASSES)), TRAIN, path)
+
+
+def train_models(spark: SparkSession, sf_dir: str) -> Trained:
+    """Train from scratch; features and the best state are saved, and their paths noted where
     ``trained`` finds them."""
-    rows, _ = model_inputs(spark, sf_dir)
-    _, feats = fit_features(rows)
-    # one table of vectorised documents in the shared folder: every fit and every
-    # scoring query reads it instead of re-tokenising the texts
-    path = scratch_path(spark, "model_features")
-    feats.select("doc_id", "split", "label", "features").write.parquet(path)
-    out = Trained(spark.read.parquet(path), None, scratch_path(spark, "model"))
-    res = tr.train_early_stop(out.train, out.val, len(DOC_CLASSES), TRAIN)
-    tr.save_model(res.model, out.path)
-    jobs.write_text(spark, _place(spark, sf_dir), f"{path}|{out.path}")
-    return Trained(out.features, res.model, out.path), res
+    rows = model_inputs(spark, sf_dir)
+    features, model = scratch_path(spark, "model_features"), scratch_path(spark, "model")
+    rows.write.parquet(features)
+    data = Trained(spark.read.parquet(features), None, model)
+    fitted = fit_preset(data, "fusion", model)
+    jobs.write_text(spark, _place(spark, sf_dir), f"{features}|{model}")
+    return Trained(data.features, fitted, model)
 
 
 def trained(spark: SparkSession, sf_dir: str) -> Trained:
     """The model saved for these very input files; trained first if there is none."""
     noted = jobs.read_text(spark, _place(spark, sf_dir))
     if noted is None:
-        return train_models(spark, sf_dir)[0]
+        return train_models(spark, sf_dir)
     features, model = noted.split("|")
-    return Trained(spark.read.parquet(features), tr.load_model(model), model)
+    return Trained(spark.read.parquet(features), towers.load(spark, model), model)
+
+
+def _history(spark: SparkSession, fitted: towers.Fitted) -> DataFrame:
+    rows = [(h["epoch"], h["train_loss"], h["val_log_loss"], h["val_accuracy"], h["val_macro_f1"], h["improved"]) for h in fitted.history]
+    return spark.createDataFrame(rows, "epoch int, train_loss double, val_log_loss double, val_accuracy double, val_macro_f1 double, improved boolean")
 
 
 @query("train_early_stop", "OP-72 OP-74 OP-12 OP-71")
 def train_early_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, res = train_models(spark, sf_dir)
-    return spark.createDataFrame(res.history, "round int, val_log_loss double, val_accuracy double, val_macro_f1 double, improved boolean")
+    return _history(spark, train_models(spark, sf_dir).model)
 
 
 @query("model_selection", "OP-73 OP-72")
 def model_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three presets, fitted on the same features; the best macro-F1 on the validation split is selected."""
     fusion = trained(spark, sf_dir)
-    train, val = fusion.train, fusion.val
-    tiny = tr.train_early_stop(train, val, len(DOC_CLASSES), TRAIN, PRESETS["tiny"])
-    candidates = {"fusion": fusion.model, "tiny": tiny.model, "linear": tr.fit_linear(train)}
-    results = []
-    for name, model in candidates.items():
-        loss, acc = tr.evaluate(model, val)
-        results.append((name, loss, acc, tr.macro_f1(model, val)))
-    best = max(results, key=lambda r: r[3])[0]
-    rows = [(n, float(loss), float(acc), float(f1), n == best) for n, loss, acc, f1 in results]
-    return spark.createDataFrame(
-        rows, "model string, val_log_loss double, val_accuracy double, val_macro_f1 double, selected boolean")
+    found = {"fusion": fusion.model} | {p: fit_preset(fusion, p, scratch_path(spark, "model")) for p in ("tiny", "simple")}
+    rows = [(name, max((h for h in m.history if h["improved"]), key=lambda h: h["epoch"])) for name, m in found.items()]
+    best = max(rows, key=lambda r: r[1]["val_macro_f1"])[0]
+    return spark.createDataFrame([(n, h["val_log_loss"], h["val_accuracy"], h["val_macro_f1"], n == best) for n, h in rows],
+                                 "model string, val_log_loss double, val_accuracy double, val_macro_f1 double, selected boolean")
 
 
 @query("external_score", "OP-76 OP-35 OP-36 OP-32 OP-33")
 def external_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Score every document with a model run outside MLlib: the class-balanced linear
-    baseline is exported to numpy and applied in Arrow batches by ``predict_batch_udf``
-    (the path for exported networks, e.g. run by onnxruntime)."""
+    """Score every document with the network: numpy in Arrow batches; softmax, argmax, label name and
+    sensitive flag are built-in expressions."""
     found = trained(spark, sf_dir)
-    all_feats, train = found.features, found.train
-    linear = tr.fit_linear(train)
-    feats = all_feats.select("doc_id", vector_to_array("features").alias("x"))
-    n_in = len(train.select("features").first()[0])
-    return tr.external_scores(feats, "x", tr.linear_predict_fn(linear), n_in, class_names=DOC_CLASSES,
-                              keep=["doc_id"]).select("doc_id", "prediction", "predicted_label", "sensitive",
-                                                      F.array_max("probability").alias("confidence"))
+    return towers.score(found.features, found.model, DOC_CLASSES, ("doc_id",))
