@@ -38,6 +38,23 @@ def found(spark, rows, **more):
     return {r.id: (r.n_links, r.component_id, r.kept) for r in hnsw.near_duplicates(df, **more).collect()}
 
 
+def all_hits(graph, queries, beam):
+    return [np.concatenate(x) for x in list(zip(*hnsw._hits(graph, queries, 0.9, beam)))[:2]]
+
+
+def test_forest_of_pieces():
+    rnd = np.random.default_rng(3)
+    for n, m in ((1, 0), (50, 30), (400, 900), (3000, 2000)):
+        parent, slow = np.arange(n), list(range(n))
+        for _ in range(3):
+            a, b = rnd.integers(0, n, (2, m))
+            hnsw._join(parent, a, b)
+            for x, y in zip(a.tolist(), b.tolist()):
+                low, high = sorted((slow[x], slow[y]))
+                slow = [low if s == high else s for s in slow]
+        assert hnsw._roots(parent, parent).tolist() == slow
+
+
 def clustered(rnd, n, dim=16):
     rows = [(i, rnd.standard_normal(dim)) for i in range(n)]
     rows += [(n + i, rows[int(rnd.integers(n))][1] + 0.05 * rnd.standard_normal(dim)) for i in range(n // 3)]
@@ -73,7 +90,7 @@ def test_beams_widen_until_the_audit_passes():
     q = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
     beam, recall = hnsw.audited_beam(graph, q, 0.9)
     assert recall >= hnsw.RECALL
-    a, p = hnsw._hits(graph, q, 0.9, beam)
+    a, p = all_hits(graph, q, beam)
     truth = set(zip(*(t.tolist() for t in np.nonzero(q @ q.T >= 0.9 - hnsw.SLACK))))
     got = set(zip(a.tolist(), p.tolist()))
     assert got <= truth and len(got) >= 0.99 * len(truth)
@@ -96,7 +113,7 @@ def test_a_large_group_hides_no_missed_pairs():
     poor = hnsw.Graph(graph.ids, graph.many, graph.exact, graph.x, levels)  # only the group is linked
     for more in ({}, {"ids": graph.ids}):
         beam, recall = hnsw.audited_beam(poor, q, 0.9, **more)
-        a, p = hnsw._hits(poor, q, 0.9, beam)
+        a, p = all_hits(poor, q, beam)
         pairs = {(i, j) for i, j in zip(a.tolist(), p.tolist()) if i >= 1000 and i != j}
         want = {(i, j) for i, j in zip(*(t.tolist() for t in np.nonzero(q @ q.T >= 0.9))) if i >= 1000 and i != j}
         assert beam > hnsw.BEAM and recall >= hnsw.RECALL and len(want) > 1900 and len(pairs & want) >= 0.99 * len(want)

@@ -10,9 +10,11 @@ average is over probes, not links, and taken apart for both kinds of probes and
 links fit in the beam, in the widest beam and in none, so that a large group, which is always found,
 hides nothing missed elsewhere. A vector whose beam
 holds links only is searched with a wider one, and beyond ``WIDEST`` compared with the
-whole shard, so large groups of copies lose nothing. Every hit is verified by cosine in
-double precision. Of what a unit finds, each vector's number of links and a spanning forest
-leave it, never its pairs; the forests' union gives the components.
+whole shard, so large groups of copies lose nothing. Every hit near the
+threshold is verified by cosine in double precision. A unit takes its hits in pieces of about
+``PIECE``, adds them to each vector's number of links and to a spanning forest, and drops them; counts and
+forest leave it, never pairs, and the forests' union gives the components. Graphs are files in the
+shared folder that the units open, so no index is shuffled; shards are bounded by bytes, too.
 
 Equal vectors are one vector with a multiplicity, so copies are neither indexed nor queried
 twice. Vectors of different lengths link with nothing of another length.
@@ -25,6 +27,7 @@ An empty table gives an empty result. Only the id and vector columns are read.
 from __future__ import annotations
 
 import pickle  # of arrays that this module wrote itself, in the job's own folder
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,12 +35,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vigil.llm import files
 from vigil.llm.common import materialize
 from vigil.llm.components import components
+from vigil.session import scratch_path
 
 LINKS, BUILD_BEAM, BEAM, WIDEST, EXPAND = 12, 48, 48, 768, 3
 SHARD_ROWS, SHARDS, BLOCK_ROWS, RECALL, AUDIT = 65_536, 6, 16_384, 0.99, 512
 SLACK = 1e-4  # of single precision, before the exact check
+PIECE, SHARD_BYTES = 1 << 22, 256 << 20  # hits held at once; vectors of a shard, in both precisions
 
 
 def _batched(graph: list[np.ndarray], x: np.ndarray, queries: np.ndarray, entry: np.ndarray, beam: int, seen: np.ndarray, expand: int = EXPAND):
@@ -204,23 +210,23 @@ def _layer(x: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
     return graph
 
 
-def _hits(graph: Graph, queries: np.ndarray, threshold: float, beam: int, keep: np.ndarray | None = None):
-    """``(query, place)`` pairs of similarity above the threshold, less slack, in single precision."""
+def _hits(graph: Graph, queries: np.ndarray, threshold: float, beam: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pieces of ``(query, place, similarity)``: above the threshold, less slack, in single precision.
+    A piece holds the hits of some queries, at most about ``PIECE``."""
     low = np.float32(threshold - SLACK)
-    todo, found_q, found_p = np.arange(len(queries)), [], []
+    todo = np.arange(len(queries))
     while len(todo) and beam < min(WIDEST, len(graph.x)):
         ids, sims = graph.search(queries[todo], beam)
         hit = (sims >= low) & (ids >= 0)
         full = hit.all(axis=1)
         r, c = np.nonzero(hit & ~full[:, None])
-        found_q.append(todo[r])
-        found_p.append(ids[r, c])
+        yield todo[r], ids[r, c], sims[r, c]
         todo, beam = todo[full], 4 * beam
-    for a in range(0, len(todo), 256):  # what only a scan answers wholly
-        r, c = np.nonzero(queries[todo[a:a + 256]] @ graph.x.T >= low)
-        found_q.append(todo[a:a + 256][r])
-        found_p.append(c)
-    return np.concatenate([*found_q, np.empty(0, np.int64)]), np.concatenate([*found_p, np.empty(0, np.int64)])
+    step = max(1, PIECE // max(1, len(graph.x)))
+    for a in range(0, len(todo), step):  # what only a scan answers wholly
+        sims = queries[todo[a:a + step]] @ graph.x.T
+        r, c = np.nonzero(sims >= low)
+        yield todo[a:a + step][r], c, sims[r, c]
 
 
 def audited_beam(graph: Graph, queries: np.ndarray, threshold: float, recall: float = RECALL, audit: int = AUDIT, seed: int = 1,
@@ -246,8 +252,10 @@ def audited_beam(graph: Graph, queries: np.ndarray, threshold: float, recall: fl
     while True:
         got = np.empty(len(probes))
         for a in range(0, len(probes), 256):
-            q, p = _hits(graph, probes[a:a + 256], threshold, beam)
-            got[a:a + 256] = np.bincount(q, truth[q + a, p], minlength=len(probes[a:a + 256]))
+            some_got = np.zeros(len(probes[a:a + 256]))
+            for q, p, _ in _hits(graph, probes[a:a + 256], threshold, beam):
+                some_got += np.bincount(q, truth[q + a, p], minlength=len(some_got))
+            got[a:a + 256] = some_got
         # each probe counts alike, and large groups, always found, speak for no small ones
         size = np.searchsorted([beam, WIDEST], want)
         classes = [(moved == m) & (size == k) & (want > 0) for m in (False, True) for k in range(3)]
@@ -262,45 +270,61 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return flat.astype(np.float64).reshape(len(column), -1)
 
 
-def _build(table: pa.Table) -> pa.Table:
-    table = table.sort_by("id")
-    ids = table.column("id").to_numpy()
-    graph = Graph.build(ids, table.column("many").to_numpy(), _matrix(table.column("v")), seed=int(ids[0]) & 0xFFFF)
-    return pa.table({"shard": table.column("shard")[:1], "graph": pa.array([graph.packed()], pa.binary())})
+def _build(folder: str):
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("id")
+        ids = table.column("id").to_numpy()
+        graph = Graph.build(ids, table.column("many").to_numpy(), _matrix(table.column("v")), seed=int(ids[0]) & 0xFFFF)
+        uri = files.fresh(folder, "graph", ".bin")
+        files.write(uri, [graph.packed()])
+        return pa.table({"shard": table.column("shard")[:1], "uri": pa.array([uri])})
+    return run
 
 
-def _find(parent: np.ndarray, x: int) -> int:
-    while parent[x] != x:
-        parent[x] = parent[parent[x]]
-        x = parent[x]
+def _roots(parent: np.ndarray, x: np.ndarray) -> np.ndarray:
+    x = parent[x]
+    while not np.array_equal(up := parent[x], x):
+        x = up
     return x
 
 
+def _join(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Unite the trees of each pair under the smaller root."""
+    while len(a):
+        x, y = _roots(parent, a), _roots(parent, b)
+        apart = x != y
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        pairs = np.unique(np.maximum(x, y) * len(parent) + np.minimum(x, y))  # many links join the same two trees
+        np.minimum.at(parent, pairs // len(parent), pairs % len(parent))
+
+
 def _query(threshold: float):
     def run(block: pa.Table, shard: pa.Table) -> pa.Table:
         out = {"id": [], "n_links": [], "tied": [], "beam": [], "recall": []}
         if block.num_rows and shard.num_rows:
-            graph = Graph.unpacked(shard.column("graph")[0].as_py())
+            system, path = files.opened(shard.column("uri")[0].as_py())
+            with system.open_input_file(path) as f:
+                graph = Graph.unpacked(f.read())
             block = block.sort_by("id")
             ids, exact = block.column("id").to_numpy(), _matrix(block.column("v"))
             exact /= np.linalg.norm(exact, axis=1, keepdims=True)
             queries = exact.astype(np.float32)
             beam, recall = audited_beam(graph, queries, threshold, ids=ids)
-            q, p = _hits(graph, queries, threshold, beam)
-            sure = np.empty(len(q), bool)
-            for a in range(0, len(q), 1 << 16):
-                sure[a:a + (1 << 16)] = np.einsum("ij,ij->i", exact[q[a:a + (1 << 16)]], graph.exact[p[a:a + (1 << 16)]]) >= threshold
-            q, p = q[sure], p[sure]
-            other = ids[q] != graph.ids[p]
-            q, p = q[other], p[other]
-            links = np.bincount(q, graph.many[p], minlength=len(ids)).astype(np.int64)
+            links = np.zeros(len(ids), np.int64)
             # a spanning forest of what is linked: queries first, then the shard's members
             parent = np.arange(len(ids) + len(graph.ids))
-            for a, b in zip(q.tolist(), (p + len(ids)).tolist()):
-                x, y = _find(parent, a), _find(parent, b)
-                if x != y:
-                    parent[max(x, y)] = min(x, y)
-            tied_to = np.array([_find(parent, i) for i in range(len(parent))]) if len(q) else parent
+            for a in range(0, len(queries), 1024):
+                for q, p, s in _hits(graph, queries[a:a + 1024], threshold, beam):
+                    q = q + a
+                    near = np.flatnonzero(s < threshold + SLACK)  # single precision doesn't decide
+                    sure = np.ones(len(q), bool)
+                    for n in np.array_split(near, len(near) // (1 << 16) + 1):
+                        sure[n] = np.einsum("ij,ij->i", exact[q[n]], graph.exact[p[n]]) >= threshold
+                    sure &= ids[q] != graph.ids[p]
+                    q, p = q[sure], p[sure]
+                    links += np.bincount(q, graph.many[p], minlength=len(ids)).astype(np.int64)
+                    _join(parent, q, p + len(ids))
+            tied_to = _roots(parent, parent)
             met = np.flatnonzero(tied_to != np.arange(len(parent)))
             names = np.concatenate((ids, graph.ids))
             out = {"id": np.concatenate((ids, names[met])), "n_links": np.concatenate((links, np.zeros(len(met), np.int64))),
@@ -319,10 +343,12 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "v
     classes = rows.where(sound).groupBy("v").agg(F.min("id").alias("rep"), F.count("*").alias("many"))
     classes = materialize(classes.select(F.col("rep").alias("id"), "many", "v"), "classes")
     n = classes.count()
-    shards = max(shards, -(-n // shard_rows))
-    blocks = max(1, -(-n // block_rows))
+    size = classes.agg(F.sum(F.size("v").cast("long") * 12)).first()[0] or 0
+    shards = max(shards, -(-n // shard_rows), -(-size // SHARD_BYTES))
+    blocks = max(1, -(-n // block_rows), -(-size // SHARD_BYTES))
     dealt = classes.withColumn("shard", F.xxhash64(F.size("v"), F.pmod(F.xxhash64("id"), F.lit(shards))))
-    graphs = materialize(dealt.groupBy("shard").applyInArrow(_build, "shard long, graph binary"), "graphs")
+    folder = scratch_path(rows.sparkSession, "graphs")
+    graphs = materialize(dealt.groupBy("shard").applyInArrow(_build(folder), "shard long, uri string"), "graphs")
     block = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks))
     asked = classes.withColumn("block", block).withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).withColumn(
         "shard", F.xxhash64(F.size("v"), F.col("s").cast("long")))
