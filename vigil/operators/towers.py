@@ -18,6 +18,7 @@ writes under a folder that the first task of each attempt names.
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass, field
@@ -33,7 +34,6 @@ from vigil import storage
 from vigil.config import TrainConfig
 from vigil.functions.labels import decode_label, sensitive_flag
 from vigil.functions.scoring import argmax, softmax
-from vigil.operators.evaluate import class_metrics, per_class_counts
 
 
 @dataclass(frozen=True)
@@ -65,6 +65,9 @@ class Spec:
     idf: list[float] = field(default_factory=list)
 
 
+POLL_S, PATIENCE_S = 0.005, 900.0
+
+
 # --- the network, in numpy -----------------------------------------------------------------------
 
 class Net:
@@ -180,10 +183,12 @@ def _open(uri: str) -> tuple[fs.FileSystem, str]:
 
 
 def _put(uri: str, data: bytes) -> None:
+    """Under its name the file is whole."""
     system, path = _open(uri)
     system.create_dir(path.rpartition("/")[0], recursive=True)
-    with system.open_output_stream(path, compression=None) as out:
+    with system.open_output_stream(f"{path}.part", compression=None) as out:
         out.write(data)
+    system.move(f"{path}.part", path)
 
 
 def _get(uri: str, start: int = 0, size: int | None = None) -> bytes:
@@ -194,32 +199,42 @@ def _get(uri: str, start: int = 0, size: int | None = None) -> bytes:
 
 
 class FileSum:
-    """Sums of vectors over the tasks of a barrier stage, by way of files in a shared folder."""
+    """Sums of vectors over the tasks of a barrier stage, by way of files in a shared folder.
+
+    The barrier has all tasks run at once; within a step they wait for each other's files, since a call of Spark's
+    own barrier takes a second. If a task is lost, Spark ends the others of its stage."""
 
     def __init__(self, ctx: BarrierTaskContext, folder: str):
-        self.ctx, self.rank, self.world = ctx, ctx.partitionId(), len(ctx.getTaskInfos())
-        self.folder, self.step, self.old = folder, 0, []
+        self.rank, self.world = ctx.partitionId(), len(ctx.getTaskInfos())
+        self.folder, self.step, self.old = f"{folder}-{ctx.allGather(uuid.uuid4().hex)[0]}", 0, []  # the first task names the attempt
+
+    def _wait(self, uris: list[str]) -> None:
+        missing, end = [_open(u) for u in uris], time.monotonic() + PATIENCE_S
+        while missing := [(s, p) for s, p in missing if s.get_file_info(p).type == fs.FileType.NotFound]:
+            if time.monotonic() > end:
+                raise TimeoutError(f"no {missing[0][1]} after {PATIENCE_S} s")
+            time.sleep(POLL_S)
 
     def __call__(self, vector: np.ndarray, rows: int, loss: float) -> tuple[np.ndarray, int, float]:
-        mine = f"{self.folder}/{self.step}"
-        if rows:
-            _put(f"{mine}/part-{self.rank}", vector.astype("<f8").tobytes())
-        said = [json.loads(m) for m in self.ctx.allGather(json.dumps([rows, loss]))]  # all parts are there
-        self._forget()
-        total, losses = sum(n for n, _ in said), sum(x for _, x in said)
+        parts, sums = ([f"{self.folder}/{self.step}/{what}-{r}" for r in range(self.world)] for what in ("part", "sum"))
+        _put(parts[self.rank], np.array([rows, loss], "<f8").tobytes() + (vector.astype("<f8").tobytes() if rows else b""))
+        self._wait(parts)
+        self._forget()  # every task has begun this step, so it has read what the step before left
+        heads = [np.frombuffer(_get(u, 0, 16), "<f8") for u in parts]
+        total, losses = int(sum(h[0] for h in heads)), float(sum(h[1] for h in heads))
+        self.old = [parts[self.rank]]
         if total:
             cuts = [len(vector) * i // self.world for i in range(self.world + 1)]
             a, b = cuts[self.rank], cuts[self.rank + 1]
-            share = sum((np.frombuffer(_get(f"{mine}/part-{r}", a * 8, (b - a) * 8), "<f8") for r, (n, _) in enumerate(said) if n), np.zeros(b - a))
-            _put(f"{mine}/sum-{self.rank}", share.tobytes())
-            self.ctx.barrier()  # all slices are there
-            vector = np.concatenate([np.frombuffer(_get(f"{mine}/sum-{r}"), "<f8") for r in range(self.world)])
-            self.old = [f"{mine}/sum-{self.rank}"] + ([f"{mine}/part-{self.rank}"] if rows else [])
+            share = sum((np.frombuffer(_get(u, 16 + a * 8, (b - a) * 8), "<f8") for u, h in zip(parts, heads) if h[0]), np.zeros(b - a))
+            _put(sums[self.rank], share.tobytes())
+            self._wait(sums)
+            vector = np.concatenate([np.frombuffer(_get(u), "<f8") for u in sums])
+            self.old.append(sums[self.rank])
         self.step += 1
         return vector, total, losses
 
     def _forget(self) -> None:
-        """What the step before left: every task has read it by now."""
         for uri in self.old:
             system, path = _open(uri)
             system.delete_file(path)
@@ -253,7 +268,7 @@ def _epoch(spec: Spec, cfg: TrainConfig, epoch: int, given: str | None, folder:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ctx, net = BarrierTaskContext.get(), Net(spec)
         state = State.of(_get(given)) if given else State(net.start(cfg.seed), np.zeros(net.size), np.zeros(net.size))
-        add = FileSum(ctx, f"{folder}/sums-{epoch}-{ctx.allGather(uuid.uuid4().hex)[0]}")  # the first task names the attempt
+        add = FileSum(ctx, f"{folder}/sums-{epoch}")
         parts, seen, lost = mini_batches(batches, cfg.batch_rows), 0, 0.0
         while True:
             share = part_gradient(net, state.flat, next(parts, None), (cfg.seed, epoch, state.step, add.rank))
@@ -334,12 +349,14 @@ def score(rows: DataFrame, fitted: Fitted, names: list[str], carry: tuple[str, .
 
 
 def evaluate(rows: DataFrame, spec: Spec, uri: str) -> dict[str, float]:
-    """Mean log loss, accuracy and macro-F1 of labelled rows."""
+    """Mean log loss, accuracy and macro-F1 (a class never met on either side counts nothing, one never predicted 0) of labelled rows."""
     scored = logits(rows, spec, uri, ("label",)).select("label", argmax("logits").alias("prediction"), F.get(softmax("logits"), F.col("label")).alias("p"))
-    counts = per_class_counts(scored)
-    f1 = class_metrics(counts).agg(F.avg(F.coalesce("f1", F.lit(0.0)))).first()[0]
-    loss, hit = scored.agg(F.avg(-F.log(F.greatest("p", F.lit(1e-15)))), F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()
-    return {"val_log_loss": loss if loss is not None else float("inf"), "val_accuracy": hit or 0.0, "val_macro_f1": f1 or 0.0}
+    met = scored.groupBy("label", "prediction").agg(F.count("*").alias("n"), F.sum(-F.log(F.greatest("p", F.lit(1e-15)))).alias("loss")).collect()  # classes squared
+    n = sum(r.n for r in met)
+    hits = {r.label: r.n for r in met if r.label == r.prediction}
+    sides = [(sum(r.n for r in met if r.label == c), sum(r.n for r in met if r.prediction == c), hits.get(c, 0)) for c in {x for r in met for x in (r.label, r.prediction)}]
+    f1 = sum(2 * hit / (actual + said) for actual, said, hit in sides) / max(len(sides), 1)
+    return {"val_log_loss": sum(r.loss for r in met) / n if n else float("inf"), "val_accuracy": sum(hits.values()) / max(n, 1), "val_macro_f1": f1}
 
 
 def _records(spark: SparkSession, folder: str) -> list[dict]:
