@@ -19,6 +19,7 @@ empty result. Only the id and text columns are read, so other names can't clash.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -104,6 +105,7 @@ _VERSION = r",?\s*(?:v|version)\s*[0-9]+(?:\.[0-9]+)*"
 OWN_RULES = (("all-rights-reserved", "reserved", 0.6, r"\ball\s+rights\s+reserved\b"),
              ("public-domain", "public domain", 0.6, r"(?:dedicated\s+to|placed\s+in(?:to)?)\s+the\s+public\s+domain\b"))
 BASE_SCORE = 0.5
+DETECTION, RUN = "struct<start:int,end:int,order:int,label:string,confidence:double>", 128
 
 
 def rules() -> list[tuple[str, str, float, str]]:
@@ -126,6 +128,31 @@ KEYWORDS = {"mit": "mit|expat", "public domain": r"public\s+domain", "g": r"gnu|
             "o": r"open|ofl|odbl|osl", "p": r"psf|python|pddl|dedication", "wtf": "wtf|fuck"}
 
 
+def _running(items: Column, start: Column, step: Callable[[Column, Column], tuple[Column, Column]]) -> Column:
+    """``state, out``: a state carried through ``items``, and the detections that the steps give (null: none).
+
+    ``aggregate`` copies what it has gathered at every step. So items are taken in runs of ``RUN``:
+    a step copies its run's detections, and only each run's array is added to those of the runs before."""
+    none = F.array().cast(f"array<{DETECTION}>")
+
+    def cut(whole: Column) -> Column:
+        last = F.floor((F.size(whole) - 1) / RUN).cast("int")
+        return F.when(F.size(whole) > 0, F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(whole, k * RUN + 1, RUN))).otherwise(F.array_repeat(whole, 0))
+
+    runs = F.flatten(F.transform(F.array(items), cut))  # bound by a lambda, so computed once
+
+    def one(acc: Column, item: Column) -> Column:
+        state, found = step(acc["state"], item)
+        return F.struct(state.alias("state"), F.when(found.isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(found))).alias("out"))
+
+    def run(acc: Column, some: Column) -> Column:
+        got = F.aggregate(some, F.struct(acc["state"].alias("state"), none.alias("out")), one)
+        return F.element_at(F.transform(F.array(got), lambda g: F.struct(g["state"].alias("state"), F.concat(acc["out"], F.array(g["out"])).alias("out"))), 1)
+
+    return F.aggregate(runs, F.struct(start.alias("state"), F.array().cast(f"array<array<{DETECTION}>>").alias("out")), run,
+                       lambda acc: F.struct(acc["state"].alias("state"), F.flatten(acc["out"]).alias("out")))
+
+
 def _detections(low: Column) -> Column:
     """Array of ``start, end, order, label, confidence`` of all rules' matches in ``low``."""
     table = F.array(*[F.struct(F.lit(key).alias("key"), F.array(*[
@@ -137,15 +164,9 @@ def _detections(low: Column) -> Column:
         # the pieces between the matches and the matches take turns, so their lengths give the places
         step = F.zip_with(F.split(low, r["regex"], -1), F.regexp_extract_all(low, r["regex"], F.lit(0)),
                           lambda gap, hit: F.struct(F.length(gap).alias("gap"), F.length(hit).alias("hit")))
-        none = F.array().cast("array<struct<start:int,end:int,order:int,label:string,confidence:double>>")
-        return F.aggregate(
-            F.filter(step, lambda s: s["hit"].isNotNull()), F.struct(F.lit(0).alias("at"), none.alias("found")),
-            lambda acc, s: F.struct(
-                (acc["at"] + s["gap"] + s["hit"]).alias("at"),
-                F.concat(acc["found"], F.array(F.struct(
-                    (acc["at"] + s["gap"]).alias("start"), (acc["at"] + s["gap"] + s["hit"]).alias("end"),
-                    r["order"].alias("order"), r["label"].alias("label"), r["confidence"].alias("confidence")))).alias("found")),
-            lambda acc: acc["found"])
+        return _running(F.filter(step, lambda s: s["hit"].isNotNull()), F.lit(0), lambda at, s: (at + s["gap"] + s["hit"], F.struct(
+            (at + s["gap"]).alias("start"), (at + s["gap"] + s["hit"]).alias("end"),
+            r["order"].alias("order"), r["label"].alias("label"), r["confidence"].alias("confidence"))))["out"]
 
     return F.flatten(F.transform(F.filter(tried, lambda r: F.rlike(low, r["regex"])), places))
 
@@ -155,18 +176,15 @@ def _resolved(found: Column) -> Column:
     by_place = F.transform(F.array_sort(F.transform(found, lambda d: F.struct(
         d["start"].alias("start"), (-d["end"]).alias("back"), d["order"].alias("order"), d["label"].alias("label"), d["confidence"].alias("confidence")))),
         lambda d: F.struct(d["start"].alias("start"), (-d["back"]).alias("end"), d["order"].alias("order"), d["label"].alias("label"), d["confidence"].alias("confidence")))
-    kind = "struct<start:int,end:int,order:int,label:string,confidence:double>"
 
-    def step(acc: Column, d: Column) -> Column:
-        last, kept = acc["last"], acc["kept"]
+    def step(last: Column, d: Column) -> tuple[Column, Column]:
         apart = d["start"] >= last["end"]
         better = (d["end"] > last["end"]) & (d["order"] < last["order"])
-        return F.struct(
-            F.when(last.isNotNull() & apart, F.concat(kept, F.array(last))).otherwise(kept).alias("kept"),
-            F.when(last.isNull() | apart | better, d).otherwise(last).alias("last"))
+        return F.when(last.isNull() | apart | better, d).otherwise(last), F.when(last.isNotNull() & apart, last)
 
-    return F.aggregate(by_place, F.struct(F.array().cast(f"array<{kind}>").alias("kept"), F.lit(None).cast(kind).alias("last")), step,
-                       lambda acc: F.when(acc["last"].isNull(), acc["kept"]).otherwise(F.concat(acc["kept"], F.array(acc["last"]))))
+    done = F.transform(F.array(_running(by_place, F.lit(None).cast(DETECTION), step)),
+                       lambda r: F.when(r["state"].isNull(), r["out"]).otherwise(F.concat(r["out"], F.array(r["state"]))))
+    return F.element_at(done, 1)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases: dict[str, str] = BASE_PHRASES) -> DataFrame:
@@ -191,7 +209,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrase
     hits = {f"hit{n}": starts(p) for n, p in enumerate(phrases)}
     df = df.select("id", "n_words", *[c.alias(n) for n, c in hits.items()],
                    F.when(F.col("low").isNotNull(), _detections(F.col("low"))).otherwise(
-                       F.array().cast("array<struct<start:int,end:int,order:int,label:string,confidence:double>>")).alias("found"))
+                       F.array().cast(f"array<{DETECTION}>")).alias("found"))
     df = df.withColumn("detections", _resolved(F.col("found")))
     every = F.flatten(F.array(*hits))
     base = F.array_compact(F.array(*[F.when(F.size(h) > 0, F.lit(label)) for h, label in zip(hits, phrases.values())]))
