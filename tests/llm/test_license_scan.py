@@ -107,3 +107,14 @@ def test_empty_table(spark):
 def test_no_python_in_the_plan(spark):
     plan = license_scan.scan(table(spark, SF001, "documents"))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Exchange|Join", plan)
+
+
+def test_many_hits_in_one_text(spark, monkeypatch):
+    n = 700  # several runs of hits, with and without a rest
+    text = "Licensed under the MIT License. " * n
+    for run in (1, 128, 350, 10_000):
+        monkeypatch.setattr(license_scan, "RUN", run)
+        r = license_scan.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+        assert len(r.detections) == n and r.n_base == n and r.labels == "mit"
+        ends = [(d.start, d.end) for d in r.detections]
+        assert all(b[0] - a[0] == 32 for a, b in zip(ends, ends[1:])) and all(text.lower()[a:b].startswith("licensed under") for a, b in ends)

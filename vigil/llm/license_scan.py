@@ -145,12 +145,11 @@ def _running(items: Column, start: Column, step: Callable[[Column, Column], tupl
         state, found = step(acc["state"], item)
         return F.struct(state.alias("state"), F.when(found.isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(found))).alias("out"))
 
-    def run(acc: Column, some: Column) -> Column:
-        got = F.aggregate(some, F.struct(acc["state"].alias("state"), none.alias("out")), one)
-        return F.element_at(F.transform(F.array(got), lambda g: F.struct(g["state"].alias("state"), F.concat(acc["out"], F.array(g["out"])).alias("out"))), 1)
+    def run(done: Column, some: Column) -> Column:  # a lambda over the gathered arrays would copy them whole, so none is used here
+        return F.concat(done, F.array(F.aggregate(some, F.struct(F.element_at(done, -1)["state"].alias("state"), none.alias("out")), one)))
 
-    return F.aggregate(runs, F.struct(start.alias("state"), F.array().cast(f"array<array<{DETECTION}>>").alias("out")), run,
-                       lambda acc: F.struct(acc["state"].alias("state"), F.flatten(acc["out"]).alias("out")))
+    return F.aggregate(runs, F.array(F.struct(start.alias("state"), none.alias("out"))), run,
+                       lambda done: F.struct(F.element_at(done, -1)["state"].alias("state"), F.flatten(F.transform(done, lambda g: g["out"])).alias("out")))
 
 
 def _detections(low: Column) -> Column:
