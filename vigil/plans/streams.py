@@ -22,6 +22,7 @@ from vigil.sources.envelope import decode
 from vigil.sources.stream import RECORD_SCHEMA, read_stream
 from vigil.sources.tables import heavy_table
 from vigil.streaming import jobs
+from vigil.streaming.dedupe import Accounts, dedupe_accounted
 from vigil.streaming.replay import write_ordered, write_pieces
 
 PIECES = 8  # the table is replayed in this many ordered pieces, one file per trigger
@@ -154,6 +155,38 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+DELAY_S = 2 * 24 * 3600
+
+_SQL_PIECE = f"event_id // ((SELECT max(event_id) FROM events) // {PIECES} + 1)"
+
+
+@query("stream_dedupe_accounts", "OP-66 OP-64", f"""
+WITH e AS (SELECT event_id, ts, event_type, {_SQL_PIECE} AS piece FROM events),
+sent AS (SELECT *, piece AS sent_in, 'kept' AS outcome FROM e
+  UNION ALL SELECT *, piece, 'duplicate' FROM e WHERE event_id % 7 = 0
+  UNION ALL SELECT *, piece + 1, 'again' FROM e WHERE event_id % 5 = 0 AND piece + 1 < {PIECES}),
+mark AS (SELECT sent_in, max(max(ts)) OVER (ORDER BY sent_in ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - to_seconds({DELAY_S}) AS w FROM sent GROUP BY 1)
+SELECT event_type, CASE WHEN ts < w THEN 'late' WHEN outcome = 'kept' THEN 'kept' ELSE 'duplicate' END AS outcome, CAST(count(*) AS BIGINT) AS n
+FROM sent JOIN mark USING (sent_in) GROUP BY 1, 2
+""")
+def stream_dedupe_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some events are sent twice in their piece, some again in the next one, where part of them is behind the
+    watermark. Everything sent is kept, counted as a duplicate, or written as late."""
+    src, out, ckpt = (scratch_path(spark, n) for n in ("events_src", "accounts", "ckpt"))
+    ev = _ordered_pieces(t(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type"), "event_id")
+    twice = ev.where(F.col("event_id") % 7 == 0)
+    again = ev.where((F.col("event_id") % 5 == 0) & (F.col("piece") + 1 < PIECES)).withColumn("piece", F.col("piece") + 1)
+    write_ordered(ev.unionByName(twice).unionByName(again), src, "piece", list(range(PIECES)))
+    stream = spark.readStream.schema("event_id long, ts timestamp, event_type string, piece int").option("maxFilesPerTrigger", 1).parquet(src).drop("piece")
+    dedupe_accounted(stream, "event_id", "ts", DELAY_S, out, ckpt)
+    found = Accounts(out)
+    types = t(spark, sf_dir, "events").select("event_id", "event_type")
+    parts = [found.read(spark, "kept").select("event_type", F.lit("kept").alias("outcome"), F.lit(1).alias("n")),
+             found.read(spark, "late").select("event_type", F.lit("late").alias("outcome"), F.lit(1).alias("n")),
+             found.read(spark, "duplicates").select("event_id", "n").join(types, "event_id").select("event_type", F.lit("duplicate").alias("outcome"), "n")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("event_type", "outcome").agg(F.sum("n").cast("long").alias("n"))
+
+
 @query("replay_batches", "OP-64 OP-55 OP-40", f"""
 SELECT CAST(doc_id % {PIECES} AS INTEGER) AS piece, CAST(count(*) AS BIGINT) AS n_rows
 FROM documents GROUP BY 1

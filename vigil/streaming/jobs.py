@@ -137,7 +137,7 @@ class StreamResult:
     run_id: int
 
 
-def _run(writer, trigger_once: bool, processing_time: str | None = None):
+def run_stream(writer, trigger_once: bool, processing_time: str | None = None):
     """``availableNow`` (process what is there, then stop) or a continuous query with an
     optional processing-time trigger (e.g. "5 seconds", the original's polling pace)."""
     if trigger_once:
@@ -181,7 +181,7 @@ def ingest_to_store(records: DataFrame, store: str, checkpoint: str, featurize:
         finally:
             decoded.unpersist()
 
-    q = _run(records.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint),
+    q = run_stream(records.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint),
              available_now)
     return StreamResult(q.id, seen["batches"], run_id)
 
@@ -207,7 +207,7 @@ def land(records: DataFrame, landing: str, checkpoint: str, featurize: Featurize
         finally:
             decoded.unpersist()
 
-    q = _run(records.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint),
+    q = run_stream(records.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint),
              available_now)
     return StreamResult(q.id, seen["batches"], run_id)
 
@@ -220,7 +220,7 @@ def dedupe(stream: DataFrame, key: str, event_time: str, delay: str) -> DataFram
 
 def append_parquet(stream: DataFrame, path: str, checkpoint: str, available_now: bool = True):
     """Exactly-once file sink (the sink's own log plus the checkpoint)."""
-    return _run(stream.writeStream.format("parquet").option("path", path)
+    return run_stream(stream.writeStream.format("parquet").option("path", path)
                 .option("checkpointLocation", checkpoint).outputMode("append"), available_now)
 
 
@@ -236,7 +236,7 @@ def batch_stats(records: DataFrame, table: str, checkpoint: str, group: str,
         write_batch(stats, table, run_id, batch_id)
         seen["batches"] += 1
 
-    q = _run(records.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint),
+    q = run_stream(records.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint),
              available_now)
     return StreamResult(q.id, seen["batches"], run_id)
 
@@ -260,6 +260,6 @@ def score_landed(landed: DataFrame, predictions: str, checkpoint: str,
         finally:
             batch.unpersist()
 
-    q = _run(landed.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint),
+    q = run_stream(landed.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint),
              available_now, processing_time)
     return StreamResult(q.id, seen["batches"], run_id)
