@@ -116,3 +116,18 @@ def test_remove_keeps_clean_rows_and_columns(spark):
     assert sorted(map(str, dc.remove(docs, items).collect())) == sorted(map(str, docs.where("doc_id is null or doc_id = 2").collect()))
     assert dc.remove(docs, items.limit(0)).count() == 4 and dc.find(docs, items.limit(0)).count() == 0
     assert dc.remove(docs.limit(0), items).count() == 0
+
+
+def test_recall_just_above_the_threshold(spark):
+    rnd = np.random.default_rng(8)
+    items = [(i, " ".join(f"v{x}" for x in rnd.choice(100_000, 50, replace=False))) for i in range(60)]  # 46 shingles
+    docs = []
+    for i, t in items:
+        for n in range(8):
+            w = t.split()
+            w[int(rnd.integers(4, 46))] = f"other{n}"  # five shingles go: 41 of 51
+            docs.append((1000 + 8 * i + n, " ".join([*("before " * int(rnd.integers(0, 9))).split(), *w, "after"])))
+    want = brute(docs, items)
+    assert len(want) == len(docs) and all(0.8 <= s < 0.81 for s, _, _ in want.values())
+    got = found(spark, docs, items)
+    assert got.items() <= want.items() and len(got) >= 0.995 * len(want)
