@@ -23,14 +23,15 @@ class StreamConfig:
     max_files_per_trigger: int | None = None
     fail_on_data_loss: bool = True  # default to fail; opting in to skip is explicit
     mode: str = "training"  # "training" (no payload) or "inference" (with payload)
+    max_request_size: int | None = None  # bytes of a record; longer messages are sent in parts (sinks/chunks.py)
     # passed on as they are, e.g. {"kafka.max.request.size": "15728640", "kafka.acks": "all"}
     options: Mapping[str, str] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         if self.mode not in ("training", "inference"):
             raise ValueError(f"mode must be training|inference, got {self.mode!r}")
-        if any(n is not None and n <= 0 for n in (self.max_offsets_per_trigger, self.max_files_per_trigger)):
-            raise ValueError("per-trigger limits must be positive")
+        if any(n is not None and n <= 0 for n in (self.max_offsets_per_trigger, self.max_files_per_trigger, self.max_request_size)):
+            raise ValueError("limits must be positive")
         if self.starting_offsets not in ("earliest", "latest") and not self.starting_offsets.startswith("{"):
             raise ValueError("starting_offsets must be earliest, latest or a JSON offset map")
 

@@ -15,6 +15,7 @@ from vigil.functions import text as tx
 from vigil.operators.split import hash_split
 from vigil.plans.catalog import query, sql_hash_split, t
 from vigil.session import scratch_path
+from vigil.sinks.chunks import parsed, split_messages
 from vigil.sinks.envelope import encode
 from vigil.sinks.keyed_table import KeyedTable
 from vigil.sinks.store import read_store
@@ -22,8 +23,10 @@ from vigil.sources.envelope import decode
 from vigil.sources.stream import RECORD_SCHEMA, read_stream
 from vigil.sources.tables import heavy_table
 from vigil.streaming import jobs
+from vigil.streaming.assemble import Messages, assemble
 from vigil.streaming.dedupe import Accounts, dedupe_accounted
 from vigil.streaming.replay import write_ordered, write_pieces
+from vigil.streaming.report import read_report, report_as_it_arrives
 
 PIECES = 8  # the table is replayed in this many ordered pieces, one file per trigger
 FILE_STREAM = StreamConfig(format="parquet", max_files_per_trigger=1)
@@ -215,3 +218,60 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = decode(stream, "training").select("id", "url", "split", "status")
     jobs.append_parquet(decoded, out, ckpt)
     return spark.read.parquet(out)
+
+
+LIMIT, LONGEST = 1000, 10_000  # bytes of a record, bytes of a message
+
+_SQL_CHUNKED = f"(strlen(html) + strlen(CAST(page_id AS VARCHAR)) > {LIMIT})"
+
+
+@query("stream_chunked_messages", "OP-08 OP-01", f"""
+SELECT CAST(page_id AS VARCHAR) AS id,
+       CASE WHEN strlen(html) > {LONGEST} THEN 'too_large' WHEN page_id % 10 = 7 AND {_SQL_CHUNKED} THEN 'waiting' ELSE 'delivered' END AS outcome,
+       CASE WHEN strlen(html) <= {LONGEST} AND NOT (page_id % 10 = 7 AND {_SQL_CHUNKED}) THEN CAST(strlen(html) AS BIGINT) END AS n_bytes,
+       CASE WHEN strlen(html) <= {LONGEST} AND NOT (page_id % 10 = 7 AND {_SQL_CHUNKED}) THEN md5(html) END AS html_md5
+FROM pages
+""")
+def stream_chunked_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages beyond the topic's limit travel in parts, which arrive in different triggers. Some first parts come twice,
+    some never; pages beyond the longest message are refused when they are sent. Every page is accounted for."""
+    topic, out, ckpt = (scratch_path(spark, n) for n in ("topic", "messages", "ckpt"))
+    pages = heavy_table(spark, sf_dir, "pages", "page_id", "html")
+    records = pages.select(F.col("page_id").cast("string").cast("binary").alias("key"), F.encode("html", "UTF-8").alias("value"), "page_id")
+    ok, refused = split_messages(records, LIMIT, LONGEST)
+    ok = parsed(ok).withColumn("piece", F.pmod(F.col("page_id") + F.coalesce("part", F.lit(0)), F.lit(PIECES)).cast("int"))
+    first = F.coalesce(F.col("part") == 0, F.lit(False))
+    again = ok.where(first & (F.col("page_id") % 10 == 2)).withColumn("piece", F.lit(PIECES - 1))
+    sent = ok.where(~(first & (F.col("page_id") % 10 == 7))).unionByName(again).select("key", "value", "piece")
+    _publish_records(sent, topic)
+    stream = read_stream(spark, FILE_STREAM, topic, _record_schema()).drop("piece")
+    assemble(stream, out, ckpt)
+    found = Messages(out)
+    none = F.lit(None)
+    delivered = found.read(spark, "delivered").select("key", F.lit("delivered").alias("outcome"), F.octet_length("value").cast("long").alias("n_bytes"), F.md5("value").alias("html_md5"))
+    rest = [found.read(spark, "undeliverable").select("key", F.col("reason").alias("outcome")),
+            found.waiting(spark).select("key", F.lit("waiting").alias("outcome")), refused.select("key", F.col("reason").alias("outcome"))]
+    for r in rest:
+        delivered = delivered.unionByName(r.withColumn("n_bytes", none.cast("long")).withColumn("html_md5", none.cast("string")))
+    return delivered.select(F.col("key").cast("string").alias("id"), "outcome", "n_bytes", "html_md5")
+
+
+@query("stream_report", "OP-75 OP-40 OP-33", """
+SELECT d.lang, CASE WHEN l.toxic = 1 THEN 'offensive' ELSE 'normal' END AS predicted_label,
+       CAST(count(*) AS BIGINT) AS n_items, CAST(sum(CASE WHEN l.toxic = 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_sensitive,
+       CAST(sum(d.n_chars) AS BIGINT) AS n_chars, CAST(max(d.doc_id) AS BIGINT) AS last_id
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+GROUP BY 1, 2
+""")
+def stream_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The moderation report kept up as documents arrive, piece by piece."""
+    from vigil.plans.moderation import with_predictions
+
+    src, out, ckpt = (scratch_path(spark, n) for n in ("pieces", "report", "ckpt"))
+    docs = t(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
+    write_pieces(_ordered_pieces(docs.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("n_chars", F.col("n_chars").cast("long")), "doc_id"), src, "piece")
+    stream = spark.readStream.schema("doc_id long, lang string, n_chars long, piece int").option("maxFilesPerTrigger", 1).parquet(src).drop("piece")
+    measures = [F.count("*").alias("n_items"), F.sum(F.col("sensitive").cast("long")).alias("n_sensitive"),
+                F.sum("n_chars").alias("n_chars"), F.max("doc_id").alias("last_id")]
+    report_as_it_arrives(with_predictions(stream, spark, sf_dir), ["lang", "predicted_label"], measures, out, ckpt)
+    return read_report(spark, out).select("lang", "predicted_label", "n_items", "n_sensitive", "n_chars", "last_id")

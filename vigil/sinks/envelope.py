@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from vigil.config import StreamConfig
 from vigil.schemas import envelope_schema
+from vigil.sinks.chunks import split_messages
 
 
 def encode(df: DataFrame, mode: str = "training", key_col: str = "id", carry: tuple[str, ...] = ()) -> DataFrame:
@@ -31,8 +32,14 @@ def encode(df: DataFrame, mode: str = "training", key_col: str = "id", carry: tu
                      F.to_json(F.struct(*parts)).cast("binary").alias("value"), *carry)
 
 
-def publish(records: DataFrame, cfg: StreamConfig, path: str | None = None) -> None:
-    """Write ``key, value`` records to the topic (or to ``path`` for file streams)."""
+def publish(records: DataFrame, cfg: StreamConfig, path: str | None = None, undeliverable: str | None = None) -> None:
+    """Write ``key, value`` records to the topic (or to ``path`` for file streams). With ``cfg.max_request_size``,
+    longer messages go out in parts, and what can't be sent is written whole to ``undeliverable`` with its reason."""
+    if cfg.max_request_size is not None:
+        if not undeliverable:
+            raise ValueError("a size limit needs a place for what can't be sent")
+        records, refused = split_messages(records, cfg.max_request_size)
+        refused.write.mode("append").parquet(undeliverable)
     if cfg.format == "kafka":
         from vigil.sources.stream import require_kafka
 
