@@ -57,7 +57,7 @@ def test_directory_scan_class_index_and_payloads(spark, scratch):
     wanted = spark.createDataFrame([(f"{root}/violent/a.MP4",), (f"{root}/horrible/empty.avi",),
                                     (f"{root}/horrible/missing.mp4",)], "url string")
     got = {os.path.basename(r.url): (r.payload, r.payload_status) for r in load_payloads(spark, wanted, root).collect()}
-    assert got == {"a.MP4": ("YS5NUDQ=", "ok"), "empty.avi": (None, "missing"), "missing.mp4": (None, "missing")}
+    assert got == {"a.MP4": ("YS5NUDQ=", "ok"), "empty.avi": (None, "empty"), "missing.mp4": (None, "missing")}
 
 
 def test_publish_to_file_topic_and_read_back(spark, scratch):

@@ -14,6 +14,8 @@ from vigil.plans.catalog import SQL_CLASS_LIST, SQL_URL_LABEL, SQL_URL_PATH, SQL
 from vigil.sinks.envelope import encode
 from vigil.sources.envelope import decode
 from vigil.sources.tables import heavy_table
+from vigil.sources.payloads import with_payloads
+from vigil.session import materialize, scratch_path
 from vigil.sources.manifest import explode_documents, manifest_documents
 
 
@@ -218,3 +220,41 @@ def manifest_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = page_items(spark, sf_dir).select("url", "label", F.col("split").alias("flag"))
     records = manifest_to_records(spark, manifest, "training")
     return decode(records, "training").select("id", "url", "label", "split", "status")
+
+
+@query("payload_fetch", "OP-07 OP-02 OP-03", """
+SELECT page_id, CASE WHEN page_id % 10 = 3 THEN 'missing' WHEN page_id % 10 = 5 THEN 'unreadable' WHEN page_id % 10 = 6 OR coalesce(html, '') = '' THEN 'empty' ELSE 'ok' END AS payload_status,
+       CASE WHEN page_id % 10 NOT IN (3, 5, 6) AND html <> '' THEN CAST(strlen(html) AS BIGINT) END AS n_bytes,
+       CASE WHEN page_id % 10 NOT IN (3, 5, 6) AND html <> '' THEN md5(html) END AS content_md5
+FROM pages
+""")
+def payload_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page is written as a file of its own; some are left out, some are empty, at some paths there is a folder. All are
+    wanted, and fetched by path in ranges of 4,096 bytes, so that long pages are put together from several."""
+    folder = scratch_path(spark, "media")
+    pages = heavy_table(spark, sf_dir, "pages", "page_id", "html")
+    kind = F.when(F.col("page_id") % 10 == 3, "none").when(F.col("page_id") % 10 == 5, "folder").otherwise("file")
+    body = F.when(F.col("page_id") % 10 == 6, "").otherwise(F.coalesce("html", F.lit("")))
+    url = F.concat(F.lit(folder + "/"), F.col("page_id").cast("string"), F.lit(".html"))
+    items = pages.select("page_id", url.alias("url"), kind.alias("kind"), F.encode(body, "UTF-8").alias("content"))
+    written = materialize(items.mapInArrow(write_files, "page_id long, url string"), "manifest")
+    got = with_payloads(spark, written, range_bytes=4096)
+    return got.select("page_id", "payload_status", F.octet_length("content").cast("long").alias("n_bytes"), F.md5("content").alias("content_md5"))
+
+
+def write_files(batches):
+    """Files and folders named by ``url`` and ``kind`` (``none``: neither), by ``content``."""
+    import pyarrow as pa
+
+    from vigil.sources.payloads import _opened
+
+    for batch in batches:
+        for r in batch.to_pylist():
+            system, path = _opened(r["url"])
+            if r["kind"] == "folder":
+                system.create_dir(path, recursive=True)
+            elif r["kind"] == "file":
+                system.create_dir(path.rpartition("/")[0], recursive=True)
+                with system.open_output_stream(path, compression=None) as out:
+                    out.write(r["content"])
+        yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url")], names=["page_id", "url"])

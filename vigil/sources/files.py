@@ -13,6 +13,7 @@ from vigil.functions.text import b64encode, file_ext, parent_dir, path_segment
 from vigil.operators.joins import bounded_broadcast
 from vigil.operators.ranking import dense_index
 from vigil.schemas import MEDIA_EXTENSIONS
+from vigil.sources.payloads import with_payloads
 
 
 def scan_media(spark: SparkSession, root: str, extensions: list[str] = MEDIA_EXTENSIONS) -> DataFrame:
@@ -31,19 +32,7 @@ def class_index(files: DataFrame, path_col: str = "path", max_classes: int = 100
 
 
 def load_payloads(spark: SparkSession, wanted: DataFrame, root: str, url_col: str = "url") -> DataFrame:
-    """Attach ``payload`` (base64 text) and ``payload_status`` to each wanted row.
-
-    A left join keeps rows whose file is missing (status ``missing``). Spark's file
-    sources skip zero-length files, so an empty file is reported as ``missing`` too
-    (both give a null payload, as in the original). Only files named in ``wanted``
-    end up in the result.
-    """
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-             .select(F.col("path").alias("__pl_path"), "content", "length"))
-    norm = F.regexp_replace(F.col(url_col), "^file:", "")
-    joined = wanted.join(files, norm == F.regexp_replace("__pl_path", "^file:", ""), "left")
-    status = (F.when(F.col("__pl_path").isNull(), "missing")
-              .when(F.col("length") == 0, "empty").otherwise("ok"))
-    return (joined.withColumn("payload", F.when(status == "ok", b64encode("content")))
-            .withColumn("payload_status", status)
-            .drop("__pl_path", "content", "length"))
+    """Attach ``payload`` (base64 text), ``payload_status`` (ok, empty, missing, unreadable) and ``payload_error`` to each
+    wanted row. Only wanted files are opened; a path outside of ``root`` is missing."""
+    loaded = with_payloads(spark, wanted, url_col, under=root)
+    return loaded.withColumn("payload", b64encode("content")).drop("content")
