@@ -77,3 +77,8 @@ def test_feature_store_scan_prunes_by_split(spark):
 
     plan = _plan(QUERIES["feature_store_scan"](spark, "/root/testdata/sf0.001"))
     assert "PartitionFilters: [isnotnull(split" in plan
+
+
+def test_modality_tables_join_without_an_exchange(spark):
+    plan = _plan(Q["modality_tables"](spark, SF001))
+    assert "SortMergeJoin" in plan and "Exchange" not in plan

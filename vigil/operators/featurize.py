@@ -36,14 +36,18 @@ def featurize(df: DataFrame, key: str, source: str, extractors: list[Extractor],
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ready = [(e, e.init()) for e in extractors]
-        for pdf in batches:
-            out = {c: pdf[c] for c in kept}
-            errors: list[list[str]] = [[] for _ in range(len(pdf))]
-            for e, extract in ready:
-                out[e.name] = [_vector(e, extract, v, errors[i]) for i, v in enumerate(pdf[source])]
-            out["status"] = ["fallback" if e else "ok" for e in errors]
-            out["error"] = ["; ".join(e) or None for e in errors]
-            yield pd.DataFrame(out)
+        try:
+            for pdf in batches:
+                out = {c: pdf[c] for c in kept}
+                errors: list[list[str]] = [[] for _ in range(len(pdf))]
+                for e, extract in ready:
+                    out[e.name] = [_vector(e, extract, v, errors[i]) for i, v in enumerate(pdf[source])]
+                out["status"] = ["fallback" if e else "ok" for e in errors]
+                out["error"] = ["; ".join(e) or None for e in errors]
+                yield pd.DataFrame(out)
+        finally:
+            for _, extract in ready:
+                getattr(extract, "close", lambda: None)()
 
     return df.select(*dict.fromkeys([*kept, source])).mapInPandas(run, schema)
 

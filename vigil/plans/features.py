@@ -19,6 +19,8 @@ from vigil.operators.pooling import mean_pool_vector
 from vigil.operators.sampling import uniform_sample
 from vigil.operators.split import hash_split
 from vigil.plans.catalog import query, sql_hash_split, t
+from vigil.session import scratch_path
+from vigil.sinks.keyed_table import KeyedTable, buckets_for, join_tables
 from vigil.sources.tables import heavy_table
 
 K_TURNS = 4  # sampled turns per conversation in the sampling check
@@ -209,6 +211,30 @@ def modality_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feats.join(lab, "doc_id", "left").select("doc_id", "frame_mean", "series_sum", "n_tokens", "label_idx")
 
 
+@query("modality_tables", "OP-23 OP-09 OP-04", f"""
+WITH fr AS ({_SQL_FRAMES}),
+d AS (SELECT doc_id, CAST(list_sum(list_resize(list_transform(string_split(text, ' '), lambda w: length(w)), {SERIES}, 0)) AS BIGINT) AS series_sum,
+             CAST(len(string_split(lower(text), ' ')) AS BIGINT) AS n_tokens FROM documents)
+SELECT d.doc_id, round(fr.frame_mean, 6) AS frame_mean, d.series_sum, d.n_tokens, CAST(l.toxic AS INTEGER) AS label_idx
+FROM d LEFT JOIN fr ON fr.doc_id = d.doc_id LEFT JOIN labels l ON l.doc_id = d.doc_id
+""")
+def modality_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A keyed table per modality, as jobs of their own would fill them, with the same buckets: their join,
+    whoever runs it and however often, has no exchange."""
+    docs = heavy_table(spark, sf_dir, "documents", "doc_id", "text")
+    series = ar.pad_truncate(tx.word_lengths("text"), SERIES, "int")
+    blocks = {
+        "series": docs.select("doc_id", F.aggregate(series, F.lit(0).cast("long"), lambda a, x: a + x).alias("series_sum")),
+        "frames": docs.select("doc_id", F.round(frame_mean("text"), 6).alias("frame_mean")),
+        "tokens": docs.select("doc_id", F.size(tx.tokens("text")).cast("long").alias("n_tokens")),
+        "labels": t(spark, sf_dir, "labels").select("doc_id", F.col("toxic").cast("int").alias("label_idx"))}
+    buckets = buckets_for(t(spark, sf_dir, "documents"))
+    tables = [KeyedTable.create(spark, scratch_path(spark, n), "doc_id", rows.schema, buckets=buckets) for n, rows in blocks.items()]
+    for table, rows in zip(tables, blocks.values()):
+        table.upsert(rows, 0, 0)
+    return join_tables(tables).select("doc_id", "frame_mean", "series_sum", "n_tokens", "label_idx")
+
+
 @query("token_window", "OP-47", f"""
 SELECT doc_id, CAST(len(string_split(lower(text), ' ')) AS BIGINT) AS n_tokens,
        CAST(least(len(string_split(lower(text), ' ')), {WINDOW}) AS BIGINT) AS n_window,

@@ -18,7 +18,8 @@ from vigil.config import DEFAULT
 from vigil.functions import arrays as ar
 from vigil.operators import towers
 from vigil.operators import training as tr
-from vigil.operators.featurize import composed_text, featurize as run_extractors
+from vigil.operators.contained import contained
+from vigil.operators.featurize import Extractor, composed_text, featurize as run_extractors
 from vigil.operators.relational import token_bucket
 from vigil.operators.split import hash_split
 from vigil.plans.catalog import query, t
@@ -53,6 +54,49 @@ def featurize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feats.select("doc_id", "status", "frame_mean", F.get("composed", 0).cast("long").alias("n_composed"), "series_sum")
 
 
+# --- fixed values: what a spoiled text starts with, and what becomes of it ------------
+SPOILED = {"kill": "killed by signal 9", "hang": "no answer in 2 s", "fail": "spoiled"}
+# --------------------------------------------------------------------------------------
+_SQL_SPOILED = "CASE WHEN doc_id % 100 = 7 THEN 'kill' WHEN doc_id % 500 = 9 THEN 'hang' WHEN doc_id % 50 = 3 THEN 'fail' END"
+
+
+def spoiled_text() -> Extractor:
+    """``composed_text`` as a codec that dies of, hangs on or refuses the texts that are marked so."""
+    def init():
+        import os
+        import time
+
+        count = composed_text().init()
+
+        def extract(text: str) -> list[int]:
+            if text.startswith("\x00kill"):
+                os.kill(os.getpid(), 9)
+            if text.startswith("\x00hang"):
+                time.sleep(3600)
+            if text.startswith("\x00fail"):
+                raise ValueError("spoiled")
+            return count(text)
+        return extract
+    return Extractor("composed", 1, init)
+
+
+@query("featurize_contained", "OP-70 OP-46", f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {_SQL_SPOILED} AS spoiled FROM documents)
+SELECT doc_id, CASE WHEN spoiled IS NULL THEN 'ok' ELSE 'fallback' END AS status,
+       CASE spoiled {' '.join(f"WHEN '{k}' THEN 'composed: {v}'" for k, v in SPOILED.items())} END AS error,
+       CASE WHEN spoiled IS NULL THEN CAST(CAST(length(nfc_normalize(text)) AS FLOAT) AS BIGINT) ELSE 0 END AS n_composed
+FROM d
+""")
+def featurize_contained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some texts are marked as spoiled: the extractor is killed by them, hangs on them, or raises an error. Every other
+    text still gets its features, and each of those a row with its reason."""
+    docs = heavy_table(spark, sf_dir, "documents", "doc_id", "text")
+    text = F.coalesce("text", F.lit(""))
+    marked = F.coalesce(F.concat(F.lit("\x00"), F.expr(_SQL_SPOILED), text), text)
+    feats = run_extractors(docs.select("doc_id", marked.alias("text")), "doc_id", "text", [contained(spoiled_text(), seconds=2)])
+    return feats.select("doc_id", "status", "error", F.get("composed", 0).cast("long").alias("n_composed"))
+
+
 @query("text_features", "OP-47", f"""
 WITH k AS (SELECT doc_id, unnest(string_split(lower(text), ' ')) AS token FROM documents),
 tf AS (SELECT doc_id, CAST(('0x' || substr(md5(token), 1, 8)) AS UBIGINT) % {TEXT_HASH} AS bucket, count(*) AS tf FROM k GROUP BY 1, 2),

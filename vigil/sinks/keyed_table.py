@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigil import storage
+from vigil.operators.joins import estimated_bytes
 from vigil.operators.upsert import current_view
 
 VERSION = ("run_id", "batch_id")
@@ -259,3 +260,22 @@ class KeyedTable:
                 storage.delete(self.spark, f"{self.path}/{place}")
             self._known.discard(i)
         return gone
+
+
+def buckets_for(rows: DataFrame, bucket_bytes: int = 128 << 20) -> int:
+    """Buckets that hold about ``bucket_bytes`` of the optimizer's estimate each; at least as many as there are tasks at once."""
+    return max(rows.sparkSession.sparkContext.defaultParallelism, -(-(estimated_bytes(rows) or 0) // bucket_bytes))
+
+
+def join_tables(tables: list[KeyedTable], how: str = "left") -> DataFrame:
+    """The current rows of tables of the same key and buckets, joined by it bucket by bucket, without an exchange."""
+    first, *rest = tables
+    if any((x.key, x.buckets, x.schema[x.key].dataType) != (first.key, first.buckets, first.schema[first.key].dataType) for x in rest):
+        raise ValueError("tables that are joined need the same key, type of key and number of buckets")
+    names = [n for x in tables for n in x.schema.names if n != first.key]
+    if len(set(names)) != len(names):
+        raise ValueError(f"columns of the same name: {sorted({n for n in names if names.count(n) > 1})}")
+    joined = first.current().drop(*VERSION)
+    for x in rest:
+        joined = joined.join(x.current().drop(*VERSION).hint("merge"), first.key, how)
+    return joined
