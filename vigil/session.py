@@ -7,8 +7,11 @@ tests on a laptop) do we create one ourselves.
 
 from __future__ import annotations
 
+import hashlib
+import pathlib
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,9 +44,33 @@ def build_session(app: str = "vigil", master: str | None = None, shuffle_partiti
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship(spark)
     return spark
 
 
+def package_zip(folder: str) -> str:
+    """The package's modules as one archive in ``folder``; the same modules give the same name."""
+    root = pathlib.Path(__file__).resolve().parent
+    files = sorted(p for p in root.rglob("*.py"))
+    digest = hashlib.sha256()
+    for p in files:
+        digest.update(str(p.relative_to(root)).encode() + b"\0" + p.read_bytes() + b"\0")
+    path = pathlib.Path(folder) / f"{root.name}-{digest.hexdigest()[:16]}.zip"
+    if not path.exists():
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+            for p in files:
+                z.write(p, p.relative_to(root.parent))
+    return str(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors, whose Python workers import it for extractors, towers and payloads. Spark
+    copies the archive from the driver to every executor, also to those that come later. Not needed on a local
+    master, or where the package is installed on every machine."""
+    if not spark.sparkContext.master.startswith("local["):
+        spark.sparkContext.addPyFile(package_zip(tempfile.mkdtemp(prefix="vigil-zip-")))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster. Where it is unset, a local one is made on a
     local master; elsewhere that is an error, since executors don't share local folders."""
