@@ -131,3 +131,14 @@ def test_recall_just_above_the_threshold(spark):
     assert len(want) == len(docs) and all(0.8 <= s < 0.81 for s, _, _ in want.values())
     got = found(spark, docs, items)
     assert got.items() <= want.items() and len(got) >= 0.995 * len(want)
+
+
+def test_blocks_are_files_and_lose_nothing(spark):
+    items = spark.createDataFrame([(i, " ".join(f"w{i}x{j}" for j in range(12))) for i in range(60)] + [(60, ""), (None, "a null id of five words"), (5, " ".join(f"w5x{j}" for j in range(12)))], "item_id long, text string")
+    docs = spark.createDataFrame([(i, "before " + " ".join(f"w{i}x{j}" for j in range(12)) + " after") for i in range(80)], "doc_id long, text string")
+    names = dc._blocks(items, "item_id", "text", 5, 10)
+    assert len(names) > 3 and all(n.endswith(".pickle") for n in names)
+    whole, cut = ({(r.doc_id, r.item_id, r.similarity) for r in dc.find(docs, items, block_items=n).collect()} for n in (1000, 10))
+    assert whole == cut and {d for d, _, _ in cut} == set(range(60))
+    assert {r.doc_id for r in dc.remove(docs, items, block_items=10).collect()} == set(range(60, 80))
+    assert dc._blocks(items.limit(0), "item_id", "text", 5, 10) == []

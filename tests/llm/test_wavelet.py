@@ -3,6 +3,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from vigil.llm import wavelet
@@ -74,3 +75,25 @@ def test_edge_rows(spark):
     key = lambda r: (r[0] is not None, r[0] or 0, r[1])
     assert sorted((tuple(r) for r in got), key=key) == expected(rows)
     assert wavelet.read(wavelet.write(df.limit(0), PATH, 2)).count() == 0
+
+
+def test_a_tokenizer_with_other_rules_gets_whole_texts():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    e, t = wavelet.Encoder(path), Tokenizer.from_file(path)
+    assert wavelet.Encoder(PATH).by_words and not e.by_words
+    for x, got in zip(TRICKY, e([x.encode() for x in TRICKY])):
+        assert np.frombuffer(got, e.kind).tolist() == t.encode(x, add_special_tokens=False).ids, x[:80]
+
+
+def test_rows_of_one_id_are_spread_and_keep_the_order(spark):
+    rows = [(i, f"t{i}") for i in range(30)] + [(17, f"same {i % 3} " + "w " * 20) for i in range(400)] + [(None, "nothing")] * 50
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    shards = wavelet.write(df, PATH, 2, shard_tokens=300)
+    got = wavelet.read(shards).collect()
+    assert sorted((r.id is not None, r.id or 0) for r in got) == sorted((i is not None, i or 0) for i, _ in rows)
+    got.sort(key=lambda r: r.start)
+    assert [r.id for r in got] == sorted((i for i, _ in rows), key=lambda i: (i is not None, i or 0))
+    assert all(a.start + a.n_tokens == b.start for a, b in zip(got, got[1:]))
+    assert shards.where("first_id = 17 AND last_id = 17").count() > 10
+    dealt = wavelet.text_rows(df, "doc_id", "text").withColumn("place", F.monotonically_increasing_id()).repartitionByRange(8, "id", "place")
+    assert max(r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()) < 200

@@ -17,7 +17,8 @@ a text that repeats one near the places it shares with an item, take no fingerpr
 windows are compared exactly, by sums over the shared places.
 
 The benchmark is worked through in blocks of about ``BLOCK_ITEMS`` items or ``BLOCK_BYTES`` bytes, one
-pass over the texts each, so what goes out with the tasks is bounded at any size.
+pass over the texts each. A task builds a block's index and writes it to the shared folder; tasks that search
+read it from there, one at a time, so what any process holds is bounded, however large the benchmark is.
 
 A null text or item is empty; empty ones match nothing. Rows with a null id are searched like
 others. Repeated rows give repeated results. Empty tables give empty results. Only the named
@@ -26,16 +27,20 @@ columns are read.
 
 from __future__ import annotations
 
+import pickle
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import groups_by_bytes, small_batches, text_rows
+from vigil.llm import files
+from vigil.llm.common import groups_by_bytes, materialize, small_batches, text_rows
 from vigil.llm.shingles import sequence_hashes, word_hashes
+from vigil.session import scratch_path
 
 SHINGLE, RADIUS, THRESHOLD, BLOCK_ITEMS, BLOCK_BYTES = 5, 20, 0.8, 20_000, 16 << 20
 _NEAR = RADIUS // 8
@@ -171,23 +176,44 @@ def _search(index: Index, ids: list, texts: list[bytes], threshold: float):
         row += len(some)
 
 
-def _blocks(items: DataFrame, id_col: str, text_col: str, shingle: int, block_items: int):
-    """Broadcast indexes of all items, at most about ``block_items`` each."""
+def _build(folder: str, shingle: int):
+    def run(block: pa.Table) -> pa.Table:
+        block = block.sort_by([("id", "ascending"), ("text", "ascending")])
+        index = Index(list(zip(block.column("id").to_pylist(), block.column("text").to_pylist())), shingle)
+        uri = None
+        if index.ids:
+            uri = files.fresh(folder, "index", ".pickle")
+            files.write(uri, [pickle.dumps(index, protocol=pickle.HIGHEST_PROTOCOL)])
+        return pa.table({"uri": pa.array([uri], pa.string())})
+    return run
+
+
+@lru_cache(1)
+def _index(uri: str) -> Index:
+    """The index of one block; a worker process holds one at a time."""
+    system, path = files.opened(uri)
+    with system.open_input_stream(path, compression=None) as f:
+        return pickle.loads(f.read())
+
+
+def _blocks(items: DataFrame, id_col: str, text_col: str, shingle: int, block_items: int) -> list[str]:
+    """The files of the indexes of all items, each of about ``block_items`` at most. Tasks build and write them; only
+    their names come to the driver."""
     rows = text_rows(items, id_col, text_col)
     size = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
     n = max(1, -(-size.n // block_items), -(-size.bytes // BLOCK_BYTES))
-    for i in range(n):
-        block = rows if n == 1 else rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == i)
-        index = Index([(r.id, bytes(r.text)) for r in block.orderBy("id", "text").collect()], shingle)
-        if index.ids:
-            yield items.sparkSession.sparkContext.broadcast(index)
+    # dealt by place, so that copies of an item don't meet in one block
+    rows = rows.withColumn("block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n)))
+    folder = scratch_path(items.sparkSession, "benchmark")
+    names = rows.groupBy("block").applyInArrow(_build(folder, shingle), "uri string")
+    return sorted(r.uri for r in materialize(names, "benchmark").where("uri IS NOT NULL").collect())
 
 
-def _found(shared, threshold: float):
+def _found(uri: str, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, rows = b.column("id").to_pylist(), [[], [], [], [], []]
-            for row, item, similarity, start, words in _search(shared.value, ids, b.column("text").to_pylist(), threshold):
+            for row, item, similarity, start, words in _search(_index(uri), ids, b.column("text").to_pylist(), threshold):
                 for column, v in zip(rows, (ids[row], item, similarity, start, words)):
                     column.append(v)
             kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
@@ -209,12 +235,12 @@ def find(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, shingl
     return total
 
 
-def _clean(shared, threshold: float, column: int):
+def _clean(uri: str, threshold: float, column: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = [(t or "").encode() for t in b.column(column).to_pylist()]
             keep = np.ones(len(texts), bool)
-            for row, *_ in _search(shared.value, [None] * len(texts), texts, threshold):
+            for row, *_ in _search(_index(uri), [None] * len(texts), texts, threshold):
                 keep[row] = False
             yield b.filter(pa.array(keep))
     return run

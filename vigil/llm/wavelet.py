@@ -18,6 +18,7 @@ result. Only the id and text columns are read.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -156,6 +157,17 @@ _CUTS = np.zeros(25, bool)
 _CUTS[[1 * 5 + 2, 1 * 5 + 3, 2 * 5 + 1]] = True
 
 
+# --- fixed values: the rules under which a text may be encoded piece by piece ---------
+WORD_RULES = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+}
+# --------------------------------------------------------------------------------------
+
+
 class Encoder:
     """Whole texts to ids (little-endian, of type ``kind``) by a tokenizer of lower-cased words.
 
@@ -163,10 +175,14 @@ class Encoder:
     distinct piece is encoded once; up to ``CACHE_WORDS`` pieces are remembered, which bounds
     memory and changes no result. Pieces of plain letters need no normalising but lower case
     and go to its model directly. Texts that might hold a special token are split at white space only.
+    A file with other rules (``WORD_RULES`` says which ones allow this) gets every text whole.
     """
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
+        said = json.loads(self.tokenizer.to_str())
+        self.by_words = ({k: said[k] for k in WORD_RULES} == WORD_RULES and said["model"]["type"] == "BPE"
+                         and said["model"]["end_of_word_suffix"] is not None and all("<|" in t["content"] for t in said["added_tokens"]))
         self.model = self.tokenizer.model
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.kind = "<u4" if self.wide else "<u2"
@@ -187,6 +203,8 @@ class Encoder:
         return array("I" if self.wide else "H", ids).tobytes()
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
+        if not self.by_words:
+            return [self._kept(e.ids) for e in self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
         plain = [b"<|" not in t for t in texts]
         # lines keep the texts apart, so a text's own line breaks become blanks
         pieces = iter(self._pieces([t.translate(_ONE_LINE) for t, p in zip(texts, plain) if p]) if any(plain) else [])
@@ -231,7 +249,8 @@ def _write(folder: str, path: str, end_id: int, shard_tokens: int):
             tokens = np.frombuffer(b"".join(parts), encode.kind)
             # a null id comes first and is kept as the smallest number
             files.write(uri, build(tokens, [_NULL if i is None else i for i in ids], [len(p) // width for p in parts]))
-            return pa.RecordBatch.from_arrays([pa.array([uri]), pa.array([_NULL if ids[0] is None else ids[0]], pa.int64()), pa.array([len(tokens)], pa.int64())], ["uri", "first_id", "n_tokens"])
+            ends = [_NULL if i is None else i for i in (ids[0], ids[-1])]
+            return pa.RecordBatch.from_arrays([pa.array([uri]), *(pa.array([n], pa.int64()) for n in (*ends, len(tokens)))], ["uri", "first_id", "last_id", "n_tokens"])
 
         for b in batches:
             texts = b.column("text").to_pylist()
@@ -264,11 +283,14 @@ def _slices(sizes: list[int], limit: int = 2 << 20) -> Iterator[tuple[int, int]]
 
 def write(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text",
           shard_tokens: int = SHARD_TOKENS, folder: str | None = None) -> DataFrame:
-    """Write all texts; returns the kept table of shards ``uri, first_id, n_tokens, start``."""
+    """Write all texts; returns the kept table of shards ``uri, first_id, last_id, n_tokens, start``.
+
+    Rows of one id, however many, are spread over tasks by their place in the input and come in any order."""
     folder = folder or scratch_path(docs.sparkSession, "tokens")
-    rows = text_rows(docs, id_col, text_col).repartitionByRange(partitions_for(docs), "id").sortWithinPartitions("id", F.xxhash64("text"))
-    shards = materialize(rows.mapInArrow(_write(folder, tokenizer_path, end_id, shard_tokens), "uri string, first_id long, n_tokens long"), "shards")
-    earlier = Window.orderBy("first_id", "uri").rowsBetween(Window.unboundedPreceding, -1)  # one row a shard
+    rows = text_rows(docs, id_col, text_col).withColumn("place", F.monotonically_increasing_id())
+    rows = rows.repartitionByRange(partitions_for(docs), "id", "place").sortWithinPartitions("id", "place").drop("place")
+    shards = materialize(rows.mapInArrow(_write(folder, tokenizer_path, end_id, shard_tokens), "uri string, first_id long, last_id long, n_tokens long"), "shards")
+    earlier = Window.orderBy("first_id", "last_id", "uri").rowsBetween(Window.unboundedPreceding, -1)  # one row a shard
     return shards.withColumn("start", F.coalesce(F.sum("n_tokens").over(earlier), F.lit(0)))
 
 
