@@ -118,3 +118,43 @@ def test_many_hits_in_one_text(spark, monkeypatch):
         assert len(r.detections) == n and r.n_base == n and r.labels == "mit"
         ends = [(d.start, d.end) for d in r.detections]
         assert all(b[0] - a[0] == 32 for a, b in zip(ends, ends[1:])) and all(text.lower()[a:b].startswith("licensed under") for a, b in ends)
+
+
+def test_license_texts_and_identifiers(spark):
+    said = {
+        "Permission is hereby granted, free of charge, to any person obtaining\na copy of this software": "mit",
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered": "bsl-1.0",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above": "isc",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.": "0bsd",
+        "Redistribution and use in source and binary forms, with or without\n  modification, are permitted. Neither the name of X nor the names of its contributors may be used to endorse": "bsd,bsd-3-clause",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of": "gpl,gpl-3.0",
+        "It is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License, or not": "gpl,lgpl",
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file": "apache,apache-2.0",
+        "This is free and unencumbered software released into the public domain.": "unlicense",
+        "see GPL-3.0-or-later, or BSD-3-Clause": "bsd-3-clause,gpl-3.0", "AGPL-3.0-only": "agpl-3.0", "pkg (Apache-2.0)": "apache-2.0", "CC-BY-NC-SA-4.0": "cc-by-nc-sa",
+        "we grant permission to use the redistribution center and its contributors": "", "a gpl-like thing, bsd-ish, mpl-7": "",
+    }
+    got = scanned(spark, list(said))
+    assert {t: got[i].labels for i, t in enumerate(said)} == said
+    assert all(a["end"] <= b["start"] for r in got.values() for a, b in zip(r.detections, r.detections[1:]))
+
+
+def test_labels_and_score_match_brute_force_rules(spark):
+    """All rules without any gate, places by Python's regexes, suppression by its definition."""
+    texts = ["Licensed under the MIT License. Licensed under the Apache License, Version 2.0; subject to the GNU GPL v3 license",
+             "SPDX-License-Identifier: GPL-2.0-or-later; License: BSD-2-Clause license, released under the CC BY-SA 4.0", "ISC license MIT license, version 2 zlib/libpng license",
+             "distributed under the terms of the Mozilla Public License 2.0 license and all rights reserved GPL-3.0", "nothing here", "the public domain license: unlicense"]
+    got = scanned(spark, texts)
+    for i, t in enumerate(texts):
+        low = t.lower()
+        found = sorted((m.start(), -m.end(), order, label, conf) for order, (label, _, conf, rx) in enumerate(license_scan.rules()) for m in re.finditer(rx, low))
+        kept = []
+        for d in found:  # in order of place: within the last one, or overlapping it as a later rule, is suppressed
+            if kept and d[0] < -kept[-1][1]:
+                if -d[1] > -kept[-1][1] and d[2] < kept[-1][2]:
+                    kept[-1] = d
+            else:
+                kept.append(d)
+        base = set(filter(None, brute(t)[4].split(",")))
+        assert got[i].labels == ",".join(sorted(base | {d[3] for d in kept})), t
+        assert got[i].score == max([d[4] for d in kept] + ([license_scan.BASE_SCORE] if base else [0.0])), t

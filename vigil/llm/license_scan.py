@@ -4,7 +4,8 @@ A text is looked at in three steps, each gating the next:
 
 * ``ANCHOR``: one regex that every rule implies; most texts end here;
 * keyword prefilter: a family's rules are tried only if its literal keyword occurs;
-* the rules: each family's name in each of the ``FORMS``, several hundred regexes.
+* the rules, in order of priority: ``NOTICES``, what licenses and their notices say themselves; each family's name in
+  each of the ``FORMS`` (a product of names and sentences, several hundred regexes); bare ``IDENTIFIERS``; ``OWN_RULES``.
 
 Detections are resolved as follows. One that lies within another is suppressed (of equal
 ones that of the earlier rule stays). Of two that overlap in part the earlier rule's stays.
@@ -28,7 +29,9 @@ from pyspark.sql import functions as F
 BASE_PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 #: words once A-Z are lower-cased: ASCII letters, digits and everything beyond ASCII
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-ANCHOR = r"(?i)licen[cs]|spdx|(?:released|distributed|published|available|provided)\s+under|subject\s+to|rights\s+reserved|public\s+domain"
+ANCHOR = (r"(?i)licen[cs]|spdx|(?:released|distributed|published|available|provided)\s+under|subject\s+to|rights\s+reserved|public\s+domain"
+          r"|permission\s+(?:is\s+hereby|to\s+use)|redistribution\s+and|contributors\s+may|advertising\s+materials|altered\s+source|openssl\s+project|unencumbered"
+          r"|(?:gpl|gfdl|apache|bsd|mpl|epl|eupl|cc-by|cc0|bsl|artistic|ofl|cddl|afl|osl|cpl)-[0-9n-s]")
 
 _V = r"(?:,?\s*(?:v|ver\.?|version)?\s*"
 #: label, keyword that the name contains, name as a regex over lower-cased text
@@ -102,6 +105,65 @@ FORMS = (
     (0.7, r"\b{name}\s+licen[cs]e\b(?:{version})?"),
 )
 _VERSION = r",?\s*(?:v|version)\s*[0-9]+(?:\.[0-9]+)*"
+_AS_GNU = r"free\s+software[:;,]\s+you\s+can\s+redistribute\s+it\s+and(?:/|\s+)or\s+modify\s+it\s+under\s+the\s+terms\s+of\s+the\s+gnu\s+{kind}general\s+public\s+license"
+_AS_FSF = r"{head}\s+as\s+published\s+by\s+the\s+free\s+software\s+foundation[,;]\s+(?:either\s+)?version\s+{version}"
+_FREE = r"permission\s+is\s+hereby\s+granted,\s+free\s+of\s+charge,\s+to\s+any\s+person\s+"
+_USE = r"permission\s+to\s+use,\s+copy,\s+modify,\s+and(?:/or)?\s+distribute\s+this\s+software\s+"
+
+
+def _gnu(kind: str, version: str | None = None) -> str:
+    head = _AS_GNU.replace("{kind}", kind)
+    return head if version is None else _AS_FSF.replace("{head}", head).replace("{version}", version)
+
+
+#: what the texts of licenses and the notices that refer to them say: label, keyword, confidence, regex
+NOTICES = (
+    ("bsl-1.0", "hereby", 0.97, _FREE + r"or\s+organization\s+obtaining\s+a\s+copy\s+of\s+the\s+software\s+and\s+accompanying\s+documentation"),
+    ("mit", "hereby", 0.95, _FREE + r"obtaining\s+a\s+copy"),
+    ("postgresql", "hereby", 0.97, _USE + r"and\s+its\s+documentation\s+for\s+any\s+purpose,\s+without\s+fee,\s+and\s+without\s+a\s+written\s+agreement\s+is\s+hereby\s+granted"),
+    ("isc", "hereby", 0.97, _USE + r"for\s+any\s+purpose\s+with\s+or\s+without\s+fee\s+is\s+hereby\s+granted,\s+provided"),
+    ("0bsd", "hereby", 0.95, _USE + r"for\s+any\s+purpose\s+with\s+or\s+without\s+fee\s+is\s+hereby\s+granted\."),
+    ("bsd-4-clause", "advertising", 0.95, r"all\s+advertising\s+materials\s+mentioning\s+features\s+or\s+use\s+of\s+this\s+software"),
+    ("bsd-3-clause", "contributors", 0.95, r"nor\s+the\s+names\s+of\s+(?:its|their|the)\s+contributors\s+may\s+be\s+used\s+to\s+endorse"),
+    ("bsd", "redistribution", 0.9, r"redistribution\s+and\s+use\s+in\s+source\s+and\s+binary\s+forms,\s+with\s+or\s+without\s+modification,\s+are\s+permitted"),
+    ("gpl-3.0", "redistribute", 0.97, _gnu("", "3")),
+    ("gpl-2.0", "redistribute", 0.97, _gnu("", "2")),
+    ("gpl", "redistribute", 0.95, _gnu("")),
+    ("lgpl-3.0", "redistribute", 0.97, _gnu(r"lesser\s+", "3")),
+    ("lgpl-2.1", "redistribute", 0.97, _gnu(r"lesser\s+", r"2\.1")),
+    ("lgpl", "redistribute", 0.95, _gnu(r"(?:lesser|library)\s+")),
+    ("agpl-3.0", "redistribute", 0.97, _gnu(r"affero\s+", "3")),
+    ("agpl", "redistribute", 0.95, _gnu(r"affero\s+")),
+    ("gpl-3.0", "copyleft", 0.97, r"the\s+gnu\s+general\s+public\s+license\s+is\s+a\s+free,?\s+copyleft\s+license\s+for\s+software"),
+    ("agpl-3.0", "copyleft", 0.97, r"the\s+gnu\s+affero\s+general\s+public\s+license\s+is\s+a\s+free,?\s+copyleft\s+license\s+for\s+software"),
+    ("gpl", "freedom", 0.9, r"the\s+licenses\s+for\s+most\s+software\s+(?:and\s+other\s+practical\s+works\s+)?are\s+designed\s+to\s+take\s+away\s+your\s+freedom"),
+    ("apache-2.0", "apache", 0.97, r"licensed\s+under\s+the\s+apache\s+license,\s+version\s+2\.0\s+\(the\s+[\x22']?license[\x22']?\);\s+you\s+may\s+not\s+use"),
+    ("apache-2.0", "applicable", 0.9, r"unless\s+required\s+by\s+applicable\s+law\s+or\s+agreed\s+to\s+in\s+writing,\s+software\s+distributed\s+under\s+the\s+license\s+is\s+distributed\s+on\s+an"),
+    ("mpl-2.0", "mozilla", 0.97, r"this\s+source\s+code\s+form\s+is\s+subject\s+to\s+the\s+terms\s+of\s+the\s+mozilla\s+public\s+license,\s+v\.\s+2\.0"),
+    ("mpl-1.1", "mozilla", 0.97, r"contents\s+of\s+this\s+file\s+are\s+subject\s+to\s+the\s+mozilla\s+public\s+license\s+version\s+1\.1"),
+    ("epl-2.0", "eclipse", 0.97, r"accompanying\s+materials\s+are\s+made\s+available\s+under\s+the\s+terms\s+of\s+the\s+eclipse\s+public\s+license\s+(?:v\.?|version)\s*2\.0"),
+    ("epl-1.0", "eclipse", 0.97, r"accompanying\s+materials\s+are\s+made\s+available\s+under\s+the\s+terms\s+of\s+the\s+eclipse\s+public\s+license\s+(?:v\.?|version)\s*1\.0"),
+    ("cddl", "development", 0.97, r"subject\s+to\s+the\s+terms\s+of\s+the\s+common\s+development\s+and\s+distribution\s+license"),
+    ("zlib", "altered", 0.95, r"altered\s+source\s+versions\s+must\s+be\s+plainly\s+marked\s+as\s+such"),
+    ("unlicense", "unencumbered", 0.97, r"this\s+is\s+free\s+and\s+unencumbered\s+software\s+released\s+into\s+the\s+public\s+domain"),
+    ("wtfpl", "verbatim", 0.95, r"copy\s+and\s+distribute\s+verbatim\s+or\s+modified\s+copies\s+of\s+this\s+license\s+document,\s+and\s+changing\s+it\s+is\s+allowed"),
+    ("cc0-1.0", "deed", 0.95, r"associated\s+a\s+work\s+with\s+this\s+deed\s+has\s+dedicated\s+the\s+work\s+to\s+the\s+public\s+domain"),
+    ("openssl", "openssl", 0.95, r"this\s+product\s+includes\s+software\s+developed\s+by\s+the\s+openssl\s+project"),
+    ("psf-2.0", "psf", 0.95, r"this\s+license\s+agreement\s+is\s+between\s+the\s+python\s+software\s+foundation\s+\([\x22']?psf[\x22']?\)"),
+    ("ms-pl", "accompanying", 0.6, r"this\s+license\s+governs\s+use\s+of\s+the\s+accompanying\s+software"),
+    ("gfdl", "documentation", 0.97, r"copy,\s+distribute\s+and/or\s+modify\s+this\s+document\s+under\s+the\s+terms\s+of\s+the\s+gnu\s+free\s+documentation\s+license"),
+)
+#: bare identifiers: label, regex of how they are written
+IDENTIFIERS = (
+    ("gpl-3.0", r"gpl-3\.0(?:-only|-or-later)?"), ("gpl-2.0", r"gpl-2\.0(?:-only|-or-later)?"), ("lgpl-3.0", r"lgpl-3\.0(?:-only|-or-later)?"),
+    ("lgpl-2.1", r"lgpl-2\.1(?:-only|-or-later)?"), ("agpl-3.0", r"agpl-3\.0(?:-only|-or-later)?"), ("gfdl", r"gfdl-1\.[1-3](?:-only|-or-later)?"),
+    ("apache-2.0", r"apache-2\.0"), ("apache-1.1", r"apache-1\.1"), ("bsd-2-clause", r"bsd-2-clause"), ("bsd-3-clause", r"bsd-3-clause"), ("bsd-4-clause", r"bsd-4-clause"),
+    ("mpl-2.0", r"mpl-2\.0"), ("mpl-1.1", r"mpl-1\.1"), ("epl-2.0", r"epl-2\.0"), ("epl-1.0", r"epl-1\.0"), ("eupl-1.2", r"eupl-1\.2"), ("cddl", r"cddl-1\.[01]"),
+    ("cpl-1.0", r"cpl-1\.0"), ("cc0-1.0", r"cc0-1\.0"), ("cc-by", r"cc-by-[1-4]\.[05]"), ("cc-by-sa", r"cc-by-sa-[1-4]\.[05]"), ("cc-by-nd", r"cc-by-nd-[1-4]\.[05]"),
+    ("cc-by-nc", r"cc-by-nc-[1-4]\.[05]"), ("cc-by-nc-sa", r"cc-by-nc-sa-[1-4]\.[05]"), ("cc-by-nc-nd", r"cc-by-nc-nd-[1-4]\.[05]"), ("bsl-1.0", r"bsl-1\.0"),
+    ("artistic-2.0", r"artistic-2\.0"), ("ofl-1.1", r"ofl-1\.1"), ("afl-3.0", r"afl-3\.0"), ("osl-3.0", r"osl-3\.0"),
+)
+IDENTIFIER_CONFIDENCE = 0.8
 OWN_RULES = (("all-rights-reserved", "reserved", 0.6, r"\ball\s+rights\s+reserved\b"),
              ("public-domain", "public domain", 0.6, r"(?:dedicated\s+to|placed\s+in(?:to)?)\s+the\s+public\s+domain\b"))
 BASE_SCORE = 0.5
@@ -112,7 +174,8 @@ def rules() -> list[tuple[str, str, float, str]]:
     """``label, keyword, confidence, regex`` in order of priority."""
     made = [(label, key, conf, form.replace("{version}", _VERSION).replace("{name}", f"(?:{name})"))
             for conf, form in FORMS for label, key, name in FAMILIES]
-    return made + list(OWN_RULES)
+    bare = [(label, label[:3], IDENTIFIER_CONFIDENCE, rf"\b{name}\b") for label, name in IDENTIFIERS]
+    return list(NOTICES) + made + bare + list(OWN_RULES)
 
 
 def _prefilter() -> list[tuple[str, list[tuple[int, str, float, str]]]]:
