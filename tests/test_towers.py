@@ -122,3 +122,39 @@ def test_a_worker_without_rows(spark, rows, scratch):
     few = rows.where("id < 2")
     got = tw.fit(few, rows, "id", tw.describe(rows, "simple", WIDTHS, 2), replace(CFG, max_rounds=1), scratch("fit").replace("file:", ""))
     assert got.history[0]["epoch"] == 0 and np.isfinite(got.history[0]["train_loss"])
+
+
+def test_each_task_steps_its_own_slice_only(tmp_path):
+    """Three tasks as threads: each sums and steps a third of the weights, and all end with the weights of the whole step."""
+    from concurrent.futures import ThreadPoolExecutor
+    from types import SimpleNamespace
+
+    size, world, cfg = 1000, 3, TrainConfig()
+    r = np.random.default_rng(0)
+    start, grads = r.normal(size=size), [r.normal(size=size) for _ in range(world)]
+
+    def task(rank):
+        ctx = SimpleNamespace(partitionId=lambda: rank, getTaskInfos=lambda: [None] * world, allGather=lambda _: ["attempt"] * world)
+        add = tw.FileSum(ctx, f"{tmp_path}/sums", size)
+        state = tw.State(start.copy(), np.zeros(size), np.zeros(size))
+        own = state.slice(*add.own)
+        for step in range(3):
+            empty = step == 1 and rank == 2  # a task whose rows have run out
+            share, rows, loss = add(*tw.part_gradient(SimpleNamespace(size=size), state.flat, None, ()) if empty else (grads[rank] * (step + 1), 4, 1.0))
+            assert len(share) == add.own[1] - add.own[0] < size / 2 and (rows, loss) == ((8, 2.0) if step == 1 else (12, 3.0))
+            own.adamw(share / rows, cfg)
+            add.spread(state.flat)
+        add.to_first([state.first, state.second])
+        return state
+    with ThreadPoolExecutor(world) as pool:
+        got = list(pool.map(task, range(world)))
+
+    flat, first, second = start, np.zeros(size), np.zeros(size)
+    for step in range(3):
+        given = grads[:2] if step == 1 else grads
+        grad = sum(g * (step + 1) for g in given) / (4 * len(given))
+        first, second = 0.9 * first + (1 - 0.9) * grad, 0.999 * second + (1 - 0.999) * grad * grad
+        rate = first / (1 - 0.9 ** (step + 1)) / (np.sqrt(second / (1 - 0.999 ** (step + 1))) + 1e-8)
+        flat = flat - cfg.learning_rate * (rate + cfg.weight_decay * flat)
+    assert all(np.allclose(s.flat, flat, rtol=0, atol=1e-12) for s in got)
+    assert np.allclose(got[0].first, first, atol=1e-12) and np.allclose(got[0].second, second, atol=1e-12)

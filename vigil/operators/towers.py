@@ -2,9 +2,9 @@
 
 An epoch is one barrier stage over the training rows, shuffled anew by a seeded hash. Its tasks step
 together: each takes its next mini-batch, computes the gradient, and the tasks add the gradients up among
-themselves through files of the shared folder (each sums one slice of all, then all read the
-slices). AdamW runs alike in every task. The driver sees a few numbers per task and epoch, never a
-gradient. Rows stream through; a task holds a mini-batch, the weights and the optimizer's two moments.
+themselves through files of the shared folder. Each task owns one slice of the weights: it sums that slice of all
+gradients, runs AdamW on it, and all read the new slices. The driver sees a few numbers per task and epoch, never a
+gradient. Rows stream through; a task holds a mini-batch, the weights and its slice of the optimizer's two moments.
 
 The first task leaves weights, moments and step count as a file; the driver then scores the validation rows and
 adds one record to the history. A run that was ended goes on after its last record and gives the
@@ -65,7 +65,7 @@ class Spec:
     idf: list[float] = field(default_factory=list)
 
 
-POLL_S, PATIENCE_S = 0.005, 900.0
+FIRST_POLL_S, POLL_S, PATIENCE_S = 0.0002, 0.005, 900.0  # waits between looks for a file: at first, at most; until it is given up
 
 
 # --- the network, in numpy -----------------------------------------------------------------------
@@ -83,6 +83,8 @@ class Net:
             self.shapes.append((f"dense {i}", (at, n)))
             at = n
         self.size = sum((i + 1) * o for _, (i, o) in self.shapes)
+        self.scale = {b: (np.array(spec.mean[b]), np.array(spec.spread[b])) for b in self.blocks if b in spec.mean}
+        self.idf = np.array(spec.idf)
 
     def start(self, seed: int) -> np.ndarray:
         rng = np.random.default_rng(seed)
@@ -105,11 +107,11 @@ class Net:
                 x = np.zeros((len(column), self.spec.widths[b]))
                 row = np.repeat(np.arange(len(column)), np.diff(column.offsets.to_numpy()))
                 np.add.at(x, (row, column.flatten().to_numpy()), 1.0)
-                x *= np.array(self.spec.idf)
+                x *= self.idf
                 x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
             else:
                 x = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), self.spec.widths[b])
-                x = (x - np.array(self.spec.mean[b])) / np.array(self.spec.spread[b])
+                x = (x - self.scale[b][0]) / self.scale[b][1]
                 if b in self.preset.pooled:
                     x = x.mean(axis=1, keepdims=True)
             out.append(x)
@@ -138,17 +140,24 @@ class Net:
         d = p
         d[at, y] -= 1
         d *= weight[:, None]
-        grads = [np.append((h[-1] * keep).T @ d, d.sum(axis=0))]
+        out = np.empty(self.size)
+        slots = self.layers(out)
+
+        def slope(i: int, below: np.ndarray, d: np.ndarray) -> None:
+            np.matmul(below.T, d, out=slots[i][0])
+            np.sum(d, axis=0, out=slots[i][1])
+        slope(-1, h[-1] * keep, d)
         d = (d @ layers[-1][0].T) * keep
         n = len(self.blocks)
         for i in range(len(layers) - 2, n - 1, -1):
             d = d * (h[i - n + 1] > 0)
-            grads.append(np.append(h[i - n].T @ d, d.sum(axis=0)))
+            slope(i, h[i - n], d)
             d = d @ layers[i][0].T
         d = d * (h[0] > 0)
         cuts = np.cumsum([o for _, (_, o) in self.shapes[:n]])[:-1]
-        towers = [np.append(xb.T @ db, db.sum(axis=0)) for xb, db in zip(x, np.split(d, cuts, axis=1))]
-        return np.concatenate([*towers, *reversed(grads)]), loss
+        for i, (xb, db) in enumerate(zip(x, np.split(d, cuts, axis=1))):
+            slope(i, xb, db)
+        return out, loss
 
 
 @dataclass
@@ -160,12 +169,28 @@ class State:
     step: int = 0
 
     def adamw(self, grad: np.ndarray, cfg: TrainConfig) -> None:
+        """One step, in place: large temporaries would cost more than the sums."""
         b1, b2 = 0.9, 0.999
         self.step += 1
-        self.first = b1 * self.first + (1 - b1) * grad
-        self.second = b2 * self.second + (1 - b2) * grad * grad
-        rate = self.first / (1 - b1 ** self.step) / (np.sqrt(self.second / (1 - b2 ** self.step)) + 1e-8)
-        self.flat = self.flat - cfg.learning_rate * (rate + cfg.weight_decay * self.flat)
+        work = np.multiply(grad, 1 - b1)
+        self.first *= b1
+        self.first += work
+        np.multiply(grad, 1 - b2, out=work)
+        work *= grad
+        self.second *= b2
+        self.second += work
+        root = np.divide(self.second, 1 - b2 ** self.step, out=work)
+        np.sqrt(root, out=root)
+        root += 1e-8
+        rate = self.first / (1 - b1 ** self.step)
+        rate /= root
+        rate += np.multiply(self.flat, cfg.weight_decay, out=work)
+        rate *= cfg.learning_rate
+        self.flat -= rate
+
+    def slice(self, a: int, b: int) -> State:
+        """Views of a part of the weights and moments."""
+        return State(self.flat[a:b], self.first[a:b], self.second[a:b], self.step)
 
     def bytes(self) -> bytes:
         return np.concatenate([[float(self.step)], self.flat, self.first, self.second]).astype("<f8").tobytes()
@@ -182,15 +207,21 @@ def _open(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
-def _put(uri: str, data: bytes) -> None:
+def _put(uri: str, *data: bytes | memoryview) -> None:
     """Under its name the file is whole."""
     system, path = _open(uri)
     system.create_dir(path.rpartition("/")[0], recursive=True)
     with system.open_output_stream(f"{path}.part", compression=None) as out:
-        out.write(data)
+        for d in data:
+            out.write(d)
     system.move(f"{path}.part", path)
 
 
+def _raw(vector: np.ndarray) -> memoryview:
+    """Its numbers, as they are written to files."""
+    return memoryview(np.ascontiguousarray(vector, "<f8")).cast("B")
+
+
 def _get(uri: str, start: int = 0, size: int | None = None) -> bytes:
     system, path = _open(uri)
     with system.open_input_file(path) as f:
@@ -199,40 +230,72 @@ def _get(uri: str, start: int = 0, size: int | None = None) -> bytes:
 
 
 class FileSum:
-    """Sums of vectors over the tasks of a barrier stage, by way of files in a shared folder.
+    """Sums of vectors over the tasks of a barrier stage, by way of files in a shared folder; each task sums, and keeps
+    the weights of, the slice ``own``.
 
     The barrier has all tasks run at once; within a step they wait for each other's files, since a call of Spark's
     own barrier takes a second. If a task is lost, Spark ends the others of its stage."""
 
-    def __init__(self, ctx: BarrierTaskContext, folder: str):
+    def __init__(self, ctx: BarrierTaskContext, folder: str, size: int):
         self.rank, self.world = ctx.partitionId(), len(ctx.getTaskInfos())
         self.folder, self.step, self.old = f"{folder}-{ctx.allGather(uuid.uuid4().hex)[0]}", 0, []  # the first task names the attempt
+        self.cuts = [size * i // self.world for i in range(self.world + 1)]
+        self.own = self.cuts[self.rank], self.cuts[self.rank + 1]
 
-    def _wait(self, uris: list[str]) -> None:
-        missing, end = [_open(u) for u in uris], time.monotonic() + PATIENCE_S
-        while missing := [(s, p) for s, p in missing if s.get_file_info(p).type == fs.FileType.NotFound]:
-            if time.monotonic() > end:
-                raise TimeoutError(f"no {missing[0][1]} after {PATIENCE_S} s")
-            time.sleep(POLL_S)
+    def _names(self, what: str) -> list[str]:
+        return [f"{self.folder}/{self.step}/{what}-{r}" for r in range(self.world)]
 
-    def __call__(self, vector: np.ndarray, rows: int, loss: float) -> tuple[np.ndarray, int, float]:
-        parts, sums = ([f"{self.folder}/{self.step}/{what}-{r}" for r in range(self.world)] for what in ("part", "sum"))
-        _put(parts[self.rank], np.array([rows, loss], "<f8").tobytes() + (vector.astype("<f8").tobytes() if rows else b""))
-        self._wait(parts)
+    def _wait(self, uri: str) -> None:
+        (system, path), end, pause = _open(uri), time.monotonic() + PATIENCE_S, FIRST_POLL_S
+        while system.get_file_info(path).type == fs.FileType.NotFound:
+            if time.monotonic() > end:
+                raise TimeoutError(f"no {path} after {PATIENCE_S} s")
+            time.sleep(pause)
+            pause = min(POLL_S, 1.1 * pause)
+
+    def _part(self, uri: str) -> tuple[int, float, np.ndarray | None]:
+        """Rows, loss and the own slice of what a task gave."""
+        self._wait(uri)
+        system, path = _open(uri)
+        a, b = self.own
+        with system.open_input_file(path) as f:
+            rows, loss = np.frombuffer(f.read_at(16, 0), "<f8")
+            return int(rows), float(loss), np.frombuffer(f.read_at((b - a) * 8, 16 + a * 8), "<f8") if rows else None
+
+    def __call__(self, vector: np.ndarray | None, rows: int, loss: float) -> tuple[np.ndarray, int, float]:
+        """The own slice of the sum, and rows and loss of all tasks; without rows there is no vector."""
+        parts, (a, b) = self._names("part"), self.own
+        _put(parts[self.rank], np.array([rows, loss], "<f8").tobytes(), *([_raw(vector)] if rows else []))
+        got = [(rows, loss, vector[a:b] if rows else None) if r == self.rank else self._part(u) for r, u in enumerate(parts)]
         self._forget()  # every task has begun this step, so it has read what the step before left
-        heads = [np.frombuffer(_get(u, 0, 16), "<f8") for u in parts]
-        total, losses = int(sum(h[0] for h in heads)), float(sum(h[1] for h in heads))
         self.old = [parts[self.rank]]
-        if total:
-            cuts = [len(vector) * i // self.world for i in range(self.world + 1)]
-            a, b = cuts[self.rank], cuts[self.rank + 1]
-            share = sum((np.frombuffer(_get(u, 16 + a * 8, (b - a) * 8), "<f8") for u, h in zip(parts, heads) if h[0]), np.zeros(b - a))
-            _put(sums[self.rank], share.tobytes())
-            self._wait(sums)
-            vector = np.concatenate([np.frombuffer(_get(u), "<f8") for u in sums])
-            self.old.append(sums[self.rank])
+        share = np.zeros(b - a)
+        for _, _, given in got:
+            if given is not None:
+                share += given
+        return share, sum(g[0] for g in got), float(sum(g[1] for g in got))
+
+    def spread(self, vector: np.ndarray) -> None:
+        """Give the own slice of ``vector`` to the others and fill in theirs; ends the step."""
+        names, (a, b) = self._names("slice"), self.own
+        _put(names[self.rank], _raw(vector[a:b]))
+        self.old.append(names[self.rank])
+        for r, uri in enumerate(names):
+            if r != self.rank:
+                self._wait(uri)
+                vector[self.cuts[r]:self.cuts[r + 1]] = np.frombuffer(_get(uri), "<f8")
         self.step += 1
-        return vector, total, losses
+
+    def to_first(self, vectors: list[np.ndarray]) -> None:
+        """Fill in ``vectors`` of the first task from the own slices of all."""
+        names, (a, b) = self._names("last"), self.own
+        if self.rank:
+            _put(names[self.rank], *(_raw(v[a:b]) for v in vectors))
+            return
+        for r, uri in list(enumerate(names))[1:]:
+            self._wait(uri)
+            for v, given in zip(vectors, np.frombuffer(_get(uri), "<f8").reshape(len(vectors), -1)):
+                v[self.cuts[r]:self.cuts[r + 1]] = given
 
     def _forget(self) -> None:
         for uri in self.old:
@@ -268,16 +331,21 @@ def _epoch(spec: Spec, cfg: TrainConfig, epoch: int, given: str | None, folder:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ctx, net = BarrierTaskContext.get(), Net(spec)
         state = State.of(_get(given)) if given else State(net.start(cfg.seed), np.zeros(net.size), np.zeros(net.size))
-        add = FileSum(ctx, f"{folder}/sums-{epoch}")
+        add = FileSum(ctx, f"{folder}/sums-{epoch}", net.size)
+        own = state.slice(*add.own)
         parts, seen, lost = mini_batches(batches, cfg.batch_rows), 0, 0.0
         while True:
-            share = part_gradient(net, state.flat, next(parts, None), (cfg.seed, epoch, state.step, add.rank))
+            share = part_gradient(net, state.flat, next(parts, None), (cfg.seed, epoch, own.step, add.rank))
             grad, rows, loss = add(*share)
             if not rows:
                 break
-            state.adamw(grad / rows, cfg)
+            grad /= rows
+            own.adamw(grad, cfg)
+            add.spread(state.flat)
             seen, lost = seen + rows, lost + loss
         uri = f"{folder}/state-{epoch}-{uuid.uuid4().hex}"
+        add.to_first([state.first, state.second])
+        state.step = own.step
         if add.rank == 0:
             _put(uri, state.bytes())
             yield pa.RecordBatch.from_pylist([{"uri": uri, "rows": seen, "loss": lost}])
