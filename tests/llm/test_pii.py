@@ -100,3 +100,14 @@ def test_redaction_and_edge_cases(spark, model):
     assert pii.scan(df, model).count() == 5
     empty = df.limit(0)
     assert pii.train(empty) is None and pii.scan(empty, None).count() == 0
+
+
+def test_every_document_is_learnt_from(spark, monkeypatch):
+    kept = []
+    plain = pii.materialize
+    monkeypatch.setattr(pii, "materialize", lambda df, name: kept.append(plain(df, name)) or kept[-1])
+    n = 24_000
+    docs = spark.range(n).selectExpr("id AS doc_id", "concat('host 10.0.', id % 3, '.7 answers') AS text")
+    assert pii.train(docs) is not None
+    # an address and its spoiled copy each; equal ones are one row with their number
+    assert kept[0].agg({"n": "sum"}).first()[0] == 2 * n and kept[0].count() < 100
