@@ -176,3 +176,16 @@ def test_a_landed_batch_replaces_itself(spark, scratch):
     for batch, n in ((0, 5), (1, 4), (1, 2), (0, 0)):  # sent again with fewer rows, and with none
         write_batch(spark.range(n), path, 3, batch)
     assert [tuple(r) for r in read_store(spark, path).groupBy("run_id", "batch_id").count().collect()] == [(3, 1, 2)]
+
+
+def test_triggers_are_as_many_as_pieces_however_many_files(spark, monkeypatch):
+    """A trigger may read a whole table, so their number must not grow with the input."""
+    from vigil.plans import streams
+    from vigil.streaming import jobs as j, replay
+
+    seen = []
+    plain = j.batch_stats
+    monkeypatch.setattr(j, "batch_stats", lambda *a: seen.append(plain(*a)))
+    monkeypatch.setattr(replay, "FILE_BYTES", 1 << 9)
+    rows = streams.replay_batches(spark, "/root/testdata/sf0.001").collect()
+    assert sum(r.n_rows for r in rows) == 200 and 1 <= seen[0].batches <= streams.PIECES

@@ -87,8 +87,8 @@ def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     places = F.transform(tokens("text"), lambda w: rel.token_bucket(w, PLACES))
     landed = heavy_table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", places.alias("places"), (F.col("doc_id") % PIECES).cast("int").alias("piece"))
     src, preds, ckpt = (scratch_path(spark, n) for n in ("landed", "predictions", "ckpt"))
-    write_pieces(landed, src, "piece")
-    stream = spark.readStream.schema("doc_id long, places array<int>, piece int").option("maxFilesPerTrigger", 1).parquet(src)
+    files = write_pieces(landed, src, "piece", pieces=PIECES)
+    stream = spark.readStream.schema("doc_id long, places array<int>, piece int").option("maxFilesPerTrigger", files).parquet(src)
 
     def score(batch: DataFrame) -> DataFrame:
         rows = batch.select("doc_id", F.explode_outer("places").alias("input"), F.lit(1.0).alias("value"))

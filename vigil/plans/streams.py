@@ -28,8 +28,7 @@ from vigil.streaming.dedupe import Accounts, dedupe_accounted
 from vigil.streaming.replay import write_ordered, write_pieces
 from vigil.streaming.report import read_report, report_as_it_arrives
 
-PIECES = 8  # the table is replayed in this many ordered pieces, one file per trigger
-FILE_STREAM = StreamConfig(format="parquet", max_files_per_trigger=1)
+PIECES = 8  # the table is replayed in this many ordered pieces, the files of one per trigger
 
 
 def _ordered_pieces(df: DataFrame, id_col: str) -> DataFrame:
@@ -43,9 +42,9 @@ def _record_schema() -> T.StructType:
     return T.StructType([*RECORD_SCHEMA.fields, T.StructField("piece", T.IntegerType())])
 
 
-def _publish_records(records: DataFrame, path: str) -> None:
-    """Write ``key, value`` records as ordered files (the topic stand-in)."""
-    write_pieces(records, path, "piece", pieces=PIECES)
+def _publish_records(records: DataFrame, path: str) -> StreamConfig:
+    """Write ``key, value`` records as ordered files (the topic stand-in); how to read them, a piece a trigger."""
+    return StreamConfig(format="parquet", max_files_per_trigger=write_pieces(records, path, "piece", pieces=PIECES))
 
 
 def _doc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,14 +64,16 @@ def _doc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def doc_features(spark: SparkSession, sf_dir: str) -> callable:
     """Path strategy: features are looked up by the item id in the media table. An item whose
     media is missing keeps its row with zero features and a status. The join is by key of
-    any kind; a media table bucketed by key spares its shuffle."""
-    docs_raw = t(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), "text")
+    any kind, of the sizes and not of the texts; a media table bucketed by key spares its shuffle."""
+    size = lambda sep: F.size(F.split("text", sep)).cast("long")
+    media = t(spark, sf_dir, "documents").where("text IS NOT NULL").select(
+        F.col("doc_id").cast("string").alias("id"), size(" ").alias("n_words"), size("\n").alias("n_lines"), F.lit(True).alias("found"))
 
     def featurize(good: DataFrame) -> DataFrame:
-        joined = good.select("id", "label", "split").join(docs_raw, "id", "left")
-        size = lambda sep: F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", sep))).cast("long")
-        return joined.select("id", "label", "split", size(" ").alias("n_words"), size("\n").alias("n_lines"),
-                             F.when(F.col("text").isNull(), "missing").otherwise("ok").alias("status"))
+        joined = good.select("id", "label", "split").join(media, "id", "left")
+        count = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
+        return joined.select("id", "label", "split", count("n_words"), count("n_lines"),
+                             F.when(F.col("found").isNull(), "missing").otherwise("ok").alias("status"))
     return featurize
 
 
@@ -87,12 +88,12 @@ UNION ALL SELECT 'junk-' || CAST(doc_id AS VARCHAR), NULL, NULL, NULL, NULL, 'ma
 def stream_feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic, store, ckpt = (scratch_path(spark, n) for n in ("topic", "store", "ckpt"))
     records = _doc_records(spark, sf_dir)
-    _publish_records(records, topic)
-    _publish_records(records.where(F.col("piece") == 0), topic + "_replay")  # a replayed piece
-    stream = read_stream(spark, FILE_STREAM, topic, _record_schema()).drop("piece")
+    pace = _publish_records(records, topic)
+    pace_again = _publish_records(records.where(F.col("piece") == 0), topic + "_replay")  # a replayed piece
+    stream = read_stream(spark, pace, topic, _record_schema()).drop("piece")
     jobs.ingest_to_store(stream, store, ckpt, doc_features(spark, sf_dir), by=("split",))
     # the replay arrives later through a second query on the same store (new run id)
-    replay = read_stream(spark, FILE_STREAM, topic + "_replay",
+    replay = read_stream(spark, pace_again, topic + "_replay",
                          _record_schema()).drop("piece")
     jobs.ingest_to_store(replay, store, scratch_path(spark, "ckpt"), doc_features(spark, sf_dir), by=("split",))
     current = KeyedTable.open(spark, store).current().select("id", "label", "split", "n_words", "n_lines", "status")
@@ -130,8 +131,8 @@ def stream_land(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("junk-"), F.col("page_id").cast("string")).cast("binary").alias("key"),
         F.concat(F.lit("{broken "), F.col("page_id").cast("string")).cast("binary").alias("value"),
         (F.col("page_id") % PIECES).cast("int").alias("piece"))
-    _publish_records(records.unionByName(junk), topic)
-    stream = read_stream(spark, FILE_STREAM, topic, _record_schema()).drop("piece")
+    pace = _publish_records(records.unionByName(junk), topic)
+    stream = read_stream(spark, pace, topic, _record_schema()).drop("piece")
     jobs.land(stream, landing, ckpt, page_payload_features, mode="inference")
     bad = read_store(spark, jobs.quarantine_of(landing))
     return read_store(spark, landing).select("id", "url", "payload_status", "n_bytes", "n_tags").unionByName(bad.select(
@@ -149,9 +150,9 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     src, out, ckpt = (scratch_path(spark, n) for n in ("events_src", "dedup", "ckpt"))
     ev = t(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
     pieces = _ordered_pieces(ev, "event_id")
-    write_ordered(pieces, src, "piece", list(range(PIECES)), replay_previous=True)
+    files = write_ordered(pieces, src, "piece", list(range(PIECES)), replay_previous=True)
     schema = "event_id long, ts timestamp_ntz, event_type string, value double, piece int"
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(src)
               .withColumn("ts", F.col("ts").cast("timestamp")))
     deduped = jobs.dedupe(stream, "event_id", "ts", "16 days").select("event_id", "event_type", "value")
     jobs.append_parquet(deduped, out, ckpt)
@@ -179,8 +180,8 @@ def stream_dedupe_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _ordered_pieces(t(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type"), "event_id")
     twice = ev.where(F.col("event_id") % 7 == 0)
     again = ev.where((F.col("event_id") % 5 == 0) & (F.col("piece") + 1 < PIECES)).withColumn("piece", F.col("piece") + 1)
-    write_ordered(ev.unionByName(twice).unionByName(again), src, "piece", list(range(PIECES)))
-    stream = spark.readStream.schema("event_id long, ts timestamp, event_type string, piece int").option("maxFilesPerTrigger", 1).parquet(src).drop("piece")
+    files = write_ordered(ev.unionByName(twice).unionByName(again), src, "piece", list(range(PIECES)))
+    stream = spark.readStream.schema("event_id long, ts timestamp, event_type string, piece int").option("maxFilesPerTrigger", files).parquet(src).drop("piece")
     dedupe_accounted(stream, "event_id", "ts", DELAY_S, out, ckpt)
     found = Accounts(out)
     types = t(spark, sf_dir, "events").select("event_id", "event_type")
@@ -198,8 +199,8 @@ def replay_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces paced one file per trigger; per-batch counts recorded, then summed."""
     src, stats, ckpt = (scratch_path(spark, n) for n in ("pieces", "stats", "ckpt"))
     docs = t(spark, sf_dir, "documents").select("doc_id", "lang")
-    write_pieces(docs.withColumn("piece", (F.col("doc_id") % PIECES).cast("int")), src, "piece")
-    stream = spark.readStream.schema("doc_id long, lang string, piece int").option("maxFilesPerTrigger", 1).parquet(src)
+    files = write_pieces(docs.withColumn("piece", (F.col("doc_id") % PIECES).cast("int")), src, "piece", pieces=PIECES)
+    stream = spark.readStream.schema("doc_id long, lang string, piece int").option("maxFilesPerTrigger", files).parquet(src)
     jobs.batch_stats(stream, stats, ckpt, "piece")
     per_batch = read_store(spark, stats)
     return per_batch.groupBy("piece").agg(F.sum("n_rows").cast("long").alias("n_rows"))
@@ -213,8 +214,8 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     topic, out, ckpt = (scratch_path(spark, n) for n in ("topic", "ingest", "ckpt"))
     records = encode(page_items(spark, sf_dir).withColumnRenamed("page_id", "id"), "training")
-    _publish_records(records.withColumn("piece", (F.col("key").cast("string").cast("long") % PIECES).cast("int")), topic)
-    stream = read_stream(spark, FILE_STREAM, topic, _record_schema()).drop("piece")
+    pace = _publish_records(records.withColumn("piece", (F.col("key").cast("string").cast("long") % PIECES).cast("int")), topic)
+    stream = read_stream(spark, pace, topic, _record_schema()).drop("piece")
     decoded = decode(stream, "training").select("id", "url", "split", "status")
     jobs.append_parquet(decoded, out, ckpt)
     return spark.read.parquet(out)
@@ -243,8 +244,8 @@ def stream_chunked_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = F.coalesce(F.col("part") == 0, F.lit(False))
     again = ok.where(first & (F.col("page_id") % 10 == 2)).withColumn("piece", F.lit(PIECES - 1))
     sent = ok.where(~(first & (F.col("page_id") % 10 == 7))).unionByName(again).select("key", "value", "piece")
-    _publish_records(sent, topic)
-    stream = read_stream(spark, FILE_STREAM, topic, _record_schema()).drop("piece")
+    pace = _publish_records(sent, topic)
+    stream = read_stream(spark, pace, topic, _record_schema()).drop("piece")
     assemble(stream, out, ckpt)
     found = Messages(out)
     none = F.lit(None)
@@ -269,8 +270,9 @@ def stream_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     src, out, ckpt = (scratch_path(spark, n) for n in ("pieces", "report", "ckpt"))
     docs = t(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
-    write_pieces(_ordered_pieces(docs.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("n_chars", F.col("n_chars").cast("long")), "doc_id"), src, "piece")
-    stream = spark.readStream.schema("doc_id long, lang string, n_chars long, piece int").option("maxFilesPerTrigger", 1).parquet(src).drop("piece")
+    pieces = _ordered_pieces(docs.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("n_chars", F.col("n_chars").cast("long")), "doc_id")
+    files = write_pieces(pieces, src, "piece", pieces=PIECES)
+    stream = spark.readStream.schema("doc_id long, lang string, n_chars long, piece int").option("maxFilesPerTrigger", files).parquet(src).drop("piece")
     measures = [F.count("*").alias("n_items"), F.sum(F.col("sensitive").cast("long")).alias("n_sensitive"),
                 F.sum("n_chars").alias("n_chars"), F.max("doc_id").alias("last_id")]
     report_as_it_arrives(with_predictions(stream, spark, sf_dir), ["lang", "predicted_label"], measures, out, ckpt)

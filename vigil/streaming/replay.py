@@ -23,8 +23,9 @@ def files_for(df: DataFrame, pieces: int = 1) -> int:
 
 
 def write_pieces(df: DataFrame, path: str, bucket: str, fmt: str = "parquet", files_per_piece: int | None = None,
-                 salt_cols: list[str] | None = None, pieces: int = 1) -> None:
-    """Write each bucket value under ``path/<bucket>=<v>/`` in a single job.
+                 salt_cols: list[str] | None = None, pieces: int = 1) -> int:
+    """Write each bucket value under ``path/<bucket>=<v>/`` in a single job. Returns the files of a piece: with so many a
+    trigger there are as many triggers as pieces, however large the table.
 
     A piece is split into ``files_per_piece`` files (by default as many as the input's size
     asks for, spread over ``pieces`` pieces), each written by a task of its own, by a
@@ -39,14 +40,15 @@ def write_pieces(df: DataFrame, path: str, bucket: str, fmt: str = "parquet", fi
     else:
         df = df.repartition(bucket)
     df.write.mode("append").format(fmt).partitionBy(bucket).save(path)
+    return files_per_piece
 
 
 def write_ordered(df: DataFrame, path: str, bucket: str, values: list[int], fmt: str = "parquet",
-                  replay_previous: bool = False, files_per_piece: int | None = None) -> None:
+                  replay_previous: bool = False, files_per_piece: int | None = None) -> int:
     """Write bucket files in order (file modification time = replay order), one job per
     bucket. With ``replay_previous`` every piece also re-sends the previous bucket
     (duplicates). A large piece is written by ``files_per_piece`` tasks (round-robin,
-    deterministic under retry); raise ``maxFilesPerTrigger`` to match."""
+    deterministic under retry). Returns that number, which ``maxFilesPerTrigger`` must match."""
     if files_per_piece is None:
         files_per_piece = files_for(df, len(values))
     prev = None
@@ -57,3 +59,4 @@ def write_ordered(df: DataFrame, path: str, bucket: str, values: list[int], fmt:
         part = part.repartition(files_per_piece)
         part.write.mode("append").format(fmt).save(f"{path}/piece={v:06d}")
         prev = v
+    return files_per_piece
