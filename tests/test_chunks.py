@@ -95,3 +95,23 @@ def test_publish_with_a_limit(spark, scratch):
         publish(frame(spark, []), cfg, topic)
     with pytest.raises(ValueError):
         StreamConfig(max_request_size=0)
+
+
+def test_bytes_are_written_once_and_a_message_can_be_sent_anew(spark, scratch):
+    """Waiting messages are known by their parts' numbers only; a corrupt message's old parts are not used again."""
+    from pyspark.sql import functions as F
+    from vigil.sinks.chunks import split_messages
+    from vigil.streaming.assemble import Messages, assemble
+
+    src, out, ck = scratch("src"), scratch("out"), scratch("ck")
+    sent, _ = split_messages(spark.createDataFrame([(bytearray(b"k"), bytearray(b"abcdefghij" * 30))], "key binary, value binary"), 100)
+    parts = sorted(bytes(r.value) for r in sent.collect())
+    spoiled = parts[0][:-1] + b"#"
+    for batch in [[spoiled], parts[1:], parts[:2], parts[2:]]:
+        rows = [(bytearray(b"k"), bytearray(p)) for p in batch]
+        spark.createDataFrame(rows, "key binary, value binary").coalesce(1).write.mode("append").parquet(src)
+        assemble(spark.readStream.schema("key binary, value binary").parquet(src), out, ck)
+    m = Messages(out)
+    assert [bytes(r.value) for r in m.read(spark, "delivered").collect()] == [b"abcdefghij" * 30]
+    assert [r.reason for r in m.read(spark, "undeliverable").collect()] == ["corrupt"]
+    assert "body" not in m.state(spark, 0, 3).columns and m.read(spark, "parts").count() == 2 * len(parts)

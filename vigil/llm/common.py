@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vigil.operators.joins import with_ids
 from vigil.session import materialize
 
 BATCH_BYTES = 1 << 20  # texts are worked on in groups of about this size; temporaries take about 40 times that
@@ -94,26 +95,6 @@ def fixed_bytes(column: pa.Array | pa.ChunkedArray, dtype, width: int) -> np.nda
     return data.view(dtype).reshape(-1, width)
 
 
-FILTER_BITS = 1 << 26  # 8 MB
-
-
-def with_ids(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows whose ``id`` is among ``ids`` (column ``id``), without moving the others.
-
-    A bitmap of the ids' hashes, of ``FILTER_BITS`` bits whatever their number, goes to all tasks;
-    what passes it (all wanted rows, few others) is then joined exactly.
-    """
-    def place(df: DataFrame) -> DataFrame:
-        h = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
-        return df.withColumn("bucket", F.bitmap_bucket_number(h)).withColumn("place", F.bitmap_bit_position(h))
-
-    bitmaps = place(ids.where("id is not null")).groupBy("bucket").agg(F.bitmap_construct_agg("place").alias("bits"))
-    byte = F.conv(F.hex(F.substring("bits", (F.col("place") / 8).cast("int") + 1, 1)), 16, 10).cast("int")
-    is_set = F.expr("shiftright(b, cast(place % 8 as int)) % 2 = 1")
-    near = place(rows).join(F.broadcast(bitmaps), "bucket").withColumn("b", byte).where(is_set).select(*rows.columns)
-    return near.join(ids.distinct(), "id").select(*rows.columns)  # a semi-join would be moved before the filter
-
-
 HOT_GROUPS = 10_000
 
 

@@ -7,12 +7,14 @@
   the right digest;
 * ``undeliverable``: ``key, message, parts, received, reason``: ``incomplete`` (parts missing for ``wait_batches``
   batches) or ``corrupt`` (wrong digest, or a part number out of range);
-* ``waiting``: the parts of messages still on their way, the state that the next batch reads. The state
-  of a batch depends only on that of the batch before it, so a batch that is sent again replaces itself.
+* ``parts``: the parts that came, with their bytes, which are written this once and moved once more, when their
+  message is complete;
+* ``waiting``: which parts of messages still on their way have come (no bytes), the state that the next batch reads. The
+  state of a batch depends only on that of the batch before it, so a batch that is sent again replaces itself.
 
 Repeated parts count once; parts of a message delivered within ``wait_batches`` batches are ignored. A whole
 record that is sent twice is delivered twice, as by any topic: the keyed table behind it keeps one. Copies of a part collapse
-before the shuffle, and a group holds the parts of one message, so no key or repeated message fills a task.
+before they are put together, and a group holds the parts of one message, so no key or repeated message fills a task.
 """
 
 from __future__ import annotations
@@ -23,11 +25,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil import storage
+from vigil.operators.joins import with_ids
 from vigil.sinks.chunks import parsed
 from vigil.sinks.store import read_store, write_batch
 from vigil.streaming.jobs import StreamResult, run_id_for, run_stream
 
-PARTS = ("key", "message", "parts", "part", "body", "since")
+PARTS = ("key", "message", "parts", "part", "since")
+MESSAGE = ("key", "message", "parts")
 
 
 @dataclass(frozen=True)
@@ -46,7 +50,7 @@ class Messages:
         return sorted(int(n.split("=", 1)[1]) for n in storage.names(spark, f"{self.path(name)}/run_id={run_id}") if n.startswith("batch_id="))
 
     def state(self, spark: SparkSession, run_id: int, batch_id: int) -> DataFrame:
-        """The parts that were waiting after a batch."""
+        """The parts that were waiting after a batch, without their bytes."""
         return spark.read.parquet(f"{self.path('waiting')}/run_id={run_id}/batch_id={batch_id}")
 
     def waiting(self, spark: SparkSession, run_id: int = 0) -> DataFrame:
@@ -60,6 +64,18 @@ def _joined(pieces) -> F.Column:
     return F.unhex(F.array_join(F.transform(F.array_sort(pieces), lambda p: F.hex(p["body"])), ""))
 
 
+def _values(stored: DataFrame, complete: DataFrame) -> DataFrame:
+    """``key, message, parts, value`` of the ``complete`` messages, from the ``stored`` parts. The bytes move once, by a
+    hash of their message; parts of other messages stay where they are."""
+    wanted = complete.select(F.xxhash64(*MESSAGE).alias("id"), F.struct(*MESSAGE).alias("wanted"), "since")
+    rows = with_ids(stored.select(F.xxhash64(*MESSAGE).alias("id"), *MESSAGE, "part", "body", "batch_id"), wanted.select("id"))
+    # an id that two messages share is no match; no key of the join, which would move the bytes again
+    same = F.coalesce(F.struct(*MESSAGE).eqNullSafe(F.col("wanted")), F.lit(False))
+    # parts from before were given up with the message that they came for
+    once = rows.join(wanted, "id").where(same & (F.col("batch_id") >= F.col("since"))).groupBy("id", *MESSAGE, "part").agg(F.first("body").alias("body"))
+    return once.groupBy("id", *MESSAGE).agg(_joined(F.collect_list(F.struct("part", "body"))).alias("value")).drop("id")
+
+
 def assemble(records: DataFrame, folder: str, checkpoint: str, wait_batches: int = 100, available_now: bool = True) -> StreamResult:
     """Run the assembly into ``folder``; read its tables with ``Messages(folder)``."""
     tables = Messages(folder)
@@ -69,34 +85,39 @@ def assemble(records: DataFrame, folder: str, checkpoint: str, wait_batches: int
     def process(batch: DataFrame, batch_id: int) -> None:
         own = batch.sparkSession
         rows = parsed(batch.select("key", "value")).persist()
-        parts = rows.where(F.col("message").isNotNull()).withColumn("since", F.lit(batch_id)).select(*PARTS)
+        came = rows.where(F.col("message").isNotNull())
+        write_batch(came.select(*MESSAGE, "part", "body"), tables.path("parts"), run_id, batch_id)
+        parts = came.withColumn("since", F.lit(batch_id)).select(*PARTS)
         if batch_id - 1 in tables.batches(own, "waiting", run_id):
             parts = parts.unionByName(tables.state(own, run_id, batch_id - 1))
         if tables.batches(own, "delivered", run_id):
             earlier = tables.read(own, "delivered").where((F.col("run_id") == run_id) & F.col("batch_id").between(batch_id - wait_batches, batch_id - 1))
             ids = earlier.where(F.col("message").isNotNull()).select(F.col("key").alias("__key"), F.col("message").alias("__message"))
             parts = parts.join(ids, (F.col("message") == F.col("__message")) & F.col("key").eqNullSafe(F.col("__key")), "left_anti")
-        once = parts.groupBy("key", "message", "parts", "part").agg(F.first("body").alias("body"), F.min("since").alias("since"))
-        groups = once.groupBy("key", "message", "parts").agg(
-            F.count("*").cast("int").alias("received"), F.min("since").alias("since"), F.collect_list(F.struct("part", "body")).alias("pieces"))
+        once = parts.groupBy("key", "message", "parts", "part").agg(F.min("since").alias("since"))
+        groups = once.groupBy(*MESSAGE).agg(F.count("*").cast("int").alias("received"), F.min("since").alias("since"), F.collect_list(F.struct("part", F.col("since").alias("came"))).alias("pieces"))
         in_range = (F.array_min("pieces.part") >= 0) & (F.array_max("pieces.part") < F.col("parts"))
         state = (F.when(~in_range, "corrupt").when(F.col("received") == F.col("parts"), "complete")
                  .when(F.col("since") <= batch_id - wait_batches, "incomplete").otherwise("waiting"))
-        groups = groups.withColumn("state", state)
-        groups = groups.withColumn("value", F.when(F.col("state") == "complete", _joined(F.col("pieces"))))
-        wrong = (F.col("state") == "complete") & (F.md5("value") != F.col("message"))
-        groups = groups.withColumn("state", F.when(wrong, "corrupt").otherwise(F.col("state"))).persist()
+        groups = groups.withColumn("state", state).persist()
+        complete = groups.where("state = 'complete'")
+        stored = tables.read(own, "parts").where((F.col("run_id") == run_id) & F.col("batch_id").between(batch_id - wait_batches, batch_id))
+        values = _values(stored, complete).withColumn("right", F.md5("value") == F.col("message")).persist()
         try:
             whole = rows.where(F.col("message").isNull()).select("key", "value", "message")
-            write_batch(whole.unionByName(groups.where("state = 'complete'").select("key", "value", "message")), tables.path("delivered"), run_id, batch_id)
-            lost = groups.where("state IN ('corrupt', 'incomplete')").select("key", "message", "parts", "received", F.col("state").alias("reason"))
-            write_batch(lost, tables.path("undeliverable"), run_id, batch_id)
-            rest = groups.where("state = 'waiting'").select("key", "message", "parts", "since", F.inline("pieces"))
+            write_batch(whole.unionByName(values.where("right").select("key", "value", "message")), tables.path("delivered"), run_id, batch_id)
+            lost = groups.where("state IN ('corrupt', 'incomplete')").select(*MESSAGE, "received", F.col("state").alias("reason"))
+            wrong = values.where("NOT right").select(*MESSAGE, F.col("parts").alias("received"), F.lit("corrupt").alias("reason"))
+            write_batch(lost.unionByName(wrong), tables.path("undeliverable"), run_id, batch_id)
+            rest = groups.where("state = 'waiting'").select(*MESSAGE, "since", F.inline("pieces"))
             write_batch(rest.select(*PARTS), tables.path("waiting"), run_id, batch_id)
             if batch_id >= 2:  # only the batch before can be asked for again
                 storage.delete(own, f"{tables.path('waiting')}/run_id={run_id}/batch_id={batch_id - 2}")
+            if batch_id >= wait_batches + 2:  # no message waits so long
+                storage.delete(own, f"{tables.path('parts')}/run_id={run_id}/batch_id={batch_id - wait_batches - 2}")
             seen["batches"] += 1
         finally:
+            values.unpersist()
             groups.unpersist()
             rows.unpersist()
 
