@@ -33,3 +33,12 @@ def test_all_statuses_ranges_and_repeats(spark, scratch):
     assert [r.payload_status for r in free] == ["unreadable"] and free[0].payload_error
     assert look_up(wanted, "url").where("status = 'ok'").count() == len(bodies) + 2 + 1  # each spelling once, and the one outside
     assert with_payloads(spark, wanted.limit(0)).count() == 0
+
+
+def test_small_files_dont_make_tasks_without_end():
+    from vigil.sources.payloads import SLOT_TASKS, TASK_BYTES, tasks_for
+
+    assert tasks_for(0, 0, 12) == 1 and tasks_for(10, 1, 12) == 1
+    assert tasks_for(10_000 * 500, 500, 12) == 4  # few files: by what opening them costs
+    assert tasks_for(10_000 * 4_000_000, 4_000_000, 12) == max(SLOT_TASKS * 12, -(-10_000 * 4_000_000 // TASK_BYTES))
+    assert tasks_for(1000 * TASK_BYTES, 200_000, 12) == 1000  # bytes of a task stay bounded

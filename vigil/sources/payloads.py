@@ -4,7 +4,8 @@ Only the wanted paths are opened; no folder is ever listed. Two steps, each reco
 
 1. every distinct path is looked up once: its length, or why there is none (``missing``, ``empty``, ``unreadable``);
 2. files are cut into ranges of at most ``range_bytes``, and the ranges are dealt to tasks of about ``task_bytes``: a
-   file of any length is read by many tasks, a task reads a bounded number of bytes, whatever the mix of lengths.
+   file of any length is read by many tasks, a task reads a bounded number of bytes, whatever the mix of lengths. Small
+   files make more tasks, up to ``SLOT_TASKS`` per slot: what tasks report to the driver doesn't grow with their number.
 
 Files of one range, the usual case, are never shuffled after they were read; those of several are put together by path.
 """
@@ -23,6 +24,7 @@ from vigil.session import materialize
 RANGE_BYTES = 8 << 20
 TASK_BYTES = 128 << 20
 OPEN_COST = 1 << 20  # what opening a file counts as, in bytes
+SLOT_TASKS = 16
 BATCH_BYTES = 8 << 20  # of read ranges sent to Spark at once
 
 _STAT = pa.schema([("path", pa.string()), ("length", pa.int64()), ("status", pa.string()), ("error", pa.string())])
@@ -87,13 +89,20 @@ def look_up(paths: DataFrame, path_col: str = "path") -> DataFrame:
     return materialize(once.repartition(4 * spark.sparkContext.defaultParallelism, "path").mapInArrow(_stat, "path string, length long, status string, error string"), "paths")
 
 
+def tasks_for(length: int, ranges: int, slots: int, task_bytes: int = TASK_BYTES) -> int:
+    """Tasks that read ``length`` bytes in ``ranges`` ranges."""
+    by_bytes, by_cost = (-(-n // task_bytes) for n in (length, length + ranges * OPEN_COST))
+    return max(1, by_bytes, min(by_cost, SLOT_TASKS * slots))
+
+
 def fetch(found: DataFrame, range_bytes: int = RANGE_BYTES, task_bytes: int = TASK_BYTES) -> DataFrame:
     """``path, content, payload_status, payload_error`` of every row of ``look_up``; the content is null unless ``ok``."""
     ok = found.where("status = 'ok'")
-    cost = ok.agg(F.sum(F.col("length") + F.ceil(F.col("length") / range_bytes) * OPEN_COST)).first()[0] or 0
+    length, n = ok.agg(F.sum("length"), F.sum(F.ceil(F.col("length") / range_bytes))).first()
+    tasks = tasks_for(length or 0, n or 0, found.sparkSession.sparkContext.defaultParallelism, task_bytes)
     starts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(range_bytes).cast("long")))
     ranges = ok.select("path", "length", starts.alias("start"), F.lit(range_bytes).cast("long").alias("take"))
-    ranges = ranges.repartition(max(1, -(-cost // task_bytes)), "path", "start")
+    ranges = ranges.repartition(tasks, "path", "start")
     read = ranges.mapInArrow(_read, "path string, start long, length long, bytes binary, error string")
     status = F.when(F.col("payload_error").isNotNull(), "unreadable").otherwise("ok")
     short = read.where(F.col("length") <= range_bytes).select("path", F.col("bytes").alias("content"), F.col("error").alias("payload_error"))
@@ -115,5 +124,6 @@ def with_payloads(spark: SparkSession, wanted: DataFrame, url_col: str = "url",
         url = F.when(inside, url)
     asked = wanted.withColumn("__path", url)
     files = fetch(look_up(asked, "__path"), **sizes).withColumnRenamed("path", "__path")
-    out = asked.join(files, "__path", "left").drop("__path")
+    # contents are larger than any estimate of them: never collected for a broadcast
+    out = asked.join(files.hint("merge"), "__path", "left").drop("__path")
     return out.withColumn("payload_status", F.coalesce("payload_status", F.lit("missing")))
