@@ -68,3 +68,24 @@ def test_the_child_ends_with_its_task():
             return
         time.sleep(0.1)
     raise AssertionError("the child is still there")
+
+
+def test_values_that_hang_are_waited_for_together():
+    import time
+
+    def init():
+        def extract(v):
+            if v % 10 == 9:
+                time.sleep(60)
+            if v == 5:
+                raise ValueError("no")
+            return [v]
+        return extract
+    extract = contained(Extractor("x", 1, init), seconds=1).init()
+    try:
+        begun = time.monotonic()
+        got = list(extract.stream(iter(range(60))))
+    finally:
+        extract.close()
+    assert [a if good else str(a) for good, a in got] == ["no answer in 1 s" if v % 10 == 9 else "no" if v == 5 else [v] for v in range(60)]
+    assert time.monotonic() - begun < 4  # six of them, one after the other: more than 6 s

@@ -3,7 +3,8 @@
 A codec or a model may crash its process or never return. ``contained(extractor)`` runs it in a child process of the task:
 a value goes in, a vector or a reason comes out, one at a time. So if the child dies, or gives no answer in time, the
 value that did it is known at once: it gets its reason (and the zero vector, by ``featurize``), a new child
-is started, and the rest of the batch goes on. The child ends with its task, also where that is killed.
+is started, and the rest goes on. While a child is slow (``GRACE_S``) the next values go to another one, up to ``CHILDREN``
+of them, so values that hang are waited for together. The children end with their task, also where that is killed.
 """
 
 from __future__ import annotations
@@ -13,11 +14,16 @@ import multiprocessing
 import os
 import resource
 import signal
-from collections.abc import Callable
+import time
+from collections import deque
+from collections.abc import Callable, Iterator
 from dataclasses import replace
+from multiprocessing.connection import wait
 
 from vigil.operators.featurize import Extractor
 
+GRACE_S, CHILDREN = 0.1, 8
+AHEAD_VALUES, AHEAD_BYTES = 8192, 32 << 20  # read beyond a value that hangs
 PR_SET_PDEATHSIG = 1  # Linux: the signal that a process gets when its parent ends
 
 
@@ -71,9 +77,11 @@ class _Child:
         far.close()
         self._answer(self.init_seconds)
 
-    def _answer(self, seconds: float):
+    def _answer(self, seconds: float, since: float | None = None):
+        """The answer to what was sent, now or at ``since``."""
         try:
-            if not self.pipe.poll(seconds):
+            left = seconds if since is None else max(0.0, since + seconds - time.monotonic())
+            if not self.pipe.poll(left):
                 self.close()
                 raise Spoiled(f"no answer in {seconds:g} s")
             good, answer = self.pipe.recv()
@@ -86,7 +94,7 @@ class _Child:
             raise Spoiled(answer)
         return answer
 
-    def __call__(self, value: object) -> object:
+    def send(self, value: object) -> None:
         if self.process is None:
             self._start()
         try:
@@ -95,6 +103,15 @@ class _Child:
             self.close()
             self._start()
             self.pipe.send(value)
+
+    def answer(self, since: float) -> tuple[bool, object]:
+        try:
+            return True, self._answer(self.seconds, since)
+        except Spoiled as e:
+            return False, e
+
+    def __call__(self, value: object) -> object:
+        self.send(value)
         return self._answer(self.seconds)
 
     def close(self) -> None:
@@ -105,9 +122,70 @@ class _Child:
             self.process = None
 
 
+def _bytes(value: object) -> int:
+    return len(value) if hasattr(value, "__len__") else 64
+
+
+class _Children:
+    """Several children, of which all but one are waited for."""
+
+    def __init__(self, *args):
+        self.args, self.children = args, [_Child(*args)]
+
+    @property
+    def process(self):
+        return self.children[0].process
+
+    def __call__(self, value: object) -> object:
+        return self.children[0](value)
+
+    def stream(self, values: Iterator[object]) -> Iterator[tuple[bool, object]]:
+        """``(True, answer)`` or ``(False, reason)`` of each value, in order."""
+        # by order: result (None: not yet) and bytes of each value; children at work: slot, since when
+        slots, busy, size, more = deque(), {}, 0, True
+        while more or slots:
+            while slots and slots[0][0] is not None:
+                found, n = slots.popleft()
+                size -= n
+                yield found
+            now = time.monotonic()
+            fresh = [since for _, since in busy.values() if now < since + GRACE_S]
+            child = None
+            if more and not fresh and len(slots) < AHEAD_VALUES and size < AHEAD_BYTES:
+                child = next((c for c in self.children if c not in busy), None)
+                if child is None and len(self.children) < CHILDREN:
+                    child = _Child(*self.args)
+                    self.children.append(child)
+            if child is not None:
+                try:
+                    value = next(values)
+                except StopIteration:
+                    more = False
+                    continue
+                slot = [None, _bytes(value)]
+                slots.append(slot)
+                size += slot[1]
+                try:
+                    child.send(value)
+                    busy[child] = slot, time.monotonic()
+                except Spoiled as e:
+                    slot[0] = False, e
+            if busy:
+                until = min([since + c.seconds for c, (_, since) in busy.items()] + [s + GRACE_S for _, s in busy.values() if more and s + GRACE_S > now])
+                ready = wait([c.pipe for c in busy], max(0.0, until - time.monotonic()))
+                now = time.monotonic()
+                for c in [c for c, (_, since) in busy.items() if c.pipe in ready or now >= since + c.seconds]:
+                    slot, since = busy.pop(c)
+                    slot[0] = c.answer(since)
+
+    def close(self) -> None:
+        for c in self.children:
+            c.close()
+
+
 def contained(extractor: Extractor, seconds: float = 60, init_seconds: float = 600, memory_mb: int | None = None) -> Extractor:
     """``extractor`` in a child process per task; ``seconds`` for a value, ``memory_mb`` beyond what the task holds at its start.
     An ``init`` that fails gives every value of the task that reason."""
     def init() -> Callable[[object], object]:
-        return _Child(extractor.init, seconds, init_seconds, memory_mb)
+        return _Children(extractor.init, seconds, init_seconds, memory_mb)
     return replace(extractor, init=init)

@@ -4,14 +4,17 @@ All extractors run in a single ``mapInPandas`` pass over Arrow batches: the inpu
 once and each extractor's ``init`` (load a codec, open a model) is called once per task.
 The result has one fixed-length float array per modality plus ``status``/``error``. A row
 whose extraction fails gets the zero vector of that modality (OP-46) and the whole reason,
-so fallbacks can be counted. Use this only for per-row work Spark cannot express (codecs,
+so fallbacks can be counted. An extractor that may wait (``stream``: results of an iterator of values, in order) reads on
+meanwhile; the batches that it read are held until all their results are there. Use this only for per-row work Spark cannot express (codecs,
 external models); everything expressible is done with built-in expressions.
 """
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain, islice, tee
 
 import numpy as np
 import pandas as pd
@@ -36,12 +39,24 @@ def featurize(df: DataFrame, key: str, source: str, extractors: list[Extractor],
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ready = [(e, e.init()) for e in extractors]
-        try:
+        held: deque[pd.DataFrame] = deque()
+
+        def values() -> Iterator[object]:
             for pdf in batches:
+                if len(pdf):
+                    held.append(pdf)
+                    yield from pdf[source]
+        try:
+            feeds = tee(values(), len(ready) or 1)
+            results = [_results(extract, feed) for (_, extract), feed in zip(ready, feeds)] or [feeds[0]]
+            nothing = object()
+            while (first := next(results[0], nothing)) is not nothing:
+                pdf, rows = held.popleft(), [chain([first], results[0]), *results[1:]]
                 out = {c: pdf[c] for c in kept}
                 errors: list[list[str]] = [[] for _ in range(len(pdf))]
-                for e, extract in ready:
-                    out[e.name] = [_vector(e, extract, v, errors[i]) for i, v in enumerate(pdf[source])]
+                rows = [list(islice(r, len(pdf))) for r in rows]
+                for (e, _), found in zip(ready, rows):
+                    out[e.name] = [_vector(e, r, errors[i]) for i, r in enumerate(found)]
                 out["status"] = ["fallback" if e else "ok" for e in errors]
                 out["error"] = ["; ".join(e) or None for e in errors]
                 yield pd.DataFrame(out)
@@ -52,9 +67,25 @@ def featurize(df: DataFrame, key: str, source: str, extractors: list[Extractor],
     return df.select(*dict.fromkeys([*kept, source])).mapInPandas(run, schema)
 
 
-def _vector(e: Extractor, extract: Callable[[object], object], value: object, errors: list[str]) -> np.ndarray:
+def _results(extract: Callable[[object], object], values: Iterator[object]) -> Iterator[tuple[bool, object]]:
+    """``(True, answer)`` or ``(False, reason)`` of each value."""
+    if hasattr(extract, "stream"):
+        yield from extract.stream(values)
+        return
+    for value in values:
+        try:
+            found = True, extract(value)
+        except Exception as exc:  # a row's failure is that row's status
+            found = False, exc
+        yield found
+
+
+def _vector(e: Extractor, found: tuple[bool, object], errors: list[str]) -> np.ndarray:
+    good, answer = found
     try:
-        v = np.asarray(extract(value), dtype=np.float32)
+        if not good:
+            raise answer
+        v = np.asarray(answer, dtype=np.float32)
         if v.shape == (e.dim,):
             return v
         errors.append(f"{e.name}: shape {v.shape} != ({e.dim},)")
