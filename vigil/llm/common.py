@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.operators.joins import with_ids
+from vigil.operators import joins
 from vigil.session import materialize
 
 BATCH_BYTES = 1 << 20  # texts are worked on in groups of about this size; temporaries take about 40 times that
@@ -35,6 +35,14 @@ def unused_name(df: DataFrame, stem: str) -> str:
     return name
 
 
+FILTER_BITS = joins.FILTER_BITS
+
+
+def with_ids(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``joins.with_ids`` by a bitmap of this module's ``FILTER_BITS``."""
+    return joins.with_ids(rows, ids, FILTER_BITS)
+
+
 def text_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``id long, text binary`` (UTF-8; a null text is empty); extra columns are not read."""
     return small_batches(df).select(

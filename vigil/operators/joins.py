@@ -40,14 +40,14 @@ def bounded_broadcast(small: DataFrame, max_rows: int, use_estimate: bool = True
 FILTER_BITS = 1 << 26  # 8 MB
 
 
-def with_ids(rows: DataFrame, ids: DataFrame) -> DataFrame:
+def with_ids(rows: DataFrame, ids: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
     """The rows whose ``id`` is among ``ids`` (column ``id``), without moving the others.
 
-    A bitmap of the ids' hashes, of ``FILTER_BITS`` bits whatever their number, goes to all tasks;
+    A bitmap of the ids' hashes, of so many ``bits`` whatever their number, goes to all tasks;
     what passes it (all wanted rows, few others) is then joined exactly.
     """
     def place(df: DataFrame) -> DataFrame:
-        h = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
+        h = F.pmod(F.xxhash64("id"), F.lit(bits))
         return df.withColumn("bucket", F.bitmap_bucket_number(h)).withColumn("place", F.bitmap_bit_position(h))
 
     bitmaps = place(ids.where("id is not null")).groupBy("bucket").agg(F.bitmap_construct_agg("place").alias("bits"))
