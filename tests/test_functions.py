@@ -214,3 +214,28 @@ def test_mean_pool_forms_agree(spark):
     for k in a:
         assert a[k] == pytest.approx(b[k], abs=1e-6)
         assert a[k] == pytest.approx([c[(k, i)] for i in range(len(a[k]))], abs=1e-9)
+
+
+def test_token_places_hash_like_token_bucket(spark):
+    from vigil.functions.text import tokens
+    from vigil.operators.relational import token_bucket, token_places
+
+    odd = [None, "", " ", "  a  b ", "A É İ ΣΑΣ ς ß x", "\n\t x", "x" * 1000 + " y", "𝔘 😀 a\x00b", "1 2 " * 60]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(odd)], "id long, text string")
+    got = df.select("id", token_places("text", 97).alias("got"), F.transform(tokens("text"), lambda w: token_bucket(w, 97)).alias("want")).collect()
+    assert len(got) == len(odd) and all(r.got == r.want for r in got)
+
+
+def test_first_words_only(spark):
+    from vigil.functions.text import word_lengths
+
+    df = spark.createDataFrame([(None,), ("",), ("a",), ("a bb  ccc ",), ("a bb ccc",), (" " * 9,)], "text string")
+    assert all(r.whole[:3] == r.first for r in df.select(word_lengths("text").alias("whole"), word_lengths("text", 3).alias("first")).collect())
+
+
+def test_sampling_makes_the_sequence_once(spark):
+    lines = F.split("text", "\n")
+    df = spark.createDataFrame([(None,), ("",), ("a\nbb\nccc\n",), ("\n".join(map(str, range(100))),)], "text string")
+    got = df.select(ar.uniform_sample_array(lines, 3).alias("got"))
+    assert [r.got for r in got.collect()] == [[], [""], ["a", "bb", "ccc"], ["0", "33", "66"]]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1

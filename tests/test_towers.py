@@ -158,3 +158,43 @@ def test_each_task_steps_its_own_slice_only(tmp_path):
         flat = flat - cfg.learning_rate * (rate + cfg.weight_decay * flat)
     assert all(np.allclose(s.flat, flat, rtol=0, atol=1e-12) for s in got)
     assert np.allclose(got[0].first, first, atol=1e-12) and np.allclose(got[0].second, second, atol=1e-12)
+
+
+def test_a_part_is_written_without_its_writers_own_slice(tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+    from types import SimpleNamespace
+
+    size, grads = 10, np.random.default_rng(0).normal(size=(3, 10))
+
+    def task(rank):
+        ctx = SimpleNamespace(partitionId=lambda: rank, getTaskInfos=lambda: [None] * 3, allGather=lambda _: ["attempt"] * 3)
+        add = tw.FileSum(ctx, f"{tmp_path}/sums", size)
+        share, _, _ = add(grads[rank], 4, 1.0)
+        return add.own, share
+    with ThreadPoolExecutor(3) as pool:
+        got = list(pool.map(task, range(3)))
+    for rank, ((a, b), share) in enumerate(got):
+        assert np.allclose(share, grads[:, a:b].sum(axis=0)) and (tmp_path / f"sums-attempt/0/part-{rank}").stat().st_size == 16 + 8 * (size - (b - a))
+    alone = tw.FileSum(SimpleNamespace(partitionId=lambda: 0, getTaskInfos=lambda: [None], allGather=lambda _: ["one"]), f"{tmp_path}/sums", size)
+    assert (alone(grads[0], 4, 1.0)[0] == grads[0]).all()
+
+
+def test_presets_are_fitted_together_on_rows_described_once(spark, scratch, monkeypatch):
+    from threading import Barrier
+
+    from vigil.plans import models
+
+    blocks = [F.array_repeat(F.col("doc_id").cast("double"), w).alias(b) for b, w in models.WIDTHS.items() if b != "tokens"]
+    label, split = F.expr("if(doc_id % 5 = 0, null, int(doc_id % 2))"), F.expr("element_at(array('train', 'val', 'test'), int(doc_id % 3) + 1)")
+    features = spark.range(60).withColumnRenamed("id", "doc_id").select("doc_id", split.alias("split"), label.alias("label"), *blocks, F.array(F.lit(3)).alias("tokens"))
+    meet, described, describe = Barrier(3), [], tw.describe
+
+    def fit(train, val, key, spec, cfg, path):
+        meet.wait(60)  # breaks unless all three are fitted at the same time
+        return spec.preset, path, train.select("weight").distinct().count(), sorted(r.doc_id for r in val.collect()), spec.idf == described[0].idf
+    monkeypatch.setattr(tw, "fit", fit)
+    monkeypatch.setattr(tw, "describe", lambda *a: described.append(describe(*a)) or described[-1])
+    paths = {p: scratch(p) for p in ("fusion", "tiny", "simple")}
+    want = [i for i in range(60) if i % 3 == 1 and i % 5]
+    assert models.fit_presets(features, paths) == {p: (p, paths[p], 1, want, True) for p in paths}
+    assert len(described) == 1

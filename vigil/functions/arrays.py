@@ -54,11 +54,12 @@ def uniform_sample_array(col: Column | str, k: int, readable=None) -> Column:
     at 0, interval, ... (< n), unreadable candidates skipped without using quota, first
     k kept. ``readable(item, pos)`` returns a boolean Column. Pure array expression:
     no explode, no shuffle. Padding is left to the caller (``pad_truncate``)."""
-    arr = _c(col)
-    n = F.size(arr)
-    interval = F.greatest(F.floor(n / F.lit(k)), F.lit(1)).cast("int")
-    positions = F.when(n > 0, F.sequence(F.lit(0), n - 1, interval)).otherwise(F.array().cast("array<int>"))
-    cand = F.transform(positions, lambda p: F.struct(p.alias("pos"), F.element_at(arr, p + 1).alias("item")))
-    if readable is not None:
-        cand = F.filter(cand, lambda s: readable(s["item"], s["pos"]))
-    return F.transform(F.slice(cand, 1, k), lambda s: s["item"])
+    def sampled(arr: Column) -> Column:
+        n = F.size(arr)
+        interval = F.greatest(F.floor(n / F.lit(k)), F.lit(1)).cast("int")
+        positions = F.when(n > 0, F.sequence(F.lit(0), n - 1, interval)).otherwise(F.array().cast("array<int>"))
+        cand = F.transform(positions, lambda p: F.struct(p.alias("pos"), F.element_at(arr, p + 1).alias("item")))
+        if readable is not None:
+            cand = F.filter(cand, lambda s: readable(s["item"], s["pos"]))
+        return F.transform(F.slice(cand, 1, k), lambda s: s["item"])
+    return F.get(F.transform(F.array(_c(col)), sampled), 0)  # bound to a name: else each position would make the sequence anew

@@ -93,6 +93,8 @@ def token_window(text: Column | str, length: int, pad: str = "") -> Column:
     return F.slice(F.concat(t, F.array_repeat(F.lit(pad), length)), 1, length)
 
 
-def word_lengths(text: Column | str) -> Column:
-    """Per-word character counts over the whole text (the 'series' modality)."""
-    return F.transform(F.split(F.coalesce(_c(text), F.lit("")), " "), lambda w: F.length(w))
+def word_lengths(text: Column | str, most: int | None = None) -> Column:
+    """Per-word character counts over the whole text (the 'series' modality), or of its first ``most`` words."""
+    whole = F.coalesce(_c(text), F.lit(""))
+    words = F.split(whole, " ") if most is None else F.slice(F.split(whole, " ", most + 1), 1, most)
+    return F.transform(words, lambda w: F.length(w))

@@ -13,6 +13,11 @@ long it is. Everything is SQL-expressible and exact up to the order of sums.
 
 from __future__ import annotations
 
+import hashlib
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +35,17 @@ def token_bucket(token: Column, places: int) -> Column:
     return (F.conv(F.substring(F.md5(token), 1, 8), 16, 10).cast("long") % places).cast("int")
 
 
+def token_places(text: str, places: int) -> Column:
+    """``token_bucket`` of each of the text's ``tokens``. A batch's distinct tokens are hashed once each."""
+    @F.arrow_udf("array<int>")
+    def at(lowered: pa.Array) -> pa.Array:
+        words = pc.split_pattern(lowered, " ")
+        coded = words.flatten().dictionary_encode()
+        of = np.fromiter((int.from_bytes(hashlib.md5(w).digest()[:4], "big") % places for w in coded.dictionary.cast(pa.binary()).to_pylist()), np.int32)
+        return pa.ListArray.from_arrays(words.offsets, pa.array(of[coded.indices.to_numpy()], pa.int32()))
+    return at(F.lower(F.coalesce(F.col(text), F.lit(""))))
+
+
 def token_rows(docs: DataFrame, key: str, places: int, text: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """``key, input, value`` (1 each) of each token; an item without tokens has one row without input."""
     buckets = F.transform(F.coalesce(tokens(text), F.array().cast("array<string>")), lambda w: token_bucket(w, places))

@@ -85,6 +85,7 @@ class Net:
         self.size = sum((i + 1) * o for _, (i, o) in self.shapes)
         self.scale = {b: (np.array(spec.mean[b]), np.array(spec.spread[b])) for b in self.blocks if b in spec.mean}
         self.idf = np.array(spec.idf)
+        self.out: np.ndarray | None = None  # if set, every gradient is written here
 
     def start(self, seed: int) -> np.ndarray:
         rng = np.random.default_rng(seed)
@@ -104,11 +105,14 @@ class Net:
             column = batch.column(b)
             column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
             if b == "tokens":
-                x = np.zeros((len(column), self.spec.widths[b]))
+                width = self.spec.widths[b]
                 row = np.repeat(np.arange(len(column)), np.diff(column.offsets.to_numpy()))
-                np.add.at(x, (row, column.flatten().to_numpy()), 1.0)
-                x *= self.idf
-                x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+                at, count = np.unique(row * width + column.flatten().to_numpy(), return_counts=True)
+                row, place = np.divmod(at, width)
+                value = count * self.idf[place]
+                value /= np.maximum(np.sqrt(np.bincount(row, value * value, len(column))), 1e-12)[row]
+                x = np.zeros((len(column), width))
+                x[row, place] = value
             else:
                 x = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), self.spec.widths[b])
                 x = (x - self.scale[b][0]) / self.scale[b][1]
@@ -140,7 +144,7 @@ class Net:
         d = p
         d[at, y] -= 1
         d *= weight[:, None]
-        out = np.empty(self.size)
+        out = np.empty(self.size) if self.out is None else self.out
         slots = self.layers(out)
 
         def slope(i: int, below: np.ndarray, d: np.ndarray) -> None:
@@ -219,7 +223,7 @@ def _put(uri: str, *data: bytes | memoryview) -> None:
 
 def _raw(vector: np.ndarray) -> memoryview:
     """Its numbers, as they are written to files."""
-    return memoryview(np.ascontiguousarray(vector, "<f8")).cast("B")
+    return memoryview(np.ascontiguousarray(vector, "<f8")).cast("B") if vector.size else memoryview(b"")
 
 
 def _get(uri: str, start: int = 0, size: int | None = None) -> bytes:
@@ -253,20 +257,21 @@ class FileSum:
             time.sleep(pause)
             pause = min(POLL_S, 1.1 * pause)
 
-    def _part(self, uri: str) -> tuple[int, float, np.ndarray | None]:
-        """Rows, loss and the own slice of what a task gave."""
+    def _part(self, r: int, uri: str) -> tuple[int, float, np.ndarray | None]:
+        """Rows, loss and the own slice of what task ``r`` gave; its file is without its own slice."""
         self._wait(uri)
         system, path = _open(uri)
         a, b = self.own
+        at = a if a < self.cuts[r] else a - (self.cuts[r + 1] - self.cuts[r])
         with system.open_input_file(path) as f:
             rows, loss = np.frombuffer(f.read_at(16, 0), "<f8")
-            return int(rows), float(loss), np.frombuffer(f.read_at((b - a) * 8, 16 + a * 8), "<f8") if rows else None
+            return int(rows), float(loss), np.frombuffer(f.read_at((b - a) * 8, 16 + at * 8), "<f8") if rows else None
 
     def __call__(self, vector: np.ndarray | None, rows: int, loss: float) -> tuple[np.ndarray, int, float]:
         """The own slice of the sum, and rows and loss of all tasks; without rows there is no vector."""
         parts, (a, b) = self._names("part"), self.own
-        _put(parts[self.rank], np.array([rows, loss], "<f8").tobytes(), *([_raw(vector)] if rows else []))
-        got = [(rows, loss, vector[a:b] if rows else None) if r == self.rank else self._part(u) for r, u in enumerate(parts)]
+        _put(parts[self.rank], np.array([rows, loss], "<f8").tobytes(), *([_raw(vector[:a]), _raw(vector[b:])] if rows else []))
+        got = [(rows, loss, vector[a:b] if rows else None) if r == self.rank else self._part(r, u) for r, u in enumerate(parts)]
         self._forget()  # every task has begun this step, so it has read what the step before left
         self.old = [parts[self.rank]]
         share = np.zeros(b - a)
@@ -332,6 +337,7 @@ def _epoch(spec: Spec, cfg: TrainConfig, epoch: int, given: str | None, folder:
         ctx, net = BarrierTaskContext.get(), Net(spec)
         state = State.of(_get(given)) if given else State(net.start(cfg.seed), np.zeros(net.size), np.zeros(net.size))
         add = FileSum(ctx, f"{folder}/sums-{epoch}", net.size)
+        net.out = np.empty(net.size)
         own = state.slice(*add.own)
         parts, seen, lost = mini_batches(batches, cfg.batch_rows), 0, 0.0
         while True:
@@ -396,7 +402,8 @@ def weighted(train: DataFrame) -> DataFrame:
 
 def _logits(spec: Spec, uri: str, carry: tuple[str, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net, flat = Net(spec), State.of(_get(uri)).flat
+        net = Net(spec)
+        flat = np.frombuffer(_get(uri, 8, net.size * 8), "<f8")  # after the step count
         for b in batches:
             for part in mini_batches(iter([b]), 256):
                 z = net.logits(flat, net.inputs(part))
